@@ -123,7 +123,7 @@ def _phrase_rows(batches, width: int):
 def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Values of a list column, and the row of each."""
     lists = column.cast(pa.list_(pa.int32()))
-    return np.asarray(lists.flatten()), np.repeat(np.arange(len(lists)), np.asarray(lists.value_length().fill_null(0)))
+    return np.asarray(lists.flatten()), np.repeat(np.arange(len(lists)), np.asarray(lists.value_lengths().fill_null(0)))
 
 
 def _open_windows(words: Words, rows: pa.RecordBatch, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
