@@ -5,14 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyward.llm.near_duplicates import near_duplicates
 from tallyward.llm.shared import table
 from tallyward.llm.substrings import remove_repeats
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"), k=4, parts=100, of=80)
+    return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
 def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = remove_repeats(table(spark, sf_dir, "documents"))
     return done.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
-QUERIES = {"op5_substrings": op5_substrings}
+QUERIES = {"op2_near_duplicates": op2_near_duplicates, "op5_substrings": op5_substrings}
 ORACLES: dict[str, str] = {}
