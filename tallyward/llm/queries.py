@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyward.llm import bpe
+from tallyward.llm.decontaminate import mark_benchmark
+from tallyward.llm.line_dedup import remove_lines
 from tallyward.llm.near_duplicates import near_duplicates
 from tallyward.llm.shared import table
 from tallyward.llm.substrings import remove_repeats
@@ -15,10 +18,37 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
+def vocabulary_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def digests(encoded: DataFrame) -> DataFrame:
+    ids = F.array_join(F.transform("ids", lambda i: i.cast("string")), ",")
+    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
+
+
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(bpe.encode(table(spark, sf_dir, "documents"), vocabulary_path()))
+
+
 def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = remove_repeats(table(spark, sf_dir, "documents"))
     return done.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
-QUERIES = {"op2_near_duplicates": op2_near_duplicates, "op5_substrings": op5_substrings}
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = remove_lines(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = mark_benchmark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return marked.select(
+        "row.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated")
+    )
+
+
+QUERIES = {f.__name__: f for f in (op2_near_duplicates, op3_bpe, op5_substrings, op7_line_dedup, op9_decontaminate)}
 ORACLES: dict[str, str] = {}
