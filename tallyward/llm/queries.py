@@ -9,8 +9,16 @@ from tallyward.llm import bpe
 from tallyward.llm.decontaminate import mark_benchmark
 from tallyward.llm.line_dedup import remove_lines
 from tallyward.llm.near_duplicates import near_duplicates
+from tallyward.llm.secrets import KINDS, scan
+from tallyward.llm.sharding import shard
 from tallyward.llm.shared import table
 from tallyward.llm.substrings import remove_repeats
+from tallyward.llm.topk import top_k
+
+
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.where("vec_id % 100 = 0"), 10)
 
 
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,6 +41,10 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(bpe.encode(table(spark, sf_dir, "documents"), vocabulary_path()))
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard(table(spark, sf_dir, "documents"))
+
+
 def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = remove_repeats(table(spark, sf_dir, "documents"))
     return done.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
@@ -50,5 +62,18 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_near_duplicates, op3_bpe, op5_substrings, op7_line_dedup, op9_decontaminate)}
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan(table(spark, sf_dir, "documents"))
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    def of_kind(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["kind"] != "random")
+    return found.select("doc_id", *map(of_kind, KINDS), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
+QUERIES = {f.__name__: f for f in (op1_topk, op2_near_duplicates, op3_bpe, op4_sharding, op5_substrings, op7_line_dedup, op9_decontaminate, op10_secrets)}
 ORACLES: dict[str, str] = {}
