@@ -14,6 +14,7 @@ from tallyward.llm.sharding import shard
 from tallyward.llm.shared import table
 from tallyward.llm.substrings import remove_repeats
 from tallyward.llm.topk import top_k
+from tallyward.llm.toxicity import fold, scored
 
 
 def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,6 +51,11 @@ def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select("row.doc_id", "score")
+    return done.select("doc_id", (fold() == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = remove_lines(table(spark, sf_dir, "documents"))
     return done.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
@@ -75,5 +81,5 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *map(of_kind, KINDS), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_topk, op2_near_duplicates, op3_bpe, op4_sharding, op5_substrings, op7_line_dedup, op9_decontaminate, op10_secrets)}
+QUERIES = {f.__name__: f for f in (op1_topk, op2_near_duplicates, op3_bpe, op4_sharding, op5_substrings, op6_toxicity, op7_line_dedup, op9_decontaminate, op10_secrets)}
 ORACLES: dict[str, str] = {}
