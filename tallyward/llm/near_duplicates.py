@@ -230,7 +230,8 @@ def _verified(texts: DataFrame, pairs: DataFrame, k: int, parts: int, of: int) -
     # the hub itself is in every tile, so that each tile knows its members' distances to it
     whole = sizes.select("hub", F.col("hub").alias("rep"), F.explode(F.sequence(F.lit(0), F.col("tiles").cast("int") - 1)).alias("tile"))
     listed = dealt.where("rep != hub").select("hub", "rep", "tile").unionByName(whole)
-    found = kept(_sets(texts, listed, k).groupBy("hub", "tile").applyInArrow(lambda key, tile: _own_rows(key, tile, parts, of), _LINKS), "found")
+    sets = kept(_sets(texts, listed, k), "sets")
+    found = kept(sets.groupBy("hub", "tile").applyInArrow(lambda key, tile: _own_rows(key, tile, parts, of), _LINKS), "found")
     links = found.where("b is not null")
     large = kept(sizes.where("tiles > 1"), "large")
     if large.isEmpty():
@@ -255,7 +256,7 @@ def _verified(texts: DataFrame, pairs: DataFrame, k: int, parts: int, of: int) -
     sides = crossing.select("hub", "cross", F.col("label")).unionByName(crossing.select("hub", "cross", F.col("label_2").alias("label"))).distinct()
     member = named.join(parts_of, ["hub", "settled", "ring"]).withColumn("number", F.pmod(F.xxhash64("rep", "hub"), F.col("tiles")).cast("int"))
     member = kept(member.select("hub", "rep", label.alias("label")), "members")
-    sets = kept(_sets(texts, member.select("hub", "rep", F.lit(0).alias("tile")), k), "sets")
+    sets = sets.join(large, "hub", "left_semi").where("doc_id != hub or tile = 0")  # a hub's set lies in each of its tiles
     placed = member.join(sides, ["hub", "label"]).select("hub", "cross", F.col("rep").alias("doc_id"))
     tiles = placed.join(sets.select("hub", "doc_id", "held"), ["hub", "doc_id"])
     more = tiles.groupBy("hub", "cross").applyInArrow(lambda key, tiles: _cross_rows(key, tiles, parts, of), _LINKS)
