@@ -15,6 +15,7 @@ from tallyward.llm.shared import table
 from tallyward.llm.substrings import remove_repeats
 from tallyward.llm.topk import top_k
 from tallyward.llm.toxicity import fold, scored
+from tallyward.llm.url_filter import filter_urls
 
 
 def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,6 +62,10 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(table(spark, sf_dir, "pages"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = mark_benchmark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return marked.select(
@@ -81,5 +86,5 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *map(of_kind, KINDS), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_topk, op2_near_duplicates, op3_bpe, op4_sharding, op5_substrings, op6_toxicity, op7_line_dedup, op9_decontaminate, op10_secrets)}
+QUERIES = {f.__name__: f for f in (op1_topk, op2_near_duplicates, op3_bpe, op4_sharding, op5_substrings, op6_toxicity, op7_line_dedup, op8_url_filter, op9_decontaminate, op10_secrets)}
 ORACLES: dict[str, str] = {}
