@@ -1,0 +1 @@
+"""Streams: the reference has none; see the README."""
