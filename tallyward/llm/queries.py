@@ -9,6 +9,7 @@ from tallyward.llm import bpe
 from tallyward.llm.decontaminate import mark_benchmark
 from tallyward.llm.line_dedup import remove_lines
 from tallyward.llm.near_duplicates import near_duplicates
+from tallyward.llm.oracles import ORACLES
 from tallyward.llm.secrets import KINDS, scan
 from tallyward.llm.sharding import shard
 from tallyward.llm.shared import table
@@ -87,4 +88,4 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_topk, op2_near_duplicates, op3_bpe, op4_sharding, op5_substrings, op6_toxicity, op7_line_dedup, op8_url_filter, op9_decontaminate, op10_secrets)}
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
