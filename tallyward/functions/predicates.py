@@ -11,18 +11,18 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_NUM = "try_cast(CASE WHEN {0} RLIKE '^\\\\s*[+-]?([0-9]+\\\\.?[0-9]*|\\\\.[0-9]+)([eE][+-]?[0-9]+)?\\\\s*$' THEN trim({0}) END AS DOUBLE)"
+_IS_NUMBER = "[ \t]*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?[ \t]*"
 _NAME = r"\[([A-Za-z]\w*)\]"
 _OP = r"\s*(<=|>=|<>|!=|=|<|>)\s*"
 
 
 def _number_of(group: str) -> str:
-    return _NUM.format(f"`{group}`")
+    return f"try_cast(CASE WHEN `{group}` RLIKE '^{_IS_NUMBER}@' THEN trim(`{group}`) END AS DOUBLE)".replace("@", r"\$")
 
 
 def _steps() -> list[tuple[str, str]]:
     """(pattern, replacement) in Java's syntax; later ones see what earlier ones left."""
-    n1, n2 = _number_of("$1").replace("\\", "\\\\"), _number_of("$2").replace("\\", "\\\\")
+    n1, n2 = _number_of("$1"), _number_of("$2")
     out = [(r"\[(\w+)\((\w+)\)\]", "[$1___$2]"), (r"\[\w+\]\[(\w+)\]", "[$1]"), (r'"', "'")]
     # '00' is a text of its own
     out += [(_NAME + r"\s*=\s*'(00)'", "coalesce(`$1` = '00', false)"), (_NAME + r"\s*(?:<>|!=)\s*'(00)'", "coalesce(`$1` != '00', true)")]

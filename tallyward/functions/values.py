@@ -38,11 +38,11 @@ def is_digits(x) -> Column:
 
 
 def is_blank(x) -> Column:
-    return F.coalesce(c(x) == "", F.lit(False))
+    return F.coalesce(c(x).cast("string") == "", F.lit(False))
 
 
 def is_missing(x) -> Column:
-    return F.coalesce(num(x).isin(*MISSING_NUMBERS), F.lit(False)) | F.coalesce(c(x).isin(*MISSING_DATES), F.lit(False))
+    return F.coalesce(num(x).isin(*MISSING_NUMBERS), F.lit(False)) | F.coalesce(c(x).cast("string").isin(*MISSING_DATES), F.lit(False))
 
 
 def is_empty(x) -> Column:

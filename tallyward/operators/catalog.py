@@ -103,9 +103,9 @@ def clinical_rules() -> list[Rule]:
     tbi = (parent, subject, source)
     out.append(Rule("head injury", tbi, _is(source, 3) & (v.value(subject) != v.value(parent)), F.lit("Subject and parent answered differently to whether or not the subject has ever had a head injury."), ("traumatic_brain_injury_screen",), MAIN_AND_REST))
     out.append(Rule("informants", tbi, _is(source, 1, 2) & _is(subject, 0, 1) & _is(parent, 0, 1), F.lit("Subject and parent not both selected as source of information, but answers appear to be provided by both the subject and parent."), ("traumatic_brain_injury_screen",), ("Secondary Report",)))
-    for x, low in {"somc": (1, 2, 3), "guil": (1, 2, 3), "gran": (1, 2, 3), "susp": (1,)}.items():
-        x, unusual = f"chrbprs_bprs_{x}", "chrbprs_bprs_unus"
-        out.append(Rule(f"{x} and unusual", (x, unusual), _is(x, 6, 7) & _is(unusual, *low), text(f"{x} is ", F.col(x), f", but {unusual} is ", F.col(unusual)), ("bprs",), exclusions=False))
+    for item, low in {"somc": (1, 2, 3), "guil": (1, 2, 3), "gran": (1, 2, 3), "susp": (1,)}.items():
+        x, unusual = f"chrbprs_bprs_{item}", "chrbprs_bprs_unus"
+        out.append(Rule(f"{item} and unusual", (x, unusual), _is(x, 6, 7) & _is(unusual, *low), text(f"{x} is ", F.col(x), f", but {unusual} is ", F.col(unusual)), ("bprs",), exclusions=False))
     out.append(Rule("weight", ("chrchs_weightkg",), v.num("chrchs_weightkg") < 0, text("chrchs_weightkg is ", F.col("chrchs_weightkg")), ("bprs",)))
     for limits, above, report in ((CONVERTS_ABOVE, True, "Main Report"), (CONVERTS_AT, False, "Conversion Report")):
         for x, t in limits.items():

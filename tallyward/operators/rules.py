@@ -65,9 +65,9 @@ def evaluate(
     out = []
     for at in range(0, len(numbered), CHUNK):
         found = [F.when(_fires(r, gate, applies), _flag(i, r)) for i, r in numbered[at : at + CHUNK]]
-        out.append(rows.select(*keep, F.explode(F.filter(F.array(*found), lambda x: x.isNotNull())).alias("f")).select(*keep, "f.*"))
+        out.append(rows.select(*keep, F.explode(F.filter(F.array(*found), lambda x: x.isNotNull())).alias("_flag")).select(*keep, "_flag.*"))
     if not out:
-        return rows.where("false").select(*keep, F.explode(F.array().cast(FLAG)).alias("f")).select(*keep, "f.*")
+        return rows.where("false").select(*keep, F.explode(F.array().cast(FLAG)).alias("_flag")).select(*keep, "_flag.*")
     return reduce(DataFrame.unionByName, out)
 
 
@@ -179,7 +179,7 @@ def slots(rows: DataFrame, keys: list[str], count: int, fields: dict[str, str])
         cells = [(F.col(p.format(n=n)) if p.format(n=n) in known else F.lit(None)).cast("string").alias(name) for name, p in fields.items()]
         made.append(F.struct(F.lit(n).alias("slot"), *cells))
     first = next(iter(fields))
-    return rows.select(*keys, F.explode(F.filter(F.array(*made), lambda s: v.filled(s[first]))).alias("s")).select(*keys, "s.*")
+    return rows.select(*keys, F.explode(F.filter(F.array(*made), lambda s: v.filled(s[first]))).alias("_slot")).select(*keys, "_slot.*")
 
 
 def repeated_in_slots(filled: DataFrame, keys: list[str], name: str) -> DataFrame:

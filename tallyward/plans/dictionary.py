@@ -127,7 +127,7 @@ def identifier_effects(dictionary: DataFrame) -> DataFrame:
     """(variable, affected_col, identifier) of variables whose calculation or branching logic mentions an identifier."""
     identifiers = dictionary.where("identifier = 'y'").select(F.col("variable").alias("identifier"))
     texts = dictionary.select("variable", "branching_logic", "choices").unpivot("variable", ["branching_logic", "choices"], "affected_col", "text")
-    return texts.select("variable", "affected_col", F.explode(predicates.mentioned(F.col("text"))).alias("identifier")).join(identifiers, "identifier", "left_semi")
+    return texts.select("variable", "affected_col", F.explode(predicates.mentioned(F.col("text"))).alias("identifier")).join(identifiers, "identifier", "left_semi").select("variable", "affected_col", "identifier")
 
 
 def unsupported(dictionary: DataFrame) -> DataFrame:
