@@ -5,8 +5,8 @@ at its matches gives the gaps between them, and gaps and matches alternate, so a
 
 Further spans, kind `random`: runs of `CANDIDATE` characters that overlap no base span, for which a first-order Markov model of random
 strings is likelier than one of ordinary identifiers by `MARGIN` nats or more.  Both models are trained from labelled samples of the same
-documents: strings that the base patterns name are random, words of ordinary documents are not; up to `SAMPLE` of the former and words of
-up to `SAMPLE_DOCS` documents, chosen by least hash.  Counts are smoothed by one half, so without samples a model is uniform.  The model
+documents: strings that the base patterns name are random, words of ordinary documents are not; about `SAMPLE` of the former and the words of
+about `SAMPLE_DOCS` documents, those below a bound on their hash (all, if there are fewer).  Counts are smoothed by one half, so without samples a model is uniform.  The model
 is a table of a fixed size.
 
 Defined cases: null texts are empty and have no spans; repeated rows are judged each for itself; without words or secrets in the table
@@ -20,7 +20,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyward.llm.shared import kept
+from tallyward.llm.shared import kept, sampled
 
 #: The base patterns with the group that is measured and its least length, in the order of kinds.
 KINDS = {
@@ -81,9 +81,9 @@ def _log_ratios(random: dict[int, int], ordinary: dict[int, int]) -> list[float]
 
 def train(docs: DataFrame, found: DataFrame) -> list[float]:
     """The table of log-likelihood ratios; found: the base spans of docs."""
-    values = found.select(F.explode("base.value").alias("word"))
-    values = values.orderBy(F.xxhash64("word"), "word").limit(SAMPLE)
-    texts = docs.select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
+    n_docs, n_values = found.agg(F.count("*"), F.coalesce(F.sum(F.size("base")), F.lit(0))).first()
+    values = found.select(F.explode("base.value").alias("word")).where(sampled(F.xxhash64("word"), SAMPLE, n_values))
+    texts = docs.select("doc_id", "text").where(sampled(F.xxhash64("doc_id", "text"), SAMPLE_DOCS, n_docs))
     words = texts.select(F.explode(F.regexp_extract_all("text", F.lit(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z][a-z]*[A-Za-z](?![A-Za-z0-9+/_=-])"), F.lit(0))).alias("word"))
     return _log_ratios(_counts(values), _counts(words))
 

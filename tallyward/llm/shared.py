@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -27,3 +28,10 @@ def kept(df: DataFrame, name: str) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def sampled(hashed: Column, wanted: int, of: int) -> Column:
+    """True for about `wanted` of `of` rows, by a bound on a 64-bit hash: the same rows each time, and no sort.  All rows if there are no more."""
+    if of <= wanted:
+        return F.lit(True)
+    return F.shiftrightunsigned(hashed, 32) < F.lit(int((1 << 32) * wanted / of))
