@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tallyward.functions import predicates
 from tallyward.functions import values as v
 from tallyward.operators import catalog, diffs, discovery, gate, lifecycle, rules, subjects, tracker
-from tallyward.operators.flags import piped
+from tallyward.operators.flags import flag_records, piped
 from tallyward.plans import dictionary as dd
 from tallyward.plans import model
 
@@ -474,6 +474,53 @@ def q_identifier_refs(spark, sf_dir):
     return found.join(words, "identifier", "left_semi").groupBy("identifier").agg(F.count("*").alias("documents"))
 
 
+@query("""WITH last AS (SELECT o_custkey, max(year(o_orderdate)) AS y FROM orders GROUP BY 1), r AS (SELECT o_orderkey, o_custkey % 2 = 1 AS own, CASE o_custkey % 3 WHEN 0 THEN 'CHR' WHEN 1 THEN 'HC' ELSE 'unknown' END AS cohort, year(o_orderdate) AS y, last.y AS ly,
+ CASE o_orderstatus WHEN 'F' THEN 2 WHEN 'P' THEN 3 ELSE 0 END AS done, o_orderkey % 7 = 0 AS missing, o_totalprice, o_custkey % 5 = 0 AS excluded FROM orders JOIN last USING (o_custkey))
+ SELECT o_orderkey, o_totalprice AS total, CAST(CASE WHEN excluded THEN 0 ELSE 1 END AS INTEGER) AS n_reports, y = 1992 AS priority_item FROM r
+ WHERE o_totalprice > 150000 AND (cohort = 'CHR' OR (cohort = 'HC' AND y = 1992)) AND (done = 2 OR (own AND ly > y)) AND NOT missing AND NOT (own AND done = 3)""")
+def q_gated_flags(spark, sf_dir):
+    orders = t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", (F.year("o_orderdate") - 1992).alias("ordinal"))
+    dimension = model.timepoints(spark).select("timepoint", "ordinal")
+    last = orders.groupBy("o_custkey").agg(F.max("ordinal").alias("ordinal")).join(F.broadcast(dimension), "ordinal").select("o_custkey", F.col("timepoint").alias("visit_status_string"))
+    done = F.when(F.col("o_orderstatus") == "F", "2").when(F.col("o_orderstatus") == "P", "3.0").otherwise("0")
+    cohort = F.when(F.col("o_custkey") % 3 == 0, "CHR").when(F.col("o_custkey") % 3 == 1, "HC").otherwise("unknown")
+    rows = orders.join(F.broadcast(dimension), "ordinal").drop("ordinal").join(last, "o_custkey").select(
+        "o_orderkey", F.concat(F.lit("AB"), F.col("o_custkey").cast("string")).alias("subjectid"), F.when(F.col("o_custkey") % 2 == 0, "PRONET").otherwise("PRESCIENT").alias("network"), cohort.alias("cohort"), "timepoint", "visit_status_string",
+        done.alias("f_complete"), done.alias("f_complete_rpms"), F.when(F.col("o_orderkey") % 7 == 0, "1").otherwise("0").alias("f_missing"), F.col("o_totalprice").cast("string").alias("total"), F.lit("").alias("removed"),
+        F.when(F.col("o_custkey") % 5 == 0, "excluded").otherwise("included").alias("inclusion_status"),
+    )
+    due = spark.createDataFrame([("CHR", x, ["f"]) for x in model.TIMEPOINTS] + [("HC", "screening", ["f"])], "cohort string, timepoint string, forms array<string>")
+    ready, ok = gate.gated(gate.with_ordinals(rows, model.timepoints(spark)), [gate.Form("f", "f_complete", "f_missing")], due)
+    found = rules.evaluate(ready, [rules.outside("total", "total", None, 150000, forms=("f",))], ["o_orderkey", "subjectid", "timepoint", "removed", "inclusion_status", "total"], ok)
+    return flag_records(found, F.lit("1999-01-01")).select("o_orderkey", v.num("total").alias("total"), F.size("reports").alias("n_reports"), "priority_item")
+
+
+@query(CELLS + """, w AS (SELECT variable, split_part(value, ' ', 1) AS value FROM long WHERE value NOT IN ('', '-9', '-3', '-99', '999', '1909-09-09'))
+ SELECT variable, count(*) AS n, round(avg(CAST(try_cast(value AS DOUBLE) IS NOT NULL AS INTEGER)), 6) AS share FROM w GROUP BY 1 HAVING avg(CAST(try_cast(value AS DOUBLE) IS NOT NULL AS INTEGER)) > 0.3""")
+def q_numeric_variables(spark, sf_dir):
+    return discovery.mostly_numeric(long_cells(spark, sf_dir), share=0.3).withColumn("share", F.round("share", 6))
+
+
+@query("""WITH s AS (SELECT l_linenumber AS k, avg(l_quantity) AS m, stddev_samp(l_quantity) AS sd FROM lineitem GROUP BY 1), z AS (SELECT l_suppkey, abs(l_quantity - m) / sd AS z, abs(l_discount - 0.05::DOUBLE) AS d FROM lineitem JOIN s ON k = l_linenumber WHERE sd > 0),
+ r AS (SELECT l_suppkey, z, d, row_number() OVER (PARTITION BY l_suppkey ORDER BY z) AS a, row_number() OVER (PARTITION BY l_suppkey ORDER BY d) AS b FROM z),
+ g AS (SELECT l_suppkey, count(*) AS n, sum(z) AS gt, sum(d) AS lt, sum(z) FILTER (a <= 5) AS gl, sum(d) FILTER (b <= 5) AS ll FROM r GROUP BY 1), o AS (SELECT s_suppkey AS l_suppkey, s_acctbal AS z FROM supplier WHERE s_acctbal > 0)
+ SELECT l_suppkey, n, round(gt, 4) AS global_total, round(lt, 4) AS local_total, round(gl, 4) AS global_least, round(ll, 4) AS local_least, round(gt / z, 4) AS ratio FROM g JOIN o USING (l_suppkey) WHERE n > 5""")
+def q_final_scores(spark, sf_dir):
+    lines = t(spark, sf_dir, "lineitem").select("l_suppkey", "l_linenumber", "l_discount", F.col("l_quantity").alias("value"))
+    scored = discovery.z_scores(lines, ["l_linenumber"])
+    pairs = scored.select("l_suppkey", F.col("z").alias("global_deviation"), F.abs(F.col("l_discount") - 0.05).alias("local_deviation"))
+    outliers = t(spark, sf_dir, "supplier").where("s_acctbal > 0").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_acctbal").alias("z"))
+    found = discovery.final_scores(pairs, outliers, ["l_suppkey"])
+    return found.select("l_suppkey", "n", *[F.round(x, 4).alias(x) for x in ("global_total", "local_total", "global_least", "local_least", "ratio")])
+
+
+@query("""SELECT 'v' || doc_id AS variable, 'pattern' AS reason FROM documents WHERE n_chars % 4 = 3 UNION ALL SELECT 'v' || doc_id, 'identifier' FROM documents WHERE n_chars % 4 IN (2, 3)""")
+def q_predicate_coverage(spark, sf_dir):
+    logic = F.when(F.col("n_chars") % 4 == 0, "").when(F.col("n_chars") % 4 == 1, "[a]='1'").when(F.col("n_chars") % 4 == 2, "[a(2)]<>'3' and [b]>4").otherwise("datediff([a],[b])>3")
+    docs = t(spark, sf_dir, "documents").select(F.concat(F.lit("v"), F.col("doc_id").cast("string")).alias("variable"), logic.alias("branching_logic"), F.lit("").alias("choices"), F.lit("").alias("identifier"))
+    return dd.unsupported(docs.unionByName(spark.createDataFrame([("b", "", "", "y")], "variable string, branching_logic string, choices string, identifier string")))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Range and date-order rules over lines, merged for each customer and year."""
     return q_tracker_merge(spark, sf_dir)
