@@ -13,6 +13,7 @@ scores, and never a candidate of their own id's queries; a query id that repeats
 
 from __future__ import annotations
 
+import math
 from functools import partial
 
 import numpy as np
@@ -116,5 +117,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, slots: int | None
     asked = asked.select("size", F.col("ids").alias("query_ids"), F.col("vectors").alias("queries"), F.explode(F.sequence(F.lit(0), F.lit(slots - 1))).alias("slot"))
     lists = candidates.join(asked, ["slot", "size"]).select("size", "query_ids", "queries", "ids", "vectors", "tile")
     lists = lists.mapInArrow(partial(_product_rows, k=k), "query_id long, vec_id long, score long, tile long")
-    first = _merged(lists.withColumn("branch", F.pmod("tile", F.lit(FAN_IN))), k, "query_id", "branch")
-    return _merged(first, k, "query_id").select("query_id", "rank", "vec_id", "score")
+    # a tree of merges: each round brings FAN_IN branches of a query's lists to one
+    depth = math.ceil(math.log(max(2, vectors.count() // CANDIDATE_TILE), FAN_IN))
+    lists = lists.withColumnRenamed("tile", "branch")
+    for level in range(depth - 1, 0, -1):
+        lists = _merged(lists.withColumn("branch", F.pmod("branch", F.lit(FAN_IN**level))), k, "query_id", "branch").drop("rank")
+    return _merged(lists, k, "query_id").select("query_id", "rank", "vec_id", "score")

@@ -35,6 +35,7 @@ def test_top_k_equals_brute_force(spark, monkeypatch):
     asked = {0, 5, 100, 430, 903}
     for tile in (2048, 64, 16):
         monkeypatch.setattr(topk, "CANDIDATE_TILE", tile)
+        monkeypatch.setattr(topk, "FAN_IN", 3 if tile == 16 else 16)
         got = {tuple(r) for r in topk.top_k(df, df.where(F.col("vec_id").isin(*asked)), 10, slots=3).collect()}
         assert got == brute_top(rows, asked, 10)
     none = df.where("false")
