@@ -94,10 +94,10 @@ def _flag(seq: int, rule: Rule) -> Column:
 # templates
 
 
-def in_set(name: str, variable: str, codes, reports=("Main Report",), negate: bool = False, message: str | None = None, **more) -> Rule:
-    """The value is one of the codes (or, negated, is not)."""
+def in_set(name: str, variable: str, codes, negate: bool = False, **more) -> Rule:
+    """The value is one of the codes (or, negated, is filled and none of them)."""
     hit = v.code_in(variable, codes)
-    return Rule(name, (variable,), ~hit & ~v.is_blank(variable) if negate else hit, text(message or f"{variable} is ", F.col(variable)) if message is None else F.lit(message), reports=tuple(reports), **more)
+    return Rule(name, (variable,), v.filled(variable) & ~hit if negate else hit, text(f"{variable} is ", F.col(variable)), **more)
 
 
 def outside(name: str, variable: str, low: float | None, high: float | None, **more) -> Rule:

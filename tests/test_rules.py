@@ -32,6 +32,11 @@ def test_rules_need_their_columns_and_respect_exclusions(spark):
     assert rules.evaluate(rows, [rule], ["i"], gate=lambda form: F.lit(False)).count() == 1  # no forms, nothing to gate
 
 
+def test_value_sets(spark):
+    made = [rules.in_set("in", "x", [1, 2]), rules.in_set("out", "x", [1, 2], negate=True)]
+    assert fired(spark, made, x=["1.0", "3", "", "-9", "a", None]) == [{"in"}, {"out"}, set(), set(), {"out"}, set()]
+
+
 def test_more_rules_than_one_projection(spark):
     many = [rules.outside(f"r{n}", "x", None, n) for n in range(120)]
     assert rules.evaluate(frame(spark, i=["0"], x=["60"]), many, ["i"]).count() == 60
