@@ -66,13 +66,13 @@ def is_code(x, code: float) -> Column:
 
 def value(x) -> Column:
     """The number of a cell that holds one and isn't a missing code."""
-    return F.when(~is_missing(x), num(x))
+    return F.when(~num(x).isin(*MISSING_NUMBERS), num(x))
 
 
 def as_date(x, cut: bool = False) -> Column:
-    """yyyy-M-d as a date; `cut` drops what follows the first blank."""
-    x = F.split_part(c(x), F.lit(" "), F.lit(1)) if cut else c(x)
-    return F.when(x.rlike(_DATE), F.try_to_timestamp(x, F.lit("yyyy-M-d")).cast("date"))
+    """yyyy-M-d as a date; `cut` drops what follows the first blank.  The pattern keeps out what a cast would take besides."""
+    x = F.substring_index(c(x), " ", 1) if cut else c(x)
+    return F.when(x.rlike(_DATE), x.try_cast("date"))
 
 
 def as_minute(x) -> Column:
@@ -82,7 +82,7 @@ def as_minute(x) -> Column:
 
 def real_date(x, cut: bool = False) -> Column:
     """A date that isn't one of the missing ones."""
-    return F.when(~is_missing(F.split_part(c(x), F.lit(" "), F.lit(1)) if cut else x), as_date(x, cut))
+    return F.when(~(F.substring_index(c(x), " ", 1) if cut else c(x)).isin(*MISSING_DATES), as_date(x, cut))
 
 
 def clean_date_text(x) -> Column:
