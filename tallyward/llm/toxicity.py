@@ -3,16 +3,19 @@
 Two models read words (lower-cased A-Z; runs of ASCII letters and digits and of characters beyond ASCII) byte by byte, each byte after the
 `ORDER` - 1 before it in its word: one model of toxic documents, one of ordinary ones.  Each class counts its own full-order grams; all
 lower orders are shared by both classes and hold continuation counts (in how many contexts a gram occurs), so an expression that is rare in
-both classes backs off to the same estimate in both and says little.  As the shared part cancels where neither class has a gram, a table
-of log-likelihood ratios for the counted grams and one of backoff ratios for their contexts are the whole model.
+both classes backs off to the same estimate in both and says little.  As the shared part cancels where neither class has a gram, a
+log-likelihood ratio for each counted gram and a backoff ratio for each context are the whole model.
 
 A document's features are its log-likelihood ratio per byte, that of its most toxic word, the sums over its distinct words of what lies
 beyond each of the `STRONG` bounds in nats (logarithmic), and the logarithm of its length.  A logistic curve over them, fitted on a fold that the models did not read, gives the score.
 
 What is learned: grams are counted over all labelled documents of the folds 1 to 4 (crc32 of doc_id as text, modulo 5); fold 0 is held out.
 The curve is fitted with models of the folds 1 to 3 on about `FITTED` documents of fold 4 (those below a bound on their hash), where toxic ones weigh
-`TOXIC_WEIGHT` times; it then serves the models of all four folds.  The table holds at most `GRAMS` grams, the most frequent
-ones; a count of counts finds the least count that fits.  Contexts keep their whole totals, so that what the table leaves out goes to the backoff.
+`TOXIC_WEIGHT` times; it then serves the models of all four folds.
+
+How: each chunk of texts becomes its distinct words and a compressed list of which document has which of them how often.  Gram, context and
+continuation counts are tables over all data without a bound; the distinct words' grams are joined to their ratios, the words' ratios to
+the chunks.  Only discounts and the fitted rows reach the driver.
 
 Defined cases: empty and null texts have features of 0 and get what the curve gives them; without both classes in the labels every score
 is the share of toxic ones (0.5 without any); a doc_id with several labels is toxic if one says so; a null doc_id is held out.
@@ -20,25 +23,27 @@ is the share of toxic ones (0.5 without any); a doc_id with several labels is to
 
 from __future__ import annotations
 
-from functools import partial
-
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyward.llm.shared import sampled
+from tallyward.llm.shared import kept, sampled
 from tallyward.llm.textscan import ALNUM, Words, slices
 
-ORDER, STRONG = 5, (2.5, 4.0)
-GRAMS, FITTED, TOXIC_WEIGHT = 1 << 18, 20_000, 1.5
+ORDER, STRONG = 7, (2.5, 4.0)
+FITTED, TOXIC_WEIGHT = 20_000, 1.5
 #: One for each feature and one constant.
 NAMES = ["mean", "top", *(f"strong_{i}" for i in range(len(STRONG))), "length"]
 WEIGHTS = len(NAMES) + 1
 #: Gram counts of the folds 1 to 3, and of fold 4.
 COUNTS = ["toxic", "ordinary", "late_toxic", "late_ordinary"]
-#: Distinct words whose ratios a worker remembers.
-REMEMBERED = 1 << 20
+#: Bytes of text in a chunk, and the kinds of its rows: the words of its documents, a document, a distinct word.
+CHUNK_BYTES = 1 << 22
+MATRIX, DOCUMENT, WORD = range(3)
+#: The models: of the folds 1 to 3, and of all four.
+EARLY, WHOLE = "early", "whole"
 
 
 def fold() -> Column:
@@ -63,17 +68,96 @@ def word_grams(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np
     return gram[keep], word[keep]
 
 
-def _gram_rows(batches):
+def _packed(keys: np.ndarray, counts: np.ndarray) -> bytes:
+    """Sorted distinct keys as steps and their counts, by planes of bytes, compressed."""
+    n = len(keys)
+    if not n:
+        return bytes(8)
+    steps = np.diff(keys, prepend=np.uint64(0)).astype("<u8")
+    raw = np.concatenate([x.view(np.uint8).reshape(n, -1).T.ravel() for x in (steps, counts.astype("<u4"))]).tobytes()
+    return n.to_bytes(8, "little") + pa.Codec("zstd").compress(raw, asbytes=True)
+
+
+def _unpacked(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = int.from_bytes(packed[:8], "little")
+    if not n:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    raw = np.frombuffer(pa.Codec("zstd").decompress(packed[8:], 12 * n, asbytes=True), np.uint8)
+    plane = lambda x, size, kind: np.ascontiguousarray(x.reshape(size, n).T).view(kind).ravel()
+    return np.cumsum(plane(raw[: 8 * n], 8, "<u8"), dtype=np.uint64), plane(raw[8 * n :], 4, "<u4").astype(np.int64)
+
+
+def _chunk_rows(batches):
+    """Keys of the matrix are document * number of words + word; nr numbers documents and words in their chunk; a is a word's hash."""
+    task, n = TaskContext.get().partitionId() << 32, 0
     for batch in batches:
-        for rows, data, offs in slices(batch):
+        for rows, data, offs in slices(batch, CHUNK_BYTES):
             words = Words(data, offs, ALNUM, lower=True)
-            kind = (2 * np.asarray(rows.column("late")) + (np.asarray(rows.column("toxic")) != 1))[words.text_of()]
-            _, at, inverse = np.unique(words.hashes(), return_index=True, return_inverse=True)
-            weight = [np.bincount(inverse, kind == c, len(at)).astype(np.int64) if len(at) else np.zeros(0, np.int64) for c in range(4)]
-            gram, word = word_grams(words.data, words.start[at], words.end[at])
-            found, inverse = np.unique(gram, return_inverse=True)
-            counts = [np.bincount(inverse, w[word], len(found)).astype(np.int64) if len(found) else np.zeros(0, np.int64) for w in weight]
-            yield pa.RecordBatch.from_arrays([found.view(np.int64), *counts], names=["gram", *COUNTS])
+            found, at, inverse = np.unique(words.hashes(), return_index=True, return_inverse=True)
+            text, docs = words.text_of(), rows.num_rows
+            packed = _packed(*np.unique(text.astype(np.uint64) * np.uint64(len(found)) + inverse.astype(np.uint64), return_counts=True))
+            length = np.bincount(text, words.end - words.start + 1, docs).astype(np.int64)
+            spans = [words.data[i:j].tobytes() for i, j in zip(words.start[at], words.end[at], strict=True)]
+            sizes = (1, docs, len(found))
+            column = lambda kind, *parts: pa.concat_arrays([pa.nulls(m, kind) if x is None else pa.array(x, kind) if not isinstance(x, pa.Array) else x for m, x in zip(sizes, parts, strict=True)])  # noqa: B023, E731
+            id_ = rows.column("doc_id")
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.full(sum(sizes), task + n)), pa.array(np.repeat(np.arange(3, dtype=np.int32), sizes)),
+                    column(pa.int64(), [docs], np.arange(docs), np.arange(len(found))), column(pa.int64(), None, rows.column("a"), found.view(np.int64)),
+                    column(pa.int64(), None, rows.column("b"), None), column(id_.type, None, id_, None), column(pa.int64(), None, length, None), column(pa.binary(), [packed], None, spans),
+                ],
+                names=["chunk", "kind", "nr", "a", "b", "doc_id", "length", "data"],
+            )
+            n += 1
+
+
+def _of_kind(rows: pa.Table, kind: int) -> pa.Table:
+    rows = rows.filter(pa.array(np.asarray(rows.column("kind")) == kind))
+    return rows.take(pa.array(np.argsort(np.asarray(rows.column("nr")), kind="stable")))
+
+
+def _word_counts(rows: pa.Table, marks: pa.Table) -> pa.Table:
+    """How often the chunk's words occur in the labelled documents of each kind."""
+    words = _of_kind(rows, WORD)
+    n = words.num_rows
+    [packed], [docs] = (_of_kind(rows, MATRIX).column(x).to_pylist() for x in ("data", "nr"))
+    keys, count = _unpacked(packed)
+    text, word = (keys // np.uint64(max(n, 1))).astype(np.int64), (keys % np.uint64(max(n, 1))).astype(np.int64)
+    kind = np.full(docs, -1)
+    kind[np.asarray(marks.column("at"))] = 2 * np.asarray(marks.column("late")) + (np.asarray(marks.column("toxic")) != 1)
+    counts = [np.bincount(word, count * (kind[text] == c), n).astype(np.int64) for c in range(4)]
+    return pa.table([words.column("a"), words.column("data"), *map(pa.array, counts)], names=["word", "data", *COUNTS])
+
+
+def _positions(batches):
+    """The grams of distinct words: one row for each byte and end of a word."""
+    for batch in batches:
+        data, offs = _bytes(batch.column("data"))
+        gram, word = word_grams(data, offs[:-1], offs[1:])
+        yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), *(batch.column(x).take(pa.array(word)) for x in ("word", *COUNTS))], names=["gram", "word", *COUNTS])
+
+
+def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    column = column.cast(pa.large_binary())
+    _, offsets, data = column.buffers()
+    offs = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int64)
+    return np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8), offs
+
+
+def _feature_rows(rows: pa.Table, ratios: pa.Table) -> pa.Table:
+    """The features of a chunk's documents in both models."""
+    docs = _of_kind(rows, DOCUMENT)
+    n, words = docs.num_rows, ratios.num_rows
+    keys, count = _unpacked(_of_kind(rows, MATRIX).column("data").to_pylist()[0])
+    text, word = (keys // np.uint64(max(words, 1))).astype(np.int64), (keys % np.uint64(max(words, 1))).astype(np.int64)
+    out = {x: docs.column(x) for x in ("a", "b", "doc_id")}
+    for model in (EARLY, WHOLE):
+        ratio = np.zeros(words)
+        ratio[np.asarray(ratios.column("at"))] = np.asarray(ratios.column(model))
+        found = features(text, ratio[word], count, np.asarray(docs.column("length")), n)
+        out |= {f"{model}_{x}": pa.array(f) for x, f in zip(NAMES, found.T, strict=True)}
+    return pa.table(out)
 
 
 def _discount(counts: np.ndarray) -> float:
@@ -95,7 +179,7 @@ def _value(keys: np.ndarray, known: np.ndarray, values: np.ndarray, otherwise: f
 
 
 class Model:
-    """The tables of log-likelihood ratios of grams and of backoff ratios of contexts."""
+    """The ratios of grams and contexts of one model in memory, for small counts; `word_ratios` is held to it."""
 
     def __init__(self, gram: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray, known: np.ndarray, totals: tuple[np.ndarray, np.ndarray]):
         """Grams with their counts; known: sorted contexts (of these grams at least) with each class's totals."""
@@ -115,7 +199,6 @@ class Model:
             self.backoff.append(back)
         self.ratio = np.log(chance[0]) - np.log(chance[1]) if len(gram) else np.zeros(0)
         self.backoff = np.log(self.backoff[0]) - np.log(self.backoff[1])
-        self.weights = np.zeros(WEIGHTS)
 
     @staticmethod
     def _shared(gram: np.ndarray) -> np.ndarray:
@@ -144,123 +227,137 @@ class Model:
             ratio[known] = self.ratio[at[known]]
         return np.bincount(word, ratio, len(start))
 
-    def score(self, features: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(features @ self.weights[1:] + self.weights[0], -30, 30)))
-
-    def fit(self, features: np.ndarray, toxic: np.ndarray, rounds: int = 30) -> None:
-        """Logistic regression by Newton's method, with a small ridge; without both classes, a constant."""
-        n, t = len(toxic), toxic.sum()
-        self.weights = np.zeros(WEIGHTS)
-        if t == 0 or t == n:
-            self.weights[0] = np.log((t + 0.5) / (n - t + 0.5))
-            return
-        scale = features.std(axis=0) + 1e-9
-        x = np.column_stack([np.ones(n), features / scale])
-        w = np.zeros(WEIGHTS)
-        ridge = np.diag([1e-6, *[1.0] * (WEIGHTS - 1)])
-        weigh = np.where(toxic > 0, TOXIC_WEIGHT, 1.0)
-        for _ in range(rounds):
-            p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-            w -= np.linalg.solve((x * (weigh * p * (1 - p))[:, None]).T @ x + ridge, x.T @ (weigh * (p - toxic)) + ridge @ w)
-        self.weights = np.array([w[0], *(w[1:] / scale)])
-
-
-class _Memory:
-    """Ratios of words that were met before, by hash."""
-
-    def __init__(self, model: Model):
-        self.model, self.known, self.ratio = model, np.zeros(0, np.uint64), np.zeros(0)
-
-    def of(self, words: Words) -> np.ndarray:
-        h = words.hashes()
-        found, first, inverse = np.unique(h, return_index=True, return_inverse=True)
-        ratio = _value(found, self.known, self.ratio, np.nan)
-        new = np.flatnonzero(np.isnan(ratio))
-        if len(new):
-            ratio[new] = self.model.words(words.data, words.start[first[new]], words.end[first[new]])
-            if len(self.known) + len(new) > REMEMBERED:
-                self.known, self.ratio = np.zeros(0, np.uint64), np.zeros(0)
-            known = np.concatenate([self.known, found[new]])
-            order = np.argsort(known, kind="stable")
-            self.known, self.ratio = known[order], np.concatenate([self.ratio, ratio[new]])[order]
-        return ratio[inverse]
-
-
-def features(words: Words, ratio: np.ndarray) -> np.ndarray:
-    n = len(words.offs) - 1
-    text = words.text_of()
-    total = np.bincount(text, ratio, n)
-    length = np.bincount(text, words.end - words.start + 1, n)
+
+def fit(features: np.ndarray, toxic: np.ndarray, rounds: int = 30) -> np.ndarray:
+    """The weights of a logistic regression by Newton's method, with a small ridge; without both classes, a constant."""
+    n, t = len(toxic), toxic.sum()
+    w = np.zeros(WEIGHTS)
+    if t == 0 or t == n:
+        w[0] = np.log((t + 0.5) / (n - t + 0.5))
+        return w
+    scale = features.std(axis=0) + 1e-9
+    x = np.column_stack([np.ones(n), features / scale])
+    ridge = np.diag([1e-6, *[1.0] * (WEIGHTS - 1)])
+    weigh = np.where(toxic > 0, TOXIC_WEIGHT, 1.0)
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        w -= np.linalg.solve((x * (weigh * p * (1 - p))[:, None]).T @ x + ridge, x.T @ (weigh * (p - toxic)) + ridge @ w)
+    return np.array([w[0], *(w[1:] / scale)])
+
+
+def features(text: np.ndarray, ratio: np.ndarray, count: np.ndarray, length: np.ndarray, n: int) -> np.ndarray:
+    """Of n documents, from their distinct words' documents, ratios and counts."""
     top = np.zeros(n)
     np.maximum.at(top, text, ratio)
-    high = np.flatnonzero(ratio > STRONG[0])
-    _, once = np.unique(np.stack([text[high].astype(np.uint64), words.hashes()[high]], axis=1), axis=0, return_index=True) if len(high) else (None, high)
-    high = high[once]
-    strong = [np.log1p(np.bincount(text[high], np.maximum(ratio[high] - bound, 0), n)) for bound in STRONG]
-    return np.column_stack([total / np.maximum(length, 1), top, *strong, np.log1p(words.counts)])
+    strong = [np.log1p(np.bincount(text, np.where(ratio > STRONG[0], np.maximum(ratio - bound, 0), 0), n)) for bound in STRONG]
+    return np.column_stack([np.bincount(text, ratio * count, n) / np.maximum(length, 1), top, *strong, np.log1p(np.bincount(text, count, n))])
 
 
-def _feature_rows(batches, model):
-    memory = _Memory(model.value)
-    for batch in batches:
-        for rows, data, offs in slices(batch):
-            words = Words(data, offs, ALNUM, lower=True)
-            f = features(words, memory.of(words))
-            yield pa.RecordBatch.from_arrays([rows.column("toxic"), *f.T], names=["toxic", *NAMES])
+def _shuffled(df: DataFrame) -> DataFrame:
+    """As the build side of a join: one strategy at all sizes, so that nothing is broadcast that grows."""
+    return df.hint("shuffle_hash")
 
 
-def _score_rows(batches, model):
-    memory = _Memory(model.value)
-    for batch in batches:
-        for rows, data, offs in slices(batch):
-            words = Words(data, offs, ALNUM, lower=True)
-            score = model.value.score(features(words, memory.of(words)))
-            yield pa.RecordBatch.from_arrays([rows.column("row"), pa.array(score)], names=["row", "score"])
+def _low(gram: Column | str, k: int) -> Column:
+    return F.col(gram).bitwiseAND(F.lit((1 << 8 * k) - 1).cast("long"))
 
 
-def train(docs: DataFrame, labels: DataFrame) -> Model:
-    """The model of labelled documents; labels: (doc_id, toxic)."""
-    sent = docs.sparkSession.sparkContext.broadcast
-    marks = labels.where("doc_id is not null and toxic is not null").withColumn("fold", fold())
-    marks = marks.groupBy("doc_id", "fold").agg(F.max("toxic").cast("int").alias("toxic"))
-    texts = docs.where("doc_id is not null").select("doc_id", "text").withColumn("fold", fold())
-    # labels grow with the documents, so they are never broadcast; as the build side they spare the texts a sort
-    read = texts.where("fold > 0").join(marks.where("fold > 0").drop("fold").hint("shuffle_hash"), "doc_id")
-    grams = read.select("text", "toxic", (F.col("fold") == 4).cast("int").alias("late")).mapInArrow(_gram_rows, "gram long, " + ", ".join(f"{x} long" for x in COUNTS))
-    grams = grams.groupBy("gram").agg(*[F.sum(x).alias(x) for x in COUNTS]).persist()
-    try:
-        n = sum((F.col(x) for x in COUNTS), F.lit(0))
-        # in powers of two above 64, so that the histogram is small
-        level = F.when(n <= 64, n).otherwise(F.pow(F.lit(2.0), F.floor(F.log2(n.cast("double")))))
-        least, held = 1 << 60, 0
-        for r in sorted(grams.groupBy(level.cast("long").alias("level")).count().collect(), key=lambda r: -r["level"]):
-            held += r["count"]
-            if held > GRAMS:
-                break
-            least = r["level"]
-        table = grams.where(n >= least).toPandas()
-        context = F.shiftright("gram", 8)
-        wanted = grams.where(n >= least).select(context.alias("context")).distinct()
-        totals = grams.groupBy(context.alias("context")).agg(*[F.sum(x).alias(x) for x in COUNTS]).join(wanted, "context", "left_semi").toPandas().sort_values("context")
-    finally:
-        grams.unpersist()
-    gram, counts = table["gram"].to_numpy(np.int64).view(np.uint64), {x: table[x].to_numpy(np.int64) for x in COUNTS}
-    # the same least count for both, so that a document that was not read meets the same share of unknown grams in either
-    early = counts["toxic"] + counts["ordinary"] >= least
-    known, whole_of = totals["context"].to_numpy(np.int64).view(np.uint64), {x: totals[x].to_numpy(np.int64) for x in COUNTS}
-    model = Model(gram[early], counts["toxic"][early], counts["ordinary"][early], known, (whole_of["toxic"], whole_of["ordinary"]))
-    late = marks.where("fold = 4")
-    few = late.where(sampled(F.xxhash64("doc_id"), FITTED, late.count())).drop("fold")
-    fitted = texts.where("fold = 4").drop("fold").join(F.broadcast(few), "doc_id").select("text", "toxic")  # about FITTED rows at most
-    found = fitted.mapInArrow(partial(_feature_rows, model=sent(model)), "toxic int, " + ", ".join(f"{x} double" for x in NAMES)).toPandas()
-    model.fit(found[NAMES].to_numpy(), found["toxic"].to_numpy(float))
-    whole = Model(gram, counts["toxic"] + counts["late_toxic"], counts["ordinary"] + counts["late_ordinary"], known, (whole_of["toxic"] + whole_of["late_toxic"], whole_of["ordinary"] + whole_of["late_ordinary"]))
-    whole.weights = model.weights
-    return whole
+def _bound(once: int | None, twice: int | None) -> float:
+    """As `_discount`."""
+    return float(np.clip(once / (once + 2 * twice), 0.1, 0.95)) if once else 0.5
+
+
+def _few(x: str, n: int) -> Column:
+    return F.sum((F.col(x) == n).cast("long")).alias(f"{x}_{n}")
+
+
+def shared_chances(grams: DataFrame) -> DataFrame:
+    """(suffix, early, whole): the shared estimate of a gram's last byte after ORDER - 2 bytes, in each model; grams: (gram, early: was it counted early)."""
+    ends = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), _low("gram", k + 1).alias("longer")) for k in range(1, ORDER)])).alias("x")
+    longer = grams.select("early", ends).groupBy("x.k", "x.longer").agg(F.max("early").alias("early"))
+    own = F.expr("longer & (shiftleft(1L, 8 * k) - 1)")
+    levels = kept(longer.groupBy("k", own.alias("own")).agg(F.sum("early").alias(EARLY), F.count("*").alias(WHOLE)), "continuations")
+    found = {r["k"]: r for r in levels.groupBy("k").agg(*[_few(x, n) for x in (EARLY, WHOLE) for n in (1, 2)]).collect()}
+    chances = None
+    for k in range(1, ORDER):
+        level = levels.where(F.col("k") == k).select("own", F.shiftright("own", 8).alias("context"), EARLY, WHOLE)
+        of = [a for x in (EARLY, WHOLE) for a in (F.sum(x).alias(f"{x}_all"), F.sum((F.col(x) > 0).cast("long")).alias(f"{x}_distinct"))]
+        level = level.join(_shuffled(level.groupBy("context").agg(*of)), "context")
+        if chances is None:
+            level = level.withColumns({f"{x}_below": F.lit(1 / 256) for x in (EARLY, WHOLE)})
+        else:
+            below = chances.select(F.col("own").alias("suffix"), *[F.col(x).alias(f"{x}_below") for x in (EARLY, WHOLE)])
+            level = level.withColumn("suffix", _low("own", k - 1)).join(_shuffled(below), "suffix")
+        values = []
+        for x in (EARLY, WHOLE):
+            d = _bound(found[k][f"{x}_1"], found[k][f"{x}_2"]) if k in found else 0.5
+            all_ = F.greatest(F.col(f"{x}_all"), F.lit(1))
+            values.append((F.greatest(F.col(x) - F.lit(d), F.lit(0.0)) / all_ + F.lit(d) * F.col(f"{x}_distinct") / all_ * F.col(f"{x}_below")).alias(x))
+        chances = level.select("own", *values)
+    return chances.withColumnRenamed("own", "suffix")
+
+
+def word_ratios(words: DataFrame) -> DataFrame:
+    """(word, early, whole): the log-likelihood ratio of each word in each model; words: (word, data, counts of `COUNTS`), no word twice."""
+    positions = words.mapInArrow(_positions, "gram long, word long, " + ", ".join(f"{x} long" for x in COUNTS))
+    sums = positions.groupBy("gram").agg(*[F.sum(x).alias(x) for x in COUNTS])
+    columns = {f"{c}_{EARLY}": F.col(c) for c in COUNTS[:2]} | {f"{c}_{WHOLE}": F.col(c) + F.col(f"late_{c}") for c in COUNTS[:2]}
+    grams = kept(sums.select("gram", F.shiftright("gram", 8).alias("context"), *[c.alias(x) for x, c in columns.items()]), "grams")
+    few = grams.agg(*[_few(x, n) for x in columns for n in (1, 2)]).first()
+    discounts = {x: _bound(few[f"{x}_1"], few[f"{x}_2"]) for x in columns}
+    early = sum(F.col(f"{c}_{EARLY}") for c in COUNTS[:2]) > 0
+    counted = grams.where(sum(F.col(f"{c}_{WHOLE}") for c in COUNTS[:2]) > 0).select("gram", early.cast("int").alias("early"))
+    left = lambda x: F.greatest(F.col(x) - F.lit(discounts[x]), F.lit(0.0))
+    contexts = grams.groupBy("context").agg(*[a for x in columns for a in (F.sum(x).alias(f"{x}_all"), F.sum(left(x)).alias(f"{x}_own"))])
+    chances = shared_chances(counted).select("suffix", *[F.col(x).alias(f"shared_{x}") for x in (EARLY, WHOLE)])
+    # of a gram that a model has not counted, only the backoff is left
+    joined = grams.join(_shuffled(contexts), "context").withColumn("suffix", _low("gram", ORDER - 1)).join(_shuffled(chances), "suffix", "left")
+    ratios = []
+    for model in (EARLY, WHOLE):
+        own, back = {}, {}
+        for c in COUNTS[:2]:
+            x = f"{c}_{model}"
+            own[c] = left(x) / F.greatest(F.col(f"{x}_all"), F.lit(1))
+            back[c] = F.when(F.col(f"{x}_all") > 0, F.greatest(1 - F.col(f"{x}_own") / F.greatest(F.col(f"{x}_all"), F.lit(1)), F.lit(1e-6))).otherwise(1.0)
+        toxic, ordinary = COUNTS[:2]
+        counted_here = F.col(f"{toxic}_{model}") + F.col(f"{ordinary}_{model}") > 0
+        chance = {c: F.when(counted_here, own[c] + back[c] * F.col(f"shared_{model}")).otherwise(back[c]) for c in own}
+        ratios.append((F.log(chance[toxic]) - F.log(chance[ordinary])).alias(model))
+    return positions.select("gram", "word").join(_shuffled(joined.select("gram", *ratios)), "gram").groupBy("word").agg(*[F.sum(x).alias(x) for x in (EARLY, WHOLE)])
+
+
+def _with_key(docs: DataFrame, *columns: Column | str) -> DataFrame:
+    """a and b: 128 bits of hash of doc_id and text, on which alone a score depends."""
+    return docs.select(*columns, F.xxhash64("doc_id", "text").alias("a"), F.xxhash64(F.lit(1), "doc_id", "text").alias("b"))
+
+
+def document_features(docs: DataFrame, marks: DataFrame) -> DataFrame:
+    """(a, b, doc_id, features of both models); marks: (doc_id, toxic, fold), no doc_id twice."""
+    id_ = docs.schema["doc_id"].dataType.simpleString()
+    rows = kept(_with_key(docs, "doc_id", "text").mapInArrow(_chunk_rows, f"chunk long, kind int, nr long, a long, b long, doc_id {id_}, length long, data binary"), "chunks")
+    learned = marks.where("fold > 0").select("doc_id", "toxic", (F.col("fold") == 4).cast("int").alias("late"))
+    known = rows.where((F.col("kind") == DOCUMENT) & F.col("doc_id").isNotNull()).select(F.col("chunk").alias("of"), F.col("nr").alias("at"), "doc_id").join(_shuffled(learned), "doc_id").drop("doc_id")
+    part = lambda *kinds: rows.where(F.col("kind").isin(*kinds))
+    counts = part(MATRIX, WORD).select("chunk", "kind", "nr", "a", "data").groupBy("chunk").cogroup(known.groupBy("of"))
+    counts = counts.applyInArrow(_word_counts, "word long, data binary, " + ", ".join(f"{x} long" for x in COUNTS))
+    words = kept(counts.groupBy("word").agg(F.first("data").alias("data"), *[F.sum(x).alias(x) for x in COUNTS]), "words")
+    ratios = part(WORD).select(F.col("chunk").alias("of"), F.col("nr").alias("at"), F.col("a").alias("word")).join(_shuffled(word_ratios(words)), "word").drop("word")
+    found = part(MATRIX, DOCUMENT).groupBy("chunk").cogroup(ratios.groupBy("of"))
+    return kept(found.applyInArrow(_feature_rows, f"a long, b long, doc_id {id_}, " + ", ".join(f"{m}_{x} double" for m in (EARLY, WHOLE) for x in NAMES)), "features")
 
 
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(row, score): row is the struct of the document's columns, score from 0 to 1, higher where toxic is likelier."""
-    model = docs.sparkSession.sparkContext.broadcast(train(docs, labels))
-    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), "text")
-    return rows.mapInArrow(partial(_score_rows, model=model), rows.select("row").schema.add("score", "double"))
+    marks = labels.where("doc_id is not null and toxic is not null").withColumn("fold", fold())
+    marks = marks.groupBy("doc_id", "fold").agg(F.max("toxic").cast("int").alias("toxic"))
+    found = document_features(docs, marks)
+    late = marks.where("fold = 4")
+    few = late.where(sampled(F.xxhash64("doc_id"), FITTED, late.count())).select("doc_id", "toxic")
+    fitted = found.join(F.broadcast(few), "doc_id").select("toxic", *[f"{EARLY}_{x}" for x in NAMES]).toPandas()  # about FITTED rows at most
+    constant, *weights = fit(fitted[[f"{EARLY}_{x}" for x in NAMES]].to_numpy(float), fitted["toxic"].to_numpy(float)).tolist()
+    sum_ = sum((F.lit(w) * F.col(f"{WHOLE}_{x}") for w, x in zip(weights, NAMES, strict=True)), F.lit(constant))
+    score = 1 / (1 + F.exp(-F.greatest(F.least(sum_, F.lit(30.0)), F.lit(-30.0))))
+    # repeated rows have one score
+    scores = found.groupBy("a", "b").agg(F.max(score).alias("score"))
+    rows = _with_key(docs, F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
+    return rows.join(_shuffled(scores), ["a", "b"]).select("row", "score")
