@@ -5,6 +5,8 @@ Names, codes and thresholds are fixed values of the studies' forms.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -134,17 +136,25 @@ def extreme(score: str, others: tuple[str, ...], form: str, lowest: bool) -> Rul
     return Rule(f"extreme {score}", (score, *others), hit, text(f"{score} (", F.col(score), ") is not the ", "lowest" if lowest else "highest", " score"), (form,), MAIN_AND_REST)
 
 
-def medication_rules(slots: int = 10) -> list[Rule]:
-    """R27, R28, R32-R34 of the current-medication form."""
-    out, onsets = [], [f"chrpharm_med{n}_onset" for n in range(1, slots + 1)]
+def medication_slots(columns: list[str], field: str = "name") -> list[tuple[int, str]]:
+    """(number, suffix) of the slots, current and past, of which the rows or the dictionary have this field."""
+    found = [re.fullmatch(rf"chrpharm_med(\d+)_{field}(_past|)", x) for x in columns]
+    return sorted({(int(m[1]), m[2]) for m in found if m}, key=lambda s: (s[1], s[0]))
+
+
+def medication_rules(columns: list[str]) -> list[Rule]:
+    """R28, R32, R33 of the medication forms, over all slots that the columns (of the rows, or the dictionary's variables) have."""
+    out = []
     first, dose = "chrpharm_med1_onset", "chrpharm_firstdose_med1"
     a, b = (F.split_part(x, F.lit(" "), F.lit(1)) for x in (first, dose))
     out.append(Rule("first dose", (first, dose), ~v.is_empty(a) & ~v.is_empty(b) & (a != b), text(f"{first} (", a, f") does not equal {dose} (", b, ")"), gated=False))
-    for n in range(1, slots + 1):
-        on, off = onsets[n - 1], f"chrpharm_med{n}_offset"
-        out.append(ordered(f"onset {n}", on, off, lambda x: v.real_date(x, True)))
-        name = f"chrpharm_med{n}_name"
-        out.append(Rule(f"medication {n}", (name,), v.code_in(name, SPECIAL_MEDICATIONS), text(f"{name} has the value ", F.col(name)), gated=False))
+    for n, past in medication_slots(columns, "onset"):
+        on, off = f"chrpharm_med{n}_onset{past}", f"chrpharm_med{n}_offset{past}"
+        if off in columns:
+            out.append(ordered(f"onset {n}{past}", on, off, lambda x: v.real_date(x, True)))
+    for n, past in medication_slots(columns):
+        name = f"chrpharm_med{n}_name{past}"
+        out.append(Rule(f"medication {n}{past}", (name,), v.code_in(name, SPECIAL_MEDICATIONS), text(f"{name} has the value ", F.col(name)), gated=False))
     return out
 
 
@@ -158,17 +168,22 @@ def latest_onset(columns: list[str], slots: int = 10) -> list[Rule]:
     return [Rule("latest onset", ("chrpharm_date_mod",), days > 10, text("There are ", days, " days between the most recent medication date (", latest, ") and the modification date"), gated=False)]
 
 
-def unknown_names(columns: list[str], slots: int = 10, fields=("onset", "offset", "dosage", "indication")) -> list[Rule]:
-    """Slots whose name is 888 (unknown) while other fields are filled, in one flag."""
+def unknown_names(columns: list[str]) -> list[Rule]:
+    """Slots whose name is 888 (unknown) while other fields are filled, in one flag for current and one for past medication."""
+    return [*_unknown_names(columns, ""), *_unknown_names(columns, "_past")]
+
+
+def _unknown_names(columns: list[str], past: str) -> list[Rule]:
     hits = []
-    for n in range(1, slots + 1):
-        name, others = f"chrpharm_med{n}_name", [x for f in fields if (x := f"chrpharm_med{n}_{f}") in columns]
-        if name in columns and others:
-            hits.append(F.when(v.is_code(name, 888) & any_of(v.filled(x) for x in others), F.lit(str(n))))
+    for n, suffix in medication_slots(columns):
+        fields = (f"med{n}_onset", f"med{n}_offset", f"med{n}_use", "interm_meds", f"med{n}_dosage", f"med{n}_comp", f"med{n}_mo{n}")
+        others = [x for f in fields if (x := f"chrpharm_{f}{past}") in columns]
+        if suffix == past and others:
+            hits.append(F.when(v.is_code(f"chrpharm_med{n}_name{past}", 888) & any_of(v.filled(x) for x in others), F.lit(str(n))))
     if not hits:
         return []
     found = F.filter(F.array(*hits), lambda x: x.isNotNull())
-    return [Rule("unknown medication", (), F.size(found) > 0, text("Medication name is unknown, but other fields are filled in slots ", F.array_join(found, ", ")), gated=False)]
+    return [Rule(f"unknown{past.replace('_', ' ')} medication", (), F.size(found) > 0, text("Medication name is unknown, but other fields are filled in slots ", F.array_join(found, ", ")), gated=False)]
 
 
 def scid_rules(diagnoses: dict[str, dict] | None = None) -> list[Rule]:
@@ -233,5 +248,5 @@ def within_21_days(forms: dict[str, str], marker: str, screen_date: str = "psych
 
 
 __all__ = [
-    "blood_rules", "clinical_rules", "extreme", "general_rules", "latest_onset", "medication_rules", "missing_reason", "outside", "scid_rules", "unknown_names", "within_21_days",
+    "blood_rules", "clinical_rules", "extreme", "general_rules", "latest_onset", "medication_rules", "medication_slots", "missing_reason", "outside", "scid_rules", "unknown_names", "within_21_days",
 ]
