@@ -60,9 +60,63 @@ def mentioned(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(text, F.lit(r"\[(\w+)\]"), F.lit(1)))
 
 
+# Predicates of single variables.
+_INJURED = "[chrtbi_parent_headinjury] ='1' or [chrtbi_subject_head_injury] ='1'"
+OWN_LOGIC = {
+    "chrtbi_parent_headinjury": "[chrtbi_sourceinfo] = '3' or [chrtbi_sourceinfo] ='2'", "chrtbi_subject_head_injury": "[chrtbi_sourceinfo] ='3' or [chrtbi_sourceinfo] ='1'",
+    "chrtbi_age_first_inj": _INJURED, "chrtbi_age_recent_inj": _INJURED, "chrtbi_number_injs": _INJURED,
+    "chrpsychs_av_audio_expl": "[chrpsychs_av_audio_yn] = 0", "chrpsychs_av_qual_desc": "[chrpsychs_av_quality] = 0",
+    "chrpsychs_av_dev_desc": "[chrpsychs_av_deviation] = 0", "chrpsychs_av_pause_reason": "[chrpsychs_av_pause_rec] = 1",
+}
+#: SCID texts that a ticked box replaces.
+SCID_BOXES = {"chrscid_b48": "chrscid_b49", "chrscid_b53": "chrscid_b54", "chrscid_b58": "chrscid_b59", "chrscid_b63": "chrscid_b64"}
+
+
+def edited(variable: Column, logic: Column) -> Column:
+    """P25: the predicate text that holds for a variable: head injuries, past medication, audio and video, SCID B45-B64, else its own."""
+    own = F.coalesce(*[F.when(variable == x, F.lit(text)) for x, text in OWN_LOGIC.items()])
+    injuries = [
+        F.when(variable.contains("chrtbi") & variable.contains(n), F.when(variable.contains("parent"), F.lit(f"[chrtbi_number_injs] = '{n}' and [chrtbi_parent_times] = '3'")).otherwise(F.lit(f"[chrtbi_number_injs] = '{n}' and [chrtbi_subject_times] = '3'")))
+        for n in "45"
+    ]
+    n = F.regexp_extract(variable, r"(\d+)", 1)
+    before = F.concat(F.lit("chrpharm_med"), (n.try_cast("int") - 1).cast("string"), F.lit("_add_past"))
+    before = F.when(n.isin("1", ""), F.lit("chrpharm_med_past")).otherwise(before)
+    past = F.concat(F.lit("[chrpharm_med"), n, F.lit("_name_past] <> '999' and ["), before, F.lit("] = '1'"))
+    past = F.when(variable.contains("chrpharm_med") & (variable.contains("onset_past") | variable.contains("offset_past")), past)
+    three = " or ".join(f"[chrscid_b{k}] = 3" for k in (*range(1, 15), *range(16, 22), *range(26, 39)))
+    three += " or ([chrscid_b40] = 3 and [chrscid_b41] = 3) or ([chrscid_b42] = 3 and [chrscid_b43] = 3)"
+    with_own = F.when(F.trim(logic) == "", F.lit("")).otherwise(F.concat(F.lit("("), logic, F.lit(") and ")))
+    boxes = F.coalesce(*[F.when(variable == x, F.lit(f" and ([{box}(1)] <> 1)")) for x, box in SCID_BOXES.items()], F.lit(""))
+    scid = F.when(variable.isin(*[f"chrscid_b{k}" for k in range(45, 65)]), F.concat(with_own, F.lit(f"({three})"), boxes))
+    past_c = F.when(variable == "chrscid_c56_c65", F.concat(with_own, F.lit("([chrscid_b23(1)] <> 1)")))
+    return F.coalesce(own, *injuries, past, scid, past_c, logic)
+
+
+def _numeric(name: str) -> str:
+    return _number_of(name).replace(r"\$", "$")
+
+
+def manual() -> dict[str, str]:
+    """P25: variables whose predicates are SQL from the start."""
+    picture = f"coalesce({_numeric('chriq_assessment')} IN (4, 5), false)"
+    is_ = lambda x, code: f"coalesce({_numeric(x)} = {code}, false)"
+    ratio = f"coalesce(try_divide({_numeric('chrsofas_currscore')}, {_numeric('chrsofas_premorbid')}) >= 0.9D, false)"
+    return {
+        "chr_ae1date_dr": f"{is_('chrae_aescreen', 1)} AND {is_('chrae_dr1', 1)}",
+        "chreeg_entry_date": "coalesce(`chreeg_interview_date` != '', false)",
+        "chrpsychs_scr_e24": f"{is_('chrpsychs_scr_ac1', 0)} AND {is_('chrpsychs_scr_e4', 1)} AND {is_('chrpsychs_scr_e21', 0)} AND {ratio}",
+        "chriq_pic_completion_raw": picture, "chriq_scaled_pic_completion": picture,
+        "chrdig_notes_5": f"{is_('chrdig_reason_missing', 3)} AND coalesce(`chrdig_motivational` != '', false)",
+    }
+
+
 def compiled(dictionary: DataFrame, overrides: DataFrame | None = None) -> DataFrame:
-    """(variable, predicate, rest): overrides (variable, predicate) win; a non-empty rest is not supported and excludes the variable."""
-    out = dictionary.select("variable", rewritten(F.coalesce("branching_logic", F.lit(""))).alias("predicate"), leftover(F.coalesce("branching_logic", F.lit(""))).alias("rest"))
+    """(variable, predicate, rest): overrides (variable, predicate) win, then P25's own ones; a non-empty rest is not supported and excludes the variable."""
+    logic = edited(F.col("variable"), F.coalesce("branching_logic", F.lit("")))
+    sql = F.coalesce(*[F.when(F.col("variable") == x, F.lit(text)) for x, text in manual().items()])
+    out = dictionary.select("variable", logic.alias("logic"), sql.alias("sql"))
+    out = out.select("variable", F.coalesce("sql", rewritten(F.col("logic"))).alias("predicate"), F.when(F.col("sql").isNotNull(), "").otherwise(leftover(F.col("logic"))).alias("rest"))
     if overrides is None:
         return out
     own = overrides.select("variable", F.col("predicate").alias("own"))

@@ -120,8 +120,30 @@ def undeclared_dates(dictionary: DataFrame) -> DataFrame:
     return dictionary.where(F.lower("variable").contains("date") & ~F.coalesce(F.col("validation").startswith("date"), F.lit(False))).select("variable")
 
 
+#: Parts of the names of variables that the audit leaves out.
+NOT_AUDITED = ("error", "chrsaliva_flag", "chrchs_flag", "_err", "invalid", "notes")
+
+
+def auditable(long: DataFrame, mapped: DataFrame, excluded: DataFrame | None = None, identifiers: DataFrame | None = None) -> DataFrame:
+    """the cells that `applicability_audit` is meant for; mapped, excluded and identifiers (left out for PRONET) hold variables.
+
+    long also has network and its form's cells missing and complete (null: no such column).
+    """
+    named = F.lit(False)
+    for part in NOT_AUDITED:
+        named = named | F.col("variable").contains(part)
+    rows = long.where(~v.is_code("missing", 1) & (F.col("complete").isNull() | v.is_code("complete", 2)) & ~named).join(mapped.select("variable"), "variable", "left_semi")
+    if excluded is not None:
+        rows = rows.join(excluded.select("variable"), "variable", "left_anti")
+    if identifiers is not None:
+        own = identifiers.select(F.col("variable").alias("_own"))
+        rows = rows.join(own, (F.col("variable") == F.col("_own")) & (F.col("network") == "PRONET"), "left_anti")
+    return rows
+
+
 def applicability_audit(long: DataFrame, keys: list[str], subject: str, most: int = 50) -> DataFrame:
-    """Values where a predicate is false, and blanks where it is true, counted with up to `most` subjects; long has value and applies.
+    """Values where a predicate is false, and blanks where it is true, counted with up to `most` subjects; long has value and applies
+    (of `auditable` cells).
 
     Counts are summed over a finer split by subject first, and each part keeps its least subjects, so no group's subjects are gathered whole.
     """
@@ -176,8 +198,14 @@ def pair_deviation(points: DataFrame, least: int = 50, trim: float = 2.5) -> Dat
     return sums.join(spread, "grp").select("grp", "id", "global", "local", deviation("global").alias("global_deviation"), deviation("local").alias("local_deviation"))
 
 
-def final_scores(pairs: DataFrame, outliers: DataFrame, keys: list[str], least: int = 5) -> DataFrame:
-    """Pair scores of a value summed up (totals, the five least), where there are enough, and their ratio to the value's own deviation."""
+def final_scores(pairs: DataFrame, outliers: DataFrame, keys: list[str], least: int = 5, above: float | None = 1.0) -> DataFrame:
+    """Pair scores of a value summed up (totals, the five least), where there are enough, and their ratio to the value's own deviation.
+
+    Pairs with neither score above `above` are left out first (None: all stay); if pairs has a column pair, `pairs` lists those that contribute.
+    """
+    if above is not None:
+        pairs = pairs.where((F.col("global_deviation") > above) | (F.col("local_deviation") > above))
+    listed = [F.array_sort(F.collect_list("pair")).alias("pairs")] if "pair" in pairs.columns else []
     five = lambda x: F.aggregate(F.slice(F.array_sort(F.collect_list(x)), 1, 5), F.lit(0.0), lambda a, y: a + y)
-    summed = pairs.groupBy(*keys).agg(F.count("*").alias("n"), F.sum("global_deviation").alias("global_total"), F.sum("local_deviation").alias("local_total"), five("global_deviation").alias("global_least"), five("local_deviation").alias("local_least"))
+    summed = pairs.groupBy(*keys).agg(F.count("*").alias("n"), F.sum("global_deviation").alias("global_total"), F.sum("local_deviation").alias("local_total"), five("global_deviation").alias("global_least"), five("local_deviation").alias("local_least"), *listed)
     return summed.where(F.col("n") > least).join(outliers, keys).withColumn("ratio", F.try_divide("global_total", "z"))

@@ -510,7 +510,7 @@ def q_final_scores(spark, sf_dir):
     scored = discovery.z_scores(lines, ["l_linenumber"])
     pairs = scored.select("l_suppkey", F.col("z").alias("global_deviation"), F.abs(F.col("l_discount") - 0.05).alias("local_deviation"))
     outliers = t(spark, sf_dir, "supplier").where("s_acctbal > 0").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_acctbal").alias("z"))
-    found = discovery.final_scores(pairs, outliers, ["l_suppkey"])
+    found = discovery.final_scores(pairs, outliers, ["l_suppkey"], above=None)  # its SQL sums all pairs
     return found.select("l_suppkey", "n", *[F.round(x, 4).alias(x) for x in ("global_total", "local_total", "global_least", "local_least", "ratio")])
 
 
