@@ -1,6 +1,7 @@
 """Removal of lines that repeat earlier lines, by windows of three consecutive lines.
 
-Lines end at line feeds; a text with n line feeds has n + 1 lines, compared exactly.  A window is `width` consecutive lines of one
+Lines end at line feeds; a text with n line feeds has n + 1 lines.  Windows are compared by two
+64-bit hashes of their lines' bytes (128 bits).  A window is `width` consecutive lines of one
 document.  The first occurrence of a window, by doc_id and line number, stays; every line that a later occurrence covers goes.
 Windows are judged on the input.  An aggregation gives each window's first place; a document's other windows are later ones.
 
@@ -40,9 +41,8 @@ class Lines:
 
 def _windows(lines: Lines, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     start, text = inner_starts(lines.first, width)
-    h = span_hashes(lines.data, lines.start, lines.end)
-    two = span_hashes(lines.data, lines.start, lines.end, second=True)
-    return start, text, rolling(h, width)[start], rolling(two, width, second=True)[start]
+    one, two = span_hashes(lines.data, lines.start, lines.end, second=True)
+    return start, text, rolling(one, width)[start], rolling(two, width, second=True)[start]
 
 
 def _window_rows(batches, width: int):

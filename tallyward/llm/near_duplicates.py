@@ -99,7 +99,7 @@ def _feature_rows(batches, k: int):
                 sums[s] = total[first[1:]] - total[first[:-1]]
             width = keys.shape[1]
             lists = pa.ListArray.from_arrays(np.arange(0, width * len(n) + 1, width, dtype=np.int32), keys.reshape(-1))
-            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), n.astype(np.int64), *sums.view(np.int64), lists], names=["doc_id", "n_shingles", "one", "two", "bands"])
+            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), rows.column("text_hash"), n.astype(np.int64), *sums.view(np.int64), lists], names=["doc_id", "text_hash", "n_shingles", "one", "two", "bands"])
 
 
 def _set_rows(batches, k: int):
@@ -196,9 +196,9 @@ def _table(rows: list[tuple]) -> pa.Table:
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, parts: int = 100, of: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row with a doc_id."""
+    """(doc_id, n_shingles, component_id, text_hash: xxhash64 of the text) of every row with a doc_id."""
     texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    features = kept(texts.mapInArrow(partial(_feature_rows, k=k), "doc_id long, n_shingles long, one long, two long, bands array<long>"), "features")
+    features = kept(texts.withColumn("text_hash", F.xxhash64("text")).mapInArrow(partial(_feature_rows, k=k), "doc_id long, text_hash long, n_shingles long, one long, two long, bands array<long>"), "features")
     classes = features.where("n_shingles > 0").groupBy("one", "two").agg(F.min("doc_id").alias("rep"), F.min("n_shingles").alias("size"), F.min_by("bands", "doc_id").alias("bands"))
     classes = kept(classes, "classes")
 
@@ -210,7 +210,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, parts: int = 100, of: int = 80)
     links = _verified(texts, pairs, k, parts, of)
     roots = components(links.select("a", "b"))
     resolved = kept(classes.select("one", "two", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("one", "two", F.coalesce("root", "rep").alias("root")), "resolved")
-    return features.select("doc_id", "n_shingles", "one", "two").join(resolved, ["one", "two"], "left").select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"))
+    return features.drop("bands").join(resolved, ["one", "two"], "left").select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"), "text_hash")
 
 
 def _dealt(members: DataFrame, n_tiles) -> DataFrame:

@@ -25,7 +25,7 @@ def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = near_duplicates(table(spark, sf_dir, "documents"), k=4, parts=100, of=80)
+    found = near_duplicates(table(spark, sf_dir, "documents"), k=4, parts=100, of=80).drop("text_hash")
     return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -10,9 +11,11 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; if it is unset (local tests), a temporary one is set."""
+    """The folder in spark.checkpoint.dir; if it is unset, a temporary one is set where driver and executors are one process (tests)."""
     set_to = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not set_to:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         set_to = tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", set_to)
     return set_to.rstrip("/")
@@ -35,3 +38,12 @@ def sampled(hashed: Column, wanted: int, of: int) -> Column:
     if of <= wanted:
         return F.lit(True)
     return F.shiftrightunsigned(hashed, 32) < F.lit(int((1 << 32) * wanted / of))
+
+
+def dropped(df: DataFrame) -> None:
+    """Deletes the files of a table that `kept` made, once all that reads it has been written."""
+    spark = df.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)

@@ -128,7 +128,7 @@ def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def _open_windows(words: Words, rows: pa.RecordBatch, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The windows that hold no phrase that occurs once: first word, text, and two hashes."""
-    h = words.hashes()
+    h, second = words.both_hashes()
     s = parse(h, words.first, width)
     once, row = _lists(rows.column("once"))
     alone = np.isin((s.text << 32) + (s.left - words.first[s.text]), (row.astype(np.int64) << 32) + once)
@@ -139,7 +139,7 @@ def _open_windows(words: Words, rows: pa.RecordBatch, width: int) -> tuple[np.nd
     start, text = inner_starts(words.first, width)
     left = (unique[start] == 0) & _ids(rows)[0][text]
     start, text = start[left], text[left]
-    return start, text, rolling(h, width)[start], rolling(h, width, second=True)[start]
+    return start, text, rolling(h, width)[start], rolling(second, width, second=True)[start]
 
 
 def _window_rows(batches, width: int):

@@ -14,12 +14,10 @@ import pyarrow as pa
 #: Bytes of text handled at once; a longer single text is handled alone.
 SLICE_BYTES = 1 << 21
 
-_RANDOM = np.random.default_rng(20240607)
-_BYTE_CODE = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BYTE_CODE_2 = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Bases and keys of the hashes: odd 64-bit numbers.
 _P = 0x9E3779B97F4A7C15 | 5
-_MASK = (1 << 64) - 1
-_P_INV = pow(_P, -1, 1 << 64)
+_P_2 = 0xC2B2AE3D27D4EB4F
+_KEYS = (0x2545F4914F6CDD1D, 0xD1342543DE82EF95)
 
 
 def _lut(is_separator) -> np.ndarray:
@@ -47,18 +45,6 @@ def combine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mix(a * np.uint64(0xD6E8FEB86659FD93) + (b ^ (b >> np.uint64(32))) * np.uint64(0xA0761D6478BD642F) + np.uint64(1))
 
 
-_powers: dict[str, np.ndarray] = {}
-
-
-def _power(base: int, n: int) -> np.ndarray:
-    """base ** 0..n modulo 2 ** 64."""
-    key = str(base)
-    if key not in _powers or len(_powers[key]) <= n:
-        with np.errstate(over="ignore"):
-            _powers[key] = np.cumprod(np.concatenate([[np.uint64(1)], np.full(max(n, SLICE_BYTES), base, np.uint64)]), dtype=np.uint64)
-    return _powers[key]
-
-
 def as_text(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column and the offsets of its rows; null is an empty text."""
     if isinstance(column, pa.ChunkedArray):
@@ -108,28 +94,45 @@ class Words:
         """The index of the text that each word is in."""
         return np.repeat(np.arange(len(self.offs) - 1), self.counts)
 
-    def hashes(self, second: bool = False) -> np.ndarray:
-        return span_hashes(self.data, self.start, self.end, second)
-
-
-def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, second: bool = False) -> np.ndarray:
-    """A 64-bit hash of each span of bytes; `second` gives an independent one."""
-    n = len(data)
-    total = np.zeros(n + 1, np.uint64)
+    def hashes(self) -> np.ndarray:
+        return span_hashes(self.data, self.start, self.end)[0]
+
+    def both_hashes(self) -> tuple[np.ndarray, np.ndarray]:
+        """Two independent hashes of each word, both from its bytes."""
+        return span_hashes(self.data, self.start, self.end, second=True)
+
+
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, second: bool = False) -> tuple[np.ndarray, ...]:
+    """A 64-bit hash of each span of bytes; `second`: and another one of the same bytes with keys of its own.
+
+    A span is cut into blocks of eight bytes from its start; each block is mixed with a key of its place, and the blocks are summed.
+    """
+    size = end - start
+    blocks = (size + 7) >> 3
+    first = np.cumsum(blocks) - blocks
+    place = np.arange(int(blocks.sum())) - np.repeat(first, blocks)
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eights = np.ndarray((len(data) + 1,), "<u8", padded.data, strides=(1,))  # the eight bytes from each byte on
+    block = eights[np.repeat(start, blocks) + (place << 3)].astype(np.uint64)
+    beyond = np.maximum(8 - (np.repeat(size, blocks) - (place << 3)), 0).astype(np.uint64) << np.uint64(3)
+    block = (block << beyond) >> beyond
+    place = place.astype(np.uint64)
+    out = []
     with np.errstate(over="ignore"):
-        np.cumsum((_BYTE_CODE_2 if second else _BYTE_CODE)[data] * _power(_P, n)[:n], out=total[1:])
-        return mix((total[end] - total[start]) * _power(_P_INV, n)[start] + (end - start).astype(np.uint64))
+        for key in _KEYS[: 1 + second]:
+            total = np.zeros(len(block) + 1, np.uint64)
+            np.cumsum(mix(block * np.uint64(key | 1) ^ mix((place + np.uint64(1)) * np.uint64(key))), out=total[1:])
+            out.append(mix(total[first + blocks] - total[first] + size.astype(np.uint64) * np.uint64(key)))
+    return tuple(out)
 
 
 def rolling(h: np.ndarray, k: int, second: bool = False) -> np.ndarray:
-    """A hash of each run of k neighbours, by its first index (len(h) - k + 1 of them)."""
+    """A hash of each run of k neighbours, by its first index (len(h) - k + 1 of them); `second`: with another base."""
     n = len(h) - k + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
     with np.errstate(over="ignore"):
-        if second:
-            h = mix(h ^ np.uint64(0x5851F42D4C957F2D))
-        base = 0xC2B2AE3D27D4EB4F if second else _P
+        base = _P_2 if second else _P
         out = np.zeros(n, np.uint64)
         for i in range(k):  # Horner's rule over k shifted views
             out = out * np.uint64(base) + h[i : i + n]

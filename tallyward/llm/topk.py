@@ -7,7 +7,7 @@ a slot: candidate tiles are dealt over the slots, query tiles are copied to each
 
 Scores are exact: products whose sums stay below 2**53 are computed in doubles, others in 64-bit integers (which wrap beyond a long).
 Ties go to the smaller vec_id.  Vectors that are null, or hold null or components that aren't finite, take no part; neither do rows with a
-null vec_id.  A vector scores only against vectors of its own length.  Rows that repeat a vec_id are one candidate with the best of their
+null vec_id.  A vector scores only against vectors of its own length; among empty vectors every score is 0.  Rows that repeat a vec_id are one candidate with the best of their
 scores, and never a candidate of their own id's queries; a query id that repeats gets one list, the best scores of its rows.
 """
 
@@ -94,8 +94,8 @@ def _product_rows(batches, k: int):
         for row in batch.to_pylist():
             n = row["size"]
             query_ids, ids = np.frombuffer(row["query_ids"], np.int64), np.frombuffer(row["ids"], np.int64)
-            queries, vectors = np.frombuffer(row["queries"], np.int64).reshape(-1, n), np.frombuffer(row["vectors"], np.int64).reshape(-1, n)
-            q, v, s = _best(query_ids, queries.reshape(len(query_ids), n), ids, vectors.reshape(len(ids), n), k)
+            queries, vectors = (np.frombuffer(row[x], np.int64).reshape(len(of), n) for x, of in (("queries", query_ids), ("vectors", ids)))
+            q, v, s = _best(query_ids, queries, ids, vectors, k)
             yield pa.RecordBatch.from_arrays([q, v, s, np.full(len(q), row["tile"], np.int64)], names=["query_id", "vec_id", "score", "tile"])
 
 

@@ -30,9 +30,9 @@ def test_top_k_equals_brute_force(spark, monkeypatch):
     rng = random.Random(7)
     rows = [(i, [rng.choice([0.0, 0.5, -0.25, rng.uniform(-1, 1)]) for _ in range(6)]) for i in range(300)]
     rows += [(400 + i, rows[0][1]) for i in range(60)]  # ties
-    rows += [(5, rows[5][1]), (900, None), (901, [1.0, None] * 3), (902, [float("nan")] * 6), (903, [1.0]), (904, [2.0]), (None, [1.0] * 6), (905, []), (906, [3e9] * 6), (907, [-3e9] * 6)]
+    rows += [(5, rows[5][1]), (900, None), (901, [1.0, None] * 3), (902, [float("nan")] * 6), (903, [1.0]), (904, [2.0]), (None, [1.0] * 6), (905, []), (908, []), (909, []), (906, [3e9] * 6), (907, [-3e9] * 6)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    asked = {0, 5, 100, 430, 903}
+    asked = {0, 5, 100, 430, 903, 905, 908}
     for tile in (2048, 64, 16):
         monkeypatch.setattr(topk, "CANDIDATE_TILE", tile)
         monkeypatch.setattr(topk, "FAN_IN", 3 if tile == 16 else 16)
