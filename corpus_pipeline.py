@@ -26,7 +26,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines under later occurrences of three-line windows go; n_chars follows the text."""
     done = remove_lines(docs)
-    columns = [F.col(c) if c in ("doc_id", "text") else F.col(f"row.{c}").alias(c) for c in docs.columns]
+    columns = [F.col(c) if c in ("doc_id", "text") else F.col("row").getField(c).alias(c) for c in docs.columns]
     out = done.select(*columns, "n_removed")
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
@@ -34,12 +34,21 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates (five-word shingles, similarity 0.8) the smallest doc_id stays; repeated rows of it become one."""
-    found = kept(near_duplicates(docs, k=5, parts=100, of=80).select("doc_id", "component_id"), "groups")
-    gone = found.where("doc_id != component_id").select("doc_id").distinct()
-    left = docs.join(gone.hint("shuffle_hash"), "doc_id", "left_anti").select(docs.columns)
-    repeated = found.groupBy("doc_id").count().where("count > 1")
-    return left if repeated.isEmpty() else left.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(left.where("doc_id is null"))
+    """Of each group of near duplicates (five-word shingles, similarity 0.8) the smallest doc_id stays.
+
+    Rows of one doc_id with different texts are judged each by its text; of rows with the same doc_id and text one stays, that whose
+    columns have the least hash.  Rows with a null doc_id stay.
+    """
+    found = kept(near_duplicates(docs, k=5, parts=100, of=80).select("doc_id", "text_hash", "component_id"), "groups")
+    key = ["doc_id", "text_hash"]
+    keyed = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), "doc_id", F.xxhash64("text").alias("text_hash"))
+    gone = found.where("doc_id != component_id").select(key).distinct()
+    left = keyed.join(gone.hint("shuffle_hash"), key, "left_anti")
+    repeated = kept(found.groupBy(key).count().where("count > 1").select(key), "repeated")
+    if not repeated.isEmpty():
+        one = left.join(repeated, key, "left_semi").groupBy(key).agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+        left = left.join(repeated, key, "left_anti").select("row").unionByName(one.select("row"))
+    return left.select("row.*")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
