@@ -54,7 +54,7 @@ def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select("row.doc_id", "score")
+    done = scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ["doc_id"]).select("row.doc_id", "score")
     return done.select("doc_id", (fold() == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 

@@ -84,8 +84,8 @@ def test_kneser_ney_chances_sum_to_one():
     data = np.frombuffer(b" ".join(words), np.uint8)
     end = np.cumsum([len(w) + 1 for w in words]) - 1
     gram, _ = toxicity.word_grams(data, end - [len(w) for w in words], end)
-    found, n = np.unique(gram, return_counts=True)
-    shared = toxicity.Model._shared(found)
+    found = np.unique(gram)
+    shared = toxicity.shared_chances(found, range(1, toxicity.ORDER), 1 / 256)
     assert (shared > 0).all() and (shared <= 1).all()
     context = found >> np.uint64(8)
     assert all(shared[context == c].sum() <= 1 + 1e-9 for c in np.unique(context))
