@@ -1,16 +1,19 @@
 """Secret scans in DataFrame functions alone: fixed patterns, and character Markov models for what they don't name.
 
 Base spans come from three patterns, leftmost and without overlap within a kind.  Positions are counted in characters: splitting a text
-at its matches gives the gaps between them, and gaps and matches alternate, so a running sum of their lengths gives each start.
+at its matches gives the gaps between them, and gaps and matches alternate, so running sums of their lengths give the starts.  Sums run
+over blocks of `BLOCK` matches and over the blocks' sums, so a text of very many matches costs little more than one of few.
 
 Further spans, kind `random`: runs of `CANDIDATE` characters that overlap no base span, for which a first-order Markov model of random
-strings is likelier than one of ordinary identifiers by `MARGIN` nats or more.  Both models are trained from labelled samples of the same
-documents: strings that the base patterns name are random, words of ordinary documents are not; about `SAMPLE` of the former and the words of
-about `SAMPLE_DOCS` documents, those below a bound on their hash (all, if there are fewer).  Counts are smoothed by one half, so without samples a model is uniform.  The model
-is a table of a fixed size.
-
-Defined cases: null texts are empty and have no spans; repeated rows are judged each for itself; without words or secrets in the table
-the models are uniform and nothing is added.
+strings is likelier than one of ordinary identifiers by `MARGIN` nats a character or more.  Both models are trained from labelled samples
+of the same documents.  Random: about `SAMPLE` strings that the base patterns name, and their digests in the alphabets that secrets are
+written in (base64, its URL form, upper-case hex), as the named ones alone may know one alphabet.  Ordinary: the tokens, shorter than a
+candidate, of about `SAMPLE_DOCS` documents without their base spans, and identifiers made of each two neighbouring words (snake, kebab and
+camel case, constants, paths, numbers, dates).  Samples are those below a bound on their hash (all, if there are fewer).  A character's
+counts after another one are smoothed by `PRIOR` times its share of all characters.  The model is a table of a fixed size.
+
+Defined cases: null texts are empty and have no spans; repeated rows are judged each for itself; without words in the sample nothing is
+added; without secrets random strings are uniform.  Each text is read once from start to end, whatever its length and its runs' lengths.
 """
 
 from __future__ import annotations
@@ -31,61 +34,97 @@ KINDS = {
 #: As hex and access runs are maximal, the least length can be part of the pattern that is searched.
 _SEARCHED = {"assign": KINDS["assign"][0], "access": r"AKIA[A-Z0-9]{14,}", "hex": r"[0-9a-f]{16,}"}
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
-MARGIN, SAMPLE, SAMPLE_DOCS = 10.0, 20_000, 2_000
+MARGIN, PRIOR, SAMPLE, SAMPLE_DOCS, BLOCK = 1.5, 10.0, 20_000, 2_000, 256
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-."
 _N = len(ALPHABET) + 1  # 0 is the start, and whatever isn't in the alphabet
 _SPANS = "array<struct<start:int,kind:int,end:int,value:string>>"
 
 
+def _let(value: Column, body) -> Column:
+    """body of a value that is computed once, however often body names it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _running(sizes: Column) -> Column:
+    """For each of some integers, the sum of it and all before it."""
+    fold = lambda items, start: F.get(
+        F.array(F.aggregate(items, F.struct(start.alias("at"), F.array().cast("array<int>").alias("sums")), lambda s, x: F.struct((s["at"] + x).alias("at"), F.concat(s["sums"], F.array(s["at"] + x)).alias("sums")))), 0
+    )["sums"]
+
+    def blocks(all_: Column) -> Column:
+        cut = F.transform(F.sequence(F.lit(0), F.floor((F.size(all_) - 1) / BLOCK).cast("int")), lambda i: F.slice(all_, i * BLOCK + 1, F.lit(BLOCK)))
+        return _let(cut, lambda parts: _let(fold(F.transform(parts, lambda p: F.aggregate(p, F.lit(0), lambda s, x: s + x)), F.lit(0)), lambda ends: F.flatten(F.transform(parts, lambda p, i: fold(p, F.when(i > 0, F.get(ends, i - 1)).otherwise(0))))))
+
+    return _let(sizes, lambda all_: F.when(F.size(all_) > 0, blocks(all_)).otherwise(F.array().cast("array<int>")))
+
+
 def _found(text: Column, pattern: str, kind: int, group: int, least: int) -> Column:
     """The matches of a pattern: (start, kind, end, value of the measured group)."""
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     parts = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), whole.alias("whole"), (F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole).alias("value"))
     # the last gap has no match after it
     parts = F.filter(parts, lambda p: p["whole"].isNotNull())
-    begun = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("spans"))
 
-    def step(state: Column, p: Column) -> Column:
-        start = state["at"] + F.char_length(p["gap"])
-        end = start + F.char_length(p["whole"])
-        span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), p["value"].alias("value"))
-        return F.struct(end.alias("at"), F.concat(state["spans"], F.array(span)).cast(_SPANS).alias("spans"))
+    def spans(parts: Column) -> Column:
+        ends = _running(F.transform(parts, lambda p: F.char_length(p["gap"]) + F.char_length(p["whole"])))
+        return F.zip_with(parts, ends, lambda p, end: F.struct((end - F.char_length(p["whole"])).alias("start"), F.lit(kind).alias("kind"), end.alias("end"), p["value"].alias("value")))
 
-    spans = F.filter(F.aggregate(parts, begun, step)["spans"], lambda s: F.char_length(s["value"]) >= least)
+    spans = F.filter(_let(parts, spans), lambda s: F.char_length(s["value"]) >= least).cast(_SPANS)
     return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(_SPANS))
 
 
-def _code(character: Column) -> Column:
-    return F.instr(F.lit(ALPHABET), character)
+def _codes(word: Column) -> Column:
+    return F.transform(F.split(word, ""), lambda c: F.instr(F.lit(ALPHABET), c))
 
 
-def _transitions(word: Column) -> Column:
-    """Each character's code with that of the one before it, as one number."""
-    places = F.sequence(F.lit(1), F.char_length(word))
-    return F.transform(places, lambda i: F.when(i > 1, _code(F.substring(word, i - 1, F.lit(1)))).otherwise(F.lit(0)) * _N + _code(F.substring(word, i, F.lit(1))))
+def _counts(words: DataFrame) -> dict[int, int]:
+    """How often each character's code follows each other's (0 before the first), as one number: no more rows than the table has cells."""
+    distinct = words.where("word != ''").groupBy("word").agg(F.count("*").alias("n")).select(_codes(F.col("word")).alias("codes"), "n")
+    follow = F.zip_with(F.concat(F.array(F.lit(0)), "codes"), "codes", lambda a, b: a * _N + b)
+    cells = distinct.select(F.explode(follow).alias("cell"), "n").where("cell is not null").groupBy("cell").agg(F.sum("n").alias("n"))
+    return {r["cell"]: r["n"] for r in cells.collect()}
 
 
-def _counts(words: DataFrame) -> dict[int, int]:
-    """Transition counts: no more rows than the table has cells."""
-    cells = words.select(F.explode(_transitions(F.col("word"))).alias("cell")).groupBy("cell").count()
-    return {r["cell"]: r["count"] for r in cells.collect()}
+def _log_chances(counts: dict[int, int]) -> list[float]:
+    """Of each cell: a character's share after another one, smoothed by `PRIOR` times its share of all characters."""
+    share = [sum(counts.get(a * _N + b, 0) for a in range(_N)) + 0.5 for b in range(_N)]
+    after = [sum(counts.get(a * _N + b, 0) for b in range(_N)) for a in range(_N)]
+    return [math.log((counts.get(a * _N + b, 0) + PRIOR * share[b] / sum(share)) / (after[a] + PRIOR)) for a in range(_N) for b in range(_N)]
 
 
 def _log_ratios(random: dict[int, int], ordinary: dict[int, int]) -> list[float]:
-    out = []
-    for a in range(_N):
-        total = [sum(c.get(a * _N + b, 0) + 0.5 for b in range(_N)) for c in (random, ordinary)]
-        out += [round(math.log((random.get(a * _N + b, 0) + 0.5) / total[0]) - math.log((ordinary.get(a * _N + b, 0) + 0.5) / total[1]), 4) for b in range(_N)]
-    return out
+    return [round(r - o, 4) for r, o in zip(_log_chances(random), _log_chances(ordinary), strict=True)]
+
+
+def random_strings(values: DataFrame) -> DataFrame:
+    """Labelled secrets, and their digests in other alphabets; values: (word)."""
+    digest = F.sha2("word", 256)
+    base64 = F.rtrim(F.base64(F.unhex(digest)), F.lit("="))
+    return values.select(F.explode(F.array("word", base64, F.translate(base64, "+/", "-_"), F.upper(digest))).alias("word"))
+
+
+def identifiers(texts: DataFrame) -> DataFrame:
+    """The tokens of some texts, and identifiers made of neighbouring words; texts: (text), without base spans and candidates."""
+    tokens = texts.select(F.regexp_extract_all("text", F.lit(r"[A-Za-z0-9+/_=-]+"), F.lit(0)).alias("words"))
+    made = tokens.select(F.filter("words", lambda w: w.rlike("^[A-Za-z]+$")).alias("words")).where(F.size("words") > 1)
+    pairs = made.select(F.explode(F.zip_with(F.slice("words", 1, F.size("words") - 1), F.slice("words", 2, F.size("words")), lambda a, b: F.struct(a.alias("a"), b.alias("b")))).alias("x")).groupBy("x.a", "x.b").count()
+    a, b, n = F.lower("a"), F.lower("b"), F.crc32(F.concat("a", F.lit(" "), "b"))
+    day = F.date_format(F.date_add(F.lit("1990-01-01").cast("date"), (n % 18000).cast("int")), "yyyy-MM-dd")
+    number = (n % 1000).cast("string")
+    styles = [F.concat_ws("_", a, b), F.concat_ws("-", a, b), F.concat_ws("/", a, b, F.initcap("a")), F.concat(F.initcap("a"), F.initcap("b")), F.concat(a, F.initcap("b")), F.concat_ws("_", F.upper("a"), F.upper("b")), F.concat_ws("-", day, a), F.concat(a, number, F.lit("_v"), number.substr(1, 1))]
+    return tokens.select(F.explode("words").alias("word")).unionByName(pairs.select(F.explode(F.array(*styles)).alias("word")))
 
 
 def train(docs: DataFrame, found: DataFrame) -> list[float]:
     """The table of log-likelihood ratios; found: the base spans of docs."""
     n_docs, n_values = found.agg(F.count("*"), F.coalesce(F.sum(F.size("base")), F.lit(0))).first()
     values = found.select(F.explode("base.value").alias("word")).where(sampled(F.xxhash64("word"), SAMPLE, n_values))
-    texts = docs.select("doc_id", "text").where(sampled(F.xxhash64("doc_id", "text"), SAMPLE_DOCS, n_docs))
-    words = texts.select(F.explode(F.regexp_extract_all("text", F.lit(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z][a-z]*[A-Za-z](?![A-Za-z0-9+/_=-])"), F.lit(0))).alias("word"))
-    return _log_ratios(_counts(values), _counts(words))
+    text = F.col("text")
+    for pattern in (*_SEARCHED.values(), CANDIDATE):
+        text = F.regexp_replace(text, pattern, " ")
+    texts = docs.select("doc_id", "text").where(sampled(F.xxhash64("doc_id", "text"), SAMPLE_DOCS, n_docs)).select(text.alias("text"))
+    ordinary = _counts(identifiers(texts))
+    return _log_ratios(_counts(random_strings(values)), ordinary) if ordinary else [-1.0] * _N * _N
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -98,7 +137,9 @@ def scan(docs: DataFrame) -> DataFrame:
     table = F.split(F.lit(",".join(map(str, train(docs, base)))), ",").cast("array<double>")
 
     def ratio(span: Column) -> Column:
-        return F.aggregate(_transitions(span["value"]), F.lit(0.0), lambda total, cell: total + F.get(table, cell))
+        begun = F.struct(F.lit(0).alias("code"), F.lit(0.0).alias("total"))
+        step = lambda s, code: F.struct(code.alias("code"), (s["total"] + F.get(table, s["code"] * _N + code)).alias("total"))
+        return F.aggregate(_codes(span["value"]), begun, step)["total"] / F.char_length(span["value"])
 
     spans = F.array_sort(F.concat("base", F.filter("more", lambda m: ratio(m) >= MARGIN)))
     names = F.array(*[F.lit(k) for k in (*KINDS, "random")])
