@@ -7,11 +7,11 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.functions import values as v
-from tallyward.operators.rules import Rule, all_of, any_of, implies, ordered, outside, pattern, text, tolerance
+from tallyward.operators.rules import Rule, all_of, any_of, implies, ordered, outside, overlapping, pattern, slots, text, tolerance
 
 BLOOD, CBC, SCID = "blood_sample_preanalytic_quality_assurance", "cbc_with_differential", "scid5_psychosis_mood_substance_abuse"
 BLOOD_REPORTS = ("Main Report", "Blood Report", "Fluids Report")
@@ -44,11 +44,16 @@ CONVERTS_AT = (
 
 # Ages that a rule compares.
 PARENT_AGES = ("chrpps_fage", "chrpps_mage", "chrfigs_mother_age", "chrfigs_father_age")
+PARENT_FORMS = {"chrpps": "psychosis_polyrisk_score", "chrfigs": "family_interview_for_genetic_studies_figs"}
 ONSET_AGES = tuple(
     f"chrscid_{x}"
     for x in ("c56_c65", "a52", "a109", "c58_c66", "d45_d49_d54_d56", "d61_d65", "e19_37", "e164_302", "e168_306", "e172_310", "e176_314", "e180_318", "e184_322", "e188_326", "e192_330")
 )
 SPECIAL_MEDICATIONS = (573, 542, 538, 539)
+CURRENT_MEDICATION = ("current_pharmaceutical_treatment_floating_med_125", "current_pharmaceutical_treatment_floating_med_2650")
+PAST_MEDICATION = ("past_pharmaceutical_treatment",)
+#: Fields of a slot that a name of 888 (unknown) contradicts, by the slot's number.
+SLOT_FIELDS = ("med{n}_onset", "med{n}_offset", "med{n}_use", "interm_meds", "med{n}_dosage", "med{n}_comp", "med{n}_mo{n}")
 EXEMPT_FROM_21_DAYS = (
     "cbc_with_differential", "gcp_cbc_with_differential", "gcp_current_health_status", "psychs_p1p8_fu", "psychs_p1p8_fu_hc", "chrpred_interview_date", "sociodemographics",
 )
@@ -95,7 +100,7 @@ def clinical_rules() -> list[Rule]:
         little = v.value("chroasis_oasis_3") < 2
         out.append(implies(f"lifestyle {x}", ("chroasis_oasis_1", "chroasis_oasis_3", x), little & (v.value(x) > cut), F.lit(False), f"chroasis_oasis_1 states that lifestyle was not affected, but {x} is greater than {cut}", forms=("oasis",), reports=("Secondary Report",)))
     for life, recent in CSSRS_YES.items():
-        out.append(implies(f"lifetime {life}", (life, recent), _is(life, 2) & _is(recent, 1), F.lit(False), f"Lifetime variable ({life}) was answered as yes, but recent variable ({recent}) was answered as no.", forms=("cssrs_baseline",), reports=MAIN_AND_REST))
+        out.append(implies(f"lifetime {life}", (life, recent), _is(life, 2) & _is(recent, 1), F.lit(False), f"{recent} is yes, although {life}, which covers all times, is no.", forms=("cssrs_baseline",), reports=MAIN_AND_REST))
     for life, recent in CSSRS_COUNTS.items():
         out.append(Rule(f"count {life}", (life, recent), v.value(life) < v.value(recent), text(f"Lifetime variable ({life} = ", F.col(life), f") has lower intensity, than recent variable ({recent} = ", F.col(recent), ")."), ("cssrs_baseline",), MAIN_AND_REST))
     for stem, form in {"chrgfs_gf_social": "global_functioning_social_scale", "chrgfr_gf_role": "global_functioning_role_scale"}.items():
@@ -120,11 +125,14 @@ def clinical_rules() -> list[Rule]:
         born, age = f"chrpps_{x}dob", f"chrpps_{x}age"
         years = v.years_between(v.real_date(born, True), v.real_date("chrpps_interview_date", True))
         out.append(Rule(f"birth {x}", ("chrpps_interview_date", born), (years < 10) | (years > 85), text(f"{born} implies an age of ", F.round(years, 1)), ("psychosis_polyrisk_score",)))
-        out.append(Rule(f"age {x}", ("chrpps_interview_date", born, age), years - v.value(age) >= 1, text(f"{age} (", F.col(age), ") is lower than the birth date implies"), ("psychosis_polyrisk_score",), exclusions=False))
+        for source in (age, "demographics_age"):
+            name = f"age {x}" if source == age else f"demographic age {x}"
+            out.append(Rule(name, ("chrpps_interview_date", born, source), years - v.value(source) >= 1, text(f"{source} (", F.col(source), ") is lower than the birth date implies"), ("psychosis_polyrisk_score",), exclusions=False))
     for names, low, high in ((PARENT_AGES, 10, 85), (ONSET_AGES, 0, 0)):
         for x in names:
             apart = F.round(F.abs(v.num("age") - v.value(x)), 2)
-            out.append(Rule(f"age difference {x}", (x,), (apart < low) | (apart > high), text(f"{x} (", F.col(x), ") and the subject's age differ by ", apart)))
+            form = PARENT_FORMS.get(x.split("_")[0], SCID)
+            out.append(Rule(f"age difference {x}", (x,), (apart < low) | (apart > high), text(f"{x} (", F.col(x), ") and the subject's age differ by ", apart), (form,)))
     return out
 
 
@@ -147,17 +155,21 @@ def medication_rules(columns: list[str]) -> list[Rule]:
     out = []
     first, dose = "chrpharm_med1_onset", "chrpharm_firstdose_med1"
     a, b = (F.split_part(x, F.lit(" "), F.lit(1)) for x in (first, dose))
-    out.append(Rule("first dose", (first, dose), ~v.is_empty(a) & ~v.is_empty(b) & (a != b), text(f"{first} (", a, f") does not equal {dose} (", b, ")"), gated=False))
+    out.append(Rule("first dose", (first, dose), ~v.is_empty(a) & ~v.is_empty(b) & (a != b), text(f"{first} (", a, f") does not equal {dose} (", b, ")"), CURRENT_MEDICATION, gated=False))
     for n, past in medication_slots(columns, "onset"):
         on, off = f"chrpharm_med{n}_onset{past}", f"chrpharm_med{n}_offset{past}"
         if off in columns:
-            out.append(ordered(f"onset {n}{past}", on, off, lambda x: v.real_date(x, True)))
+            out.append(ordered(f"onset {n}{past}", on, off, lambda x: v.real_date(x, True), forms=_medication(past), gated=False))
     for n, past in medication_slots(columns):
         name = f"chrpharm_med{n}_name{past}"
-        out.append(Rule(f"medication {n}{past}", (name,), v.code_in(name, SPECIAL_MEDICATIONS), text(f"{name} has the value ", F.col(name)), gated=False))
+        out.append(Rule(f"medication {n}{past}", (name,), v.code_in(name, SPECIAL_MEDICATIONS), text(f"{name} has the value ", F.col(name)), _medication(past), gated=False))
     return out
 
 
+def _medication(past: str) -> tuple[str, ...]:
+    return PAST_MEDICATION if past else CURRENT_MEDICATION
+
+
 def latest_onset(columns: list[str], slots: int = 10) -> list[Rule]:
     """R27 over the onset columns that the rows have."""
     onsets = [x for n in range(slots) if (x := f"chrpharm_med{n}_onset") in columns]
@@ -165,7 +177,7 @@ def latest_onset(columns: list[str], slots: int = 10) -> list[Rule]:
         return []
     latest = F.array_max(F.array(*[v.real_date(x) for x in onsets]))
     days = v.days_between(latest, v.real_date("chrpharm_date_mod"))
-    return [Rule("latest onset", ("chrpharm_date_mod",), days > 10, text("There are ", days, " days between the most recent medication date (", latest, ") and the modification date"), gated=False)]
+    return [Rule("latest onset", ("chrpharm_date_mod",), days > 10, text("There are ", days, " days between the most recent medication date (", latest, ") and the modification date"), CURRENT_MEDICATION, gated=False)]
 
 
 def unknown_names(columns: list[str]) -> list[Rule]:
@@ -174,16 +186,39 @@ def unknown_names(columns: list[str]) -> list[Rule]:
 
 
 def _unknown_names(columns: list[str], past: str) -> list[Rule]:
-    hits = []
+    """The flag names the unknown names, then the fields that are filled."""
+    names, others = [], []
     for n, suffix in medication_slots(columns):
-        fields = (f"med{n}_onset", f"med{n}_offset", f"med{n}_use", "interm_meds", f"med{n}_dosage", f"med{n}_comp", f"med{n}_mo{n}")
-        others = [x for f in fields if (x := f"chrpharm_{f}{past}") in columns]
-        if suffix == past and others:
-            hits.append(F.when(v.is_code(f"chrpharm_med{n}_name{past}", 888) & any_of(v.filled(x) for x in others), F.lit(str(n))))
-    if not hits:
+        fields = [x for f in SLOT_FIELDS if (x := f"chrpharm_{f.format(n=n)}{past}") in columns]
+        if suffix == past and fields:
+            name = f"chrpharm_med{n}_name{past}"
+            unknown = v.is_code(name, 888)
+            names.append(F.when(unknown & any_of(map(v.filled, fields)), F.lit(name)))
+            others += [F.when(unknown & v.filled(x), F.lit(x)) for x in fields]
+    if not names:
         return []
-    found = F.filter(F.array(*hits), lambda x: x.isNotNull())
-    return [Rule(f"unknown{past.replace('_', ' ')} medication", (), F.size(found) > 0, text("Medication name is unknown, but other fields are filled in slots ", F.array_join(found, ", ")), gated=False)]
+    given = lambda cells: F.filter(F.array(*cells), lambda x: x.isNotNull())
+    unknown, filled = given(names), F.array_distinct(given(others))
+    message = text("Unknown (888) by ", F.array_join(unknown, ", "), ", but filled: ", F.array_join(filled, ", "))
+    return [Rule(f"unknown{past.replace('_', ' ')} medication", (), F.size(unknown) > 0, message, _medication(past), gated=False, named=F.concat(unknown, filled))]
+
+
+def overlapping_medications(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Pairs of slots of a row with one name and overlapping spans, unless one is of use 1 and the other of use 2.
+
+    (keys, name, slot_1, slot_2); a slot's span runs from its onset to its last use, both real dates.
+    """
+    numbers = [int(m[1]) for x in rows.columns if (m := re.fullmatch(r"chrpharm_med(\d+)_name", x))]
+    fields = {"name": "chrpharm_med{n}_name", "begun": "chrpharm_med{n}_onset", "ended": "chrpharm_lastuse_med{n}", "use": "chrpharm_med{n}_use"}
+    filled = slots(rows, keys, max(numbers, default=0), fields).withColumns({x: v.real_date(x, True) for x in ("begun", "ended")})
+    filled = filled.where("begun is not null and ended is not null").withColumnRenamed("name", "medication")
+    pairs = overlapping(filled, [*keys, "medication"], "begun", "ended", "slot")
+    uses = filled.select(*keys, "slot", v.num("use").alias("use"))
+    for side in ("1", "2"):
+        own = uses.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("slot").alias(f"slot_{side}"), F.col("use").alias(f"use_{side}"))
+        pairs = pairs.join(own, [*[F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], pairs[f"slot_{side}"] == own[f"slot_{side}"]]).drop(*[f"_{k}" for k in keys], own[f"slot_{side}"])
+    shared = F.coalesce((F.least("use_1", "use_2") == 1) & (F.greatest("use_1", "use_2") == 2), F.lit(False))
+    return pairs.where(~shared).select(*keys, F.col("medication").alias("name"), "slot_1", "slot_2")
 
 
 def scid_rules(diagnoses: dict[str, dict] | None = None) -> list[Rule]:
@@ -222,13 +257,11 @@ def scid_rules(diagnoses: dict[str, dict] | None = None) -> list[Rule]:
     return out
 
 
-def general_rules(run_age: tuple[float, float] = (12, 30), guid: str = "chrguid_guid") -> list[Rule]:
-    """R5, R7, R8 for one identifier variable, the subject's age and a missing form's reason."""
+def general_rules(run_age: tuple[float, float] = (12, 30), identifiers: tuple[str, ...] = ("chrguid_guid", "chrguid_pseudoguid")) -> list[Rule]:
+    """R5, R7 for the identifier variables, each judged by its own text, and the subject's age."""
     low, high = run_age
-    return [
-        pattern("identifier", guid, "^NDA[A-Z0-9]+$", "GUID is not in the proper format", reports=MAIN_AND_REST),
-        Rule("age", ("age",), (F.col("age") == "unknown") | (v.num("age") < low) | (v.num("age") > high), text("Age is ", F.col("age")), gated=False),
-    ]
+    out = [pattern(f"identifier {x}", x, "^NDA[A-Z0-9]+$", "Not an identifier's format", forms=("guid_form",), reports=MAIN_AND_REST, applies=(x,), withdrawn=True) for x in identifiers]
+    return [*out, Rule("age", ("age",), (F.col("age") == "unknown") | (v.num("age") < low) | (v.num("age") > high), text("Age is ", F.col("age")), gated=False)]
 
 
 def missing_reason(flag: str, reason: str, form: str) -> Rule:
@@ -248,5 +281,5 @@ def within_21_days(forms: dict[str, str], marker: str, screen_date: str = "psych
 
 
 __all__ = [
-    "blood_rules", "clinical_rules", "extreme", "general_rules", "latest_onset", "medication_rules", "medication_slots", "missing_reason", "outside", "scid_rules", "unknown_names", "within_21_days",
+    "blood_rules", "clinical_rules", "extreme", "general_rules", "latest_onset", "medication_rules", "medication_slots", "missing_reason", "outside", "overlapping_medications", "scid_rules", "unknown_names", "within_21_days",
 ]

@@ -15,14 +15,16 @@ def flag_records(found: DataFrame, run_date: Column, translations: DataFrame | N
     """One record for each violation.
 
     found: rows of `rules.evaluate` with network, subjectid, timepoint, visit_status_string, removed and inclusion_status.  The flags of removed
-    or not included subjects keep no reports.
+    or not included subjects keep no reports, unless a rule enables them (E2: withdrawn_enabled, excluded_enabled).  translations: (variable,
+    label) of the dictionary, a row for each variable.
     """
     removed = F.coalesce(F.col("removed") == "True", F.lit(False))
     included = F.coalesce(F.col("inclusion_status") == "included", F.lit(False))
     form = F.get("forms", F.lit(0))
+    enabled = lambda x: F.coalesce(F.col(x), F.lit(False)) if x in found.columns else F.lit(False)
     out = found.withColumns({
         "subject": F.col("subjectid"), "site": site_of(), "displayed_form": form, "displayed_timepoint": F.col("timepoint"), "displayed_variable": F.get("variables", F.lit(0)),
-        "reports": F.when(included & ~removed, F.col("reports")).otherwise(F.array().cast("array<string>")), "withdrawn_status": removed,
+        "reports": F.when((included | enabled("excluded_enabled")) & (~removed | enabled("withdrawn_enabled")), F.col("reports")).otherwise(F.array().cast("array<string>")), "withdrawn_status": removed,
         "priority_item": F.coalesce(form.isin(*priority_forms) if priority_forms else F.lit(False), F.lit(False)) | F.col("timepoint").isin(*priority_timepoints),
         "dates_detected": F.array(run_date.cast("date")), "dates_resolved": F.array().cast("array<date>"), "currently_resolved": F.lit(False), "manually_resolved": F.lit(""), "comments": F.lit(""), "site_comments": F.lit(""),
     })

@@ -18,13 +18,14 @@ KEEPS_OWN_COMPLETION = "PRESCIENT"
 
 @dataclass(frozen=True)
 class Form:
-    """A form's special variables."""
+    """A form's special variables; `missing_since`: the date from which its missing flag exists, if it was added later."""
 
     name: str
     completion: str
     missing: str | None = None
     interview_date: str | None = None
     always_shown: tuple[str, ...] = ()
+    missing_since: str | None = None
 
 
 def moved_on() -> Column:
@@ -39,7 +40,12 @@ def with_ordinals(rows: DataFrame, timepoints: DataFrame) -> DataFrame:
     return rows.join(F.broadcast(t), "timepoint", "left").withColumn("_visit", v.timepoint_alias("visit_status_string")).join(F.broadcast(visit), "_visit", "left").drop("_visit")
 
 
-def marked_missing(form: Form, columns: Iterable[str], flag_since: Column | None = None) -> Column:
+def introduced(date_variable: str, since: Column) -> Column:
+    """the row's interview date lies after a variable was introduced; a row without a date counts as older."""
+    return F.coalesce(v.as_date(date_variable, True) > since, F.lit(False))
+
+
+def marked_missing(form: Form, columns: Iterable[str]) -> Column:
     """the form is marked missing; without a flag (or before there was one) it is if under half of its always-shown variables are filled."""
     known = set(columns)
     shown = [F.col(x) for x in form.always_shown if x in known]
@@ -49,15 +55,10 @@ def marked_missing(form: Form, columns: Iterable[str], flag_since: Column | None
     if form.missing is None or form.missing not in known:
         return own | sparse
     flagged = v.is_code(form.missing, 1)
-    if flag_since is None or form.interview_date not in known:
+    if form.missing_since is None or form.interview_date not in known:
         return own | F.when(F.col(form.missing).isNull(), sparse).otherwise(flagged)
-    older = F.coalesce(v.as_date(form.interview_date, True) < flag_since, F.lit(False))
-    return own | F.when(older | F.col(form.missing).isNull(), sparse).otherwise(flagged)
-
-
-def introduced(date_variable: str, since: Column) -> Column:
-    """the row's interview date lies after a variable was introduced."""
-    return F.coalesce(v.as_date(date_variable, True) > since, F.lit(False))
+    since = introduced(form.interview_date, F.lit(form.missing_since).cast("date"))
+    return own | F.when(~since | F.col(form.missing).isNull(), sparse).otherwise(flagged)
 
 
 def extra(form: str) -> Column:
@@ -83,6 +84,7 @@ def gated(rows: DataFrame, forms: Iterable[Form], due: DataFrame) -> tuple[DataF
     """rows with a column ok of the forms that pass, and the gate over it; due: (cohort, timepoint, forms array)."""
     forms = list(forms)
     passing = F.filter(F.array(*[F.when(form_ok(f, rows.columns), f.name) for f in forms]), lambda x: x.isNotNull()) if forms else F.array().cast("array<string>")
+    # due has a row for each cohort and timepoint, a few dozen
     known = rows.where(F.lower("cohort").isin("hc", "chr")).join(F.broadcast(due), ["cohort", "timepoint"], "left")
     out = known.withColumn("_ok", F.array_intersect(passing, F.coalesce("forms", F.array().cast("array<string>")))).drop("forms")
     return out, lambda form: F.array_contains("_ok", form)

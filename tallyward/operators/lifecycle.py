@@ -15,10 +15,11 @@ def step(old: DataFrame, new: DataFrame, run_date: Column, keys=KEYS, remove: Co
     """The flags after a run.
 
     Only new: detected now.  Only old: resolved now, unless it was already (or dropped where `remove` holds).  Both: open, detected again if it was
-    resolved; the reviewers' columns are the old ones.  Both sides are made unique on the keys first, so the join multiplies nothing.  The age
-    counts days since the last detection; old rows without a detection keep none.
+    resolved; the reviewers' columns are the old ones.  Both sides are made unique on the keys first, so the join multiplies nothing: of rows
+    with equal keys the one of the least seq stays, then of the least hash of its columns.  The age counts days since the last detection;
+    old rows without a detection keep none.
     """
-    o, n = old.dropDuplicates(list(keys)).alias("o"), new.dropDuplicates(list(keys)).alias("n")
+    o, n = _unique(old, keys).alias("o"), _unique(new, keys).alias("n")
     both = o.join(n, [F.col(f"o.{k}").eqNullSafe(F.col(f"n.{k}")) for k in keys], "full")
     was, now = F.col("o.dates_detected").isNotNull(), F.col("n.dates_detected").isNotNull()
     resolved = F.coalesce(F.col("o.currently_resolved"), F.lit(False))
@@ -34,6 +35,12 @@ def step(old: DataFrame, new: DataFrame, run_date: Column, keys=KEYS, remove: Co
     return out.withColumn("time_since_last_detection", F.datediff(run_date.cast("date"), F.element_at("dates_detected", -1)))
 
 
+def _unique(flags: DataFrame, keys) -> DataFrame:
+    rest = [x for x in flags.columns if x not in keys]
+    order = F.struct(*([F.col("seq")] if "seq" in rest else []), F.xxhash64(*rest))
+    return flags.groupBy(*keys).agg(F.min_by(F.struct(*rest), order).alias("_row")).select(*keys, *[F.col("_row").getField(x).alias(x) for x in rest]) if rest else flags.distinct()
+
+
 def history(runs: DataFrame, present: DataFrame, key: str, run: str) -> DataFrame:
     """W2 for a whole history at once: each stretch of runs in which a flag was present, and the run that resolved it (null if none did).
 

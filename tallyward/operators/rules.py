@@ -18,12 +18,16 @@ from tallyward.functions import values as v
 
 #: Rules in one projection; beyond it, more projections are cheaper than wider ones.
 CHUNK = 50
-FLAG = "array<struct<seq:int,rule:string,forms:array<string>,variables:array<string>,error_message:string,reports:array<string>>>"
+FLAG = "array<struct<seq:int,rule:string,forms:array<string>,variables:array<string>,error_message:string,reports:array<string>,withdrawn_enabled:boolean,excluded_enabled:boolean>>"
 
 
 @dataclass(frozen=True)
 class Rule:
-    """One check.  fires and message are columns; `variables` must be in the row's file for the rule to fire."""
+    """One check.  fires and message are columns; `variables` must be in the row's file for the rule to fire.
+
+    `named` is an array of the variables that a flag names, where they depend on the row; E2: `withdrawn` and `excluded` keep the reports
+    of flags of removed and of not included subjects.
+    """
 
     name: str
     variables: tuple[str, ...]
@@ -35,6 +39,9 @@ class Rule:
     exclusions: bool = True
     applies: tuple[str, ...] = ()
     only: Column | None = None
+    named: Column | None = None
+    withdrawn: bool = False
+    excluded: bool = False
 
 
 def all_of(columns: Iterable[Column]) -> Column:
@@ -59,7 +66,7 @@ def usable(rules: Iterable[Rule], columns: Iterable[str], excluded: frozenset[st
 def evaluate(
     rows: DataFrame, rules: Iterable[Rule], keep: list[str], gate: Callable[[str], Column] | None = None, applies: Callable[[str], Column] | None = None, excluded: frozenset[str] = frozenset()
 ) -> DataFrame:
-    """A row for each violation: the kept columns and seq, rule, forms, variables, error_message, reports."""
+    """A row for each violation: the kept columns and seq, rule, forms, variables, error_message, reports, withdrawn_enabled, excluded_enabled."""
     ready = usable(rules, rows.columns, excluded)
     numbered = list(enumerate(ready))
     out = []
@@ -85,9 +92,10 @@ def _fires(rule: Rule, gate, applies) -> Column:
 
 def _flag(seq: int, rule: Rule) -> Column:
     names = lambda x: F.array(*map(F.lit, x)).cast("array<string>")
+    first = F.concat(F.get(rule.named, F.lit(0)), F.lit(" : ")) if rule.named is not None else F.lit(rule.variables[0] + " : " if rule.variables else "")
     return F.struct(
-        F.lit(seq).alias("seq"), F.lit(rule.name).alias("rule"), names(rule.forms).alias("forms"), names(rule.variables).alias("variables"),
-        text(rule.variables[0] + " : " if rule.variables else "", rule.message).alias("error_message"), names(rule.reports).alias("reports"),
+        F.lit(seq).alias("seq"), F.lit(rule.name).alias("rule"), names(rule.forms).alias("forms"), (names(rule.variables) if rule.named is None else rule.named).alias("variables"),
+        text(first, rule.message).alias("error_message"), names(rule.reports).alias("reports"), F.lit(rule.withdrawn).alias("withdrawn_enabled"), F.lit(rule.excluded).alias("excluded_enabled"),
     )
 
 
@@ -143,6 +151,26 @@ def long_form(rows: DataFrame, keys: list[str], variables: list[str]) -> DataFra
     return rows.select(*keys, *[F.col(x).cast("string").alias(x) for x in variables]).unpivot(keys, variables, "variable", "value").where("value is not null")
 
 
+def eligible_cells(
+    rows: DataFrame, keys: list[str], forms: dict[str, str], gate: Callable[[str], Column] | None = None, applies: Callable[[str], Column] | None = None,
+    excluded: frozenset[str] = frozenset(), skipped: Callable[[str], Column] | None = None,
+) -> DataFrame:
+    """The long form of the cells that single-variable checks may judge; forms: variable -> its form.
+
+    As `evaluate` does for rules: the form passes the gate (F1, F2), no excluded variable takes part (P20), the variable applies in the row
+    (P24) and isn't one of a skipped module (F7).  Other cells become null before the row is unpivoted, so they never leave the projection.
+    """
+    cells = {}
+    for x, form in forms.items():
+        if x not in rows.columns or x in excluded:
+            continue
+        tests = ([gate(form)] if gate else []) + ([applies(x)] if applies else []) + ([~skipped(x)] if skipped else [])
+        cells[x] = F.when(F.coalesce(all_of(tests), F.lit(False)), F.col(x).cast("string")) if tests else F.col(x).cast("string")
+    if not cells:
+        return rows.where("false").select(*keys, F.lit("").alias("variable"), F.lit("").alias("value"))
+    return rows.select(*keys, *[c.alias(x) for x, c in cells.items()]).unpivot(keys, list(cells), "variable", "value").where("value is not null")
+
+
 def blank_checks(long: DataFrame, table: DataFrame) -> DataFrame:
     """Listed variables that are blank; table: (variable, form, report)."""
     return long.where(v.is_blank("value")).join(table, "variable").withColumn("error_message", F.lit("Variable is blank."))

@@ -12,6 +12,18 @@ DISPLAY = {
 }
 
 
+# Columns of reports of all sites.
+COMBINED_DISPLAY = {
+    "subject": "Participant", "displayed_timepoint": "Timepoint", "displayed_form": "Form", "flag_count": "Flag Count", "flags": "Flags", "days_since_detected": "Days Since Detected",
+    "priority_item": "Priority Item", "site": "Site", "network": "Network", "currently_resolved": "Resolved",
+}
+
+
+def inverted(pairs: dict[str, str]) -> dict[str, str]:
+    """A lookup the other way round; of equal values the first key stays."""
+    return {n: k for k, n in reversed(pairs.items())}
+
+
 def write_flags(flags: DataFrame, path: str, run_date: str) -> None:
     """One partition for each run and network; a repeated run replaces its own partitions."""
     flags.withColumn("run_date", F.lit(run_date)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_date", "network").parquet(path)
@@ -24,9 +36,9 @@ def earlier_flags(spark: SparkSession, path: str, run_date: str) -> DataFrame:
     return rows.where(F.col("run_date") == F.lit(latest) if latest is not None else F.lit(False))
 
 
-def write_tracker(rows: DataFrame, path: str) -> None:
-    """Trackers by network, report and site, under reviewers' column names, open rows first."""
-    out = rows.orderBy("network", "report", "site", "bucket", "subject", "displayed_timepoint", "displayed_form").withColumnsRenamed({k: n for k, n in DISPLAY.items() if k in rows.columns})
+def write_tracker(rows: DataFrame, path: str, display: dict[str, str] = DISPLAY) -> None:
+    """Trackers by network, report and site, under reviewers' column names, open rows first."""
+    out = rows.orderBy("network", "report", "site", "bucket", "subject", "displayed_timepoint", "displayed_form").withColumnsRenamed({k: n for k, n in display.items() if k in rows.columns and k not in ("network", "site")})
     out.write.mode("overwrite").partitionBy("network", "report", "site").option("header", True).csv(path)
 
 

@@ -5,10 +5,13 @@ Everything is read as text.  A file's blank cells become '' before files are uni
 
 from __future__ import annotations
 
+import csv
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 _NAME = r"combined-([A-Za-z]+)-([A-Za-z0-9]+)-day1to1\.csv"
 
@@ -20,24 +23,42 @@ DICTIONARY_COLUMNS = {
 }
 
 
-def read_text(spark: SparkSession, path) -> DataFrame:
-    """A CSV file with a header, all text, blanks as ''."""
-    df = spark.read.csv(path, header=True, inferSchema=False, multiLine=True, escape='"')
-    return df.na.fill("")
+def read_text(spark: SparkSession, path, columns: list[str] | None = None, multi_line: bool = True) -> DataFrame:
+    """CSV files of one header, all text, blanks as ''.
 
+    With the columns given there is no job for the header.  Files whose cells hold no line feeds split over tasks with `multi_line` off.
+    """
+    schema = StructType([StructField(c, StringType()) for c in columns]) if columns else None
+    return spark.read.csv(path, header=True, schema=schema, inferSchema=False if schema is None else None, multiLine=multi_line, escape='"').na.fill("")
 
-def read_snapshots(spark: SparkSession, paths: list[str]) -> DataFrame:
+
+def headers(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
+    """The files of each header, from one job over all of them."""
+    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), "value", F.monotonically_increasing_id().alias("row")).where("_metadata.file_block_start = 0")
+    first = lines.groupBy("path").agg(F.min_by("value", "row").alias("header")).orderBy("path").collect()  # a row for each file
+    out: dict[tuple[str, ...], list[str]] = {}
+    for r in first:
+        out.setdefault(tuple(next(csv.reader([r["header"].lstrip("\ufeff")]))), []).append(r["path"])
+    return out
+
+
+def read_snapshots(spark: SparkSession, paths: list[str], multi_line: bool = True) -> DataFrame:
     """All snapshots, one read for each header; network and timepoint come from the file's name."""
     parts = []
-    for path in paths:
-        df = read_text(spark, path).withColumn("_file", F.input_file_name())
+    for columns, files in headers(spark, paths).items():
+        df = read_text(spark, files, list(columns), multi_line).withColumn("_file", F.input_file_name())
         parts.append(df.withColumns({"network": F.upper(F.regexp_extract("_file", _NAME, 1)), "timepoint": F.regexp_extract("_file", _NAME, 2)}).drop("_file"))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def read_dictionary(spark: SparkSession, path) -> DataFrame:
-    """The data dictionary under short names."""
-    df = read_text(spark, path)
+def newest(paths: list[str]) -> str:
+    """The file whose name holds the latest date (yyyy-mm-dd); those without one come first."""
+    return max(paths, key=lambda p: (re.findall(r"\d{4}-\d{2}-\d{2}", p.rsplit("/", 1)[-1])[-1:], p))
+
+
+def read_dictionary(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """The data dictionary under short names; of several files the newest by name."""
+    df = read_text(spark, newest(path) if isinstance(path, list) else path)
     return df.withColumnsRenamed({k: n for k, n in DICTIONARY_COLUMNS.items() if k in df.columns})
 
 
@@ -46,6 +67,11 @@ def read_metadata(spark: SparkSession, path, schema) -> DataFrame:
     return spark.read.json(path, schema=schema, multiLine=True, mode="DROPMALFORMED")
 
 
+def write_metadata(rows: DataFrame, path: str) -> None:
+    """S3: derived metadata as JSON, replaced as a whole."""
+    rows.write.mode("overwrite").json(path)
+
+
 def read_raters(spark: SparkSession, paths) -> DataFrame:
     """Rater -> subjects, without blanks and repeats."""
     rows = read_text(spark, paths).where("RAname != '' and subjectkey != ''").select(F.col("RAname").alias("rater"), F.col("subjectkey").alias("subject")).distinct()
