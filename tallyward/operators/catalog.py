@@ -222,18 +222,18 @@ def overlapping_medications(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def scid_rules(diagnoses: dict[str, dict] | None = None) -> list[Rule]:
-    """R39-R50; diagnoses: variable -> {"criteria": names, "disorder": text, "extra": SQL conditions}."""
+    """R39-R50; diagnoses: variable -> {"criteria": names, "disorder": text, "extra": SQL conditions, "variables": those of the conditions}."""
     three = lambda x: _is(f"chrscid_{x}", 3)
     names = lambda *x: tuple(f"chrscid_{y}" for y in x)
     made = lambda name, variables, fires, message, **more: Rule(name, names(*variables), fires, F.lit(message) if isinstance(message, str) else message, (SCID,), SCID_REPORTS, **more)
     out = []
     for variable, d in (diagnoses or {}).items():
         met = all_of([*(_is(x, 3) for x in d["criteria"]), *(F.coalesce(F.expr(e), F.lit(False)) for e in d.get("extra", ()))])
-        both = (*d["criteria"], variable)
+        both = (*d["criteria"], variable, *d.get("variables", ()))
         out.append(Rule(f"diagnosis {variable}", both, met & ~_is(variable, 3), F.lit(f"{d['disorder']} criteria are fulfilled, but it is not indicated."), (SCID,), SCID_REPORTS, exclusions=False))
         out.append(Rule(f"no diagnosis {variable}", both, ~met & _is(variable, 3), F.lit(f"{d['disorder']} criteria are NOT fulfilled, but it is indicated."), (SCID,), SCID_REPORTS, exclusions=False))
     ones = all_of(_is(x, 1) for x in names("a54", "a92", "a132"))
-    out.append(made("depressive manic", ("d28", "a54", "a92", "a132"), ones & three("d26") & three("d27") & ~three("d28"), "subject does not fulfill any manic or hypomanic episode but depression is excluded due to this symptom.", exclusions=False))
+    out.append(made("depressive manic", ("d28", "d26", "d27", "a54", "a92", "a132"), ones & three("d26") & three("d27") & ~three("d28"), "subject does not fulfill any manic or hypomanic episode but depression is excluded due to this symptom.", exclusions=False))
     for kind, (a, b), d, more in (("major depressive", ("a25", "a51"), "d26", ("d3", "d9", "d11", "d23")), ("manic", ("a70", "a108"), "d2", ()), ("hypomanic", ("a91", "a129"), "d5", ())):
         episode = three(a) | three(b)
         wrong = (~episode & three(d)) | (episode & ~any_of(three(x) for x in more) & ~three(d))
@@ -251,7 +251,7 @@ def scid_rules(diagnoses: dict[str, dict] | None = None) -> list[Rule]:
     for kind, x, y, e in (("", "a1", "a2", "a25"), ("past ", "a27", "a28", "a51")):
         out.append(made(f"{kind}threshold", (x, y, e), ~three(x) & ~three(y) & three(e), f"main criteria for {kind}major depressive episode both below threshold but {kind}major depressive episode fulfilled."))
     moods = ("a25", "a51", "a70", "a91", "a108", "a129", "a138", "a153", "a170")
-    out.append(made("mood symptoms", ("d1", *moods), any_of(three(x) for x in moods) & ~three("c26") & ~_is("chrscid_d1", 1), "chrscid_d1 needs to be checked if there are any clinically significant mood symptoms."))
+    out.append(made("mood symptoms", ("d1", "c26", *moods), any_of(three(x) for x in moods) & ~three("c26") & ~_is("chrscid_d1", 1), "chrscid_d1 needs to be checked if there are any clinically significant mood symptoms."))
     asked = (v.value("chrscid_a22") > 4) & (v.value("chrscid_a22_1") > 0) & v.is_empty("chrscid_a25")
     out.append(made("mood episode", ("a25", "a22", "a22_1"), asked, "A. MOOD EPISODES: subject fulfills more than 4 criteria of depression but further questions are not asked: start checking a22, a22_1, a25"))
     return out
