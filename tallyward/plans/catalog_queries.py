@@ -478,3 +478,77 @@ def q_run_flags(spark, sf_dir):
     return trackers.select("report", "subject", "displayed_timepoint", "displayed_form", "flag_count", in_order, "days_since_detected", "priority_item", "status_class")
 
 
+
+
+# The dictionary's tables, with parts as a dictionary
+
+PREFIXES = (
+    "'chrpharm_med' || k || '_name_past'", "'chrscid_b' || k", "'chrx_vol' || k", "'chrscid_c' || k", "'note' || k", "'chrpharm_med' || k || '_onset'", "'chrblood_pos' || k", "'chrx_id' || k", "'chrerr_date' || k",
+    "'v' || k || '_redcap_user'", "'chrpharm_firstdose_med' || k", "'chrpsychs_scr_' || (k % 17) || 'd16_app'", "'chrpharm_med' || k || '_mo1'", "'chrplain' || k", "'chrdemo_racial' || k",
+)
+TABLE_CELLS = {
+    "variable": f"CASE k % {len(PREFIXES)} " + " ".join(f"WHEN {n} THEN {x}" for n, x in enumerate(PREFIXES)) + " END",
+    "form": one_of(1, content.BLOOD, content.SCID, content.EXPOSURE, "oasis", "psychs_p1p8", "penncnb", "past_pharmaceutical_treatment", "gcp_form", "other"), "field_type": one_of(2, "text", "notes", "checkbox", "descriptive", "text"),
+    "label": one_of(3, "Interview date", "a barcode", "Date of Data Entry", "Other", "<b>x</b>"), "choices": one_of(4, "", content.MISSING_TEXT, content.REASON_TEXT, "1, Yes"), "branching_logic": one_of(0, "", "[x]", ""), "required": one_of(1, "y", ""),
+    "identifier": one_of(2, "", "", "", "y"), "validation": "''", "validation_min": one_of(0, "", "1", "-9"), "validation_max": one_of(3, "9", "", "x"),
+}
+
+
+def tables_sql() -> str:
+    has = lambda x, *texts: "regexp_matches({}, '{}')".format(x, "|".join(texts))
+    inside = lambda x, items: f"{x} IN ({', '.join(repr(i) for i in items)})"
+    parts = []
+    add = lambda name, where, a="form", b="variable", of="c": parts.append(f"SELECT {'DISTINCT' if 'excluded' in name else ''} {name} AS tbl, {a} AS a, {b} AS b FROM {of} WHERE {where}")
+    essential = "(variable LIKE 'chrpsychs_scr_%d16_app' AND k % 17 BETWEEN 1 AND 15)"
+    further = f"({essential} OR (variable LIKE '%chrpharm_med%' AND variable LIKE '%name_past%') OR form = '{content.SCID}' OR form = '{content.EXPOSURE}')"
+    must = f"(required = 'y' AND field_type <> 'checkbox' AND {inside('form', content.PSYCHS_FORMS).replace(' IN ', ' NOT IN ')})"
+    note, own = "field_type IN ('notes', 'descriptive')", inside("form", content.SELF_REPORTS)
+    listed = f"identifier <> 'y' AND ({must} OR {further})"
+    add("'blank Main Report'", f"{listed} AND (NOT {note} OR {further}) AND NOT {own}")
+    add("'blank Secondary Report'", f"{listed} AND ({note} OR {own})")
+    for network, forms in content.MISSING_CODE_FORMS.items():
+        add(f"'codes {network}'", inside("form", forms), "''")
+    names = [*content.EXCLUDED, *(f"chrscid_{x}" for x in content.EXCLUDED_SCID)]
+    add("'excluded PRONET'", has("variable", *names), "''")
+    add("'excluded PRESCIENT'", f"{has('variable', *names, *content.EXCLUDED_PRESCIENT, *(f'chrscid_s{n}_yn' for n in range(1, 16)))} OR position('gcp' IN form) > 0", "''")
+    for report, forms in content.TEAMS.items():
+        parts += [f"SELECT 'team {report}', '{f}', ''" for f in forms]
+    member = sorted({f for forms in content.TEAMS.values() for f in forms} - {content.SCID})
+    add("'team Non Team Forms'", f"NOT {inside('form', member)}", "form", "''", "(SELECT DISTINCT form FROM c)")
+    for group, test in {"position": has("variable", "pos"), "id": has("variable", "id"), "volume": has("variable", "vol"), "barcode": has("label", "barcode")}.items():
+        add(f"'blood {group}'", f"form = '{content.BLOOD}' AND {test}", "''")
+    add("'module module_b'", f"form = '{content.SCID}' AND {has('variable', 'chrscid_b')}", "''")
+    add("'module module_c'", f"form = '{content.SCID}' AND {has('variable', 'c[1-9]')}", "''")
+    for group, test in {"name": "name", "firstdose": "firstdose", "status": r"^chrpharm_med[0-9]*_mo", "onset": r"^chrpharm_med[0-9]*_onset"}.items():
+        add(f"'medication {group}'", f"position('pharmaceutical' IN form) > 0 AND {has('variable', test)}", "''")
+    add("'special missing_var'", f"choices = '{content.MISSING_TEXT}'")
+    add("'special missing_spec_var'", f"choices = '{content.REASON_TEXT}'")
+    add("'special interview_date_var'", f"label = 'Interview date' AND NOT {has('variable', 'err')}")
+    add("'special entry_date_var'", f"label = 'Date of Data Entry' AND NOT {has('variable', 'err')}")
+    add("'special redcap_user_var'", "variable LIKE '%redcap_user'")
+    add("'specific value is 0'", essential)
+    add("'always'", "branching_logic = '' AND identifier <> 'y' AND field_type NOT IN ('checkbox', 'notes', 'descriptive')")
+    add("'range 1.0 9.0'", "validation_min = '1' AND validation_max = '9'", "''")
+    add("'range 0.0 9.0'", "validation_min = '-9' AND validation_max = '9'", "''")
+    add("'checkbox'", "field_type = 'checkbox' AND required = 'y'", "''")
+    return with_cells(TABLE_CELLS) + " UNION ALL ".join(parts)
+
+
+@query(tables_sql())
+def q_study_tables(spark, sf_dir):
+    d = rows_of(spark, sf_dir, TABLE_CELLS).drop("k")
+    no = F.lit("")
+    named = lambda rows, title, key, a=no: rows.select(F.concat_ws(" ", F.lit(title), F.col(key)).alias("tbl"), a.alias("a"), F.col("variable").alias("b"))
+    form = F.col("form")
+    ranges = content.dd.ranges(d, {}).withColumn("limits", F.concat_ws(" ", F.col("low").cast("string"), F.col("high").cast("string")))
+    out = [
+        named(content.blank_checks(d), "blank", "report", form), named(content.missing_code_checks(d), "codes", "network"), named(content.excluded(d), "excluded", "network"),
+        content.teams(d).select(F.concat_ws(" ", F.lit("team"), "report").alias("tbl"), form.alias("a"), no.alias("b")), named(content.blood_groups(d), "blood", "grp"), named(content.module_groups(d), "module", "grp"),
+        named(content.medication_groups(d), "medication", "grp"), named(content.special_variables(d), "special", "kind", form), named(content.specific_values(d), "specific", "message", form),
+        content.dd.always_shown(d).select(F.lit("always").alias("tbl"), form.alias("a"), F.explode("non_branch_logic_vars").alias("b")), named(ranges, "range", "limits"),
+        content.dd.required_checkboxes(d).select(F.lit("checkbox").alias("tbl"), no.alias("a"), F.col("variable").alias("b")),
+    ]
+    found = out[0]
+    for part in out[1:]:
+        found = found.unionByName(part)
+    return found
