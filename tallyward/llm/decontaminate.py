@@ -7,8 +7,8 @@ of a window.
 Method, a prefix-filtered set join.  Exact containment of a window needs all its shingles, so its one rarest shingle in the corpus is a
 sufficient prefix.  A first pass counts the items' shingles in all documents; the second looks up prefixes in each document's shingles,
 drops places where the window would not fit into the document (length and position), and compares the window word by word, rarest places first.
-The items' windows are broadcast in blocks of `BLOCK_WORDS` words at most, so what is broadcast is bounded: a larger benchmark takes more passes,
-each of which adds its hits to those of the passes before.
+Windows are made and made distinct in Spark and dealt by hash to blocks of about `BLOCK_WORDS` words (and item names), so what reaches the driver and is
+broadcast is bounded: a larger benchmark takes more passes, each of which adds its hits to those of the passes before.
 
 Defined cases: null texts have no words; items without words or with a null item_id have no windows; repeated rows are judged each for
 itself; repeated items count once.
@@ -16,6 +16,7 @@ itself; repeated items count once.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import partial
 
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyward.llm.shared import kept
-from tallyward.llm.textscan import ALNUM, Words, rolling, slices
+from tallyward.llm.textscan import ALNUM, Words, inner_starts, rolling, slices
 
 WIDTH, SHINGLE = 10, 3
 #: Window words in one broadcast block: 8 bytes each, besides the items' names.
@@ -75,32 +76,46 @@ class Windows:
         return start, window
 
 
+def _window_rows(batches, width: int):
+    """The windows of items, each as the hashes of its words."""
+    for batch in batches:
+        for rows, data, offs in slices(batch):
+            words = Words(data, offs, ALNUM, lower=True)
+            h, n = words.hashes(), words.counts
+            start, text = inner_starts(words.first, width)
+            short = np.flatnonzero((n > 0) & (n < width))
+            start, text = np.concatenate([start, words.first[:-1][short]]), np.concatenate([text, short])
+            size = np.minimum(n[text], width)
+            end = np.cumsum(size)
+            at = np.arange(size.sum()) - np.repeat(end - size, size) + np.repeat(start, size)
+            lists = pa.ListArray.from_arrays(np.append(0, end).astype(np.int32), pa.array(h[at].view(np.int64)))
+            yield pa.RecordBatch.from_arrays([lists, rows.column("item_id").take(pa.array(text))], names=["words", "item_id"])
+
+
 def _blocks(benchmark: DataFrame, width: int) -> Iterator[list[Windows]]:
-    """The distinct windows, in blocks of a bounded number of words; items come from Spark one partition at a time."""
-    held: dict[tuple[int, ...], set[str]] = {}
-    room = BLOCK_WORDS
+    """The windows with the items that hold them, dealt by hash to blocks of a bounded size, so that a window of very many items lies in several."""
     items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("string").alias("item_id"), "text")
-    for row in items.toLocalIterator():
-        data = np.frombuffer(row["text"].encode(), np.uint8)
-        h = Words(data, np.array([0, len(data)]), ALNUM, lower=True).hashes().tolist()
-        for i in range(max(1, len(h) - width + 1) if h else 0):
-            key = tuple(h[i : i + width])
-            if key not in held:
-                held[key] = set()
-                room -= len(key)
-            held[key].add(row["item_id"])
-        if room <= 0:
-            yield _by_length(held)
-            held, room = {}, BLOCK_WORDS
-    if held:
-        yield _by_length(held)
-
-
-def _by_length(held: dict[tuple[int, ...], set[str]]) -> list[Windows]:
+    rows = kept(items.mapInArrow(partial(_window_rows, width=width), "words array<long>, item_id string").distinct(), "windows")
+    cost = rows.agg(F.sum(F.size("words") + F.ceil(F.octet_length("item_id") / 8))).first()[0] or 0
+    n = math.ceil(cost / BLOCK_WORDS)
+    for block in range(n):
+        table = rows.where(F.pmod(F.xxhash64("words", "item_id"), F.lit(n)) == block).toArrow()
+        if table.num_rows:
+            yield _by_length(table)
+
+
+def _by_length(table: pa.Table) -> list[Windows]:
+    lists = table.column("words").combine_chunks().cast(pa.list_(pa.int64()))
+    size, flat, names = np.asarray(lists.value_lengths()), np.asarray(lists.flatten()).view(np.uint64), table.column("item_id").to_pylist()
+    first = np.cumsum(size) - size
     out = []
-    for m in sorted({len(k) for k in held}):
-        keys = [k for k in held if len(k) == m]
-        out.append(Windows(np.array(keys, np.uint64), [sorted(held[k]) for k in keys], min(SHINGLE, m)))
+    for m in np.unique(size).tolist():
+        rows = np.flatnonzero(size == m)
+        words, owner = np.unique(flat[first[rows][:, None] + np.arange(m)], axis=0, return_inverse=True)
+        held: list[list[str]] = [[] for _ in words]
+        for i, row in zip(owner.reshape(-1).tolist(), rows.tolist(), strict=True):
+            held[i].append(names[row])
+        out.append(Windows(words, [sorted(x) for x in held], min(SHINGLE, m)))
     return out
 
 

@@ -12,7 +12,8 @@ Method.
 4. Verification.  A hub's group is dealt to tiles of a bounded number of shingles.  A tile counts all its intersections exactly, as a product of
    its shingle matrix with itself, and keeps the links that join its parts.  Groups of one tile are then complete.
 5. Larger groups: the first tiles' links give components.  Only pairs of tiles are counted of which one holds classes outside its
-   hub's component, and whose distances to the hub differ by no more than a link allows (Jaccard distance is a metric).
+   hub's component, and whose distances to the hub differ by no more than a link allows (Jaccard distance is a metric).  Pairs of tiles are
+   dealt by ring and salt.  Documents that all share half of a template or so stay quadratic in such a group: they share bands, but no links.
 
 At a similarity of 0.8 a pair misses all 32 bands of 4 bins with probability 5e-8.  Verification is on 64-bit shingle hashes of whole
 texts.  Null texts are empty.  Rows that repeat a doc_id with the same text belong to one node; further rows with another text are
@@ -35,6 +36,8 @@ from tallyward.llm.textscan import Words, combine, inner_starts, mix, rolling, s
 BINS, BAND = 128, 4
 #: Shingles and documents in a tile, at most (one document may be larger).
 TILE_SHINGLES, TILE_DOCS = 400_000, 512
+#: Tiles of a hub that a task pairs with others.
+PAIRED_TILES = 64
 
 
 def shingle_sets(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -249,9 +252,13 @@ def _verified(texts: DataFrame, pairs: DataFrame, k: int, parts: int, of: int) -
     numbers = parts_of.select("hub", "settled", "ring", F.explode(F.sequence(F.lit(0), F.col("tiles").cast("int") - 1)).alias("number"))
     label = F.struct("settled", "ring", "number")
     numbers = numbers.select("hub", "settled", "ring", label.alias("label"))
-    other = numbers.select("hub", F.col("settled").alias("settled_2"), F.col("ring").alias("ring_2"), F.col("label").alias("label_2"))
     reach = (parts - of) * 20 // parts + 2  # rings that a link can span
-    crossing = numbers.join(other, "hub").where((F.col("label") <= F.col("label_2")) & ~(F.col("settled") & F.col("settled_2")) & (F.abs(F.col("ring") - F.col("ring_2")) <= reach))
+    # labels meet by ring; one side is dealt over salts, as many as its hub's tiles ask for, the other is copied to each
+    salts = kept(parts_of.groupBy("hub").agg(F.ceil(F.sum("tiles") / PAIRED_TILES).cast("int").alias("salts")), "salts")
+    salted = numbers.join(salts, "hub")
+    mine = salted.select("hub", "settled", "label", F.pmod(F.xxhash64("label"), F.col("salts")).cast("int").alias("salt"), F.explode(F.sequence(F.col("ring") - reach, F.col("ring") + reach)).alias("ring"))
+    other = salted.select("hub", "ring", F.col("settled").alias("settled_2"), F.col("label").alias("label_2"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    crossing = mine.join(other, ["hub", "ring", "salt"]).where((F.col("label") <= F.col("label_2")) & ~(F.col("settled") & F.col("settled_2")))
     crossing = kept(crossing.select("hub", F.xxhash64("hub", "label", "label_2").cast("string").alias("cross"), "label", "label_2"), "crossing")
     sides = crossing.select("hub", "cross", F.col("label")).unionByName(crossing.select("hub", "cross", F.col("label_2").alias("label"))).distinct()
     member = named.join(parts_of, ["hub", "settled", "ring"]).withColumn("number", F.pmod(F.xxhash64("rep", "hub"), F.col("tiles")).cast("int"))
