@@ -29,10 +29,40 @@ def earliest_use(rows: DataFrame, variable: str, date: str, since: Column) -> Da
     return rows.where(F.col(date) >= since).groupBy(variable).agg(F.min(date).alias("earliest")).orderBy(F.desc("earliest"), variable)
 
 
+def exact_medians(rows: DataFrame, keys: list[str], columns: dict[str, Column]) -> DataFrame:
+    """(keys, and the exact median of each named number), without a group's values in one place.
+
+    Values are counted; a monotone bucket of each (64 for each power of two) gives at most some hundred thousand sums for a group, whose
+    running total tells the buckets of the middle; only their values are put in order.
+    """
+    cells = F.array(*[F.struct(F.lit(name).alias("_name"), x.cast("double").alias("_x")) for name, x in columns.items()])
+    counts = rows.select(*keys, F.explode(cells).alias("_c")).select(*keys, "_c.*").where("_x is not null").groupBy(*keys, "_name", "_x").agg(F.count("*").alias("_n"))
+    counts = counts.withColumn("_bucket", F.when(F.col("_x") == 0, 0).otherwise(F.signum("_x") * F.floor((F.log2(F.abs("_x")) + 1100) * 64)).cast("int"))
+    group = [*keys, "_name"]
+    sums = counts.groupBy(*group, "_bucket").agg(F.sum("_n").alias("_m"))
+    w = Window.partitionBy(*group)
+    sums = sums.withColumns({"_before": F.sum("_m").over(w.orderBy("_bucket")) - F.col("_m"), "_all": F.sum("_m").over(w)})
+    low, high = F.floor((F.col("_all") - 1) / 2), F.floor(F.col("_all") / 2)
+    middle = sums.where((F.col("_before") <= high) & (F.col("_before") + F.col("_m") > low)).select(*[F.col(k).alias(f"{k}_") for k in group], F.col("_bucket").alias("_bucket_"), "_before", "_all")
+    near = counts.join(middle, [*[F.col(k).eqNullSafe(F.col(f"{k}_")) for k in group], F.col("_bucket") == F.col("_bucket_")])
+    rank = F.col("_before") + F.sum("_n").over(Window.partitionBy(*group, "_bucket").orderBy("_x")) - F.col("_n")
+    near = near.withColumn("_rank", rank)
+    at = lambda r: F.max(F.when((F.col("_rank") <= r) & (r < F.col("_rank") + F.col("_n")), F.col("_x")))
+    found = near.groupBy(*group).agg(((at(low) + at(high)) / 2).alias("_median"))
+    return found.groupBy(*keys).agg(*[F.max(F.when(F.col("_name") == name, F.col("_median"))).alias(name) for name in columns])
+
+
+def _on(keys: list[str], left: DataFrame, right: DataFrame) -> DataFrame:
+    """Left and right joined on keys of which nulls are equal."""
+    renamed = right.select(*[F.col(k).alias(f"_{k}") for k in keys], *[x for x in right.columns if x not in keys])
+    return left.join(renamed, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys], "left").drop(*[f"_{k}" for k in keys])
+
+
 def median_compare(long: DataFrame, side: str, sides: tuple[str, str], keys: list[str], value: str = "value") -> DataFrame:
     """A10: medians of two sides and their symmetric difference in percent; 0 if a side has no rows or the average is 0."""
     a, b = sides
-    medians = long.groupBy(*keys).agg(*[F.median(F.when(F.col(side) == s, F.col(value))).alias(f"median_{i}") for i, s in enumerate(sides)], *[F.count_if(F.col(side) == s).alias(f"rows_{i}") for i, s in enumerate(sides)])
+    counts = long.groupBy(*keys).agg(*[F.count_if(F.col(side) == s).alias(f"rows_{i}") for i, s in enumerate((a, b))])
+    medians = _on(keys, counts, exact_medians(long, keys, {f"median_{i}": F.when(F.col(side) == s, F.col(value)) for i, s in enumerate((a, b))}))
     mean = (F.col("median_0") + F.col("median_1")) / 2
     difference = F.when((F.col("rows_0") == 0) | (F.col("rows_1") == 0), 0.0).when(mean == 0, 0.0).otherwise(F.abs(F.col("median_0") - F.col("median_1")) / mean * 100)
     return medians.select(*keys, "median_0", "median_1", difference.alias("difference"))
@@ -41,8 +71,8 @@ def median_compare(long: DataFrame, side: str, sides: tuple[str, str], keys: lis
 def z_scores(long: DataFrame, keys: list[str], value: str = "value", least: int = 0) -> DataFrame:
     """Each value's distance from its group's mean in standard deviations, with the group's median; groups without spread are left out."""
     x = F.col(value)
-    stats = long.where(x.isNotNull()).groupBy(*keys).agg(F.count("*").alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.median(x).alias("median"))
-    stats = stats.where((F.col("std") > 0) & (F.col("n") > least))
+    stats = long.where(x.isNotNull()).groupBy(*keys).agg(F.count("*").alias("n"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"))
+    stats = _on(keys, stats.where((F.col("std") > 0) & (F.col("n") > least)), exact_medians(long, keys, {"median": x}))
     return long.where(x.isNotNull()).join(stats, keys).withColumn("z", F.abs(F.col("mean") - x) / F.col("std"))
 
 
@@ -83,35 +113,74 @@ def rater_scores(scored: DataFrame, rater: str, subject: str, form: str, variabl
     return use.withColumn("_part", F.pow(F.col(z), 0.75) * form_factor * variable_factor).groupBy(rater).agg(F.avg("_part").alias("score"), F.count("*").alias("n"))
 
 
-def equal_pairs(rows: DataFrame, columns: list[str], share: float = 0.95, filled: int = 30, chunk: int = 500) -> DataFrame:
+def _pair_rows(batches, count):
+    """Sums of a task's pair counts, as (a, b, numbers): count gives a list of matrices for a matrix of rows."""
+    held = None
+    for batch in batches:
+        if batch.num_rows:
+            found = count(batch)
+            held = found if held is None else [x + y for x, y in zip(held, found, strict=True)]
+    if held is not None:
+        a, b = np.nonzero(sum(held))
+        yield pa.RecordBatch.from_arrays([pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32)), *(pa.array(x[a, b]) for x in held)], names=["a", "b", *(f"n{i}" for i in range(len(held)))])
+
+
+def _matrix(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The values of arrays of one width as a matrix, and where they aren't null."""
+    flat = column.flatten()
+    return np.asarray(flat.fill_null(0)).reshape(-1, width), np.asarray(flat.is_valid()).reshape(-1, width)
+
+
+def _equal_counts(batch: pa.RecordBatch, numeric: np.ndarray) -> list[np.ndarray]:
+    n = len(numeric)
+    out = np.zeros((n, n), np.int64)
+    (words, has), (numbers, is_number) = (_matrix(batch.column(x), n) for x in ("words", "numbers"))
+    for i in range(n - 1):
+        same = (words[:, i : i + 1] == words[:, i + 1 :]) & has[:, i : i + 1] & has[:, i + 1 :]
+        if numeric[i]:
+            both = numeric[i + 1 :]
+            same[:, both] = ((numbers[:, i : i + 1] == numbers[:, i + 1 :]) & is_number[:, i : i + 1] & is_number[:, i + 1 :])[:, both]
+        out[i, i + 1 :] = same.sum(axis=0)
+    return [out]
+
+
+def _later_counts(batch: pa.RecordBatch, n: int) -> list[np.ndarray]:
+    days, has = _matrix(batch.column("days"), n)
+    total, later = np.zeros((n, n), np.int64), np.zeros((n, n), np.int64)
+    for i in range(n):
+        both = has[:, i : i + 1] & has
+        total[i] = both.sum(axis=0)
+        later[i] = (both & (days[:, i : i + 1] > days)).sum(axis=0)
+    return [total, later]
+
+
+def equal_pairs(rows: DataFrame, columns: list[str], share: float = 0.95, filled: int = 30) -> DataFrame:
     """Pairs of columns that are equal in more than a share of the rows.
 
     Columns with few filled cells are left out; a pair is compared as numbers if both columns hold nothing else, otherwise as text (two blanks are equal).
-    One aggregation for each `chunk` of pairs: the rows are never paired.
+    One scan for all pairs: a task sums a matrix of columns by columns over its rows, which are compared by 64-bit hashes of their cells.
     """
-    kinds = rows.agg(*[F.struct(F.count_if(~v.is_blank(x) & v.c(x).isNotNull()).alias("n"), (F.count_if(v.num(x).isNull()) == 0).alias("numeric")).alias(x) for x in columns]).first()
+    tests = [F.struct(F.count_if(~v.is_blank(x) & v.c(x).isNotNull()).alias("n"), (F.count_if(v.num(x).isNull()) == 0).alias("numeric")).alias(x) for x in columns]
+    kinds = rows.agg(F.count("*").alias("_rows"), *tests).first()
     names = [x for x in columns if kinds[x]["n"] > filled]
-    pairs = [(a, b) for i, a in enumerate(names) for b in names[i + 1 :]]
-    out = []
-    for at in range(0, len(pairs), chunk):
-        part = pairs[at : at + chunk]
-        same = [F.avg(F.coalesce((v.num(a) == v.num(b)) if kinds[a]["numeric"] and kinds[b]["numeric"] else (v.c(a) == v.c(b)), F.lit(False)).cast("double")) for a, b in part]
-        cells = F.array(*[F.struct(F.lit(a).alias("variable_1"), F.lit(b).alias("variable_2"), s.alias("share")) for (a, b), s in zip(part, same, strict=True)])
-        out.append(rows.agg(cells.alias("p")).select(F.explode("p").alias("p")).select("p.*").where(F.col("share") > share))
-    if not out:
-        return rows.sparkSession.createDataFrame([], "variable_1 string, variable_2 string, share double")
-    found = out[0]
-    for more in out[1:]:
-        found = found.unionByName(more)
-    return found
+    numeric = np.array([kinds[x]["numeric"] for x in names], bool)
+    spark = rows.sparkSession
+    if len(names) < 2:
+        return spark.createDataFrame([], "variable_1 string, variable_2 string, share double")
+    hashed = lambda x: F.when(x.isNotNull(), F.xxhash64(x))
+    cells = rows.select(F.array(*[hashed(v.c(x).cast("string")) for x in names]).alias("words"), F.array(*[hashed(v.num(x) + F.lit(0.0)) if kinds[x]["numeric"] else F.lit(None).cast("long") for x in names]).alias("numbers"))
+    counts = cells.mapInArrow(lambda batches: _pair_rows(batches, lambda b: _equal_counts(b, numeric)), "a int, b int, n0 long").groupBy("a", "b").agg(F.sum("n0").alias("n"))
+    name = lambda x: F.get(F.array(*map(F.lit, names)), F.col(x))
+    return counts.select(name("a").alias("variable_1"), name("b").alias("variable_2"), (F.col("n") / F.lit(kinds["_rows"])).alias("share")).where(F.col("share") > share)
 
 
 def date_pairs(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """For every ordered pair of date variables, the rows that have both and the share in which the first is later; one aggregation."""
-    pairs = [(a, b) for a in columns for b in columns if a != b]
-    both = lambda a, b: F.col(a).isNotNull() & F.col(b).isNotNull()
-    cells = [F.struct(F.lit(a).alias("first"), F.lit(b).alias("second"), F.count_if(both(a, b)).alias("total"), F.count_if(F.col(a) > F.col(b)).alias("later")) for a, b in pairs]
-    found = rows.agg(F.array(*cells).alias("p")).select(F.explode("p").alias("p")).select("p.*")
+    """For every ordered pair of date variables, the rows that have both and the share in which the first is later; one scan, as `equal_pairs`."""
+    days = F.array(*[F.unix_date(v.as_date(F.col(x).cast("string"), cut=True)) for x in columns]).alias("days")
+    counts = rows.select(days).mapInArrow(lambda batches: _pair_rows(batches, lambda b: _later_counts(b, len(columns))), "a int, b int, n0 long, n1 long")
+    counts = counts.groupBy("a", "b").agg(F.sum("n0").alias("total"), F.sum("n1").alias("later"))
+    pairs = rows.sparkSession.createDataFrame([(i, j, a, b) for i, a in enumerate(columns) for j, b in enumerate(columns) if i != j], "a int, b int, first string, second string")
+    found = pairs.join(counts, ["a", "b"], "left").select("first", "second", F.coalesce("total", F.lit(0)).alias("total"), F.coalesce("later", F.lit(0)).alias("later"))
     return found.withColumn("share", F.coalesce(F.try_divide("later", "total"), F.lit(0.0)))
 
 
@@ -180,20 +249,23 @@ def pair_deviation(points: DataFrame, least: int = 50, trim: float = 2.5) -> Dat
     deviations from the group's median in standard deviations.
 
     Points beyond `trim` standard deviations of the median in x or y are left out first; groups of fewer than `least` points too.  A group is
-    dealt to tiles; a pair of tiles gives each point one partial sum and its nearest, so that pairs of points are never rows.
+    dealt to tiles, and pairs of tiles to tasks by both; a pair gives each point one partial sum and its nearest, so that pairs of points are
+    never rows.
     """
     w = ["grp"]
-    stats = points.groupBy(*w).agg(*[f(x).alias(f"{n}_{x}") for x in ("x", "y") for n, f in (("median", F.median), ("std", F.stddev_samp))])
+    stats = points.groupBy(*w).agg(*[F.stddev_samp(x).alias(f"std_{x}") for x in ("x", "y")])
+    stats = _on(w, stats, exact_medians(points, w, {f"median_{x}": F.col(x) for x in ("x", "y")}))
     inside = [F.abs(F.col(x) - F.col(f"median_{x}")) <= trim * F.col(f"std_{x}") for x in ("x", "y")]
     held = points.join(stats, w).where(inside[0] & inside[1]).select("grp", "id", "x", "y")
     sizes = held.groupBy("grp").agg(F.count("*").alias("n")).where(F.col("n") >= least)
-    tiles = held.join(sizes, "grp").withColumn("tile", F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / TILE)).cast("int"))
-    tiles = tiles.groupBy("grp", "tile").agg(F.collect_list(F.struct("id", "x", "y")).alias("points"))
-    own, other = tiles.select("grp", F.col("points").alias("own")), tiles.select("grp", F.col("points").alias("other"))
-    parts = own.join(other, "grp").mapInArrow(_distance_rows, "grp string, id long, total double, near array<double>")
+    tiles = held.join(sizes, "grp").withColumn("tiles", F.ceil(F.col("n") / TILE).cast("int")).withColumn("tile", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int"))
+    tiles = tiles.groupBy("grp", "tiles", "tile").agg(F.collect_list(F.struct("id", "x", "y")).alias("points"))
+    own = tiles.select("grp", F.col("points").alias("own"), F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("tile"))
+    parts = own.join(tiles.select("grp", "tile", F.col("points").alias("other")), ["grp", "tile"]).select("grp", "own", "other").mapInArrow(_distance_rows, "grp string, id long, total double, near array<double>")
     near = F.aggregate(F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, NEAREST), F.lit(0.0), lambda a, x: a + x)
     sums = parts.groupBy("grp", "id").agg(F.sum("total").alias("global"), near.alias("local"))
-    spread = sums.groupBy("grp").agg(*[f(x).alias(f"{n}_{x}") for x in ("global", "local") for n, f in (("median", F.median), ("std", F.stddev_samp))])
+    spread = sums.groupBy("grp").agg(*[F.stddev_samp(x).alias(f"std_{x}") for x in ("global", "local")])
+    spread = _on(w, spread, exact_medians(sums, w, {f"median_{x}": F.col(x) for x in ("global", "local")}))
     deviation = lambda x: F.try_divide(F.abs(F.col(x) - F.col(f"median_{x}")), F.col(f"std_{x}"))
     return sums.join(spread, "grp").select("grp", "id", "global", "local", deviation("global").alias("global_deviation"), deviation("local").alias("local_deviation"))
 
