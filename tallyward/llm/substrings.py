@@ -7,8 +7,10 @@ Method.  Every text is parsed by rounds of recompression: a round names runs of
 right-class symbol.  A name is a 64-bit hash of what it stands for, so that all tasks agree on names without a dictionary.  Each symbol
 carries the interval of words on which its parse depends: if a window holds that interval, any other occurrence of the window holds the
 same symbol.  One aggregation over the corpus finds the phrases of symbols that occur once; every window that holds such a phrase is
-unique.  What is left is verified by 95 bits of a hash of the window's own words: an aggregation gives the earliest start of each
-window, and all other starts are repeats.  No group of equal windows is ever gathered: both aggregations are combined before the shuffle.
+unique.  What is left is named by its interior symbols and the words around them: equal windows share them all.  An aggregation gives the
+earliest start of each name, and all other starts are repeats.  Words are named by 64-bit hashes of their bytes; 31 bits of another hash
+of the window's words, from their bytes with other keys, stand beside each name.  No group of equal windows is ever gathered: both
+aggregations are combined before the shuffle.
 
 Defined cases: null and empty texts have no words; documents shorter than a window are untouched; rows that share a doc_id share their
 places, so that the same start in two such rows isn't earlier than itself.  A row with a null doc_id has no place in the order: it is
@@ -32,10 +34,10 @@ _FAR = np.int64(1 << 40)
 
 
 class Symbols:
-    """A parse of some texts: names, the words [left, right) that each depends on, and texts."""
+    """A parse of some texts: names, the words [left, right) that each depends on, texts, and the first word of each."""
 
-    def __init__(self, name, left, right, text):
-        self.name, self.left, self.right, self.text = name, left, right, text
+    def __init__(self, name, left, right, text, begin):
+        self.name, self.left, self.right, self.text, self.begin = name, left, right, text, begin
 
     def neighbours(self):
         """The left limit of each symbol's left neighbour and the right limit of its right one; far off at a text's ends."""
@@ -54,7 +56,7 @@ class Symbols:
         length = np.diff(np.append(at, len(self.name)))
         left, right = self.neighbours()
         name = np.where(length > 1, combine(self.name[at], length.astype(np.uint64)), self.name[at])
-        return Symbols(name, left[at], right[at + length - 1], self.text[at])
+        return Symbols(name, left[at], right[at + length - 1], self.text[at], self.begin[at])
 
     def pairs(self, turn: int) -> Symbols:
         """Names pairs of a left-class and a right-class symbol; a symbol that stays alone depends on the neighbour it might have met."""
@@ -71,7 +73,7 @@ class Symbols:
         i, name = np.flatnonzero(first), self.name.copy()
         name[i], right[i] = combine(self.name[i], self.name[i + 1]), self.right[i + 1]
         keep = ~second
-        return Symbols(name[keep], left[keep], right[keep], self.text[keep])
+        return Symbols(name[keep], left[keep], right[keep], self.text[keep], self.begin[keep])
 
     def phrases(self) -> Symbols:
         """The symbols whose hash is least among their neighbours', named with both neighbours."""
@@ -83,18 +85,56 @@ class Symbols:
         before, after = self.neighbours()
         i = np.flatnonzero(least & (before > -_FAR // 2) & (after < _FAR // 2))
         name = combine(combine(self.name[i - 1], self.name[i]), self.name[np.minimum(i + 1, n - 1)])
-        return Symbols(name, before[i], after[i], self.text[i])
+        return Symbols(name, before[i], after[i], self.text[i], self.begin[i])
 
 
-def parse(hashes: np.ndarray, first: np.ndarray, width: int) -> Symbols:
-    """The phrases that tell windows apart: those whose words fit in a window."""
+def symbols_of(hashes: np.ndarray, first: np.ndarray) -> Symbols:
+    """The symbols after all rounds."""
     at = np.arange(len(hashes), dtype=np.int64)
-    s = Symbols(hashes, at, at + 1, np.repeat(np.arange(len(first) - 1), np.diff(first)))
+    s = Symbols(hashes, at, at + 1, np.repeat(np.arange(len(first) - 1), np.diff(first)), at)
     for turn in range(ROUNDS):
         s = (s.runs() if turn == 0 else s).pairs(turn)
+    return s
+
+
+def parse(hashes: np.ndarray, first: np.ndarray, width: int) -> Symbols:
+    """The phrases that tell windows apart: those whose words fit in a window."""
+    return fitting(symbols_of(hashes, first), width)
+
+
+def fitting(s: Symbols, width: int) -> Symbols:
     s = s.phrases()
     fits = s.right - s.left <= width
-    return Symbols(s.name[fits], s.left[fits], s.right[fits], s.text[fits])
+    return Symbols(*(x[fits] for x in (s.name, s.left, s.right, s.text, s.begin)))
+
+
+def window_keys(h: np.ndarray, first: np.ndarray, s: Symbols, start: np.ndarray, width: int) -> np.ndarray:
+    """A name of each window: a hash of its interior symbols in order, between the words before the first and after the last of them.
+
+    A symbol is interior if the window holds all that it depends on, so equal windows have the same interior symbols at the same places; and
+    symbols stand for words, so equal sequences stand for equal windows.
+    """
+    n = len(s.name)
+    if not n or not len(start):
+        return np.zeros(len(start), np.uint64)
+    left, right = np.maximum(s.left, first[s.text] - 1), np.minimum(s.right, first[s.text + 1] + 1)
+    end = np.append(s.begin[1:], first[-1])
+    end = np.minimum(end, first[s.text + 1])
+    low, high = np.searchsorted(left, start, "left"), np.searchsorted(right, start + width, "right")
+    some = high > low
+    low, high = np.where(some, low, 0), np.where(some, high, 0)
+    before = np.where(some, s.begin[np.minimum(low, n - 1)] - start, width)
+    inner = before + high - low
+    after = np.where(some, end[np.maximum(high, 1) - 1], 0)  # the first word after the symbols
+    total = inner + np.where(some, start + width - after, 0)
+    out = np.zeros(len(start), np.uint64)
+    with np.errstate(over="ignore"):
+        for t in range(int(total.max())):
+            word = np.where(t < before, start + t, after + t - inner)
+            symbol = (t >= before) & (t < inner)
+            x = np.where(symbol, s.name[np.clip(low + t - before, 0, n - 1)], h[np.clip(word, 0, len(h) - 1)])
+            out = np.where(t < total, out * np.uint64(0x9E3779B97F4A7C15) + x, out)
+        return mix(out + total.astype(np.uint64) * np.uint64(0xD1342543DE82EF95))
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
@@ -112,7 +152,7 @@ def _phrase_rows(batches, width: int):
             words = Words(data, offs)
             s = parse(words.hashes(), words.first, width)
             known, ids = _ids(rows)
-            s = Symbols(*(x[known[s.text]] for x in (s.name, s.left, s.right, s.text)))
+            s = Symbols(*(x[known[s.text]] for x in (s.name, s.left, s.right, s.text, s.begin)))
             name, at, n = np.unique(s.name, return_index=True, return_counts=True)
             yield pa.RecordBatch.from_arrays(
                 [_signed(name), n.astype(np.int64), ids[s.text[at]], np.asarray(s.left[at] - words.first[s.text[at]], np.int32)],
@@ -127,9 +167,10 @@ def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _open_windows(words: Words, rows: pa.RecordBatch, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The windows that hold no phrase that occurs once: first word, text, and two hashes."""
+    """The windows that hold no phrase that occurs once: first word, text, name, and a hash of the words."""
     h, second = words.both_hashes()
-    s = parse(h, words.first, width)
+    symbols = symbols_of(h, words.first)
+    s = fitting(symbols, width)
     once, row = _lists(rows.column("once"))
     alone = np.isin((s.text << 32) + (s.left - words.first[s.text]), (row.astype(np.int64) << 32) + once)
     change = np.zeros(len(h) + 2, np.int32)
@@ -139,7 +180,7 @@ def _open_windows(words: Words, rows: pa.RecordBatch, width: int) -> tuple[np.nd
     start, text = inner_starts(words.first, width)
     left = (unique[start] == 0) & _ids(rows)[0][text]
     start, text = start[left], text[left]
-    return start, text, rolling(h, width)[start], rolling(second, width, second=True)[start]
+    return start, text, window_keys(h, words.first, symbols, start, width), rolling(second, width, second=True)[start]
 
 
 def _window_rows(batches, width: int):

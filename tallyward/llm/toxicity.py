@@ -20,8 +20,8 @@ one row for each chunk of text and three bytes before the last.  Dealt by these
 one shuffle serves them all; the lower orders are a table of 2^24 rows at most.  Nothing is cut from the counts.  A model of `MODEL_ROWS` rows
 at most is broadcast, so that documents are scored where they are read; a larger one is joined to the distinct words of the corpus.
 
-Defined cases: empty and null texts have features of 0 and get what the curve gives them; without both classes in the labels every score
-is the share of toxic ones (0.5 without any); a doc_id with several labels is toxic if one says so; a null doc_id is held out.
+Defined cases: empty and null texts have features of 0 and get what the curve gives them; without both classes in fold 4 every score
+is the share of toxic ones in the folds 1 to 4 (0.5 without any); a doc_id with several labels is toxic if one says so; a null doc_id is held out.
 """
 
 from __future__ import annotations
@@ -415,7 +415,11 @@ def scored(docs: DataFrame, labels: DataFrame, columns: list[str] | None = None)
     few = late.where(sampled(F.xxhash64("doc_id"), FITTED, late.count())).select("doc_id", "toxic")  # about FITTED rows at most
     texts = docs.join(F.broadcast(few), "doc_id").select(F.struct("doc_id", "toxic").alias("row"), "text")
     one = found(texts, EARLY).groupBy("row.doc_id").agg(F.min(F.struct("row.toxic", *NAMES)).alias("x")).select("x.*").toPandas()
-    constant, *weights = fit(one[NAMES].to_numpy(float), one["toxic"].to_numpy(float)).tolist()
+    if one["toxic"].nunique() == 2:
+        constant, *weights = fit(one[NAMES].to_numpy(float), one["toxic"].to_numpy(float)).tolist()
+    else:
+        n, t = marks.where("fold > 0").agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+        constant, weights = float(np.log((t + 0.5) / (n - t + 0.5))), [0.0] * len(NAMES)
     sum_ = sum((F.lit(w) * F.col(x) for w, x in zip(weights, NAMES, strict=True)), F.lit(constant))
     score = 1 / (1 + F.exp(-F.greatest(F.least(sum_, F.lit(30.0)), F.lit(-30.0))))
     rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in columns or docs.columns]).alias("row"), "text")
