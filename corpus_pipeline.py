@@ -19,8 +19,8 @@ from tallyward.llm.toxicity import scored
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are likelier toxic than not go."""
-    return scored(docs, table(spark, sf_dir, "labels")).where("score < 0.5").select("row.*")
+    """Documents that are likelier toxic than not go (none without labels, as all scores are 0.5 then)."""
+    return scored(docs, table(spark, sf_dir, "labels")).where("score <= 0.5").select("row.*")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
