@@ -50,15 +50,21 @@ def _sets(pairs: DataFrame, key: str) -> dict[str, set[str]]:
     return out
 
 
+def _local(table: DataFrame) -> DataFrame:
+    """A table of the dictionary's size as rows of the driver, so that plans don't derive it again each time they read it."""
+    return table.sparkSession.createDataFrame(table.collect(), table.schema)
+
+
 def study(dictionary: DataFrame, added: DataFrame | None = None) -> Study:
     """The metadata of a dictionary; added: (variable) of variables that an older dictionary doesn't have."""
-    meta = content.metadata(dictionary)
+    dictionary = _local(dictionary).coalesce(1)
+    meta = _local(content.metadata(dictionary))
     listed = meta.select("form", "missing_var", "missing_spec_var", "interview_date_var").collect()
     form_of = {r["variable"]: r["form"] for r in dd.forms_of(dictionary).collect()}
     ranges = dd.ranges(dictionary).join(dictionary.select("variable", "form"), "variable")
     groups = _sets(content.blood_groups(dictionary).unionByName(content.module_groups(dictionary)), "grp")
     return Study(
-        content.blank_checks(dictionary), content.missing_code_checks(dictionary), content.specific_values(dictionary), ranges, content.teams(dictionary), dd.labels(dictionary),
+        *map(_local, (content.blank_checks(dictionary), content.missing_code_checks(dictionary), content.specific_values(dictionary), ranges, content.teams(dictionary), dd.labels(dictionary))),
         content.forms(meta), form_of, {n: frozenset(x) for n, x in _sets(content.excluded(dictionary, added), "network").items()}, content.compiled_predicates(dictionary), groups,
         {r["form"]: r["interview_date_var"] for r in listed if r["interview_date_var"]}, {r["form"]: (r["missing_var"], r["missing_spec_var"]) for r in listed if r["missing_var"] and r["missing_spec_var"]},
     )
