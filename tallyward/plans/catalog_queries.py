@@ -77,10 +77,9 @@ def all_rules(spark, sf_dir, cells: dict[str, str], made: list[rules.Rule]) -> D
     return rules.evaluate(rows_of(spark, sf_dir, cells), made, ["k"]).select("k", "rule")
 
 
-def generic(made: list[rules.Rule], own: dict[str, str], most: int = 8) -> dict[str, str]:
-    """Cells of all variables of some rules."""
-    names = sorted({x for r in made for x in r.variables})
-    return {x: own.get(x, numbers(i, most)) for i, x in enumerate(names)} | {x: c for x, c in own.items() if x not in names}
+def generic(names: set[str], own: dict[str, str], most: int = 8) -> dict[str, str]:
+    """Cells of some variables."""
+    return {x: own.get(x, numbers(i, most)) for i, x in enumerate(sorted(names))} | {x: c for x, c in own.items() if x not in names}
 
 
 # R9-R15
@@ -127,8 +126,14 @@ CLINICAL_CELLS = {
 }
 
 
-def clinical_rules() -> list[rules.Rule]:
-    return catalog.clinical_rules()
+def clinical_names() -> set[str]:
+    """The variables of `catalog.clinical_rules`."""
+    out = {f"chroasis_oasis_{n}" for n in range(1, 6)} | {f"chrpps_{x}{y}" for x in "fm" for y in ("dob", "age")} | {"chrpps_interview_date", "demographics_age", "chrchs_weightkg", "chrbprs_bprs_unus"}
+    for pairs in (catalog.CSSRS_YES, catalog.CSSRS_COUNTS):
+        out |= {*pairs, *pairs.values()}
+    out |= {"chrgfs_gf_social_scale", "chrgfr_gf_role_scole", *(f"{x}_{y}" for x in ("chrgfs_gf_social", "chrgfr_gf_role") for y in ("high", "low")), "chrtbi_subject_head_injury", "chrtbi_parent_headinjury", "chrtbi_sourceinfo"}
+    out |= {f"chrbprs_bprs_{x}" for x in ("somc", "guil", "gran", "susp")} | {*catalog.CONVERTS_ABOVE, *catalog.CONVERTS_AT, *catalog.PARENT_AGES, *catalog.ONSET_AGES}
+    return out | {"chrpas_pmod_adult3v1", "chrpas_pmod_adult3v3"}
 
 
 def clinical_conditions() -> dict[str, str]:
@@ -161,10 +166,9 @@ def clinical_conditions() -> dict[str, str]:
     return out
 
 
-@query(fired(generic(clinical_rules(), CLINICAL_CELLS), clinical_conditions()))
+@query(fired(generic(clinical_names(), CLINICAL_CELLS), clinical_conditions()))
 def q_catalog_clinical(spark, sf_dir):
-    made = clinical_rules()
-    return all_rules(spark, sf_dir, generic(made, CLINICAL_CELLS), made)
+    return all_rules(spark, sf_dir, generic(clinical_names(), CLINICAL_CELLS), catalog.clinical_rules())
 
 
 # R27, R28, R30-R34
@@ -234,6 +238,9 @@ DIAGNOSES = {"chrscid_dx": {"criteria": ["chrscid_q1", "chrscid_q2"], "disorder"
 SCID_CELLS = {"chrscid_a48_1": numbers(3, 4), "chrscid_a26_53": numbers(5, 4), "chrscid_a22": numbers(7, 9), "chrscid_a22_1": numbers(8, 4), "chrscid_q3": one_of(1, "1", "0")}
 
 
+SCID_NAMES = {f"chrscid_{x}" for x in "dx q1 q2 q3 a1 a2 a22 a22_1 a25 a26_53 a27 a28 a48_1 a51 a54 a70 a91 a92 a108 a129 a132 a138 a153 a170 c26 d1 d2 d3 d5 d9 d11 d23 d26 d27 d28".split()}
+
+
 def scid_conditions() -> dict[str, str]:
     three = lambda x: among(f"chrscid_{x}", 3)
     either = lambda *x: "(" + " OR ".join(map(three, x)) + ")"
@@ -256,12 +263,10 @@ def scid_conditions() -> dict[str, str]:
     return out
 
 
-@query(fired(generic(catalog.scid_rules(DIAGNOSES), SCID_CELLS, 4), scid_conditions()))
+@query(fired(generic(SCID_NAMES, SCID_CELLS, 4), scid_conditions()))
 def q_catalog_scid(spark, sf_dir):
-    made = catalog.scid_rules(DIAGNOSES)
-    cells = generic(made, SCID_CELLS, 4)
     # R45 counts one main criterion with its fellow below as wrong whatever the counter of the first says
-    return all_rules(spark, sf_dir, cells, made)
+    return all_rules(spark, sf_dir, generic(SCID_NAMES, SCID_CELLS, 4), catalog.scid_rules(DIAGNOSES))
 
 
 # R5, R7, R8, R26
@@ -365,8 +370,8 @@ RUN_CELLS = {
 }
 
 
-def study_of(spark) -> run.Study:
-    made = [(x, f, kind, label, "", logic, required, "", "", low, high) for x, f, kind, label, logic, required, low, high in DICTIONARY]
+def study_of(spark, more: tuple = ()) -> run.Study:
+    made = [(x, f, kind, label, "", logic, required, "", "", low, high) for x, f, kind, label, logic, required, low, high in (*DICTIONARY, *more)]
     names = ("variable", "form", "field_type", "label", "choices", "branching_logic", "required", "identifier", "validation", "validation_min", "validation_max")
     return run.study(spark.createDataFrame(made, ", ".join(f"{x} string" for x in names)))
 
