@@ -1,6 +1,6 @@
 """The fixed rules of the forms: tables of variables, codes and thresholds, turned into `Rule`s.
 
-Names, codes and thresholds are fixed values of the studies' forms.
+Names, codes, thresholds and the messages of R9-R19 are fixed values of the studies' forms.
 """
 
 from __future__ import annotations
@@ -85,8 +85,8 @@ def blood_rules(volumes: tuple[str, ...], barcodes: tuple[str, ...], run_date: C
     sent, done = _is("chrblood_cbc", 1), _is("cbc_with_differential_complete", 2)
     late = v.days_between(v.real_date("chrblood_interview_date", True), run_date) > 5
     pair = ("cbc_with_differential_complete", "chrblood_cbc")
-    out.append(Rule("sent, not complete", pair, ~done & sent & late, F.lit("Blood form indicates EDTA tube was sent to lab for CBC, but CBC form has not been completed."), (BLOOD,), BLOOD_REPORTS))
-    out.append(Rule("complete, not sent", pair, done & ~sent, F.lit("Blood form indicates EDTA tube was not sent to lab for CBC, but CBC form has been completed."), (BLOOD,), BLOOD_REPORTS))
+    out.append(Rule("sent, not complete", pair, ~done & sent & late, F.lit("A tube went to the laboratory over five days ago, but the blood count form is still open."), (BLOOD,), BLOOD_REPORTS))
+    out.append(Rule("complete, not sent", pair, done & ~sent, F.lit("The blood count form is complete, although no tube is marked as sent."), (BLOOD,), BLOOD_REPORTS))
     return out
 
 
@@ -108,8 +108,8 @@ def clinical_rules() -> list[Rule]:
         out += [extreme(f"{stem}_low", (scale, f"{stem}_high"), form, lowest=True), extreme(f"{stem}_high", (scale, f"{stem}_low"), form, lowest=False)]
     subject, parent, source = "chrtbi_subject_head_injury", "chrtbi_parent_headinjury", "chrtbi_sourceinfo"
     tbi = (parent, subject, source)
-    out.append(Rule("head injury", tbi, _is(source, 3) & (v.value(subject) != v.value(parent)), F.lit("Subject and parent answered differently to whether or not the subject has ever had a head injury."), ("traumatic_brain_injury_screen",), MAIN_AND_REST))
-    out.append(Rule("informants", tbi, _is(source, 1, 2) & _is(subject, 0, 1) & _is(parent, 0, 1), F.lit("Subject and parent not both selected as source of information, but answers appear to be provided by both the subject and parent."), ("traumatic_brain_injury_screen",), ("Secondary Report",)))
+    out.append(Rule("head injury", tbi, _is(source, 3) & (v.value(subject) != v.value(parent)), F.lit("The two informants disagree on head injuries."), ("traumatic_brain_injury_screen",), MAIN_AND_REST))
+    out.append(Rule("informants", tbi, _is(source, 1, 2) & _is(subject, 0, 1) & _is(parent, 0, 1), F.lit("Both informants have answers, but only one is marked as the source."), ("traumatic_brain_injury_screen",), ("Secondary Report",)))
     for item, low in {"somc": (1, 2, 3), "guil": (1, 2, 3), "gran": (1, 2, 3), "susp": (1,)}.items():
         x, unusual = f"chrbprs_bprs_{item}", "chrbprs_bprs_unus"
         out.append(Rule(f"{item} and unusual", (x, unusual), _is(x, 6, 7) & _is(unusual, *low), text(f"{x} is ", F.col(x), f", but {unusual} is ", F.col(unusual)), ("bprs",), exclusions=False))
@@ -230,30 +230,30 @@ def scid_rules(diagnoses: dict[str, dict] | None = None) -> list[Rule]:
     for variable, d in (diagnoses or {}).items():
         met = all_of([*(_is(x, 3) for x in d["criteria"]), *(F.coalesce(F.expr(e), F.lit(False)) for e in d.get("extra", ()))])
         both = (*d["criteria"], variable, *d.get("variables", ()))
-        out.append(Rule(f"diagnosis {variable}", both, met & ~_is(variable, 3), F.lit(f"{d['disorder']} criteria are fulfilled, but it is not indicated."), (SCID,), SCID_REPORTS, exclusions=False))
-        out.append(Rule(f"no diagnosis {variable}", both, ~met & _is(variable, 3), F.lit(f"{d['disorder']} criteria are NOT fulfilled, but it is indicated."), (SCID,), SCID_REPORTS, exclusions=False))
+        out.append(Rule(f"diagnosis {variable}", both, met & ~_is(variable, 3), F.lit(f"All criteria of {d['disorder']} hold, but the diagnosis isn't given."), (SCID,), SCID_REPORTS, exclusions=False))
+        out.append(Rule(f"no diagnosis {variable}", both, ~met & _is(variable, 3), F.lit(f"{d['disorder']} is diagnosed without all of its criteria."), (SCID,), SCID_REPORTS, exclusions=False))
     ones = all_of(_is(x, 1) for x in names("a54", "a92", "a132"))
-    out.append(made("depressive manic", ("d28", "d26", "d27", "a54", "a92", "a132"), ones & three("d26") & three("d27") & ~three("d28"), "subject does not fulfill any manic or hypomanic episode but depression is excluded due to this symptom.", exclusions=False))
+    out.append(made("depressive manic", ("d28", "d26", "d27", "a54", "a92", "a132"), ones & three("d26") & three("d27") & ~three("d28"), "Depression is ruled out by mania, but no manic or hypomanic screening item is positive.", exclusions=False))
     for kind, (a, b), d, more in (("major depressive", ("a25", "a51"), "d26", ("d3", "d9", "d11", "d23")), ("manic", ("a70", "a108"), "d2", ()), ("hypomanic", ("a91", "a129"), "d5", ())):
         episode = three(a) | three(b)
         wrong = (~episode & three(d)) | (episode & ~any_of(three(x) for x in more) & ~three(d))
-        message = text(f"Contradiction between variables related to {kind} episode (", *[p for x in (a, b, d) for p in (f" chrscid_{x} = ", F.col(f"chrscid_{x}"))], ")")
+        message = text(f"The {kind} episode items and their summary disagree (", *[p for x in (a, b, d) for p in (f" chrscid_{x} = ", F.col(f"chrscid_{x}"))], ")")
         out.append(made(f"{kind} episode", (a, b, d, *more), wrong, message, exclusions=False))
     manic = any_of(three(x) for x in ("a70", "a91", "a108", "a129", "a138"))
-    out.append(made("mania not fulfilled", ("d28", "a70", "a91", "a108", "a129", "a138"), ~manic & ~three("d28"), "chrscid_d28 has to be 3 since no manic or hypomanic episode was fulfilled.", exclusions=False, applies=("chrscid_d28",)))
+    out.append(made("mania not fulfilled", ("d28", "a70", "a91", "a108", "a129", "a138"), ~manic & ~three("d28"), "Without a manic or hypomanic episode chrscid_d28 is expected to be 3.", exclusions=False, applies=("chrscid_d28",)))
     a, b, count = three("a27"), three("a28"), "chrscid_a48_1"
     below = lambda x: _is(f"chrscid_{x}", 1, 2)
     both = a & b & ~_is(count, 2)
     one = (a & below("a28")) | (b & below("a27") & ~_is(count, 1))
-    out.append(made("depressed mood", ("a27", "a28", "a48_1"), both | one, F.when(both, "Fulfills both main criteria but was counted incorrectly, a27, a28, a48_1").otherwise("Fulfills main criteria but further value was wrong, a27, a28, a48_1")))
+    out.append(made("depressed mood", ("a27", "a28", "a48_1"), both | one, F.when(both, "Both main criteria hold, but the counter a48_1 isn't 2").otherwise("One of the main criteria a27 and a28 holds, but the other one and the counter a48_1 don't fit")))
     n, episode = v.value("chrscid_a26_53"), three("a25") | three("a51")
-    out.append(made("episode count", ("a26_53", "a25", "a51"), ((n < 1) & episode) | ((n > 0) & ~episode), F.when(episode, "has no indication of total mde episodes fulfilled in life even though fulfills current major depression. a26_53, a51").otherwise("fulfills more manic episodes than 0 but there is no indication of past or current depressive episode. a26_53, a25")))
+    out.append(made("episode count", ("a26_53", "a25", "a51"), ((n < 1) & episode) | ((n > 0) & ~episode), F.when(episode, "A depressive episode is present, but the lifetime count a26_53 is below 1").otherwise("The lifetime count a26_53 is above 0, but no depressive episode is present")))
     for kind, x, y, e in (("", "a1", "a2", "a25"), ("past ", "a27", "a28", "a51")):
-        out.append(made(f"{kind}threshold", (x, y, e), ~three(x) & ~three(y) & three(e), f"main criteria for {kind}major depressive episode both below threshold but {kind}major depressive episode fulfilled."))
+        out.append(made(f"{kind}threshold", (x, y, e), ~three(x) & ~three(y) & three(e), f"A {kind}major depressive episode is marked, but neither of its main criteria reaches the threshold."))
     moods = ("a25", "a51", "a70", "a91", "a108", "a129", "a138", "a153", "a170")
-    out.append(made("mood symptoms", ("d1", "c26", *moods), any_of(three(x) for x in moods) & ~three("c26") & ~_is("chrscid_d1", 1), "chrscid_d1 needs to be checked if there are any clinically significant mood symptoms."))
+    out.append(made("mood symptoms", ("d1", "c26", *moods), any_of(three(x) for x in moods) & ~three("c26") & ~_is("chrscid_d1", 1), "There are mood symptoms, but chrscid_d1 isn't marked."))
     asked = (v.value("chrscid_a22") > 4) & (v.value("chrscid_a22_1") > 0) & v.is_empty("chrscid_a25")
-    out.append(made("mood episode", ("a25", "a22", "a22_1"), asked, "A. MOOD EPISODES: subject fulfills more than 4 criteria of depression but further questions are not asked: start checking a22, a22_1, a25"))
+    out.append(made("mood episode", ("a25", "a22", "a22_1"), asked, "More than four criteria of depression (a22, a22_1), but a25 is unanswered"))
     return out
 
 
@@ -275,7 +275,7 @@ def within_21_days(forms: dict[str, str], marker: str, screen_date: str = "psych
     for form, x in forms.items():
         if form not in EXEMPT_FROM_21_DAYS:
             days = v.days_between(v.real_date(x), v.real_date(screen_date))
-            message = text(f"M6 clicked on baseline psychs, but there are more than 21 days between {form} (date = ", F.col(x), ") and Screening Psychs (date = ", F.col(screen_date), ")")
+            message = text(f"Reason M6, but {form} (", F.col(x), ") lies over 21 days from the screening interview (", F.col(screen_date), ")")
             out.append(Rule(f"21 days {form}", (marker, x), (F.col(marker) == "M6") & (days > 21), message, (form,), MAIN_AND_REST, gated=False))
     return out
 
