@@ -56,4 +56,17 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM d LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)
 """
 
-ORACLES = {"op1_topk": OP1, "op2_near_duplicates": OP2, "op5_substrings": OP5, "op7_line_dedup": OP7, "op9_decontaminate": OP9}
+OP11 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS.format(_LOWER.format("text"))} AS w FROM documents),
+s AS (SELECT r, doc_id, len(w) AS n FROM d WHERE len(w) > 0),
+a AS (SELECT CAST(count(*) AS BIGINT) AS c, CAST(sum(n) AS BIGINT) AS l FROM s),
+b AS (SELECT DISTINCT item_id, unnest({_TERMS.format(_LOWER.format("text"))}) AS term FROM benchmark WHERE item_id IS NOT NULL),
+t AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM d) WHERE term IN (SELECT term FROM b) GROUP BY 1, 2),
+f AS (SELECT term, CAST(floor(1000 * ln((2 * c + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM t, a GROUP BY term, c),
+i AS (SELECT r, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * c) // l))) AS impact FROM t JOIN f USING (term) JOIN s USING (r), a),
+x AS (SELECT item_id, r, CAST(sum(impact) AS BIGINT) AS score FROM b JOIN i USING (term) GROUP BY 1, 2 HAVING sum(impact) > 0),
+o AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM x JOIN s USING (r) WHERE doc_id IS NOT NULL)
+SELECT * FROM o WHERE rank <= 10
+"""
+
+ORACLES = {"op1_topk": OP1, "op2_near_duplicates": OP2, "op5_substrings": OP5, "op7_line_dedup": OP7, "op9_decontaminate": OP9, "op11_search": OP11}

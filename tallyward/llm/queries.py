@@ -10,6 +10,7 @@ from tallyward.llm.decontaminate import mark_benchmark
 from tallyward.llm.line_dedup import remove_lines
 from tallyward.llm.near_duplicates import near_duplicates
 from tallyward.llm.oracles import ORACLES
+from tallyward.llm.ranked_search import rank_documents
 from tallyward.llm.secrets import KINDS, scan
 from tallyward.llm.sharding import shard
 from tallyward.llm.shared import table
@@ -87,5 +88,9 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *map(of_kind, KINDS), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_topk, op2_near_duplicates, op3_bpe, op4_sharding, op5_substrings, op6_toxicity, op7_line_dedup, op8_url_filter, op9_decontaminate, op10_secrets)}
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10)
+
+
+QUERIES = {f.__name__: f for f in (op1_topk, op2_near_duplicates, op3_bpe, op4_sharding, op5_substrings, op6_toxicity, op7_line_dedup, op8_url_filter, op9_decontaminate, op10_secrets, op11_search)}
 __all__ = ["ORACLES", "QUERIES"]
