@@ -18,6 +18,7 @@ from tallyward.llm.substrings import remove_repeats
 from tallyward.llm.topk import top_k
 from tallyward.llm.toxicity import fold, scored
 from tallyward.llm.url_filter import filter_urls
+from tallyward.llm.whitening import whiten
 
 
 def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,5 +93,9 @@ def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10)
 
 
-QUERIES = {f.__name__: f for f in (op1_topk, op2_near_duplicates, op3_bpe, op4_sharding, op5_substrings, op6_toxicity, op7_line_dedup, op8_url_filter, op9_decontaminate, op10_secrets, op11_search)}
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"), 32)
+
+
+QUERIES = {f.__name__: f for f in (op1_topk, op2_near_duplicates, op3_bpe, op4_sharding, op5_substrings, op6_toxicity, op7_line_dedup, op8_url_filter, op9_decontaminate, op10_secrets, op11_search, op12_whitening)}
 __all__ = ["ORACLES", "QUERIES"]
