@@ -69,4 +69,15 @@ o AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY scor
 SELECT * FROM o WHERE rank <= 10
 """
 
-ORACLES = {"op1_topk": OP1, "op2_near_duplicates": OP2, "op5_substrings": OP5, "op7_line_dedup": OP7, "op9_decontaminate": OP9, "op11_search": OP11}
+OP13 = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+k AS (SELECT r, doc_id, i, substr(h, 2 * i + 1, 200) AS k FROM (SELECT r, doc_id, h, unnest(range(0, greatest(len(h) // 2 - 99, 0))) AS i FROM d)),
+f AS (SELECT r, i AS j, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) > 1 AS later FROM k),
+b AS (SELECT r, j, substr(h, 2 * j + 1, 2) AS x FROM (SELECT r, h, unnest(range(0, len(h) // 2)) AS j FROM d)),
+g AS (SELECT r, j, x, coalesce(bool_or(later) OVER (PARTITION BY r ORDER BY j ROWS BETWEEN 99 PRECEDING AND CURRENT ROW), false) AS gone FROM b LEFT JOIN f USING (r, j)),
+s AS (SELECT r, j, x, gone, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY r ORDER BY j), false) AS starts FROM g),
+p AS (SELECT r, count(*) FILTER (WHERE gone) AS n_removed, count(*) FILTER (WHERE starts) AS n_spans, string_agg(x, '' ORDER BY j) FILTER (WHERE NOT gone) AS kept FROM s GROUP BY r)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256 FROM d LEFT JOIN p USING (r)
+"""
+
+ORACLES = {"op1_topk": OP1, "op2_near_duplicates": OP2, "op5_substrings": OP5, "op7_line_dedup": OP7, "op9_decontaminate": OP9, "op11_search": OP11, "op13_suffix_dedup": OP13}

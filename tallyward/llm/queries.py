@@ -15,6 +15,7 @@ from tallyward.llm.secrets import KINDS, scan
 from tallyward.llm.sharding import shard
 from tallyward.llm.shared import table
 from tallyward.llm.substrings import remove_repeats
+from tallyward.llm.suffix_dedup import remove_repeated_bytes
 from tallyward.llm.topk import top_k
 from tallyward.llm.toxicity import fold, scored
 from tallyward.llm.url_filter import filter_urls
@@ -97,5 +98,10 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(table(spark, sf_dir, "embeddings"), 32)
 
 
-QUERIES = {f.__name__: f for f in (op1_topk, op2_near_duplicates, op3_bpe, op4_sharding, op5_substrings, op6_toxicity, op7_line_dedup, op8_url_filter, op9_decontaminate, op10_secrets, op11_search, op12_whitening)}
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = remove_repeated_bytes(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_topk, op2_near_duplicates, op3_bpe, op4_sharding, op5_substrings, op6_toxicity, op7_line_dedup, op8_url_filter, op9_decontaminate, op10_secrets, op11_search, op12_whitening, op13_suffix_dedup)}
 __all__ = ["ORACLES", "QUERIES"]
