@@ -7,10 +7,13 @@ The rewrite is one chain of regexp_replace over the whole dictionary; the result
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyward.functions.expressions import Sql, expr, lit
+
 _IS_NUMBER = "[ \t]*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?[ \t]*"
 _NAME = r"\[([A-Za-z]\w*)\]"
 _OP = r"\s*(<=|>=|<>|!=|=|<|>)\s*"
@@ -123,9 +126,9 @@ def compiled(dictionary: DataFrame, overrides: DataFrame | None = None) -> DataF
     return out.join(own, "variable", "left").select("variable", F.coalesce("own", "predicate").alias("predicate"), F.when(F.col("own").isNotNull(), "").otherwise(F.col("rest")).alias("rest"))
 
 
-def applicable(predicate: str, columns: list[str]) -> Column:
-    """A compiled predicate as a column over rows with these columns; names that no file has count as absent."""
+def applicable(predicate: str, columns: Iterable[str]) -> Sql:
+    """A compiled predicate over rows with these columns; names that no file has count as absent."""
     if not predicate.strip():
-        return F.lit(True)
-    known = set(columns)
-    return F.expr(re.sub(r"`(\w+)`", lambda m: m[0] if m[1] in known else "CAST(NULL AS STRING)", predicate))
+        return lit(True)
+    known = columns if isinstance(columns, (set, frozenset)) else set(columns)
+    return expr(re.sub(r"`(\w+)`", lambda m: m[0] if m[1] in known else "CAST(NULL AS STRING)", predicate))

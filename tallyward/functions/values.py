@@ -2,6 +2,9 @@
 
 Cells are text.  A number is what reads as one in whole, missing codes stand for "asked, no answer", and a blank is an empty text; a null is a
 column that the row's file does not have.  All functions are total: under ANSI mode they never raise.
+
+Each function takes a column's name, a column or a piece of SQL text (`functions.expressions`), and gives SQL text for SQL text, otherwise a column.
+`of_text` has them all with names as SQL text, which is what rules are made of.
 """
 
 from __future__ import annotations
@@ -9,7 +12,9 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import Column
-from pyspark.sql import functions as F
+from pyspark.sql import functions as columns
+
+from tallyward.functions import expressions as F
 
 # Codes and dates that mean "missing".
 MISSING_NUMBERS = (-3, -9, -99, 999)
@@ -20,7 +25,7 @@ _DATE = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
 
 
 def c(name: str | Column) -> Column:
-    return F.col(name) if isinstance(name, str) else name
+    return columns.col(name) if isinstance(name, str) else name
 
 
 def num(x) -> Column:
@@ -30,19 +35,19 @@ def num(x) -> Column:
 
 
 def is_number(x) -> Column:
-    return F.coalesce(c(x).rlike(_NUMBER), F.lit(False))
+    return F.coalesce(c(x).rlike(_NUMBER), False)
 
 
 def is_digits(x) -> Column:
-    return F.coalesce(c(x).rlike("^[0-9]+$"), F.lit(False))
+    return F.coalesce(c(x).rlike("^[0-9]+$"), False)
 
 
 def is_blank(x) -> Column:
-    return F.coalesce(c(x).cast("string") == "", F.lit(False))
+    return F.coalesce(c(x).cast("string") == "", False)
 
 
 def is_missing(x) -> Column:
-    return F.coalesce(num(x).isin(*MISSING_NUMBERS), F.lit(False)) | F.coalesce(c(x).cast("string").isin(*MISSING_DATES), F.lit(False))
+    return F.coalesce(num(x).isin(*MISSING_NUMBERS), False) | F.coalesce(c(x).cast("string").isin(*MISSING_DATES), False)
 
 
 def is_empty(x) -> Column:
@@ -57,7 +62,7 @@ def filled(x) -> Column:
 
 def code_in(x, codes: Iterable[float]) -> Column:
     """The cell is one of these codes in any spelling."""
-    return F.coalesce(num(x).isin(*[float(v) for v in codes]), F.lit(False))
+    return F.coalesce(num(x).isin(*[float(v) for v in codes]), False)
 
 
 def is_code(x, code: float) -> Column:
@@ -77,7 +82,7 @@ def as_date(x, cut: bool = False) -> Column:
 
 def as_minute(x) -> Column:
     """yyyy-MM-dd HH:mm as a timestamp."""
-    return F.when(c(x).rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}$"), F.try_to_timestamp(c(x), F.lit("yyyy-MM-dd HH:mm")))
+    return F.when(c(x).rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}$"), F.try_to_timestamp(c(x), "yyyy-MM-dd HH:mm"))
 
 
 def real_date(x, cut: bool = False) -> Column:
@@ -87,11 +92,11 @@ def real_date(x, cut: bool = False) -> Column:
 
 def clean_date_text(x) -> Column:
     """Slashes become dashes; what follows a blank or a T goes."""
-    return F.split_part(F.split_part(F.replace(c(x), F.lit("/"), F.lit("-")), F.lit(" "), F.lit(1)), F.lit("T"), F.lit(1))
+    return F.split_part(F.split_part(F.replace(c(x), "/", "-"), " ", 1), "T", 1)
 
 
 def days_between(a: Column, b: Column) -> Column:
-    return F.abs(F.datediff(b, a))
+    return F.absolute(F.datediff(b, a))
 
 
 def days_since(x, run_date: Column) -> Column:
@@ -99,7 +104,7 @@ def days_since(x, run_date: Column) -> Column:
 
 
 def years_between(a: Column, b: Column) -> Column:
-    return F.datediff(b, a) / F.lit(365.0)
+    return F.datediff(b, a) / 365.0
 
 
 def first_digits(x) -> Column:
@@ -130,3 +135,14 @@ def freshness(days: Column, resolved: Column, manual: Column) -> Column:
     """The class of a tracker row: manual before resolved before age; grey without an age."""
     age = F.when(days < 7, "yellow").when(days < 14, "orange").when(days >= 14, "red").otherwise("grey")
     return F.when(manual, "blue").when(resolved, "green").otherwise(age)
+
+
+class _OfText:
+    """The functions above with names as SQL text."""
+
+    def __getattr__(self, name):
+        made = globals()[name]
+        return lambda x, *more, **named: made(F.col(x) if isinstance(x, str) else x, *more, **named)
+
+
+of_text = _OfText()

@@ -7,10 +7,13 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyward.functions import expressions as sql
 from tallyward.functions import values as v
+from tallyward.functions.expressions import Sql, col
+from tallyward.functions.values import of_text as cell
 from tallyward.operators.rules import Rule, all_of, any_of, implies, ordered, outside, overlapping, pattern, slots, text, tolerance
 
 BLOOD, CBC, SCID = "blood_sample_preanalytic_quality_assurance", "cbc_with_differential", "scid5_psychosis_mood_substance_abuse"
@@ -59,34 +62,34 @@ EXEMPT_FROM_21_DAYS = (
 )
 
 
-def _is(x: str, *codes: float) -> Column:
-    return v.code_in(x, codes)
+def _is(x: str, *codes: float) -> Sql:
+    return cell.code_in(x, codes)
 
 
-def blood_rules(volumes: tuple[str, ...], barcodes: tuple[str, ...], run_date: Column) -> list[Rule]:
+def blood_rules(volumes: tuple[str, ...], barcodes: tuple[str, ...], run_date: Sql) -> list[Rule]:
     """R9-R15."""
     out = []
     for x in volumes:
-        low, high = v.value(x) <= 0, v.value(x) > 1.1
-        out.append(Rule(f"volume {x}", (x,), low | high, text(f"Volume ({x} = ", F.col(x), F.when(low, ") is less than or equal to 0").otherwise(") is greater than 1.1")), (BLOOD,), BLOOD_REPORTS))
-    out += [Rule(f"freeze {x}", (x,), v.value(x) > 480, text(f"Processing time ({x} = ", F.col(x), ") is greater than 480"), (BLOOD,), BLOOD_REPORTS) for x in FREEZE_TIMES]
-    out.append(ordered("draw before lab", "chrblood_drawdate", "chrblood_labdate", v.as_minute, forms=(BLOOD,), reports=BLOOD_REPORTS))
+        low, high = cell.value(x) <= 0, cell.value(x) > 1.1
+        out.append(Rule(f"volume {x}", (x,), low | high, text(f"Volume ({x} = ", col(x), sql.when(low, ") is less than or equal to 0").otherwise(") is greater than 1.1")), (BLOOD,), BLOOD_REPORTS))
+    out += [Rule(f"freeze {x}", (x,), cell.value(x) > 480, text(f"Processing time ({x} = ", col(x), ") is greater than 480"), (BLOOD,), BLOOD_REPORTS) for x in FREEZE_TIMES]
+    out.append(ordered("draw before lab", "chrblood_drawdate", "chrblood_labdate", cell.as_minute, forms=(BLOOD,), reports=BLOOD_REPORTS))
     for x in barcodes:
-        counted = v.filled(x) & ~F.lower(x).contains("pronet")
-        out.append(Rule(f"short {x}", (x,), counted & (F.length(x) < 10), text("Barcode (", F.col(x), ") length is less than 10 characters."), (BLOOD,), BLOOD_REPORTS, gated=False))
-        out.append(Rule(f"digits {x}", (x,), counted & ~v.is_digits(x), text("Barcode (", F.col(x), ") contains non-numeric characters."), (BLOOD,), BLOOD_REPORTS, gated=False))
+        counted = cell.filled(x) & ~sql.lower(col(x)).contains("pronet")
+        out.append(Rule(f"short {x}", (x,), counted & (sql.length(col(x)) < 10), text("Barcode (", col(x), ") length is less than 10 characters."), (BLOOD,), BLOOD_REPORTS, gated=False))
+        out.append(Rule(f"digits {x}", (x,), counted & ~cell.is_digits(x), text("Barcode (", col(x), ") contains non-numeric characters."), (BLOOD,), BLOOD_REPORTS, gated=False))
     total = tolerance("white cells", "chrcbc_wbc", "chrcbc_wbcsum", 0.1, forms=(CBC,), reports=BLOOD_REPORTS)
     out.append(total)
-    other = F.col("network") != "PRESCIENT"
+    other = col("network") != "PRESCIENT"
     for limits, above in ((CBC_ABOVE, True), (CBC_BELOW, False)):
         out += [
-            Rule(f"units {x}", (x,), v.value(x) > t if above else v.value(x) < t, text(f"Incorrect units used ({x} = ", F.col(x), ")"), (CBC,), BLOOD_REPORTS, only=other) for x, t in limits.items()
+            Rule(f"units {x}", (x,), cell.value(x) > t if above else cell.value(x) < t, text(f"Incorrect units used ({x} = ", col(x), ")"), (CBC,), BLOOD_REPORTS, only=other) for x, t in limits.items()
         ]
     sent, done = _is("chrblood_cbc", 1), _is("cbc_with_differential_complete", 2)
-    late = v.days_between(v.real_date("chrblood_interview_date", True), run_date) > 5
+    late = v.days_between(cell.real_date("chrblood_interview_date", True), run_date) > 5
     pair = ("cbc_with_differential_complete", "chrblood_cbc")
-    out.append(Rule("sent, not complete", pair, ~done & sent & late, F.lit("A tube went to the laboratory over five days ago, but the blood count form is still open."), (BLOOD,), BLOOD_REPORTS))
-    out.append(Rule("complete, not sent", pair, done & ~sent, F.lit("The blood count form is complete, although no tube is marked as sent."), (BLOOD,), BLOOD_REPORTS))
+    out.append(Rule("sent, not complete", pair, ~done & sent & late, sql.lit("A tube went to the laboratory over five days ago, but the blood count form is still open."), (BLOOD,), BLOOD_REPORTS))
+    out.append(Rule("complete, not sent", pair, done & ~sent, sql.lit("The blood count form is complete, although no tube is marked as sent."), (BLOOD,), BLOOD_REPORTS))
     return out
 
 
@@ -95,53 +98,53 @@ def clinical_rules() -> list[Rule]:
     out = []
     for n in range(2, 6):
         x = f"chroasis_oasis_{n}"
-        out.append(implies(f"anxiety {n}", ("chroasis_oasis_1", x), _is("chroasis_oasis_1", 0) & (v.value(x) > 0), F.lit(False), text(f"Marked as having no anxiety in chroasis_oasis_1, but {x} is equal to ", F.col(x)), forms=("oasis",), reports=("Secondary Report",)))
+        out.append(implies(f"anxiety {n}", ("chroasis_oasis_1", x), _is("chroasis_oasis_1", 0) & (cell.value(x) > 0), sql.lit(False), text(f"Marked as having no anxiety in chroasis_oasis_1, but {x} is equal to ", col(x)), forms=("oasis",), reports=("Secondary Report",)))
     for x, cut in {"chroasis_oasis_4": 1, "chroasis_oasis_5": 0}.items():
-        little = v.value("chroasis_oasis_3") < 2
-        out.append(implies(f"lifestyle {x}", ("chroasis_oasis_1", "chroasis_oasis_3", x), little & (v.value(x) > cut), F.lit(False), f"chroasis_oasis_1 states that lifestyle was not affected, but {x} is greater than {cut}", forms=("oasis",), reports=("Secondary Report",)))
+        little = cell.value("chroasis_oasis_3") < 2
+        out.append(implies(f"lifestyle {x}", ("chroasis_oasis_1", "chroasis_oasis_3", x), little & (cell.value(x) > cut), sql.lit(False), f"chroasis_oasis_1 states that lifestyle was not affected, but {x} is greater than {cut}", forms=("oasis",), reports=("Secondary Report",)))
     for life, recent in CSSRS_YES.items():
-        out.append(implies(f"lifetime {life}", (life, recent), _is(life, 2) & _is(recent, 1), F.lit(False), f"{recent} is yes, although {life}, which covers all times, is no.", forms=("cssrs_baseline",), reports=MAIN_AND_REST))
+        out.append(implies(f"lifetime {life}", (life, recent), _is(life, 2) & _is(recent, 1), sql.lit(False), f"{recent} is yes, although {life}, which covers all times, is no.", forms=("cssrs_baseline",), reports=MAIN_AND_REST))
     for life, recent in CSSRS_COUNTS.items():
-        out.append(Rule(f"count {life}", (life, recent), v.value(life) < v.value(recent), text(f"Lifetime variable ({life} = ", F.col(life), f") has lower intensity, than recent variable ({recent} = ", F.col(recent), ")."), ("cssrs_baseline",), MAIN_AND_REST))
+        out.append(Rule(f"count {life}", (life, recent), cell.value(life) < cell.value(recent), text(f"Lifetime variable ({life} = ", col(life), f") has lower intensity, than recent variable ({recent} = ", col(recent), ")."), ("cssrs_baseline",), MAIN_AND_REST))
     for stem, form in {"chrgfs_gf_social": "global_functioning_social_scale", "chrgfr_gf_role": "global_functioning_role_scale"}.items():
         scale = f"{stem}_scale" if "social" in stem else f"{stem}_scole"
         out += [extreme(f"{stem}_low", (scale, f"{stem}_high"), form, lowest=True), extreme(f"{stem}_high", (scale, f"{stem}_low"), form, lowest=False)]
     subject, parent, source = "chrtbi_subject_head_injury", "chrtbi_parent_headinjury", "chrtbi_sourceinfo"
     tbi = (parent, subject, source)
-    out.append(Rule("head injury", tbi, _is(source, 3) & (v.value(subject) != v.value(parent)), F.lit("The two informants disagree on head injuries."), ("traumatic_brain_injury_screen",), MAIN_AND_REST))
-    out.append(Rule("informants", tbi, _is(source, 1, 2) & _is(subject, 0, 1) & _is(parent, 0, 1), F.lit("Both informants have answers, but only one is marked as the source."), ("traumatic_brain_injury_screen",), ("Secondary Report",)))
+    out.append(Rule("head injury", tbi, _is(source, 3) & (cell.value(subject) != cell.value(parent)), sql.lit("The two informants disagree on head injuries."), ("traumatic_brain_injury_screen",), MAIN_AND_REST))
+    out.append(Rule("informants", tbi, _is(source, 1, 2) & _is(subject, 0, 1) & _is(parent, 0, 1), sql.lit("Both informants have answers, but only one is marked as the source."), ("traumatic_brain_injury_screen",), ("Secondary Report",)))
     for item, low in {"somc": (1, 2, 3), "guil": (1, 2, 3), "gran": (1, 2, 3), "susp": (1,)}.items():
         x, unusual = f"chrbprs_bprs_{item}", "chrbprs_bprs_unus"
-        out.append(Rule(f"{item} and unusual", (x, unusual), _is(x, 6, 7) & _is(unusual, *low), text(f"{x} is ", F.col(x), f", but {unusual} is ", F.col(unusual)), ("bprs",), exclusions=False))
-    out.append(Rule("weight", ("chrchs_weightkg",), v.num("chrchs_weightkg") < 0, text("chrchs_weightkg is ", F.col("chrchs_weightkg")), ("bprs",)))
+        out.append(Rule(f"{item} and unusual", (x, unusual), _is(x, 6, 7) & _is(unusual, *low), text(f"{x} is ", col(x), f", but {unusual} is ", col(unusual)), ("bprs",), exclusions=False))
+    out.append(Rule("weight", ("chrchs_weightkg",), cell.num("chrchs_weightkg") < 0, text("chrchs_weightkg is ", col("chrchs_weightkg")), ("bprs",)))
     for limits, above, report in ((CONVERTS_ABOVE, True, "Main Report"), (CONVERTS_AT, False, "Conversion Report")):
         for x, t in limits.items():
-            met = v.num(x) > t if above else v.num(x) == t
+            met = cell.num(x) > t if above else cell.num(x) == t
             form = "bprs" if "bprs" in x else "psychs_p1p8_fu" if "psychs" in x else SCID
-            out.append(Rule(f"conversion {x}", (x,), met & (F.col("visit_status_string") != "converted"), text(f"{x} is ", F.col(x), ", but participant is not marked as converted."), (form,), (report,)))
+            out.append(Rule(f"conversion {x}", (x,), met & (col("visit_status_string") != "converted"), text(f"{x} is ", col(x), ", but participant is not marked as converted."), (form,), (report,)))
     one, three = "chrpas_pmod_adult3v1", "chrpas_pmod_adult3v3"
-    out.append(Rule("marriage", (three, one), _is(one, *range(4)) & _is(three, *range(7)), text(f"{one} is equal to ", F.col(one), f", but {three} is equal to ", F.col(three)), ("premorbid_adjustment_scale",), exclusions=False))
+    out.append(Rule("marriage", (three, one), _is(one, *range(4)) & _is(three, *range(7)), text(f"{one} is equal to ", col(one), f", but {three} is equal to ", col(three)), ("premorbid_adjustment_scale",), exclusions=False))
     for x in ("f", "m"):
         born, age = f"chrpps_{x}dob", f"chrpps_{x}age"
-        years = v.years_between(v.real_date(born, True), v.real_date("chrpps_interview_date", True))
-        out.append(Rule(f"birth {x}", ("chrpps_interview_date", born), (years < 10) | (years > 85), text(f"{born} implies an age of ", F.round(years, 1)), ("psychosis_polyrisk_score",)))
+        years = v.years_between(cell.real_date(born, True), cell.real_date("chrpps_interview_date", True))
+        out.append(Rule(f"birth {x}", ("chrpps_interview_date", born), (years < 10) | (years > 85), text(f"{born} implies an age of ", sql.rounded(years, 1)), ("psychosis_polyrisk_score",)))
         for source in (age, "demographics_age"):
             name = f"age {x}" if source == age else f"demographic age {x}"
-            out.append(Rule(name, ("chrpps_interview_date", born, source), years - v.value(source) >= 1, text(f"{source} (", F.col(source), ") is lower than the birth date implies"), ("psychosis_polyrisk_score",), exclusions=False))
+            out.append(Rule(name, ("chrpps_interview_date", born, source), years - cell.value(source) >= 1, text(f"{source} (", col(source), ") is lower than the birth date implies"), ("psychosis_polyrisk_score",), exclusions=False))
     for names, low, high in ((PARENT_AGES, 10, 85), (ONSET_AGES, 0, 0)):
         for x in names:
-            apart = F.round(F.abs(v.num("age") - v.value(x)), 2)
+            apart = sql.rounded(sql.absolute(cell.num("age") - cell.value(x)), 2)
             form = PARENT_FORMS.get(x.split("_")[0], SCID)
-            out.append(Rule(f"age difference {x}", (x,), (apart < low) | (apart > high), text(f"{x} (", F.col(x), ") and the subject's age differ by ", apart), (form,)))
+            out.append(Rule(f"age difference {x}", (x,), (apart < low) | (apart > high), text(f"{x} (", col(x), ") and the subject's age differ by ", apart), (form,)))
     return out
 
 
 def extreme(score: str, others: tuple[str, ...], form: str, lowest: bool) -> Rule:
     """A "lowest" score lies above another, or a "highest" below."""
-    values = [v.value(x) for x in others]
-    bound = F.least(*values) if lowest else F.greatest(*values)
-    hit = v.value(score) > bound if lowest else v.value(score) < bound
-    return Rule(f"extreme {score}", (score, *others), hit, text(f"{score} (", F.col(score), ") is not the ", "lowest" if lowest else "highest", " score"), (form,), MAIN_AND_REST)
+    values = [cell.value(x) for x in others]
+    bound = sql.least(*values) if lowest else sql.greatest(*values)
+    hit = cell.value(score) > bound if lowest else cell.value(score) < bound
+    return Rule(f"extreme {score}", (score, *others), hit, text(f"{score} (", col(score), ") is not the ", "lowest" if lowest else "highest", " score"), (form,), MAIN_AND_REST)
 
 
 def medication_slots(columns: list[str], field: str = "name") -> list[tuple[int, str]]:
@@ -154,15 +157,15 @@ def medication_rules(columns: list[str]) -> list[Rule]:
     """R28, R32, R33 of the medication forms, over all slots that the columns (of the rows, or the dictionary's variables) have."""
     out = []
     first, dose = "chrpharm_med1_onset", "chrpharm_firstdose_med1"
-    a, b = (F.split_part(x, F.lit(" "), F.lit(1)) for x in (first, dose))
-    out.append(Rule("first dose", (first, dose), ~v.is_empty(a) & ~v.is_empty(b) & (a != b), text(f"{first} (", a, f") does not equal {dose} (", b, ")"), CURRENT_MEDICATION, gated=False))
+    a, b = (sql.split_part(col(x), " ", 1) for x in (first, dose))
+    out.append(Rule("first dose", (first, dose), ~cell.is_empty(a) & ~cell.is_empty(b) & (a != b), text(f"{first} (", a, f") does not equal {dose} (", b, ")"), CURRENT_MEDICATION, gated=False))
     for n, past in medication_slots(columns, "onset"):
         on, off = f"chrpharm_med{n}_onset{past}", f"chrpharm_med{n}_offset{past}"
         if off in columns:
-            out.append(ordered(f"onset {n}{past}", on, off, lambda x: v.real_date(x, True), forms=_medication(past), gated=False))
+            out.append(ordered(f"onset {n}{past}", on, off, lambda x: cell.real_date(x, True), forms=_medication(past), gated=False))
     for n, past in medication_slots(columns):
         name = f"chrpharm_med{n}_name{past}"
-        out.append(Rule(f"medication {n}{past}", (name,), v.code_in(name, SPECIAL_MEDICATIONS), text(f"{name} has the value ", F.col(name)), _medication(past), gated=False))
+        out.append(Rule(f"medication {n}{past}", (name,), cell.code_in(name, SPECIAL_MEDICATIONS), text(f"{name} has the value ", col(name)), _medication(past), gated=False))
     return out
 
 
@@ -175,8 +178,8 @@ def latest_onset(columns: list[str], slots: int = 10) -> list[Rule]:
     onsets = [x for n in range(slots) if (x := f"chrpharm_med{n}_onset") in columns]
     if not onsets:
         return []
-    latest = F.array_max(F.array(*[v.real_date(x) for x in onsets]))
-    days = v.days_between(latest, v.real_date("chrpharm_date_mod"))
+    latest = sql.array_max(sql.array(*[cell.real_date(x) for x in onsets]))
+    days = v.days_between(latest, cell.real_date("chrpharm_date_mod"))
     return [Rule("latest onset", ("chrpharm_date_mod",), days > 10, text("There are ", days, " days between the most recent medication date (", latest, ") and the modification date"), CURRENT_MEDICATION, gated=False)]
 
 
@@ -192,15 +195,15 @@ def _unknown_names(columns: list[str], past: str) -> list[Rule]:
         fields = [x for f in SLOT_FIELDS if (x := f"chrpharm_{f.format(n=n)}{past}") in columns]
         if suffix == past and fields:
             name = f"chrpharm_med{n}_name{past}"
-            unknown = v.is_code(name, 888)
-            names.append(F.when(unknown & any_of(map(v.filled, fields)), F.lit(name)))
-            others += [F.when(unknown & v.filled(x), F.lit(x)) for x in fields]
+            unknown = cell.is_code(name, 888)
+            names.append(sql.when(unknown & any_of(map(cell.filled, fields)), sql.lit(name)))
+            others += [sql.when(unknown & cell.filled(x), sql.lit(x)) for x in fields]
     if not names:
         return []
-    given = lambda cells: F.filter(F.array(*cells), lambda x: x.isNotNull())
-    unknown, filled = given(names), F.array_distinct(given(others))
-    message = text("Unknown (888) by ", F.array_join(unknown, ", "), ", but filled: ", F.array_join(filled, ", "))
-    return [Rule(f"unknown{past.replace('_', ' ')} medication", (), F.size(unknown) > 0, message, _medication(past), gated=False, named=F.concat(unknown, filled))]
+    given = lambda cells: sql.present(sql.array(*cells))
+    unknown, filled = given(names), sql.array_distinct(given(others))
+    message = text("Unknown (888) by ", sql.array_join(unknown, ", "), ", but filled: ", sql.array_join(filled, ", "))
+    return [Rule(f"unknown{past.replace('_', ' ')} medication", (), sql.size(unknown) > 0, message, _medication(past), gated=False, named=sql.concat(unknown, filled))]
 
 
 def overlapping_medications(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -225,19 +228,19 @@ def scid_rules(diagnoses: dict[str, dict] | None = None) -> list[Rule]:
     """R39-R50; diagnoses: variable -> {"criteria": names, "disorder": text, "extra": SQL conditions, "variables": those of the conditions}."""
     three = lambda x: _is(f"chrscid_{x}", 3)
     names = lambda *x: tuple(f"chrscid_{y}" for y in x)
-    made = lambda name, variables, fires, message, **more: Rule(name, names(*variables), fires, F.lit(message) if isinstance(message, str) else message, (SCID,), SCID_REPORTS, **more)
+    made = lambda name, variables, fires, message, **more: Rule(name, names(*variables), fires, sql.lit(message) if isinstance(message, str) else message, (SCID,), SCID_REPORTS, **more)
     out = []
     for variable, d in (diagnoses or {}).items():
-        met = all_of([*(_is(x, 3) for x in d["criteria"]), *(F.coalesce(F.expr(e), F.lit(False)) for e in d.get("extra", ()))])
+        met = all_of([*(_is(x, 3) for x in d["criteria"]), *(sql.coalesce(sql.expr(e), False) for e in d.get("extra", ()))])
         both = (*d["criteria"], variable, *d.get("variables", ()))
-        out.append(Rule(f"diagnosis {variable}", both, met & ~_is(variable, 3), F.lit(f"All criteria of {d['disorder']} hold, but the diagnosis isn't given."), (SCID,), SCID_REPORTS, exclusions=False))
-        out.append(Rule(f"no diagnosis {variable}", both, ~met & _is(variable, 3), F.lit(f"{d['disorder']} is diagnosed without all of its criteria."), (SCID,), SCID_REPORTS, exclusions=False))
+        out.append(Rule(f"diagnosis {variable}", both, met & ~_is(variable, 3), sql.lit(f"All criteria of {d['disorder']} hold, but the diagnosis isn't given."), (SCID,), SCID_REPORTS, exclusions=False))
+        out.append(Rule(f"no diagnosis {variable}", both, ~met & _is(variable, 3), sql.lit(f"{d['disorder']} is diagnosed without all of its criteria."), (SCID,), SCID_REPORTS, exclusions=False))
     ones = all_of(_is(x, 1) for x in names("a54", "a92", "a132"))
     out.append(made("depressive manic", ("d28", "d26", "d27", "a54", "a92", "a132"), ones & three("d26") & three("d27") & ~three("d28"), "Depression is ruled out by mania, but no manic or hypomanic screening item is positive.", exclusions=False))
     for kind, (a, b), d, more in (("major depressive", ("a25", "a51"), "d26", ("d3", "d9", "d11", "d23")), ("manic", ("a70", "a108"), "d2", ()), ("hypomanic", ("a91", "a129"), "d5", ())):
         episode = three(a) | three(b)
         wrong = (~episode & three(d)) | (episode & ~any_of(three(x) for x in more) & ~three(d))
-        message = text(f"The {kind} episode items and their summary disagree (", *[p for x in (a, b, d) for p in (f" chrscid_{x} = ", F.col(f"chrscid_{x}"))], ")")
+        message = text(f"The {kind} episode items and their summary disagree (", *[p for x in (a, b, d) for p in (f" chrscid_{x} = ", col(f"chrscid_{x}"))], ")")
         out.append(made(f"{kind} episode", (a, b, d, *more), wrong, message, exclusions=False))
     manic = any_of(three(x) for x in ("a70", "a91", "a108", "a129", "a138"))
     out.append(made("mania not fulfilled", ("d28", "a70", "a91", "a108", "a129", "a138"), ~manic & ~three("d28"), "Without a manic or hypomanic episode chrscid_d28 is expected to be 3.", exclusions=False, applies=("chrscid_d28",)))
@@ -245,14 +248,14 @@ def scid_rules(diagnoses: dict[str, dict] | None = None) -> list[Rule]:
     below = lambda x: _is(f"chrscid_{x}", 1, 2)
     both = a & b & ~_is(count, 2)
     one = (a & below("a28")) | (b & below("a27") & ~_is(count, 1))
-    out.append(made("depressed mood", ("a27", "a28", "a48_1"), both | one, F.when(both, "Both main criteria hold, but the counter a48_1 isn't 2").otherwise("One of the main criteria a27 and a28 holds, but the other one and the counter a48_1 don't fit")))
-    n, episode = v.value("chrscid_a26_53"), three("a25") | three("a51")
-    out.append(made("episode count", ("a26_53", "a25", "a51"), ((n < 1) & episode) | ((n > 0) & ~episode), F.when(episode, "A depressive episode is present, but the lifetime count a26_53 is below 1").otherwise("The lifetime count a26_53 is above 0, but no depressive episode is present")))
+    out.append(made("depressed mood", ("a27", "a28", "a48_1"), both | one, sql.when(both, "Both main criteria hold, but the counter a48_1 isn't 2").otherwise("One of the main criteria a27 and a28 holds, but the other one and the counter a48_1 don't fit")))
+    n, episode = cell.value("chrscid_a26_53"), three("a25") | three("a51")
+    out.append(made("episode count", ("a26_53", "a25", "a51"), ((n < 1) & episode) | ((n > 0) & ~episode), sql.when(episode, "A depressive episode is present, but the lifetime count a26_53 is below 1").otherwise("The lifetime count a26_53 is above 0, but no depressive episode is present")))
     for kind, x, y, e in (("", "a1", "a2", "a25"), ("past ", "a27", "a28", "a51")):
         out.append(made(f"{kind}threshold", (x, y, e), ~three(x) & ~three(y) & three(e), f"A {kind}major depressive episode is marked, but neither of its main criteria reaches the threshold."))
     moods = ("a25", "a51", "a70", "a91", "a108", "a129", "a138", "a153", "a170")
     out.append(made("mood symptoms", ("d1", "c26", *moods), any_of(three(x) for x in moods) & ~three("c26") & ~_is("chrscid_d1", 1), "There are mood symptoms, but chrscid_d1 isn't marked."))
-    asked = (v.value("chrscid_a22") > 4) & (v.value("chrscid_a22_1") > 0) & v.is_empty("chrscid_a25")
+    asked = (cell.value("chrscid_a22") > 4) & (cell.value("chrscid_a22_1") > 0) & cell.is_empty("chrscid_a25")
     out.append(made("mood episode", ("a25", "a22", "a22_1"), asked, "More than four criteria of depression (a22, a22_1), but a25 is unanswered"))
     return out
 
@@ -261,12 +264,12 @@ def general_rules(run_age: tuple[float, float] = (12, 30), identifiers: tuple[st
     """R5, R7 for the identifier variables, each judged by its own text, and the subject's age."""
     low, high = run_age
     out = [pattern(f"identifier {x}", x, "^NDA[A-Z0-9]+$", "Not an identifier's format", forms=("guid_form",), reports=MAIN_AND_REST, applies=(x,), withdrawn=True) for x in identifiers]
-    return [*out, Rule("age", ("age",), (F.col("age") == "unknown") | (v.num("age") < low) | (v.num("age") > high), text("Age is ", F.col("age")), gated=False)]
+    return [*out, Rule("age", ("age",), (col("age") == "unknown") | (cell.num("age") < low) | (cell.num("age") > high), text("Age is ", col("age")), gated=False)]
 
 
 def missing_reason(flag: str, reason: str, form: str) -> Rule:
     """A form is marked missing without a reason."""
-    return Rule(f"reason {form}", (flag, reason), v.is_code(flag, 1) & v.is_blank(reason), F.lit("Form is marked as missing, but no reason is given."), (form,), gated=False)
+    return Rule(f"reason {form}", (flag, reason), cell.is_code(flag, 1) & cell.is_blank(reason), sql.lit("Form is marked as missing, but no reason is given."), (form,), gated=False)
 
 
 def within_21_days(forms: dict[str, str], marker: str, screen_date: str = "psychs_screen_date") -> list[Rule]:
@@ -274,9 +277,9 @@ def within_21_days(forms: dict[str, str], marker: str, screen_date: str = "psych
     out = []
     for form, x in forms.items():
         if form not in EXEMPT_FROM_21_DAYS:
-            days = v.days_between(v.real_date(x), v.real_date(screen_date))
-            message = text(f"Reason M6, but {form} (", F.col(x), ") lies over 21 days from the screening interview (", F.col(screen_date), ")")
-            out.append(Rule(f"21 days {form}", (marker, x), (F.col(marker) == "M6") & (days > 21), message, (form,), MAIN_AND_REST, gated=False))
+            days = v.days_between(cell.real_date(x), cell.real_date(screen_date))
+            message = text(f"Reason M6, but {form} (", col(x), ") lies over 21 days from the screening interview (", col(screen_date), ")")
+            out.append(Rule(f"21 days {form}", (marker, x), (col(marker) == "M6") & (days > 21), message, (form,), MAIN_AND_REST, gated=False))
     return out
 
 

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.functions import values as v
+from tallyward.functions.expressions import col
+from tallyward.functions.values import of_text as cell
 from tallyward.operators.rules import Rule, text
 
 # The parents' ages of two forms, by variable and timepoint, and the kinds of intelligence tests.
@@ -20,12 +22,25 @@ def unrecorded_conversions(rows: DataFrame, conversions: DataFrame, date: str =
     return found.withColumn("error_message", F.lit("Subject converted, but date not filled out in conversion form."))
 
 
+def parents(rows: DataFrame, keys: list[str], pairs: dict[str, str] = PARENT_AGES) -> DataFrame | None:
+    """A row for each subject with a baseline row: its keys and _ok there, and the cells that R52 compares; None where the rows lack them."""
+    cells = {x: x.rsplit("_", 1) for pair in pairs.items() for x in pair}
+    known = set(rows.columns)
+    if not any(cells[a][0] in known and cells[b][0] in known for a, b in pairs.items()):
+        return None
+    at = lambda x, t: F.first(F.when(F.col("timepoint") == t, F.col(x)), ignorenulls=True)
+    made = [at(x, t).alias(name) for name, (x, t) in cells.items() if x in known]
+    wide = rows.where(F.col("timepoint").isin(*sorted({t for _, t in cells.values()})))
+    kept = [F.first(F.when(F.col("timepoint") == "baseline", F.struct(*keys)), ignorenulls=True).alias("_own"), F.array_distinct(F.flatten(F.collect_list("_ok"))).alias("_ok")]
+    return wide.groupBy("subjectid").agg(*kept, *made).drop("subjectid").where("_own is not null").select("_own.*", "_ok", *[c for c in cells if cells[c][0] in known])
+
+
 def differing_ages(pairs: dict[str, str] = PARENT_AGES) -> list[Rule]:
     """A parent's age differs between two forms of different timepoints; rules for rows of `model.wide_subjects`."""
     out = []
     for a, b in pairs.items():
-        differs = v.value(a) != v.value(b)
-        out.append(Rule(f"ages {a}", (a, b), differs, text(f"{b} is equal to ", F.col(b), f", but {a} is equal to ", F.col(a)), ("family_interview_for_genetic_studies_figs", "psychosis_polyrisk_score")))
+        differs = cell.value(a) != cell.value(b)
+        out.append(Rule(f"ages {a}", (a, b), differs, text(f"{b} is equal to ", col(b), f", but {a} is equal to ", col(a)), ("family_interview_for_genetic_studies_figs", "psychosis_polyrisk_score")))
     return out
 
 

@@ -1,6 +1,6 @@
 """Which forms of which rows are due: conditions that come before any rule.
 
-The gate is projected once, as one boolean column for each form, so that hundreds of rules share it.
+The gate is projected once, as an array of the forms that pass, so that hundreds of rules share it; its conditions are one parsed expression.
 """
 
 from __future__ import annotations
@@ -11,7 +11,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyward.functions import expressions as sql
 from tallyward.functions import values as v
+from tallyward.functions.expressions import Sql, col
+from tallyward.functions.values import of_text as cell
 
 KEEPS_OWN_COMPLETION = "PRESCIENT"
 
@@ -28,9 +31,9 @@ class Form:
     missing_since: str | None = None
 
 
-def moved_on() -> Column:
+def moved_on() -> Sql:
     """the subject's visit lies after the row's timepoint (never for unordered ones); needs visit_ordinal and ordinal."""
-    return F.coalesce(F.col("visit_ordinal") > F.col("ordinal"), F.lit(False))
+    return sql.coalesce(col("visit_ordinal") > col("ordinal"), False)
 
 
 def with_ordinals(rows: DataFrame, timepoints: DataFrame) -> DataFrame:
@@ -40,61 +43,65 @@ def with_ordinals(rows: DataFrame, timepoints: DataFrame) -> DataFrame:
     return rows.join(F.broadcast(t), "timepoint", "left").withColumn("_visit", v.timepoint_alias("visit_status_string")).join(F.broadcast(visit), "_visit", "left").drop("_visit")
 
 
-def introduced(date_variable: str, since: Column) -> Column:
-    """the row's interview date lies after a variable was introduced; a row without a date counts as older."""
-    return F.coalesce(v.as_date(date_variable, True) > since, F.lit(False))
+def introduced(date_variable: str, since: str) -> Sql:
+    """the row's interview date lies after the date (yyyy-MM-dd) on which a variable was introduced; a row without a date counts as older."""
+    return sql.coalesce(cell.as_date(date_variable, True) > sql.lit(since).cast("date"), False)
 
 
-def marked_missing(form: Form, columns: Iterable[str]) -> Column:
+def _own() -> Sql:
+    return col("network") == KEEPS_OWN_COMPLETION
+
+
+def marked_missing(form: Form, columns: Iterable[str]) -> Sql:
     """the form is marked missing; without a flag (or before there was one) it is if under half of its always-shown variables are filled."""
     known = set(columns)
-    shown = [F.col(x) for x in form.always_shown if x in known]
-    count = F.size(F.filter(F.array(*[F.when(v.c(x).isNotNull() & ~v.is_blank(x), 1) for x in shown]), lambda x: x.isNotNull())) if shown else F.lit(0)
-    sparse = (count < len(shown) / 2) if shown else F.lit(False)
-    own = v.code_in(form.completion + "_rpms", [3, 4]) & (F.col("network") == KEEPS_OWN_COMPLETION) if form.completion + "_rpms" in known else F.lit(False)
+    shown = [x for x in form.always_shown if x in known]
+    filled = [(col(x).isNotNull() & ~cell.is_blank(x)).cast("int").text for x in shown]
+    sparse = sql.expr(f"({' + '.join(filled)}) * 2 < {len(shown)}") if shown else sql.lit(False)
+    own = cell.code_in(form.completion + "_rpms", [3, 4]) & _own() if form.completion + "_rpms" in known else sql.lit(False)
     if form.missing is None or form.missing not in known:
         return own | sparse
-    flagged = v.is_code(form.missing, 1)
+    flagged = cell.is_code(form.missing, 1)
     if form.missing_since is None or form.interview_date not in known:
-        return own | F.when(F.col(form.missing).isNull(), sparse).otherwise(flagged)
-    since = introduced(form.interview_date, F.lit(form.missing_since).cast("date"))
-    return own | F.when(~since | F.col(form.missing).isNull(), sparse).otherwise(flagged)
+        return own | sql.when(col(form.missing).isNull(), sparse).otherwise(flagged)
+    since = introduced(form.interview_date, form.missing_since)
+    return own | sql.when(~since | col(form.missing).isNull(), sparse).otherwise(flagged)
 
 
-def extra(form: str) -> Column:
+def extra(form: str) -> Sql:
     """opt-ins and ages that some forms ask for; needs the subject columns age, axivity_opt and mindlamp_opt."""
-    tests = {"pubertal_developmental_scale": F.coalesce(v.num("age") <= 18, F.lit(False)), "axivity": v.is_code("axivity_opt", 1), "mindlamp": v.code_in("mindlamp_opt", [1, 2])}
-    return next((t for part, t in tests.items() if part in form), F.lit(True))
+    tests = {"pubertal_developmental_scale": sql.coalesce(cell.num("age") <= 18, False), "axivity": cell.is_code("axivity_opt", 1), "mindlamp": cell.code_in("mindlamp_opt", [1, 2])}
+    return next((t for part, t in tests.items() if part in form), sql.lit(True))
 
 
-def form_ok(form: Form, columns: Iterable[str]) -> Column:
+def form_ok(form: Form, columns: Iterable[str]) -> Sql:
     """complete (or the subject has moved on, where completion is kept apart), not marked missing, extra conditions met."""
     known = set(columns)
     names = [x for x in (form.completion, v.network_completion(form.completion)) if x in known]
     if not names:
-        return F.lit(False)
-    complete = v.is_code(names[0], 2)
+        return sql.lit(False)
+    complete = cell.is_code(names[0], 2)
     if len(names) == 2:
-        complete = F.when(F.col("network") == KEEPS_OWN_COMPLETION, v.is_code(names[1], 2)).otherwise(complete)
-    complete = complete | ((F.col("network") == KEEPS_OWN_COMPLETION) & moved_on())
+        complete = sql.when(_own(), cell.is_code(names[1], 2)).otherwise(complete)
+    complete = complete | (_own() & moved_on())
     return complete & ~marked_missing(form, known) & extra(form.name)
 
 
-def gated(rows: DataFrame, forms: Iterable[Form], due: DataFrame) -> tuple[DataFrame, Callable[[str], Column]]:
-    """rows with a column ok of the forms that pass, and the gate over it; due: (cohort, timepoint, forms array)."""
-    forms = list(forms)
-    passing = F.filter(F.array(*[F.when(form_ok(f, rows.columns), f.name) for f in forms]), lambda x: x.isNotNull()) if forms else F.array().cast("array<string>")
+def gated(rows: DataFrame, forms: Iterable[Form], due: DataFrame) -> tuple[DataFrame, Callable[[str], Sql]]:
+    """rows with a column _ok of the forms that pass, and the gate over it; due: (cohort, timepoint, forms array)."""
+    forms, columns = list(forms), rows.columns
+    passing = "array_intersect(filter(CAST(array({}) AS array<string>), x -> x IS NOT NULL), coalesce(forms, CAST(array() AS array<string>)))"
+    made = ", ".join(f"CASE WHEN {form_ok(f, columns).text} THEN {sql.text_of(f.name)} END" for f in forms)
     # due has a row for each cohort and timepoint, a few dozen
     known = rows.where(F.lower("cohort").isin("hc", "chr")).join(F.broadcast(due), ["cohort", "timepoint"], "left")
-    out = known.withColumn("_ok", F.array_intersect(passing, F.coalesce("forms", F.array().cast("array<string>")))).drop("forms")
-    return out, lambda form: F.array_contains("_ok", form)
+    return known.withColumn("_ok", F.expr(passing.format(made))).drop("forms"), lambda form: sql.array_contains(col("_ok"), form)
 
 
-def skips_modules(variable: str, form_b: tuple[str, ...], form_c: tuple[str, ...]) -> Column:
+def skips_modules(variable: str, form_b: Iterable[str], form_c: Iterable[str]) -> Sql:
     """variables of two diagnosis modules are skipped where the module's entry questions are blank or missing."""
     if variable not in form_b and variable not in form_c:
-        return F.lit(False)
-    return (F.col("network") == KEEPS_OWN_COMPLETION) & (v.is_empty("chrscid_b1") | v.is_empty("chrscid_b16"))
+        return sql.lit(False)
+    return _own() & (cell.is_empty("chrscid_b1") | cell.is_empty("chrscid_b16"))
 
 
 def may_withdraw() -> Column:
@@ -107,9 +114,13 @@ def completion_checks(rows: DataFrame, due: DataFrame, completions: DataFrame) -
 
     completions: (subjectid, timepoint, form, status); rows: (subjectid, network, cohort, timepoint, ordinal, visit_ordinal).
     """
-    pairs = rows.where(moved_on()).join(F.broadcast(due.select("cohort", "timepoint", F.explode("forms").alias("form"))), ["cohort", "timepoint"])
-    pairs = pairs.where(~F.col("form").contains("gcp"))
-    open_ = pairs.join(completions, ["subjectid", "timepoint", "form"]).where(~v.code_in("status", [2, 3, 4]))
-    reports = F.when(F.col("network") == KEEPS_OWN_COMPLETION, F.array(F.lit("Main Report"), F.lit("Incomplete Forms"))).otherwise(F.array(F.lit("Incomplete Forms")))
-    kept = open_.where(~((F.col("network") == KEEPS_OWN_COMPLETION) & (F.col("form") == "informed_consent_run_sheet")))
+    pairs = rows.where(moved_on().text).join(F.broadcast(due.select("cohort", "timepoint", F.explode("forms").alias("form"))), ["cohort", "timepoint"])
+    return open_forms(pairs.join(completions, ["subjectid", "timepoint", "form"]))
+
+
+def open_forms(cells: DataFrame) -> DataFrame:
+    """What is due and not complete, with its message and reports; cells: (network, form, status, ...) of subjects that have moved on."""
+    own = F.col("network") == KEEPS_OWN_COMPLETION
+    reports = F.when(own, F.array(F.lit("Main Report"), F.lit("Incomplete Forms"))).otherwise(F.array(F.lit("Incomplete Forms")))
+    kept = cells.where(~v.code_in("status", [2, 3, 4]) & ~F.col("form").contains("gcp") & ~(own & (F.col("form") == "informed_consent_run_sheet")))
     return kept.withColumn("error_message", F.lit("Form is not marked as complete, but the subject has moved on.")).withColumn("reports", reports)

@@ -1,29 +1,37 @@
-"""The rule engine: rules are data, and evaluation is one projection per fifty of them.
+"""The rule engine: rules are data, written as SQL text, and evaluation is one parsed expression for fifty of them.
 
 A rule names forms and variables, says when it fires and with what message.  It fires only in rows whose file has all its variables, whose
-cohort and forms are due (the gate), and in which its variables apply.  Single-variable rules over many variables take the long path:
-the row is unpivoted once and joined to a small rule table, so the plan doesn't grow with the number of variables.
+cohort and forms are due (the gate), and in which its variables apply.  What a set of rules says is put together as text on the driver, without a call to the JVM for each piece; what
+doesn't depend on the row (names, forms, reports) stays in a table of a row for each rule.  Cells that rules take as numbers are read as numbers once, in a projection below.
+Single-variable rules over many variables take the long path: the cells in question become rows that are joined to a small rule table.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+import re
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyward.functions import expressions as sql
 from tallyward.functions import values as v
+from tallyward.functions.expressions import Sql, col
+from tallyward.functions.values import of_text as cell
 
 #: Rules in one projection; beyond it, more projections are cheaper than wider ones.
 CHUNK = 50
-FLAG = "array<struct<seq:int,rule:string,forms:array<string>,variables:array<string>,error_message:string,reports:array<string>,withdrawn_enabled:boolean,excluded_enabled:boolean>>"
+FOUND = "array<struct<seq:int,error_message:string,named:array<string>>>"
+LISTED = "seq int, rule string, forms array<string>, variables array<string>, reports array<string>, withdrawn_enabled boolean, excluded_enabled boolean"
+#: Networks whose rows a set of excluded variables holds for; a plain set holds for all.
+Excluded = frozenset[str] | Mapping[str, frozenset[str]]
 
 
 @dataclass(frozen=True)
 class Rule:
-    """One check.  fires and message are columns; `variables` must be in the row's file for the rule to fire.
+    """One check.  fires and message are SQL text (`functions.expressions`); `variables` must be in the row's file for the rule to fire.
 
     `named` is an array of the variables that a flag names, where they depend on the row; E2: `withdrawn` and `excluded` keep the reports
     of flags of removed and of not included subjects.
@@ -31,30 +39,32 @@ class Rule:
 
     name: str
     variables: tuple[str, ...]
-    fires: Column
-    message: Column
+    fires: Sql
+    message: Sql
     forms: tuple[str, ...] = ()
     reports: tuple[str, ...] = ("Main Report",)
     gated: bool = True
     exclusions: bool = True
     applies: tuple[str, ...] = ()
-    only: Column | None = None
-    named: Column | None = None
+    only: Sql | None = None
+    named: Sql | None = None
     withdrawn: bool = False
     excluded: bool = False
 
 
-def all_of(columns: Iterable[Column]) -> Column:
-    return reduce(lambda a, b: a & b, columns, F.lit(True))
+def all_of(tests: Iterable[Sql]) -> Sql:
+    tests = list(tests)
+    return sql.expr(" AND ".join(t.text for t in tests)) if tests else sql.lit(True)
 
 
-def any_of(columns: Iterable[Column]) -> Column:
-    return reduce(lambda a, b: a | b, columns, F.lit(False))
+def any_of(tests: Iterable[Sql]) -> Sql:
+    tests = list(tests)
+    return sql.expr(" OR ".join(t.text for t in tests)) if tests else sql.lit(False)
 
 
-def text(*parts) -> Column:
+def text(*parts) -> Sql:
     """A message of literals and columns."""
-    return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+    return sql.concat(*[p if isinstance(p, str) else p.cast("string") for p in parts])
 
 
 def usable(rules: Iterable[Rule], columns: Iterable[str], excluded: frozenset[str] = frozenset()) -> list[Rule]:
@@ -63,40 +73,70 @@ def usable(rules: Iterable[Rule], columns: Iterable[str], excluded: frozenset[st
     return [r for r in rules if known.issuperset(r.variables) and not (r.exclusions and excluded.intersection(r.variables))]
 
 
-def evaluate(
-    rows: DataFrame, rules: Iterable[Rule], keep: list[str], gate: Callable[[str], Column] | None = None, applies: Callable[[str], Column] | None = None, excluded: frozenset[str] = frozenset()
-) -> DataFrame:
-    """A row for each violation: the kept columns and seq, rule, forms, variables, error_message, reports, withdrawn_enabled, excluded_enabled."""
-    ready = usable(rules, rows.columns, excluded)
-    numbered = list(enumerate(ready))
-    out = []
-    for at in range(0, len(numbered), CHUNK):
-        found = [F.when(_fires(r, gate, applies), _flag(i, r)) for i, r in numbered[at : at + CHUNK]]
-        out.append(rows.select(*keep, F.explode(F.filter(F.array(*found), lambda x: x.isNotNull())).alias("_flag")).select(*keep, "_flag.*"))
-    if not out:
-        return rows.where("false").select(*keep, F.explode(F.array().cast(FLAG)).alias("_flag")).select(*keep, "_flag.*")
-    return reduce(DataFrame.unionByName, out)
-
-
-def _fires(rule: Rule, gate, applies) -> Column:
-    tests = [F.col(x).isNotNull() for x in rule.variables]
+def elsewhere(variables: Iterable[str], excluded: Excluded) -> list[Sql]:
+    """The tests that keep variables out of the networks in which they are excluded (none of a plain set)."""
+    if not isinstance(excluded, Mapping):
+        return []
+    barred = sorted(n for n, names in excluded.items() if names.intersection(variables))
+    return [~sql.coalesce(col("network").isin(*barred), False)] if barred else []
+
+
+_NUMBERED = re.compile(re.escape(v.num(col("@")).text).replace("@", r"([^`]+)", 1).replace("@", r"\1"))
+
+
+def numbered(texts: list[str]) -> tuple[list[str], list[str]]:
+    """The texts with cells' numbers as columns, and the projection that makes these."""
+    found: dict[str, str] = {}
+
+    def taken(m: re.Match) -> str:
+        found[m[1]] = m[0]
+        return f"`_n_{m[1]}`"
+
+    out = [_NUMBERED.sub(taken, t) for t in texts]
+    return out, [f"{made} AS `_n_{x}`" for x, made in found.items()]
+
+
+def compiled(ready: list[Rule], gate, applies, excluded: Excluded) -> list[str]:
+    """The expressions of a set of rules, an array of what fired for each chunk."""
+    found = [f"CASE WHEN {_fires(r, gate, applies, excluded).text} THEN {_found(i, r)} END" for i, r in enumerate(ready)]
+    return [f"CAST(filter(array({', '.join(found[at : at + CHUNK])}), x -> x IS NOT NULL) AS {FOUND})" for at in range(0, len(found), CHUNK)]
+
+
+def evaluate(rows: DataFrame, rules: Iterable[Rule], keep: list[str], gate: Callable[[str], Sql] | None = None, applies: Callable[[str], Sql] | None = None, excluded: Excluded = frozenset()) -> DataFrame:
+    """A row for each violation: the kept columns and seq, rule, forms, variables, error_message, reports, withdrawn_enabled, excluded_enabled.
+
+    excluded: variables that no rule may touch, in all rows or by network (then the rows need a network).
+    """
+    ready = usable(rules, rows.columns, excluded if isinstance(excluded, frozenset) else frozenset())
+    chunks = []
+    for made in compiled(ready, gate, applies, excluded):
+        (made,), numbers = numbered([made])
+        chunks.append(rows.selectExpr("*", *numbers).select(*keep, F.expr(f"inline({made})")))
+    if not chunks:
+        chunks = [rows.where("false").select(*keep, F.expr(f"inline(CAST(array() AS {FOUND}))"))]
+    listed = [(i, r.name, list(r.forms), list(r.variables), list(r.reports), r.withdrawn, r.excluded) for i, r in enumerate(ready)]
+    table = rows.sparkSession.createDataFrame(listed, LISTED).coalesce(1)  # a row for each rule
+    found = reduce(DataFrame.unionByName, chunks).join(F.broadcast(table), "seq")
+    return found.withColumn("variables", F.coalesce("named", "variables")).select(*keep, "seq", "rule", "forms", "variables", "error_message", "reports", "withdrawn_enabled", "excluded_enabled")
+
+
+def _fires(rule: Rule, gate, applies, excluded: Excluded) -> Sql:
+    tests = [col(x).isNotNull() for x in rule.variables]
     if rule.only is not None:
         tests.append(rule.only)
+    if rule.exclusions:
+        tests += elsewhere(rule.variables, excluded)
     if rule.gated and gate is not None:
         tests += [gate(f) for f in rule.forms]
     tests.append(rule.fires)
     if applies is not None:
         tests += [applies(x) for x in rule.applies]
-    return F.coalesce(all_of(tests), F.lit(False))
+    return sql.coalesce(all_of(tests), False)
 
 
-def _flag(seq: int, rule: Rule) -> Column:
-    names = lambda x: F.array(*map(F.lit, x)).cast("array<string>")
-    first = F.concat(F.get(rule.named, F.lit(0)), F.lit(" : ")) if rule.named is not None else F.lit(rule.variables[0] + " : " if rule.variables else "")
-    return F.struct(
-        F.lit(seq).alias("seq"), F.lit(rule.name).alias("rule"), names(rule.forms).alias("forms"), (names(rule.variables) if rule.named is None else rule.named).alias("variables"),
-        text(first, rule.message).alias("error_message"), names(rule.reports).alias("reports"), F.lit(rule.withdrawn).alias("withdrawn_enabled"), F.lit(rule.excluded).alias("excluded_enabled"),
-    )
+def _found(seq: int, rule: Rule) -> str:
+    first = sql.concat(sql.expr(f"get({rule.named.text}, 0)"), " : ") if rule.named is not None else sql.lit(rule.variables[0] + " : " if rule.variables else "")
+    return f"named_struct('seq', {seq}, 'error_message', {text(first, rule.message).text}, 'named', {'CAST(NULL AS array<string>)' if rule.named is None else rule.named.text})"
 
 
 # templates
@@ -104,43 +144,43 @@ def _flag(seq: int, rule: Rule) -> Column:
 
 def in_set(name: str, variable: str, codes, negate: bool = False, **more) -> Rule:
     """The value is one of the codes (or, negated, is filled and none of them)."""
-    hit = v.code_in(variable, codes)
-    return Rule(name, (variable,), v.filled(variable) & ~hit if negate else hit, text(f"{variable} is ", F.col(variable)), **more)
+    hit = cell.code_in(variable, codes)
+    return Rule(name, (variable,), cell.filled(variable) & ~hit if negate else hit, text(f"{variable} is ", col(variable)), **more)
 
 
 def outside(name: str, variable: str, low: float | None, high: float | None, **more) -> Rule:
     """The value lies outside [low, high]; missing codes and text are neither."""
-    x = v.value(variable)
+    x = cell.value(variable)
     tests = ([x < low] if low is not None else []) + ([x > high] if high is not None else [])
-    return Rule(name, (variable,), any_of(tests), text(f"{variable} is out of range (value = ", F.col(variable), ")"), **more)
+    return Rule(name, (variable,), any_of(tests), text(f"{variable} is out of range (value = ", col(variable), ")"), **more)
 
 
-def ordered(name: str, first: str, second: str, parse=v.as_date, **more) -> Rule:
+def ordered(name: str, first: str, second: str, parse=cell.as_date, **more) -> Rule:
     """The first date is later than the second."""
-    ok = ~v.is_empty(first) & ~v.is_empty(second)
-    return Rule(name, (first, second), ok & (parse(first) > parse(second)), text(f"{first} (", F.col(first), f") is later than {second} (", F.col(second), ")"), **more)
+    ok = ~cell.is_empty(first) & ~cell.is_empty(second)
+    return Rule(name, (first, second), ok & (parse(first) > parse(second)), text(f"{first} (", col(first), f") is later than {second} (", col(second), ")"), **more)
 
 
-def implies(name: str, variables: tuple[str, ...], when: Column, then: Column, message: Column | str, **more) -> Rule:
+def implies(name: str, variables: tuple[str, ...], when: Sql, then: Sql, message: Sql | str, **more) -> Rule:
     """T4: `when` holds although `then` doesn't."""
-    return Rule(name, variables, when & ~then, F.lit(message) if isinstance(message, str) else message, **more)
+    return Rule(name, variables, when & ~then, sql.lit(message) if isinstance(message, str) else message, **more)
 
 
 def gap(name: str, first: str, second: str, days: int, **more) -> Rule:
     """T5: more than so many days lie between two dates."""
-    between = v.days_between(v.real_date(first, True), v.real_date(second, True))
+    between = v.days_between(cell.real_date(first, True), cell.real_date(second, True))
     return Rule(name, (first, second), between > days, text("There are ", between, f" days between {first} and {second}"), **more)
 
 
 def pattern(name: str, variable: str, wanted: str, message: str, **more) -> Rule:
     """A non-blank text doesn't match."""
-    return Rule(name, (variable,), ~v.is_blank(variable) & ~F.col(variable).rlike(wanted), text(f"{message} (", F.col(variable), ")"), **more)
+    return Rule(name, (variable,), ~cell.is_blank(variable) & ~col(variable).rlike(wanted), text(f"{message} (", col(variable), ")"), **more)
 
 
 def tolerance(name: str, total: str, part: str, share: float, **more) -> Rule:
     """A sum isn't within a share of a total."""
-    a, b = v.value(part), v.value(total)
-    return Rule(name, (total, part), (a < b - share * b) | (a > b + share * b), text(f"{part} (", F.col(part), f") is not within {share:.0%} of {total} (", F.col(total), ")"), **more)
+    a, b = cell.value(part), cell.value(total)
+    return Rule(name, (total, part), (a < b - share * b) | (a > b + share * b), text(f"{part} (", col(part), f") is not within {share:.0%} of {total} (", col(total), ")"), **more)
 
 
 # the long path
@@ -152,23 +192,46 @@ def long_form(rows: DataFrame, keys: list[str], variables: list[str]) -> DataFra
 
 
 def eligible_cells(
-    rows: DataFrame, keys: list[str], forms: dict[str, str], gate: Callable[[str], Column] | None = None, applies: Callable[[str], Column] | None = None,
-    excluded: frozenset[str] = frozenset(), skipped: Callable[[str], Column] | None = None,
+    rows: DataFrame, keys: list[str], forms: dict[str, str], gate: Callable[[str], Sql] | None = None, applies: Callable[[str], Sql] | None = None,
+    excluded: Excluded = frozenset(), skipped: Callable[[str], Sql] | None = None,
 ) -> DataFrame:
     """The long form of the cells that single-variable checks may judge; forms: variable -> its form.
 
     As `evaluate` does for rules: the form passes the gate (F1, F2), no excluded variable takes part (P20), the variable applies in the row
-    (P24) and isn't one of a skipped module (F7).  Other cells become null before the row is unpivoted, so they never leave the projection.
+    (P24) and isn't one of a skipped module (F7).  Other cells never leave the projection.
+    """
+
+    def judged(x: str) -> Sql:
+        return all_of(([applies(x)] if applies else []) + ([~skipped(x)] if skipped else []))
+
+    found = marked_cells(rows, keys, forms, judged, gate, excluded, lambda x: x.judged)
+    return found.select(*keys, "variable", "value")
+
+
+class Marked:
+    """What a cell's mark may depend on: its text and whether it is judged."""
+
+    value, judged = Sql("x.value"), Sql("x.judged")
+
+
+def marked_cells(rows: DataFrame, keys: list[str], forms: dict[str, str], judged: Callable[[str], Sql], gate=None, excluded: Excluded = frozenset(), wanted: Callable[[type[Marked]], Sql] | None = None, checked: frozenset[str] = frozenset()) -> DataFrame:
+    """(keys, variable, form, value, judged) of the cells whose form passes the gate and that aren't excluded; wanted: which of them, and all cells of `checked` variables.
+
+    One expression: an array for each form, whose cells are looked at only where the form passes.
     """
-    cells = {}
+    of: dict[str, list[str]] = {}
+    known, barred = set(rows.columns), excluded if isinstance(excluded, frozenset) else frozenset()
     for x, form in forms.items():
-        if x not in rows.columns or x in excluded:
-            continue
-        tests = ([gate(form)] if gate else []) + ([applies(x)] if applies else []) + ([~skipped(x)] if skipped else [])
-        cells[x] = F.when(F.coalesce(all_of(tests), F.lit(False)), F.col(x).cast("string")) if tests else F.col(x).cast("string")
-    if not cells:
-        return rows.where("false").select(*keys, F.lit("").alias("variable"), F.lit("").alias("value"))
-    return rows.select(*keys, *[c.alias(x) for x, c in cells.items()]).unpivot(keys, list(cells), "variable", "value").where("value is not null")
+        if x in known and x not in barred:
+            made = f"named_struct('variable', {sql.text_of(x)}, 'form', {sql.text_of(form)}, 'value', CAST({col(x).text} AS string), 'judged', coalesce({judged(x).text}, false), 'checked', {sql.text_of(x in checked)})"
+            tests = elsewhere((x,), excluded)
+            of.setdefault(form, []).append(f"CASE WHEN {all_of(tests).text} THEN {made} END" if tests else made)
+    if not of:
+        return rows.where("false").select(*keys, F.lit("").alias("variable"), F.lit("").alias("form"), F.lit("").alias("value"), F.lit(False).alias("judged"))
+    test = "x.value IS NOT NULL" + (f" AND (x.checked OR {wanted(Marked).text})" if wanted else "")
+    arrays = [f"CASE WHEN {gate(form).text if gate else 'true'} THEN filter(array({', '.join(made)}), x -> {test}) END" for form, made in of.items()]
+    (made,), numbers = numbered([f"inline(flatten(filter(array({', '.join(arrays)}), x -> x IS NOT NULL)))"])
+    return rows.selectExpr("*", *numbers).select(*keys, F.expr(made)).drop("checked")
 
 
 def blank_checks(long: DataFrame, table: DataFrame) -> DataFrame:
@@ -176,24 +239,24 @@ def blank_checks(long: DataFrame, table: DataFrame) -> DataFrame:
     return long.where(v.is_blank("value")).join(table, "variable").withColumn("error_message", F.lit("Variable is blank."))
 
 
-def missing_code_checks(long: DataFrame, table: DataFrame) -> DataFrame:
-    """R2: listed variables that hold a missing code or the text NaN."""
+def missing_code_checks(long: DataFrame, table: DataFrame, by: str | list[str] = "variable") -> DataFrame:
+    """R2: listed variables (by network, if `by` says so) that hold a missing code or the text NaN."""
     hit = v.is_missing("value") | F.coalesce(F.col("value") == "NaN", F.lit(False))
-    return long.where(hit).join(table, "variable").withColumn("error_message", text("Variable is a missing code (value = ", F.col("value"), ")."))
+    return long.where(hit).join(table, by).withColumn("error_message", F.concat(F.lit("Variable is a missing code (value = "), "value", F.lit(").")))
 
 
 def specific_value_checks(long: DataFrame, table: DataFrame) -> DataFrame:
     """The value is in a rule's set (or, negated, is not); table: (variable, codes array<double>, negate, message)."""
     joined = long.join(table, "variable")
     hit = F.coalesce(F.array_contains("codes", v.num("value")), F.lit(False))
-    return joined.where(hit != F.col("negate")).withColumn("error_message", text(F.col("message"), " (value = ", F.col("value"), ")"))
+    return joined.where(hit != F.col("negate")).withColumn("error_message", F.concat("message", F.lit(" (value = "), "value", F.lit(")")))
 
 
 def range_checks(long: DataFrame, table: DataFrame) -> DataFrame:
     """A number that isn't a missing code lies outside its variable's range; table: (variable, low, high)."""
     joined = long.join(table, "variable")
     x = v.value("value")
-    return joined.where((x < F.col("low")) | (x > F.col("high"))).withColumn("error_message", text(F.col("variable"), " is out of range (value = ", F.col("value"), ")"))
+    return joined.where((x < F.col("low")) | (x > F.col("high"))).withColumn("error_message", F.concat("variable", F.lit(" is out of range (value = "), "value", F.lit(")")))
 
 
 # rules over slots
@@ -202,12 +265,12 @@ def range_checks(long: DataFrame, table: DataFrame) -> DataFrame:
 def slots(rows: DataFrame, keys: list[str], count: int, fields: dict[str, str]) -> DataFrame:
     """A row for each filled slot of a repeated group; fields: name -> column pattern with {n}."""
     known = set(rows.columns)
-    made = []
-    for n in range(1, count + 1):
-        cells = [(F.col(p.format(n=n)) if p.format(n=n) in known else F.lit(None)).cast("string").alias(name) for name, p in fields.items()]
-        made.append(F.struct(F.lit(n).alias("slot"), *cells))
-    first = next(iter(fields))
-    return rows.select(*keys, F.explode(F.filter(F.array(*made), lambda s: v.filled(s[first]))).alias("_slot")).select(*keys, "_slot.*")
+    cells = lambda n: ", ".join(f"CAST({col(p.format(n=n)).text if p.format(n=n) in known else 'NULL'} AS string) AS {name}" for name, p in fields.items())
+    made = [f"struct({n} AS slot, {cells(n)})" for n in range(1, count + 1)]
+    filled = v.filled(Sql(f"x.{next(iter(fields))}"))
+    if not made:
+        return rows.where("false").selectExpr(*[f"`{k}`" for k in keys], "0 AS slot", *[f"'' AS {name}" for name in fields])
+    return rows.select(*keys, F.expr(f"inline(filter(array({', '.join(made)}), x -> {filled.text}))"))
 
 
 def repeated_in_slots(filled: DataFrame, keys: list[str], name: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.functions import predicates
+from tallyward.functions.expressions import lit
 from tallyward.operators import catalog, crosschecks, gate, rules
 from tallyward.plans import content, model, run
 from tallyward.plans.queries import query, t
@@ -113,7 +114,7 @@ def blood_conditions() -> dict[str, str]:
 
 @query(fired(BLOOD_CELLS, blood_conditions()))
 def q_catalog_blood(spark, sf_dir):
-    made = catalog.blood_rules(("vol",), ("bar",), F.lit(RUN_DATE).cast("date"))
+    made = catalog.blood_rules(("vol",), ("bar",), lit(RUN_DATE).cast("date"))
     return all_rules(spark, sf_dir, BLOOD_CELLS, made)
 
 
@@ -349,7 +350,7 @@ def q_predicate_forms(spark, sf_dir):
     rows = rows_of(spark, sf_dir, PREDICATE_CELLS)
     listed = spark.createDataFrame([(x, text) for x, (text, _) in PREDICATES.items()], "variable string, branching_logic string")
     found = {r["variable"]: r["predicate"] for r in predicates.compiled(listed).where("rest = ''").collect()}
-    cases = [F.when(predicates.applicable(sql, rows.columns), x) for x, sql in found.items()]
+    cases = [F.when(F.expr(predicates.applicable(sql, rows.columns).text), x) for x, sql in found.items()]
     return rows.select("k", F.explode(F.filter(F.array(*cases), lambda x: x.isNotNull())).alias("variable"))
 
 
@@ -478,7 +479,7 @@ def q_run_flags(spark, sf_dir):
     """A first run from snapshot rows to trackers."""
     of = study_of(spark)
     rows = run.with_subjects(snapshot(spark, sf_dir), people(spark, sf_dir), model.timepoints(spark))
-    _, trackers = run.run(rows, of, due_forms(spark), F.lit("2024-05-01").cast("date"))
+    trackers = run.run(rows, of, due_forms(spark), F.lit("2024-05-01").cast("date")).trackers
     in_order = F.array_join(F.array_sort(F.split("flags", r" \| ")), " | ").alias("flags")
     return trackers.select("report", "subject", "displayed_timepoint", "displayed_form", "flag_count", in_order, "days_since_detected", "priority_item", "status_class")
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.functions import predicates
+from tallyward.functions.expressions import Sql, lit
 from tallyward.operators.gate import Form, skips_modules
 from tallyward.plans import dictionary as dd
 
@@ -186,35 +187,39 @@ def with_teams(found: DataFrame, members: DataFrame) -> DataFrame:
     return joined.withColumn("reports", F.array_distinct(F.concat("reports", F.coalesce("_teams", F.array().cast("array<string>"))))).drop("_form", "_teams")
 
 
-def forms(meta: DataFrame) -> list[Form]:
-    """The gate's forms; meta has a row for each form."""
+def forms(meta: list[dict]) -> list[Form]:
+    """The gate's forms; meta: the rows of `metadata`, one for each form."""
     made = []
-    for r in meta.collect():
+    for r in meta:
         flag, since = ADDED_LATER.get(r["form"], (None, None))
         missing = r["missing_var"]
         made.append(Form(r["form"], r["completion_var"], missing, r["interview_date_var"], tuple(r["non_branch_logic_vars"] or ()), since if flag == missing else None))
     return made
 
 
-def compiled_predicates(dictionary: DataFrame, variables: list[str] | None = None) -> dict[str, str | None]:
-    """Variable -> SQL, None where it can't be used; a row for each variable of the dictionary."""
-    rows = predicates.compiled(dictionary)
-    bad = {r["variable"] for r in dd.unsupported(dictionary).collect()}
-    picked = rows if variables is None else rows.where(F.col("variable").isin(*variables))
-    return {r["variable"]: None if r["variable"] in bad else r["predicate"] for r in picked.collect()}
+def predicate_rows(dictionary: DataFrame) -> DataFrame:
+    """(variable, predicate)."""
+    return predicates.compiled(dictionary).select("variable", "predicate")
+
+
+def usable_predicates(rows: list[dict], unsupported: list[dict]) -> dict[str, str | None]:
+    """Variable -> SQL, None where it can't be used."""
+    bad = {r["variable"] for r in unsupported}
+    return {r["variable"]: None if r["variable"] in bad else r["predicate"] for r in rows}
 
 
 def applies(compiled: dict[str, str | None], columns: list[str]):
     """Variable -> whether it applies in a row; never where its predicate can't be used."""
+    known = frozenset(columns)
 
-    def test(variable: str) -> Column:
-        sql = compiled.get(variable, "")
-        return F.lit(False) if sql is None else predicates.applicable(sql, columns)
+    def test(variable: str) -> Sql:
+        predicate = compiled.get(variable, "")
+        return lit(False) if predicate is None else predicates.applicable(predicate, known)
 
     return test
 
 
 def skipped(modules: dict[str, set[str]]):
     """variable -> whether its module is skipped in a row; modules: group -> variables."""
-    b, c = (tuple(modules.get(x, ())) for x in ("module_b", "module_c"))
+    b, c = (frozenset(modules.get(x, ())) for x in ("module_b", "module_c"))
     return lambda x: skips_modules(x, b, c)

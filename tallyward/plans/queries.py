@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from tallyward.functions import predicates
 from tallyward.functions import values as v
+from tallyward.functions.expressions import col
+from tallyward.functions.values import of_text as cell
 from tallyward.operators import catalog, diffs, discovery, gate, lifecycle, rules, subjects, tracker
 from tallyward.operators.flags import flag_records, piped
 from tallyward.plans import dictionary as dd
@@ -126,9 +128,9 @@ def q_date_order(spark, sf_dir):
  SELECT l_orderkey, l_linenumber, 'discount' FROM lineitem WHERE l_discount > 0.05 AND NOT l_quantity > 25 UNION ALL SELECT l_orderkey, l_linenumber, 'tax' FROM lineitem WHERE l_tax = 0 AND l_linestatus = 'O'""")
 def q_implication(spark, sf_dir):
     checks = [
-        rules.implies("returned", ("l_returnflag", "l_linestatus"), F.col("l_returnflag") == "R", F.col("l_linestatus") == "F", "returned, but open"),
-        rules.implies("discount", ("l_discount", "l_quantity"), F.col("l_discount") > 0.05, F.col("l_quantity") > 25, "discount on a small quantity"),
-        rules.implies("tax", ("l_tax", "l_linestatus"), v.is_code("l_tax", 0), F.col("l_linestatus") != "O", "no tax on an open line"),
+        rules.implies("returned", ("l_returnflag", "l_linestatus"), col("l_returnflag") == "R", col("l_linestatus") == "F", "returned, but open"),
+        rules.implies("discount", ("l_discount", "l_quantity"), col("l_discount") > 0.05, col("l_quantity") > 25, "discount on a small quantity"),
+        rules.implies("tax", ("l_tax", "l_linestatus"), cell.is_code("l_tax", 0), col("l_linestatus") != "O", "no tax on an open line"),
     ]
     return rules.evaluate(t(spark, sf_dir, "lineitem"), checks, ["l_orderkey", "l_linenumber"]).select("l_orderkey", "l_linenumber", "rule")
 
@@ -201,7 +203,7 @@ def q_applicability_audit(spark, sf_dir):
     cells = part_cells(spark, sf_dir)
     text = spark.createDataFrame([("size", "[mixed]<>'' and [mixed]>'20'")], "variable string, branching_logic string")
     predicate = predicates.compiled(text).first()["predicate"]
-    long = cells.select("p_brand", "p_partkey", F.lit("size").alias("variable"), F.col("size").alias("value"), predicates.applicable(predicate, cells.columns).alias("applies"))
+    long = cells.select("p_brand", "p_partkey", F.lit("size").alias("variable"), F.col("size").alias("value"), F.expr(predicates.applicable(predicate, cells.columns).text).alias("applies"))
     audit = discovery.applicability_audit(long, ["p_brand"], "p_partkey")
     return audit.select("p_brand", "variable", "value", "side", "count", F.array_join(F.transform("subjects", lambda x: x.cast("string")), ",").alias("subjects"))
 

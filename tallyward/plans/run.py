@@ -1,24 +1,29 @@
 """A whole run: snapshot rows and a dictionary become flags, flags pass through their life, and trackers are made of them.
 
 The driver holds only what the dictionary gives (a few entries for each variable and form); rows stay in Spark from the snapshots to the
-trackers.  Rules of several variables are projections (`rules.evaluate`), rules of single variables go by the long path, and each network is
-evaluated with its own exclusions.
+trackers.  A run reads its rows once: `prepared` writes them with their subjects' fields and the forms that pass the gate, by network, and all checks
+read that table.  Rules are compiled once, for all networks, to a few expressions (`rules.evaluate`); cells that a single-variable check may
+flag are found by one expression and written too.  Flags are written before their life is worked out, and that before trackers are made of it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import json
 from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyward.functions import expressions as sql
 from tallyward.functions import values as v
+from tallyward.functions.expressions import Sql, col
+from tallyward.functions.values import of_text as cell
 from tallyward.operators import catalog, crosschecks, gate, lifecycle, rules, subjects, tracker
 from tallyward.operators.flags import flag_records
-from tallyward.plans import content
+from tallyward.plans import content, model
 from tallyward.plans import dictionary as dd
+from tallyward.sources.stages import written
 
 #: What a flag keeps of its row.
 KEYS = ["network", "subjectid", "timepoint", "visit_status_string", "removed", "inclusion_status"]
@@ -38,39 +43,52 @@ class Study:
     form_of: dict[str, str]
     excluded: dict[str, frozenset[str]]
     compiled: dict[str, str | None]
+    checked: dict[str, frozenset[str]] = field(default_factory=dict)
     groups: dict[str, set[str]] = field(default_factory=dict)
     interview_dates: dict[str, str] = field(default_factory=dict)
     reasons: dict[str, tuple[str, str]] = field(default_factory=dict)
 
 
-def _sets(pairs: DataFrame, key: str) -> dict[str, set[str]]:
+def _sets(pairs: list[dict], key: str) -> dict[str, set[str]]:
     out: dict[str, set[str]] = {}
-    for r in pairs.select(key, "variable").distinct().collect():
+    for r in pairs:
         out.setdefault(r[key], set()).add(r["variable"])
     return out
 
 
-def _local(table: DataFrame) -> DataFrame:
-    """A table of the dictionary's size as rows of the driver, so that plans don't derive it again each time they read it."""
-    return table.sparkSession.createDataFrame(table.collect(), table.schema)
+def _collected(tables: dict[str, DataFrame]) -> dict[str, list[dict]]:
+    """The rows of tables of the dictionary's size, in one job."""
+    out: dict[str, list[dict]] = {name: [] for name in tables}
+    rows = [t.select(F.lit(name).alias("name"), F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("row")) for name, t in tables.items()]
+    for r in reduce(DataFrame.unionByName, rows).collect():
+        out[r["name"]].append(json.loads(r["row"]))
+    return out
 
 
 def study(dictionary: DataFrame, added: DataFrame | None = None) -> Study:
     """The metadata of a dictionary; added: (variable) of variables that an older dictionary doesn't have."""
-    dictionary = _local(dictionary).coalesce(1)
-    meta = _local(content.metadata(dictionary))
-    listed = meta.select("form", "missing_var", "missing_spec_var", "interview_date_var").collect()
-    form_of = {r["variable"]: r["form"] for r in dd.forms_of(dictionary).collect()}
-    ranges = dd.ranges(dictionary).join(dictionary.select("variable", "form"), "variable")
-    groups = _sets(content.blood_groups(dictionary).unionByName(content.module_groups(dictionary)), "grp")
+    spark = dictionary.sparkSession
+    dictionary = spark.createDataFrame(dictionary.toArrow())  # rows of the driver, so that no plan reads the dictionary again
+    kept = {
+        "blank": content.blank_checks(dictionary), "missing_codes": content.missing_code_checks(dictionary), "specific": content.specific_values(dictionary),
+        "ranges": dd.ranges(dictionary).join(dictionary.select("variable", "form"), "variable"), "teams": content.teams(dictionary), "labels": dd.labels(dictionary),
+    }
+    others = {
+        "meta": content.metadata(dictionary), "forms": dd.forms_of(dictionary), "excluded": content.excluded(dictionary, added), "groups": content.blood_groups(dictionary).unionByName(content.module_groups(dictionary)),
+        "compiled": content.predicate_rows(dictionary), "unsupported": dd.unsupported(dictionary).select("variable"),
+    }
+    found = _collected(kept | others)
+    tables = {name: spark.createDataFrame([tuple(r.get(c) for c in t.columns) for r in found[name]], t.schema).coalesce(1) for name, t in kept.items()}
+    meta = found["meta"]
     return Study(
-        *map(_local, (content.blank_checks(dictionary), content.missing_code_checks(dictionary), content.specific_values(dictionary), ranges, content.teams(dictionary), dd.labels(dictionary))),
-        content.forms(meta), form_of, {n: frozenset(x) for n, x in _sets(content.excluded(dictionary, added), "network").items()}, content.compiled_predicates(dictionary), groups,
-        {r["form"]: r["interview_date_var"] for r in listed if r["interview_date_var"]}, {r["form"]: (r["missing_var"], r["missing_spec_var"]) for r in listed if r["missing_var"] and r["missing_spec_var"]},
+        **tables, forms=content.forms(meta), form_of={r["variable"]: r["form"] for r in found["forms"]}, excluded={n: frozenset(x) for n, x in _sets(found["excluded"], "network").items()},
+        compiled=content.usable_predicates(found["compiled"], found["unsupported"]), checked={name: frozenset(r["variable"] for r in found[name]) for name in ("blank", "missing_codes", "specific", "ranges")},
+        groups=_sets(found["groups"], "grp"), interview_dates={r["form"]: r["interview_date_var"] for r in meta if r.get("interview_date_var")},
+        reasons={r["form"]: (r["missing_var"], r["missing_spec_var"]) for r in meta if r.get("missing_var") and r.get("missing_spec_var")},
     )
 
 
-def listed_rules(of: Study, columns: list[str], run_date: Column, diagnoses: dict[str, dict] | None = None, scid: bool = True) -> list[rules.Rule]:
+def listed_rules(of: Study, columns: list[str], run_date: Sql, diagnoses: dict[str, dict] | None = None, scid: bool = True) -> list[rules.Rule]:
     """All rules of the catalogue for rows with these columns."""
     out = catalog.general_rules()
     out += catalog.blood_rules(tuple(sorted(of.groups.get("volume", ()))), tuple(sorted(of.groups.get("barcode", ()))), run_date)
@@ -95,77 +113,126 @@ def _flag(found: DataFrame, rule: str, seq: int, form: Column, variable: Column,
     )
 
 
-def single_checks(rows: DataFrame, of: Study, network: str, passes) -> DataFrame:
+def prepared(rows: DataFrame, of: Study, due: DataFrame, run_date: Column) -> tuple[DataFrame, DataFrame]:
+    """Rows of `with_subjects`, written once by network with the forms that pass the gate (_ok) and those that aren't marked missing (_there); and those of them that rules judge (known cohorts)."""
+    due = due.select(F.lower("cohort").alias("_cohort"), "timepoint", "forms")
+    columns = rows.columns
+    there = ", ".join(f"CASE WHEN NOT {gate.marked_missing(f, columns).text} THEN {sql.text_of(f.name)} END" for f in of.forms)
+    ok = ", ".join(f"CASE WHEN {gate.form_ok(f, columns).text} THEN {sql.text_of(f.name)} END" for f in of.forms)
+    known = rows.withColumn("_cohort", F.lower("cohort")).join(F.broadcast(due), ["_cohort", "timepoint"], "left").drop("_cohort")
+    among = "array_intersect(filter(CAST(array({}) AS array<string>), x -> x IS NOT NULL), coalesce(forms, CAST(array() AS array<string>)))"
+    out = known.withColumns({"_ok": F.expr(among.format(ok)), "_there": F.expr(among.format(there)), "_run_date": run_date.cast("date")}).withColumnRenamed("forms", "_due")
+    out = written(out, "rows", "network")
+    return out, out.where(F.lower("cohort").isin("hc", "chr"))
+
+
+def single_checks(rows: DataFrame, of: Study, passes) -> DataFrame:
     """R1, R2 (where the variable applies and its module isn't skipped), R3 and R6; the joined tables have a row for each variable and report."""
-    columns, excluded = rows.columns, of.excluded.get(network, frozenset())
-    listed = lambda *tables: {r["variable"] for t in tables for r in t.select("variable").distinct().collect()}
-    codes = of.missing_codes.where(F.col("network") == network).select("variable")
-    forms = lambda names: {x: of.form_of[x] for x in sorted(names) if x in of.form_of}
-    judged = rules.eligible_cells(rows, KEYS, forms(listed(of.blank, codes)), passes, content.applies(of.compiled, columns), excluded, content.skipped(of.groups))
-    plain = rules.eligible_cells(rows, KEYS, forms(listed(of.specific, of.ranges)), passes, None, excluded)
-    form_of = F.broadcast(of.blank.sparkSession.createDataFrame(list(of.form_of.items()) or [("", "")], "variable string, form string"))
-    main = F.array(F.lit("Main Report"))
+    every = frozenset().union(*of.checked.values())
+    applies, skipped = content.applies(of.compiled, rows.columns), content.skipped(of.groups)
+    judged = lambda x: rules.all_of([applies(x), ~skipped(x)])
+    suspect = lambda x: x.judged & ((x.value == "") | v.is_missing(x.value) | (x.value == "NaN"))
+    forms = {x: of.form_of[x] for x in sorted(every) if x in of.form_of}
+    cells = written(rules.marked_cells(rows, KEYS, forms, judged, passes, of.excluded, suspect, of.checked["specific"] | of.checked["ranges"]), "cells")
+    main, own = F.array(F.lit("Main Report")), cells.where("judged").drop("judged", "form")
+    # a network without a list of its own has no missing codes to look for
     out = [
-        content.with_teams(_flag(rules.blank_checks(judged, F.broadcast(of.blank)), "blank", 0, F.col("form"), F.col("variable"), F.array("report")), of.teams),
-        content.with_teams(_flag(rules.missing_code_checks(judged, F.broadcast(codes)).join(form_of, "variable"), "missing code", 1, F.col("form"), F.col("variable"), main), of.teams),
-        _flag(rules.specific_value_checks(plain, F.broadcast(of.specific)), "specific value", 2, F.col("form"), F.col("variable"), F.col("reports")),
-        _flag(rules.range_checks(plain, F.broadcast(of.ranges)), "range", 3, F.col("form"), F.col("variable"), main),
+        content.with_teams(_flag(rules.blank_checks(own, F.broadcast(of.blank)), "blank", 0, F.col("form"), F.col("variable"), F.array("report")), of.teams),
+        content.with_teams(_flag(rules.missing_code_checks(cells.where("judged"), F.broadcast(of.missing_codes), ["network", "variable"]), "missing code", 1, F.col("form"), F.col("variable"), main), of.teams),
+        _flag(rules.specific_value_checks(cells.drop("form"), F.broadcast(of.specific)), "specific value", 2, F.col("form"), F.col("variable"), F.col("reports")),
+        _flag(rules.range_checks(cells.drop("form"), F.broadcast(of.ranges)), "range", 3, F.col("form"), F.col("variable"), main),
     ]
     return reduce(DataFrame.unionByName, out)
 
 
-def completion_flags(rows: DataFrame, of: Study, due: DataFrame) -> DataFrame:
-    """R4 over the completion columns that the rows have."""
+def completion_flags(rows: DataFrame, of: Study) -> DataFrame:
+    """R4 over the completion columns that the rows have; rows with _due."""
     known, cells = set(rows.columns), []
-    own = F.col("network") == gate.KEEPS_OWN_COMPLETION
+    own = col("network") == gate.KEEPS_OWN_COMPLETION
     for f in of.forms:
         names = [x if x in known else None for x in (f.completion, v.network_completion(f.completion))]
         if any(names):
-            cell = lambda x: F.col(x).cast("string") if x else F.lit(None).cast("string")
-            cells.append(F.struct(F.lit(f.name).alias("form"), F.when(own, cell(names[1])).otherwise(cell(names[0])).alias("status"), F.when(own, F.lit(v.network_completion(f.completion))).otherwise(F.lit(f.completion)).alias("variable")))
-    keys = ["subjectid", "timepoint"]
+            value = lambda x: col(x).cast("string") if x else sql.lit(None).cast("string")
+            status, name = sql.when(own, value(names[1])).otherwise(value(names[0])), sql.when(own, v.network_completion(f.completion)).otherwise(f.completion)
+            cells.append(f"struct({sql.text_of(f.name)} AS form, {status.text} AS status, {name.text} AS variable)")
     if not cells:
         return rows.where("false").select(*KEYS, F.lit("").alias("form"), F.lit("").alias("variable"), F.lit("").alias("error_message"), F.array().cast("array<string>").alias("reports"))
-    completions = rows.select(*keys, F.explode(F.array(*cells)).alias("_c")).select(*keys, "_c.*").where("status is not null")
-    return gate.completion_checks(rows.select(*KEYS, "cohort", "ordinal", "visit_ordinal"), due, completions)
+    late = rows.where(gate.moved_on().text).select(*KEYS, F.expr(f"inline(filter(array({', '.join(cells)}), x -> x.status IS NOT NULL AND array_contains(_due, x.form)))"))
+    return gate.open_forms(late)
+
+
+def form_dates(rows: DataFrame, of: Study) -> DataFrame:
+    """A1: (subjectid, timepoint, ordinal, form, date) of the interview dates of due forms that aren't marked missing; one unpivot feeds ranges, the range check and the monitor."""
+    cells = [f"CASE WHEN array_contains(_there, {sql.text_of(f)}) THEN named_struct('form', {sql.text_of(f)}, 'date', {cell.real_date(x, True).text}) END" for f, x in of.interview_dates.items() if x in rows.columns]
+    keys = ["subjectid", "timepoint", "ordinal"]
+    if not cells:
+        return rows.where("false").select(*keys, F.lit("").alias("form"), F.lit(None).cast("date").alias("date"))
+    return rows.select(*keys, F.expr(f"inline(filter(array({', '.join(cells)}), x -> x.date IS NOT NULL))"))
+
+
+def withdrawn(rows: DataFrame, visits: DataFrame, run_date: Column) -> DataFrame:
+    """The withdrawn table, a row for each eligible subject: the days until the next visit after the last one with a date.
+
+    Screen failures and completed studies are known of one network only.  rows and visits as in `flags`.
+    """
+    ended = lambda x: F.bool_or(F.col(x) & (F.col("network") != gate.KEEPS_OWN_COMPLETION)) if x in rows.columns else F.lit(False)
+    first = [F.first(x, ignorenulls=True).alias(x) for x in ("network", "cohort", "inclusion_status")]
+    info = rows.groupBy(F.col("subjectid").alias("subject")).agg(*first, ended("screenfail").alias("screenfail"), ended("completed_study").alias("completed_study"), F.bool_or(F.col("removed") == "True").alias("withdrawn_status"))
+    ordered = visits.where("ordinal is not null").withColumnRenamed("subjectid", "subject")
+    columns = ["subject", "network", "cohort", "current_timepoint", "most_recent_date", "days_until_expected_next_visit", "withdrawn_status"]
+    return subjects.withdrawals(ordered, info, run_date).where("days_until_expected_next_visit is not null").select(*columns)
 
 
-def flags(
-    rows: DataFrame, of: Study, due: DataFrame, run_date: Column, ranges: DataFrame | None = None, conversions: DataFrame | None = None, wide: DataFrame | None = None, diagnoses: dict[str, dict] | None = None,
-    networks: Iterable[str] = ("PRONET", "PRESCIENT"),
-) -> DataFrame:
-    """The flag records of a run.
+@dataclass(frozen=True)
+class Found:
+    """What the checks of a run give: flags, the withdrawn table, and the visits' date ranges."""
+
+    flags: DataFrame
+    withdrawn: DataFrame
+    visits: DataFrame
+
 
-    rows: `with_subjects`; due: (cohort, timepoint, forms).  Optional: ranges (subjectid, timepoint, ordinal, earliest, latest) for R29, conversions for R51,
-    wide (one row for each subject over all timepoints, with `KEYS`) for R52.
+def checked(rows: DataFrame, of: Study, due: DataFrame, run_date: Column, conversions: DataFrame | None = None, diagnoses: dict[str, dict] | None = None) -> Found:
+    """All checks of a run.
+
+    rows: `with_subjects`; due: (cohort, timepoint, forms); conversions: (subject, conversion_date) of `snapshots.read_conversions` for R51;
+    diagnoses: as `catalog.scid_rules` takes them, for R39.
     """
-    passing, passes = gate.gated(rows, of.forms, due)
-    listed = listed_rules(of, rows.columns, run_date, diagnoses)
-    out = []
-    for network in networks:
-        own = passing.where(F.col("network") == network)
-        out.append(rules.evaluate(own, listed, KEYS, passes, content.applies(of.compiled, rows.columns), of.excluded.get(network, frozenset())).withColumn("seq", F.col("seq") + 100))
-        out.append(single_checks(own, of, network, passes))
+    every, passing = prepared(rows, of, due, run_date)
+    columns = rows.columns
+    passes = lambda form: sql.array_contains(col("_ok"), form)
+    listed = listed_rules(of, columns, col("_run_date"), diagnoses)
+    out = [rules.evaluate(passing, listed, KEYS, passes, content.applies(of.compiled, columns), of.excluded).withColumn("seq", F.col("seq") + 100), single_checks(passing, of, passes)]
     form, no = F.lit(catalog.CURRENT_MEDICATION[0]), F.array(F.lit("Main Report"))
-    out.append(_flag(completion_flags(rows, of, due), "completion", 4, F.col("form"), F.col("variable"), F.col("reports")))
-    names = [x for _, x in _names(rows.columns)]
+    out.append(_flag(completion_flags(every, of), "completion", 4, F.col("form"), F.col("variable"), F.col("reports")))
+    names = _names(columns)
     if names:
-        slots = rules.slots(rows, KEYS, max(n for n, _ in _names(rows.columns)), {"name": "chrpharm_med{n}_name"})
+        slots = rules.slots(every, KEYS, max(n for n, _ in names), {"name": "chrpharm_med{n}_name"})
         twice = rules.repeated_in_slots(slots, KEYS, "name")
-        twice = twice.withColumn("error_message", rules.text("The name ", F.col("name"), " is in slots ", F.col("slot_1"), " and ", F.col("slot_2")))
+        twice = twice.withColumn("error_message", F.concat(F.lit("The name "), "name", F.lit(" is in slots "), "slot_1", F.lit(" and "), "slot_2"))
         out.append(_flag(twice, "repeated name", 5, form, _slot_name("slot_1"), no))
-        both = catalog.overlapping_medications(rows, KEYS)
-        both = both.withColumn("error_message", rules.text("The name ", F.col("name"), " has overlapping dates in slots ", F.col("slot_1"), " and ", F.col("slot_2")))
+        both = catalog.overlapping_medications(every, KEYS)
+        both = both.withColumn("error_message", F.concat(F.lit("The name "), "name", F.lit(" has overlapping dates in slots "), "slot_1", F.lit(" and "), "slot_2"))
         out.append(_flag(both, "overlapping medication", 6, form, _slot_name("slot_1"), no))
-    if ranges is not None and "chrpharm_date_mod" in rows.columns:
-        day = rows.select(*KEYS, v.real_date("chrpharm_date_mod", True).alias("modified")).where("modified is not null")
-        late = subjects.outside_visits(day, ranges, "subjectid", "timepoint", "ordinal", ["modified"]).withColumn("error_message", rules.text("Modified on ", F.col("modified"), ", outside of this and the previous visit"))
-        out.append(_flag(late, "modification date", 7, form, F.lit("chrpharm_date_mod"), no))
-    if conversions is not None and "chrconv_interview_date" in rows.columns:
-        out.append(_flag(crosschecks.unrecorded_conversions(rows, conversions), "conversion date", 8, F.lit("conversion_form"), F.lit("chrconv_interview_date"), no))
+    visits = written(subjects.visit_ranges(form_dates(passing, of), ["subjectid", "timepoint", "ordinal"]), "visits")
+    changed = [x for x in ("chrpharm_date_mod", "chrpharm_date_mod_2") if x in columns]
+    if changed:
+        days = passing.where("ordinal is not null").select(*KEYS, *[v.real_date(x, True).alias(x) for x in changed])
+        late = subjects.outside_visits(days.where(" AND ".join(f"{x} IS NOT NULL" for x in changed)), visits.where("ordinal is not null"), "subjectid", "timepoint", "ordinal", changed)
+        late = late.withColumn("error_message", F.concat(F.lit("Modified on "), F.concat_ws(" and ", *[F.col(x).cast("string") for x in changed]), F.lit(", outside of this and the previous visit")))
+        out.append(_flag(late, "modification date", 7, form, F.lit(changed[0]), no))
+    if conversions is not None and "chrconv_interview_date" in columns:
+        out.append(_flag(crosschecks.unrecorded_conversions(every, conversions), "conversion date", 8, F.lit("conversion_form"), F.lit("chrconv_interview_date"), no))
+    wide = crosschecks.parents(every, KEYS)
     if wide is not None:
-        out.append(rules.evaluate(wide, crosschecks.differing_ages(), KEYS).withColumn("seq", F.col("seq") + 10_000))
-    return flag_records(reduce(DataFrame.unionByName, out), run_date, of.labels)
+        out.append(rules.evaluate(wide, crosschecks.differing_ages(), KEYS, passes).withColumn("seq", F.col("seq") + 10_000))
+    records = flag_records(reduce(DataFrame.unionByName, out), run_date, of.labels)
+    return Found(records, withdrawn(every, visits, run_date), visits)
+
+
+def flags(rows: DataFrame, of: Study, due: DataFrame, run_date: Column, **more) -> DataFrame:
+    """The flag records of a run."""
+    return checked(rows, of, due, run_date, **more).flags
 
 
 def _names(columns: list[str]) -> list[tuple[int, str]]:
@@ -176,14 +243,26 @@ def _slot_name(slot: str) -> Column:
     return F.concat(F.lit("chrpharm_med"), F.col(slot).cast("string"), F.lit("_name"))
 
 
-def trackers(life: DataFrame) -> DataFrame:
-    """One row for each report and form of a visit, classed and numbered for ordering."""
-    return tracker.classed(tracker.merged(tracker.fanned_out(life), keys=("report", *tracker.GROUP)))
+def trackers(life: DataFrame, raters: DataFrame | None = None) -> DataFrame:
+    """One row for each report and form of a visit (and rater, if a map (subject, rater) is given), classed and numbered for ordering."""
+    by = ("report", "rater", *tracker.GROUP) if raters is not None else ("report", *tracker.GROUP)
+    return tracker.classed(tracker.merged(tracker.fanned_out(life, raters), keys=by))
+
+
+@dataclass(frozen=True)
+class Outcome:
+    """A run's tables: flags after it, trackers by report (and by rater), the withdrawn table."""
+
+    flags: DataFrame
+    trackers: DataFrame
+    withdrawn: DataFrame
+    by_rater: DataFrame | None = None
 
 
-def run(rows: DataFrame, of: Study, due: DataFrame, run_date: Column, old: DataFrame | None = None, sheet: DataFrame | None = None, **more) -> tuple[DataFrame, DataFrame]:
-    """(flags after the run, trackers): old are the flags of the run before, sheet the reviewers' comments."""
-    new = flags(rows, of, due, run_date, **more)
+def run(rows: DataFrame, of: Study, due: DataFrame, run_date: Column, old: DataFrame | None = None, sheet: DataFrame | None = None, raters: DataFrame | None = None, **more) -> Outcome:
+    """A run and its trackers: old are the flags of the run before, sheet the reviewers' comments, raters a map (subject, rater)."""
+    found = checked(rows, of, due, run_date, **more)
+    new = written(found.flags, "flags")
     life = lifecycle.step(old if old is not None else new.where("false"), new, run_date)
-    life = lifecycle.reviewed(life, sheet) if sheet is not None else life
-    return life, trackers(life)
+    life = written(lifecycle.reviewed(life, sheet) if sheet is not None else life, "life")
+    return Outcome(life, trackers(life), found.withdrawn, trackers(life, raters) if raters is not None else None)

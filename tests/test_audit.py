@@ -16,7 +16,7 @@ def test_own_predicates_of_variables(spark):
 
     def holds(variable, **cells):
         one = spark.createDataFrame([tuple(cells.values())], ", ".join(f"`{c}` string" for c in cells))
-        return one.select(predicates.applicable(made[variable]["predicate"], one.columns).alias("x")).first()["x"]
+        return one.select(F.expr(predicates.applicable(made[variable]["predicate"], one.columns).text).alias("x")).first()["x"]
 
     for variable, yes, no in [
         ("chrtbi_age_first_inj", {"chrtbi_parent_headinjury": "1"}, {"chrtbi_parent_headinjury": "0"}),

@@ -1,5 +1,7 @@
 import pytest
 
+from pyspark.sql import functions as F
+
 from tallyward.functions import predicates
 
 ROWS = [("1", "2", ""), ("1.0", "1", "x"), ("", "2", "00"), ("a", "-9", "0"), (None, "3", None)]
@@ -26,7 +28,7 @@ def test_predicates_are_two_valued(spark, logic, expected):
     rows = spark.createDataFrame([(i, *r) for i, r in enumerate(ROWS)], "i int, a string, b string, c string")
     compiled = predicates.compiled(spark.createDataFrame([("v", logic)], "variable string, branching_logic string")).first()
     assert compiled["rest"] == ""
-    got = rows.orderBy("i").select(predicates.applicable(compiled["predicate"], rows.columns)).collect()
+    got = rows.orderBy("i").select(F.expr(predicates.applicable(compiled["predicate"], rows.columns).text)).collect()
     assert [r[0] for r in got] == expected
 
 

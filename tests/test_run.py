@@ -33,14 +33,15 @@ def test_a_run_and_the_next_one(spark):
     of = catalog_queries.study_of(spark)
     day = lambda x: F.lit(x).cast("date")
     rows, due = small(spark, chrblood_vol1="1.5", chrblood_bc1="1234567890", chrap_x="-9", chroasis_oasis_1="0", chroasis_oasis_2="2", chrscid_b1="", chrscid_b16="1", chrspeech_upload="1")
-    first, _ = run.run(rows, of, due, day("2024-05-01"))
+    first = run.run(rows, of, due, day("2024-05-01")).flags
     # chrscid_b16 is filled, so half of that form is
     assert {r["rule"] for r in first.collect()} == {"volume chrblood_vol1", "missing code", "anxiety 2", "blank"}
     by_rule = {r["rule"]: r for r in first.collect()}
     assert by_rule["blank"]["reports"] == ["Main Report", "Non Team Forms", "Scid Report"] and by_rule["anxiety 2"]["reports"] == ["Secondary Report"]
     kept = spark.createDataFrame(first.collect(), first.schema)
     rows, due = small(spark, chrblood_vol1="1", chrblood_bc1="1234567890", chrap_x="1", chroasis_oasis_1="0", chroasis_oasis_2="2", chrscid_b1="1", chrscid_b16="1", chrspeech_upload="1")
-    second, trackers = run.run(rows, of, due, day("2024-05-09"), old=kept)
+    second = run.run(rows, of, due, day("2024-05-09"), old=kept)
+    second, trackers = second.flags, second.trackers
     state = {r["rule"]: (r["currently_resolved"], [str(d) for d in r["dates_resolved"]], r["time_since_last_detection"]) for r in second.collect()}
     assert state["anxiety 2"] == (False, [], 8) and state["blank"] == (True, ["2024-05-09"], 8)
     assert {(r["report"], r["currently_resolved"], r["status_class"]) for r in trackers.collect()} >= {("Secondary Report", False, "orange"), ("Main Report", True, "green")}
