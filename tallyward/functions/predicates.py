@@ -12,7 +12,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyward.functions.expressions import Sql, expr, lit
+from tallyward.functions import expressions as sql
+from tallyward.functions.expressions import Sql
 
 _IS_NUMBER = "[ \t]*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?[ \t]*"
 _NAME = r"\[([A-Za-z]\w*)\]"
@@ -43,19 +44,19 @@ def _steps() -> list[tuple[str, str]]:
     return out
 
 
-def rewritten(logic: Column) -> Column:
+def rewritten(logic: Sql) -> Sql:
     """The SQL of a predicate text; blank stays blank (always applicable)."""
     for pattern, replacement in _steps():
-        logic = F.regexp_replace(logic, pattern, replacement)
-    return F.regexp_replace(logic, r"[\r\n]+", " ")
+        logic = sql.regexp_replace(logic, pattern, replacement)
+    return sql.regexp_replace(logic, r"[\r\n]+", " ")
 
 
-def leftover(logic: Column) -> Column:
+def leftover(logic: Sql) -> Sql:
     """What the supported forms leave of a predicate text; empty if all of it is covered."""
-    logic = F.regexp_replace(logic, r"\[(\w+)\((\w+)\)\]", "[$1___$2]")
+    logic = sql.regexp_replace(logic, r"\[(\w+)\((\w+)\)\]", "[$1___$2]")
     operand = r"(?:\[[A-Za-z]\w*\]|'-?\d*(?:\.\d+)?'|\"-?\d*(?:\.\d+)?\"|-?\d+(?:\.\d+)?)"
-    logic = F.regexp_replace(logic, r"\[[A-Za-z]\w*\]" + _OP.replace("(<=", "(?:<=") + operand, "")
-    return F.trim(F.regexp_replace(F.regexp_replace(logic, r"(?i)\b(and|or)\b", ""), r"[()\s]+", ""))
+    logic = sql.regexp_replace(logic, r"\[[A-Za-z]\w*\]" + _OP.replace("(<=", "(?:<=") + operand, "")
+    return sql.trim(sql.regexp_replace(sql.regexp_replace(logic, r"(?i)\b(and|or)\b", ""), r"[()\s]+", ""))
 
 
 def mentioned(text: Column) -> Column:
@@ -75,25 +76,25 @@ OWN_LOGIC = {
 SCID_BOXES = {"chrscid_b48": "chrscid_b49", "chrscid_b53": "chrscid_b54", "chrscid_b58": "chrscid_b59", "chrscid_b63": "chrscid_b64"}
 
 
-def edited(variable: Column, logic: Column) -> Column:
+def edited(variable: Sql, logic: Sql) -> Sql:
     """P25: the predicate text that holds for a variable: head injuries, past medication, audio and video, SCID B45-B64, else its own."""
-    own = F.coalesce(*[F.when(variable == x, F.lit(text)) for x, text in OWN_LOGIC.items()])
+    own = sql.coalesce(*[sql.when(variable == x, sql.lit(text)) for x, text in OWN_LOGIC.items()])
     injuries = [
-        F.when(variable.contains("chrtbi") & variable.contains(n), F.when(variable.contains("parent"), F.lit(f"[chrtbi_number_injs] = '{n}' and [chrtbi_parent_times] = '3'")).otherwise(F.lit(f"[chrtbi_number_injs] = '{n}' and [chrtbi_subject_times] = '3'")))
+        sql.when(variable.contains("chrtbi") & variable.contains(n), sql.when(variable.contains("parent"), sql.lit(f"[chrtbi_number_injs] = '{n}' and [chrtbi_parent_times] = '3'")).otherwise(sql.lit(f"[chrtbi_number_injs] = '{n}' and [chrtbi_subject_times] = '3'")))
         for n in "45"
     ]
-    n = F.regexp_extract(variable, r"(\d+)", 1)
-    before = F.concat(F.lit("chrpharm_med"), (n.try_cast("int") - 1).cast("string"), F.lit("_add_past"))
-    before = F.when(n.isin("1", ""), F.lit("chrpharm_med_past")).otherwise(before)
-    past = F.concat(F.lit("[chrpharm_med"), n, F.lit("_name_past] <> '999' and ["), before, F.lit("] = '1'"))
-    past = F.when(variable.contains("chrpharm_med") & (variable.contains("onset_past") | variable.contains("offset_past")), past)
+    n = sql.regexp_extract(variable, r"(\d+)", 1)
+    before = sql.concat(sql.lit("chrpharm_med"), (n.try_cast("int") - 1).cast("string"), sql.lit("_add_past"))
+    before = sql.when(n.isin("1", ""), sql.lit("chrpharm_med_past")).otherwise(before)
+    past = sql.concat(sql.lit("[chrpharm_med"), n, sql.lit("_name_past] <> '999' and ["), before, sql.lit("] = '1'"))
+    past = sql.when(variable.contains("chrpharm_med") & (variable.contains("onset_past") | variable.contains("offset_past")), past)
     three = " or ".join(f"[chrscid_b{k}] = 3" for k in (*range(1, 15), *range(16, 22), *range(26, 39)))
     three += " or ([chrscid_b40] = 3 and [chrscid_b41] = 3) or ([chrscid_b42] = 3 and [chrscid_b43] = 3)"
-    with_own = F.when(F.trim(logic) == "", F.lit("")).otherwise(F.concat(F.lit("("), logic, F.lit(") and ")))
-    boxes = F.coalesce(*[F.when(variable == x, F.lit(f" and ([{box}(1)] <> 1)")) for x, box in SCID_BOXES.items()], F.lit(""))
-    scid = F.when(variable.isin(*[f"chrscid_b{k}" for k in range(45, 65)]), F.concat(with_own, F.lit(f"({three})"), boxes))
-    past_c = F.when(variable == "chrscid_c56_c65", F.concat(with_own, F.lit("([chrscid_b23(1)] <> 1)")))
-    return F.coalesce(own, *injuries, past, scid, past_c, logic)
+    with_own = sql.when(sql.trim(logic) == "", sql.lit("")).otherwise(sql.concat(sql.lit("("), logic, sql.lit(") and ")))
+    boxes = sql.coalesce(*[sql.when(variable == x, sql.lit(f" and ([{box}(1)] <> 1)")) for x, box in SCID_BOXES.items()], sql.lit(""))
+    scid = sql.when(variable.isin(*[f"chrscid_b{k}" for k in range(45, 65)]), sql.concat(with_own, sql.lit(f"({three})"), boxes))
+    past_c = sql.when(variable == "chrscid_c56_c65", sql.concat(with_own, sql.lit("([chrscid_b23(1)] <> 1)")))
+    return sql.coalesce(own, *injuries, past, scid, past_c, logic)
 
 
 def _numeric(name: str) -> str:
@@ -116,10 +117,11 @@ def manual() -> dict[str, str]:
 
 def compiled(dictionary: DataFrame, overrides: DataFrame | None = None) -> DataFrame:
     """(variable, predicate, rest): overrides (variable, predicate) win, then P25's own ones; a non-empty rest is not supported and excludes the variable."""
-    logic = edited(F.col("variable"), F.coalesce("branching_logic", F.lit("")))
-    sql = F.coalesce(*[F.when(F.col("variable") == x, F.lit(text)) for x, text in manual().items()])
-    out = dictionary.select("variable", logic.alias("logic"), sql.alias("sql"))
-    out = out.select("variable", F.coalesce("sql", rewritten(F.col("logic"))).alias("predicate"), F.when(F.col("sql").isNotNull(), "").otherwise(leftover(F.col("logic"))).alias("rest"))
+    logic = edited(sql.col("variable"), sql.coalesce(sql.col("branching_logic"), ""))
+    own = sql.coalesce(*[sql.when(sql.col("variable") == x, text) for x, text in manual().items()])
+    out = dictionary.selectExpr("variable", f"{logic.text} AS logic", f"{own.text} AS own")
+    predicate, rest = sql.coalesce(sql.col("own"), rewritten(sql.col("logic"))), sql.when(sql.col("own").isNotNull(), "").otherwise(leftover(sql.col("logic")))
+    out = out.selectExpr("variable", f"{predicate.text} AS predicate", f"{rest.text} AS rest")
     if overrides is None:
         return out
     own = overrides.select("variable", F.col("predicate").alias("own"))
@@ -129,6 +131,6 @@ def compiled(dictionary: DataFrame, overrides: DataFrame | None = None) -> DataF
 def applicable(predicate: str, columns: Iterable[str]) -> Sql:
     """A compiled predicate over rows with these columns; names that no file has count as absent."""
     if not predicate.strip():
-        return lit(True)
+        return sql.lit(True)
     known = columns if isinstance(columns, (set, frozenset)) else set(columns)
-    return expr(re.sub(r"`(\w+)`", lambda m: m[0] if m[1] in known else "CAST(NULL AS STRING)", predicate))
+    return sql.expr(re.sub(r"`(\w+)`", lambda m: m[0] if m[1] in known else "CAST(NULL AS STRING)", predicate))

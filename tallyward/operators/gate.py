@@ -74,8 +74,8 @@ def extra(form: str) -> Sql:
     return next((t for part, t in tests.items() if part in form), sql.lit(True))
 
 
-def form_ok(form: Form, columns: Iterable[str]) -> Sql:
-    """complete (or the subject has moved on, where completion is kept apart), not marked missing, extra conditions met."""
+def form_ok(form: Form, columns: Iterable[str], missing: Sql | None = None) -> Sql:
+    """complete (or the subject has moved on, where completion is kept apart), not marked missing (`missing`, if that is known already), extra conditions met."""
     known = set(columns)
     names = [x for x in (form.completion, v.network_completion(form.completion)) if x in known]
     if not names:
@@ -84,7 +84,7 @@ def form_ok(form: Form, columns: Iterable[str]) -> Sql:
     if len(names) == 2:
         complete = sql.when(_own(), cell.is_code(names[1], 2)).otherwise(complete)
     complete = complete | (_own() & moved_on())
-    return complete & ~marked_missing(form, known) & extra(form.name)
+    return complete & ~(marked_missing(form, known) if missing is None else missing) & extra(form.name)
 
 
 def gated(rows: DataFrame, forms: Iterable[Form], due: DataFrame) -> tuple[DataFrame, Callable[[str], Sql]]:

@@ -31,14 +31,14 @@ def step(old: DataFrame, new: DataFrame, run_date: Column, keys=KEYS, remove: Co
     taken |= {x: F.coalesce(F.col(f"o.{x}"), F.col(f"n.{x}")) for x in REVIEW if x in old.columns and x in new.columns}
     kept = both.where(~(was & ~now & remove)) if remove is not None else both
     plain = [x for x in new.columns if x not in taken and x in old.columns and x != "time_since_last_detection"]
-    out = kept.select(*[F.when(now, F.col(f"n.{x}")).otherwise(F.col(f"o.{x}")).alias(x) for x in plain], *[e.alias(x) for x, e in taken.items()])
+    out = kept.select(*[F.expr(f"CASE WHEN n.dates_detected IS NOT NULL THEN n.`{x}` ELSE o.`{x}` END AS `{x}`") for x in plain], *[e.alias(x) for x, e in taken.items()])
     return out.withColumn("time_since_last_detection", F.datediff(run_date.cast("date"), F.element_at("dates_detected", -1)))
 
 
 def _unique(flags: DataFrame, keys) -> DataFrame:
     rest = [x for x in flags.columns if x not in keys]
     order = F.struct(*([F.col("seq")] if "seq" in rest else []), F.xxhash64(*rest))
-    return flags.groupBy(*keys).agg(F.min_by(F.struct(*rest), order).alias("_row")).select(*keys, *[F.col("_row").getField(x).alias(x) for x in rest]) if rest else flags.distinct()
+    return flags.groupBy(*keys).agg(F.min_by(F.struct(*rest), order).alias("_row")).select(*keys, "_row.*") if rest else flags.distinct()
 
 
 def history(runs: DataFrame, present: DataFrame, key: str, run: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyward.functions import expressions as sql
 from tallyward.functions import values as v
 from tallyward.operators.gate import may_withdraw
 from tallyward.plans.model import TIMEPOINTS, month_of
@@ -53,11 +54,11 @@ def recent_date(columns: list[str], run_date: Column) -> Column:
 
 def expected_gap(timepoint: str, cohort: str) -> Column:
     """Days to the next visit: 30 for each month between, 30 from screening and baseline; HC go from month2 to month12; none at the end."""
-    out = F.lit(None).cast("int")
+    out = sql.lit(None).cast("int")
     for a, b in zip(TIMEPOINTS, TIMEPOINTS[1:], strict=False):
         days = 30 if a in ("screening", "baseline") else 30 * (month_of(b) - month_of(a))
-        out = F.when(F.col(timepoint) == a, F.when((F.lit(a) == "month2") & (F.col(cohort) == "HC"), 300).otherwise(days)).otherwise(out)
-    return out
+        out = sql.when(sql.col(timepoint) == a, sql.when(sql.col(cohort) == "HC", 300).otherwise(days) if a == "month2" else days).otherwise(out)
+    return F.expr(out.text)
 
 
 def withdrawals(visits: DataFrame, info: DataFrame, run_date: Column) -> DataFrame:

@@ -117,11 +117,11 @@ def prepared(rows: DataFrame, of: Study, due: DataFrame, run_date: Column) -> tu
     """Rows of `with_subjects`, written once by network with the forms that pass the gate (_ok) and those that aren't marked missing (_there); and those of them that rules judge (known cohorts)."""
     due = due.select(F.lower("cohort").alias("_cohort"), "timepoint", "forms")
     columns = rows.columns
-    there = ", ".join(f"CASE WHEN NOT {gate.marked_missing(f, columns).text} THEN {sql.text_of(f.name)} END" for f in of.forms)
-    ok = ", ".join(f"CASE WHEN {gate.form_ok(f, columns).text} THEN {sql.text_of(f.name)} END" for f in of.forms)
-    known = rows.withColumn("_cohort", F.lower("cohort")).join(F.broadcast(due), ["_cohort", "timepoint"], "left").drop("_cohort")
-    among = "array_intersect(filter(CAST(array({}) AS array<string>), x -> x IS NOT NULL), coalesce(forms, CAST(array() AS array<string>)))"
-    out = known.withColumns({"_ok": F.expr(among.format(ok)), "_there": F.expr(among.format(there)), "_run_date": run_date.cast("date")}).withColumnRenamed("forms", "_due")
+    listed = lambda tests: sql.present(sql.expr(f"CAST(array({', '.join(tests)}) AS array<string>)")).text
+    missing = listed(f"CASE WHEN {gate.marked_missing(f, columns).text} THEN {sql.text_of(f.name)} END" for f in of.forms)
+    ok = listed(f"CASE WHEN {gate.form_ok(f, columns, sql.array_contains(col('_missing'), f.name)).text} THEN {sql.text_of(f.name)} END" for f in of.forms)
+    known = rows.withColumn("_cohort", F.lower("cohort")).join(F.broadcast(due), ["_cohort", "timepoint"], "left").drop("_cohort").withColumn("_due", F.expr("coalesce(forms, CAST(array() AS array<string>))")).drop("forms")
+    out = known.withColumn("_missing", F.expr(missing)).withColumns({"_ok": F.expr(f"array_intersect({ok}, _due)"), "_there": F.expr("array_except(_due, _missing)"), "_run_date": run_date.cast("date")}).drop("_missing")
     out = written(out, "rows", "network")
     return out, out.where(F.lower("cohort").isin("hc", "chr"))
 
