@@ -486,6 +486,53 @@ def q_run_flags(spark, sf_dir):
 
 
 
+# the visits of a run: dates of forms that aren't marked missing give ranges, the range check and the withdrawn table
+
+MONITORED = [
+    ("first_date", "one", "text", "Date of interview", "", "", "", ""), ("first_missing", "one", "checkbox", "", "", "", "", ""), ("second_date", "two", "text", "Date of interview", "", "", "", ""), ("second_missing", "two", "checkbox", "", "", "", "", ""),
+]
+
+
+def monitored(spark, sf_dir):
+    """A run over a row for each customer and year of orders: its first and last order are two forms' dates, the mean of them a medication's modification."""
+    made = [(x, f, kind, label if "date" in x else "", f"1, {content.MISSING_TEXT}" if "missing" in x else "", logic, required, "", "", low, high) for x, f, kind, label, logic, required, low, high in MONITORED]
+    names = ("variable", "form", "field_type", "label", "choices", "branching_logic", "required", "identifier", "validation", "validation_min", "validation_max")
+    of = run.study(spark.createDataFrame([(*m[:3], content.INTERVIEW_TEXTS[0] if m[3] else "", *m[4:]) for m in made], ", ".join(f"{x} string" for x in names)))
+    orders = t(spark, sf_dir, "orders").groupBy("o_custkey", (F.year("o_orderdate") - 1992).alias("n")).agg(F.to_date(F.min("o_orderdate")).alias("a"), F.to_date(F.max("o_orderdate")).alias("b"), F.min("o_orderkey").alias("k"), F.max("o_orderkey").alias("j"))
+    name = lambda x: F.get(F.array(*map(F.lit, VISITS)), F.col(x))
+    code = lambda x, n: F.when(F.col(x) % n == 0, "1").otherwise("0")
+    rows = orders.select(
+        F.col("o_custkey").cast("string").alias("subjectid"), F.when(F.col("o_custkey") % 3 == 0, "PRESCIENT").otherwise("PRONET").alias("network"), name("n").alias("timepoint"), F.when(F.col("o_custkey") % 11 == 0, "removed").otherwise("month2").alias("visit_status_string"),
+        F.col("a").cast("string").alias("first_date"), F.when(F.col("j") % 13 == 0, "1909-09-09").otherwise(F.concat(F.col("b").cast("string"), F.lit(" 10:00"))).alias("second_date"), code("k", 5).alias("first_missing"), code("j", 7).alias("second_missing"),
+        F.lit("2").alias("one_complete"), F.lit("2").alias("two_complete"), F.date_add("a", (F.col("k") % 500).cast("int")).cast("string").alias("chrpharm_date_mod"), F.date_add("b", (F.col("j") % 700).cast("int")).cast("string").alias("chrpharm_date_mod_2"),
+    )
+    info = people(spark, sf_dir).withColumns({"screenfail": F.col("subject").cast("int") % 13 == 0, "completed_study": F.lit(False)})
+    due = spark.createDataFrame([(c, x, ["one", "two"] if c == "CHR" else ["one"]) for c in ("HC", "CHR") for x in VISITS], "cohort string, timepoint string, forms array<string>")
+    return run.checked(run.with_subjects(rows, info, model.timepoints(spark)), of, due, F.lit("1999-01-01").cast("date"))
+
+
+MONITOR_SQL = f"""WITH o AS (SELECT o_custkey, year(o_orderdate) - 1992 AS n, CAST(min(o_orderdate) AS DATE) AS a, CAST(max(o_orderdate) AS DATE) AS b, min(o_orderkey) AS k, max(o_orderkey) AS j FROM orders GROUP BY 1, 2),
+ r AS (SELECT *, CASE WHEN o_custkey % 5 = 0 THEN 'HC' ELSE 'CHR' END AS cohort, {[*VISITS]}[CAST(n AS INTEGER) + 1] AS timepoint FROM o),
+ d AS (SELECT o_custkey, n, a AS date FROM r WHERE k % 5 <> 0 UNION ALL SELECT o_custkey, n, b FROM r WHERE j % 7 <> 0 AND j % 13 <> 0 AND cohort = 'CHR'),
+ v AS (SELECT o_custkey, n, min(date) AS earliest, max(date) AS latest FROM d GROUP BY 1, 2) """
+
+
+@query(MONITOR_SQL + f""", l AS (SELECT o_custkey, max(n) AS n, arg_max(latest, n) AS most_recent_date FROM v GROUP BY 1)
+ SELECT CAST(o_custkey AS VARCHAR) AS subject, CASE WHEN o_custkey % 3 = 0 THEN 'PRESCIENT' ELSE 'PRONET' END AS network, CASE WHEN o_custkey % 5 = 0 THEN 'HC' ELSE 'CHR' END AS cohort, {[*VISITS]}[CAST(n AS INTEGER) + 1] AS current_timepoint, most_recent_date,
+ CAST(CASE WHEN n = 3 AND o_custkey % 5 = 0 THEN 300 ELSE 30 END - date_diff('day', most_recent_date, DATE '1999-01-01') AS BIGINT) AS days_until_expected_next_visit, o_custkey % 11 = 0 AS withdrawn_status
+ FROM l WHERE o_custkey % 7 <> 0 AND (o_custkey % 3 = 0 OR o_custkey % 13 <> 0)""")
+def q_run_withdrawn(spark, sf_dir):
+    return monitored(spark, sf_dir).withdrawn.withColumn("days_until_expected_next_visit", F.col("days_until_expected_next_visit").cast("long"))
+
+
+@query(MONITOR_SQL + """, p AS (SELECT *, lag(n) OVER w AS pn, lag(earliest) OVER w AS pe, lag(latest) OVER w AS pl FROM v WINDOW w AS (PARTITION BY o_custkey ORDER BY n)),
+ m AS (SELECT r.o_custkey, timepoint, CAST(r.a + CAST(k % 500 AS INTEGER) AS DATE) AS d1, CAST(r.b + CAST(j % 700 AS INTEGER) AS DATE) AS d2, earliest, latest, pe, pl FROM r JOIN p USING (o_custkey, n) WHERE n = 0 OR pn = n - 1)
+ SELECT CAST(o_custkey AS VARCHAR) AS subjectid, timepoint, 'chrpharm_date_mod : Modified on ' || CAST(d1 AS VARCHAR) || ' and ' || CAST(d2 AS VARCHAR) || ', outside of this and the previous visit' AS error_message
+ FROM m WHERE (d1 < least(earliest, pe) OR d1 > greatest(latest, pl)) AND (d2 < least(earliest, pe) OR d2 > greatest(latest, pl))""")
+def q_run_visit_range(spark, sf_dir):
+    return monitored(spark, sf_dir).flags.where("rule = 'modification date'").select("subjectid", "timepoint", "error_message")
+
+
 # The dictionary's tables, with parts as a dictionary
 
 PREFIXES = (
