@@ -29,27 +29,35 @@ def earliest_use(rows: DataFrame, variable: str, date: str, since: Column) -> Da
     return rows.where(F.col(date) >= since).groupBy(variable).agg(F.min(date).alias("earliest")).orderBy(F.desc("earliest"), variable)
 
 
-def exact_medians(rows: DataFrame, keys: list[str], columns: dict[str, Column]) -> DataFrame:
-    """(keys, and the exact median of each named number), without a group's values in one place.
+#: Entries of a quantile sketch (its rank error is a group's rows divided by it), and parts that a group's rows are dealt to beside their brackets.
+ACCURACY, SALTS = 10_000, 32
+
+
+def middle_counts(rows: DataFrame, keys: list[str], columns: dict[str, Column]) -> DataFrame:
+    """(keys, _name, _v, _n, _all): how often each value near the middle of a group occurs; a null _v stands for all that lies below.
 
-    Values are counted; a monotone bucket of each (64 for each power of two) gives at most some hundred thousand sums for a group, whose
-    running total tells the buckets of the middle; only their values are put in order.
+    Splitters come from the data: a mergeable quantile sketch brackets the median of each group, a few ten-thousandths of its rows on either side, however
+    crowded or spread its values are.  Rows meet their group's bracket by group and salt, so that no task holds a group, and equal values are counted before they are moved.
     """
-    cells = F.array(*[F.struct(F.lit(name).alias("_name"), x.cast("double").alias("_x")) for name, x in columns.items()])
-    counts = rows.select(*keys, F.explode(cells).alias("_c")).select(*keys, "_c.*").where("_x is not null").groupBy(*keys, "_name", "_x").agg(F.count("*").alias("_n"))
-    counts = counts.withColumn("_bucket", F.when(F.col("_x") == 0, 0).otherwise(F.signum("_x") * F.floor((F.log2(F.abs("_x")) + 1100) * 64)).cast("int"))
-    group = [*keys, "_name"]
-    sums = counts.groupBy(*group, "_bucket").agg(F.sum("_n").alias("_m"))
-    w = Window.partitionBy(*group)
-    sums = sums.withColumns({"_before": F.sum("_m").over(w.orderBy("_bucket")) - F.col("_m"), "_all": F.sum("_m").over(w)})
-    low, high = F.floor((F.col("_all") - 1) / 2), F.floor(F.col("_all") / 2)
-    middle = sums.where((F.col("_before") <= high) & (F.col("_before") + F.col("_m") > low)).select(*[F.col(k).alias(f"{k}_") for k in group], F.col("_bucket").alias("_bucket_"), "_before", "_all")
-    near = counts.join(middle, [*[F.col(k).eqNullSafe(F.col(f"{k}_")) for k in group], F.col("_bucket") == F.col("_bucket_")])
-    rank = F.col("_before") + F.sum("_n").over(Window.partitionBy(*group, "_bucket").orderBy("_x")) - F.col("_n")
-    near = near.withColumn("_rank", rank)
-    at = lambda r: F.max(F.when((F.col("_rank") <= r) & (r < F.col("_rank") + F.col("_n")), F.col("_x")))
-    found = near.groupBy(*group).agg(((at(low) + at(high)) / 2).alias("_median"))
-    return found.groupBy(*keys).agg(*[F.max(F.when(F.col("_name") == name, F.col("_median"))).alias(name) for name in columns])
+    margin = 3 / ACCURACY
+    wide = rows.select(*keys, *[x.cast("double").alias(f"_x{i}") for i, x in enumerate(columns.values())])
+    made = [f for i in range(len(columns)) for f in (F.percentile_approx(f"_x{i}", [0.5 - margin, 0.5 + margin], ACCURACY).alias(f"_b{i}"), F.count(f"_x{i}").alias(f"_n{i}"))]
+    brackets = wide.groupBy(*keys).agg(*made).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = wide.withColumn("_salt", F.pmod(F.xxhash64(*[f"_x{i}" for i in range(len(columns))]), F.lit(SALTS)).cast("int"))
+    joined = _on([*keys, "_salt"], salted, brackets)
+    cells = ", ".join(f"CASE WHEN _x{i} <= _b{i}[1] THEN named_struct('_name', {i}, '_v', CASE WHEN _x{i} >= _b{i}[0] THEN _x{i} END, '_all', _n{i}) END" for i in range(len(columns)))
+    near = joined.select(*keys, F.expr(f"inline(filter(array({cells}), c -> c IS NOT NULL))"))
+    return near.groupBy(*keys, "_name", "_v").agg(F.count("*").alias("_n"), F.first("_all").alias("_all"))
+
+
+def exact_medians(rows: DataFrame, keys: list[str], columns: dict[str, Column]) -> DataFrame:
+    """(keys, and the exact median of each named number), without a group's values in one place: only the distinct values of `middle_counts` are put in order."""
+    counts = middle_counts(rows, keys, columns)
+    before = F.sum("_n").over(Window.partitionBy(*keys, "_name").orderBy(F.asc_nulls_first("_v"))) - F.col("_n")
+    ranked = counts.withColumn("_rank", before).where("_v IS NOT NULL")
+    at = lambda r: F.max(F.expr(f"CASE WHEN _rank <= {r} AND {r} < _rank + _n THEN _v END"))
+    found = ranked.groupBy(*keys, "_name").agg(((at("floor((_all - 1) / 2)") + at("floor(_all / 2)")) / 2).alias("_median"))
+    return found.groupBy(*keys).agg(*[F.max(F.expr(f"CASE WHEN _name = {i} THEN _median END")).alias(name) for i, name in enumerate(columns)])
 
 
 def _on(keys: list[str], left: DataFrame, right: DataFrame) -> DataFrame:
