@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyward.functions import values as v
+from tallyward.sources.stages import written
 
 CLASSES = ("missing", "number", "date", "blank", "text", "other")
 
@@ -104,21 +105,39 @@ def deviations(long: DataFrame, keys: list[str], value: str = "value", times: fl
     return scored.where((F.col("n") >= least) & (F.col("mean") >= mean) & (F.abs(F.col(value) - F.col("mean")) > times * F.col("std")))
 
 
+def blocked(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """Rows dealt to blocks that follow one another within each key, written once; `_block` numbers them."""
+    blocks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return written(rows.repartitionByRange(blocks, key, *order).withColumn("_block", F.spark_partition_id()), "blocks")
+
+
+def running_before(rows: DataFrame, keys: list[str], order: list[str], value: str, name: str) -> DataFrame:
+    """The sum of a column over a key's earlier rows, on rows of `blocked` (by the first key and this order).
+
+    Sums run within blocks; the blocks' own sums run over the blocks, a row for each key and block; a row's sum is both.  So no task holds all of a key's rows.
+    """
+    within = F.sum(value).over(Window.partitionBy(*keys, "_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
+    sums = rows.groupBy(*keys, "_block").agg(F.sum(value).alias("_sum"))
+    earlier = sums.withColumn("_offset", F.sum("_sum").over(Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))).drop("_sum").where("_offset IS NOT NULL")
+    out = _on([*keys, "_block"], rows.withColumn(name, within), earlier)
+    return out.withColumn(name, F.coalesce(name, F.lit(0)) + F.coalesce("_offset", F.lit(0))).drop("_offset")
+
+
 def rater_scores(scored: DataFrame, rater: str, subject: str, form: str, variable: str, z: str, order: list[str], cut: float = 2.0) -> DataFrame:
     """Each rater's outlier score.
 
     In order, a value adds z ** 0.75, halved for each earlier outlier of the rater, subject and form, and multiplied by z ** 0.25 of each earlier first
-    outlier of the rater and variable in a subject; the score is the mean.  Running windows, one for each factor.
+    outlier of the rater and variable in a subject; the score is the mean.  Running sums over blocks, one for each factor.
     """
     use = scored.where(F.col(rater).isNotNull() & (F.col(rater) != "") & (F.col(rater) != "[survey respondent]"))
-    outlier = (F.col(z) > cut).cast("int")
-    before = lambda *k: Window.partitionBy(*k).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    use = use.withColumn("_out", outlier)
-    use = use.withColumn("_earlier", F.coalesce(F.sum("_out").over(before(rater, subject, variable)), F.lit(0)))
+    columns = list(dict.fromkeys([rater, subject, form, variable, z, *order]))
+    use = blocked(use.select(*columns, (F.col(z) > cut).cast("int").alias("_out")), rater, order)
+    use = running_before(use, [rater, subject, variable], order, "_out", "_earlier")
     use = use.withColumn("_first", F.when((F.col("_out") == 1) & (F.col("_earlier") == 0), 0.25 * F.ln(F.col(z))).otherwise(0.0))
-    form_factor = F.pow(F.lit(0.5), F.coalesce(F.sum("_out").over(before(rater, subject, form)), F.lit(0)))
-    variable_factor = F.exp(F.coalesce(F.sum("_first").over(before(rater, variable)), F.lit(0.0)))
-    return use.withColumn("_part", F.pow(F.col(z), 0.75) * form_factor * variable_factor).groupBy(rater).agg(F.avg("_part").alias("score"), F.count("*").alias("n"))
+    use = running_before(use, [rater, subject, form], order, "_out", "_halved")
+    use = running_before(use, [rater, variable], order, "_first", "_raised")
+    part = F.pow(F.col(z), 0.75) * F.pow(F.lit(0.5), F.col("_halved")) * F.exp("_raised")
+    return use.withColumn("_part", part).groupBy(rater).agg(F.avg("_part").alias("score"), F.count("*").alias("n"))
 
 
 def _pair_rows(batches, count):

@@ -281,10 +281,27 @@ def repeated_in_slots(filled: DataFrame, keys: list[str], name: str) -> DataFram
     return pairs.select(*[F.col(f"a.{k}").alias(k) for k in keys], F.col(f"a.{name}").alias(name), F.col("a.slot").alias("slot_1"), F.col("b.slot").alias("slot_2"))
 
 
+#: Steps between the sizes of time cells, in powers of two, and the largest.
+CELL_STEP, CELL_LARGEST = 3, 60
+
+
 def overlapping(spans: DataFrame, keys: list[str], start: str, end: str, order: str) -> DataFrame:
-    """Pairs of spans of one key that share a day or an instant."""
-    a, b = spans.alias("a"), spans.alias("b")
+    """Pairs of spans of one key that share a day or an instant; dates, timestamps or texts that read as such.
+
+    A span lies in one or two cells of time of its own size (the next power of eight, in microseconds), and is looked for in the cells of all larger
+    sizes: two spans meet in cells of the longer one's size, so what never comes near each other is never joined, whatever the lengths are.  Copies are bounded by the number of sizes,
+    a key's spans are dealt to tasks by cell, and a pair is kept in the first cell that both touch, so none comes twice.
+    """
+    micros = lambda x: f"unix_micros(TRY_CAST(`{x}` AS timestamp))"
+    ends = {"_low": F.expr(f"least({micros(start)}, {micros(end)})"), "_high": F.expr(f"greatest({micros(start)}, {micros(end)})")}
+    held = spans.select(*keys, start, end, order).where(F.col(start).isNotNull() & F.col(end).isNotNull()).withColumns(ends)
+    held = held.withColumn("_size", F.expr(f"CAST(least(ceil(length(bin(_high - _low + 1)) / {CELL_STEP}) * {CELL_STEP}, {CELL_LARGEST}) AS int)"))
+    cells = F.expr("explode(array_distinct(array(shiftright(_low, _cells), shiftright(_high, _cells)))) AS _cell")
+    own = held.withColumn("_cells", F.col("_size")).select("*", cells).alias("b")
+    every = held.withColumn("_cells", F.explode(F.sequence(F.col("_size"), F.lit(CELL_LARGEST), F.lit(CELL_STEP)))).select("*", cells).alias("a")
     same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
     meets = (F.col(f"a.{start}") <= F.col(f"b.{end}")) & (F.col(f"b.{start}") <= F.col(f"a.{end}"))
-    pairs = a.join(b, [*same, F.col(f"a.{order}") < F.col(f"b.{order}"), meets])
-    return pairs.select(*[F.col(f"a.{k}").alias(k) for k in keys], F.col(f"a.{order}").alias(f"{order}_1"), F.col(f"b.{order}").alias(f"{order}_2"))
+    once = F.expr("a._cell = greatest(shiftright(a._low, a._cells), shiftright(b._low, a._cells))")
+    other = F.when(F.col("a._size") == F.col("b._size"), F.col(f"a.{order}") < F.col(f"b.{order}")).otherwise(F.col(f"a.{order}") != F.col(f"b.{order}"))
+    pairs = every.join(own, [*same, F.col("a._cells") == F.col("b._cells"), F.col("a._cell") == F.col("b._cell"), once, other, meets])
+    return pairs.select(*[F.col(f"a.{k}").alias(k) for k in keys], F.least(f"a.{order}", f"b.{order}").alias(f"{order}_1"), F.greatest(f"a.{order}", f"b.{order}").alias(f"{order}_2"))
