@@ -52,3 +52,8 @@ def report_names(flags: DataFrame) -> DataFrame:
 def for_report(flags: DataFrame, report: str) -> DataFrame:
     """F12."""
     return flags.where(F.array_contains("reports", report))
+
+
+def of_reports(flags: DataFrame) -> DataFrame:
+    """The flags of every report under its name; each name's are those of `for_report`."""
+    return flags.withColumn("report", F.explode("reports")).drop("reports")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyward.functions import expressions as sql
 from tallyward.functions import values as v
+from tallyward.functions.values import of_text as cell
 from tallyward.operators.gate import may_withdraw
 from tallyward.plans.model import TIMEPOINTS, month_of
 
@@ -78,3 +79,14 @@ def shared_values(long: DataFrame, subject: str, value: str) -> DataFrame:
 def vial_key(rack: str, position: str) -> Column:
     """Rack and position as one key, only where both are real values."""
     return F.when(v.filled(rack) & v.filled(position), F.concat_ws("_", rack, position))
+
+
+def shared_positions(merged: DataFrame, rack: str, positions: list[str], suffixes: tuple[str, ...] = ("_baseln", "_month2"), subject: str = "subjectid") -> DataFrame:
+    """Vials of different subjects at one position of one rack, over generations merged side by side (`model.merged_generations`).
+
+    Rack and position are taken from the same generation and count where both are real values.  (value, subject, subjects).
+    """
+    known = set(merged.columns)
+    cells = [f"CASE WHEN {(cell.filled(rack + s) & cell.filled(p + s)).text} THEN concat_ws('_', `{rack}{s}`, `{p}{s}`) END" for s in suffixes for p in positions if rack + s in known and p + s in known]
+    long = merged.select(subject, F.expr(f"explode(filter(CAST(array({', '.join(cells)}) AS array<string>), x -> x IS NOT NULL))").alias("value"))
+    return shared_values(long, subject, "value").withColumnRenamed(subject, "subject").select("value", "subject", "subjects")

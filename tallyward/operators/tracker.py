@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyward.functions import values as v
+from tallyward.operators.flags import of_reports
 
 GROUP = ("subject", "displayed_timepoint", "displayed_form", "currently_resolved", "manually_resolved")
 
@@ -42,7 +43,7 @@ def classed(rows: DataFrame) -> DataFrame:
 
 def fanned_out(rows: DataFrame, raters: DataFrame | None = None) -> DataFrame:
     """A row for each report, and for each rater of the subject if a map (subject, rater) is given."""
-    out = rows.withColumn("report", F.explode("reports")).drop("reports")
+    out = of_reports(rows)
     return out if raters is None else out.join(raters, "subject")
 
 

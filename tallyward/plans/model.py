@@ -69,3 +69,16 @@ def subject_info(screening: DataFrame, baseline: DataFrame, floating: DataFrame)
 def wide_subjects(long: DataFrame, variables: list[str], domain=TIMEPOINTS) -> DataFrame:
     """One row for each subject, columns variable_timepoint, by one pivot instead of a chain of joins."""
     return long.groupBy("subjectid").pivot("timepoint", list(domain)).agg(*[F.first(x, ignorenulls=True).alias(x) for x in variables])
+
+
+def merged_generations(first: DataFrame, second: DataFrame, part: str, suffixes: tuple[str, str] = ("_baseln", "_month2"), key: str = "subjectid") -> DataFrame:
+    """Two generations of snapshots side by side, a row for each subject of either (null subjects meet too).
+
+    The first one's columns with `part` in their names stay; those that the second has as well come from both, with a suffix for each.
+    """
+    own = [x for x in first.columns if part in x]
+    both = [x for x in own if x in second.columns]
+    a = first.select(key, *[F.col(x).alias(x + suffixes[0] if x in both else x) for x in own])
+    b = second.select(F.col(key).alias("_key"), *[F.col(x).alias(x + suffixes[1]) for x in both])
+    joined = a.join(b, a[key].eqNullSafe(b["_key"]), "full")
+    return joined.select(F.coalesce(key, "_key").alias(key), *[x for x in joined.columns if x not in (key, "_key")])

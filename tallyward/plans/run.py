@@ -46,6 +46,7 @@ class Study:
     checked: dict[str, frozenset[str]] = field(default_factory=dict)
     groups: dict[str, set[str]] = field(default_factory=dict)
     interview_dates: dict[str, str] = field(default_factory=dict)
+    users: dict[str, str] = field(default_factory=dict)
     reasons: dict[str, tuple[str, str]] = field(default_factory=dict)
 
 
@@ -84,7 +85,7 @@ def study(dictionary: DataFrame, added: DataFrame | None = None) -> Study:
         **tables, forms=content.forms(meta), form_of={r["variable"]: r["form"] for r in found["forms"]}, excluded={n: frozenset(x) for n, x in _sets(found["excluded"], "network").items()},
         compiled=content.usable_predicates(found["compiled"], found["unsupported"]), checked={name: frozenset(r["variable"] for r in found[name]) for name in ("blank", "missing_codes", "specific", "ranges")},
         groups=_sets(found["groups"], "grp"), interview_dates={r["form"]: r["interview_date_var"] for r in meta if r.get("interview_date_var")},
-        reasons={r["form"]: (r["missing_var"], r["missing_spec_var"]) for r in meta if r.get("missing_var") and r.get("missing_spec_var")},
+        users={r["form"]: r["redcap_user_var"] for r in meta if r.get("redcap_user_var")}, reasons={r["form"]: (r["missing_var"], r["missing_spec_var"]) for r in meta if r.get("missing_var") and r.get("missing_spec_var")},
     )
 
 
