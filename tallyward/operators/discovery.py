@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyward.functions import expressions as sql
 from tallyward.functions import values as v
+from tallyward.functions.values import of_text as cell
 from tallyward.sources.stages import written
 
 CLASSES = ("missing", "number", "date", "blank", "text", "other")
@@ -158,19 +162,32 @@ def _matrix(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     return np.asarray(flat.fill_null(0)).reshape(-1, width), np.asarray(flat.is_valid()).reshape(-1, width)
 
 
-def _equal_counts(batch: pa.RecordBatch, numeric: np.ndarray) -> list[np.ndarray]:
+def _equal_counts(batch: pa.RecordBatch, numeric: np.ndarray, partners: list[np.ndarray]) -> list[np.ndarray]:
+    """How often each column equals each of its partners (later columns)."""
     n = len(numeric)
     out = np.zeros((n, n), np.int64)
     (words, has), (numbers, is_number) = (_matrix(batch.column(x), n) for x in ("words", "numbers"))
-    for i in range(n - 1):
-        same = (words[:, i : i + 1] == words[:, i + 1 :]) & has[:, i : i + 1] & has[:, i + 1 :]
-        if numeric[i]:
-            both = numeric[i + 1 :]
-            same[:, both] = ((numbers[:, i : i + 1] == numbers[:, i + 1 :]) & is_number[:, i : i + 1] & is_number[:, i + 1 :])[:, both]
-        out[i, i + 1 :] = same.sum(axis=0)
+    # a null equals nothing: each column's nulls get a value of their own
+    words = np.where(has, words, np.arange(n, dtype=np.int64))
+    numbers = np.where(is_number, numbers, np.arange(n, dtype=np.int64))
+    for i, js in enumerate(partners):
+        for one, use in ((words, js[~(numeric[js] & numeric[i])]), (numbers, js[numeric[js] & numeric[i]])):
+            if len(use):
+                out[i, use] = (one[:, i : i + 1] == one[:, use]).sum(axis=0)
     return [out]
 
 
+def _kind_rows(batches, n: int):
+    """For each column, how many cells are filled and how many aren't numbers."""
+    filled, other = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    for batch in batches:
+        (words, has), (_, is_number) = (_matrix(batch.column(x), n) for x in ("words", "numbers"))
+        blank, _ = _matrix(batch.column("blank"), n)
+        filled += (has & (blank == 0)).sum(axis=0)
+        other += (~is_number).sum(axis=0)
+    yield pa.RecordBatch.from_arrays([pa.array(np.arange(n, dtype=np.int32)), pa.array(filled), pa.array(other)], names=["column", "filled", "other"])
+
+
 def _later_counts(batch: pa.RecordBatch, n: int) -> list[np.ndarray]:
     days, has = _matrix(batch.column("days"), n)
     total, later = np.zeros((n, n), np.int64), np.zeros((n, n), np.int64)
@@ -181,24 +198,70 @@ def _later_counts(batch: pa.RecordBatch, n: int) -> list[np.ndarray]:
     return [total, later]
 
 
-def equal_pairs(rows: DataFrame, columns: list[str], share: float = 0.95, filled: int = 30) -> DataFrame:
+#: Columns up to which all pairs are compared by built-in expressions; rows of the sample that rules out pairs of more columns.
+FEW_COLUMNS, SIGNATURE_ROWS = 12, 4096
+
+
+def equal_pairs(rows: DataFrame, columns: list[str], share: float = 0.95, filled: int = 30, risk: float = 1e-12) -> DataFrame:
     """Pairs of columns that are equal in more than a share of the rows.
 
     Columns with few filled cells are left out; a pair is compared as numbers if both columns hold nothing else, otherwise as text (two blanks are equal).
-    One scan for all pairs: a task sums a matrix of columns by columns over its rows, which are compared by 64-bit hashes of their cells.
+    Few columns are compared by one aggregation.  For many, a signature of each column, its cells' hashes in about SIGNATURE_ROWS sampled rows, rules out the pairs
+    whose share there lies further below `share` than chance allows (Hoeffding: a pair that does reach it is lost with a probability below `risk`); only the other pairs are counted over all
+    rows, exactly but for 64-bit hashes of cells, by tasks that each sum one matrix.
     """
-    tests = [F.struct(F.count_if(~v.is_blank(x) & v.c(x).isNotNull()).alias("n"), (F.count_if(v.num(x).isNull()) == 0).alias("numeric")).alias(x) for x in columns]
-    kinds = rows.agg(F.count("*").alias("_rows"), *tests).first()
+    return _few_equal_pairs(rows, columns, share, filled) if len(columns) <= FEW_COLUMNS else _many_equal_pairs(rows, columns, share, filled, risk)
+
+
+def _few_equal_pairs(rows: DataFrame, columns: list[str], share: float, filled: int) -> DataFrame:
+    number = {x: cell.num(sql.col(x)) for x in columns}
+    texts = {x: sql.col(x).cast("string") for x in columns}
+    tests = [f"named_struct('n', count_if({(sql.col(x).isNotNull() & ~cell.is_blank(x)).text}), 'numeric', count_if({number[x].isNull().text}) = 0) AS `{x}`" for x in columns]
+    kinds = rows.selectExpr("count(*) AS _rows", *tests).first()
     names = [x for x in columns if kinds[x]["n"] > filled]
-    numeric = np.array([kinds[x]["numeric"] for x in names], bool)
+    pairs = [(a, b) for i, a in enumerate(names) for b in names[i + 1 :]]
+    one = lambda a, b: number if kinds[a]["numeric"] and kinds[b]["numeric"] else texts
+    counts = [f"named_struct('variable_1', {sql.text_of(a)}, 'variable_2', {sql.text_of(b)}, 'n', count_if({(one(a, b)[a] == one(a, b)[b]).text}))" for a, b in pairs]
+    if not counts:
+        return rows.sparkSession.createDataFrame([], "variable_1 string, variable_2 string, share double")
+    found = rows.select(F.expr(f"array({', '.join(counts)})").alias("pairs")).selectExpr("inline(pairs)")
+    return found.select("variable_1", "variable_2", (F.col("n") / F.lit(kinds["_rows"])).alias("share")).where(F.col("share") > share)
+
+
+def _many_equal_pairs(rows: DataFrame, columns: list[str], share: float, filled: int, risk: float) -> DataFrame:
     spark = rows.sparkSession
+
+    def hashed(frame: DataFrame, names: list[str]) -> DataFrame:
+        text = lambda x: sql.col(x).cast("string").text
+        made = {
+            "words": [f"CASE WHEN `{x}` IS NOT NULL THEN xxhash64({text(x)}) END" for x in names], "blank": [f"CAST({cell.is_blank(x).text} AS bigint)" for x in names],
+            "numbers": [f"CASE WHEN {cell.num(x).isNotNull().text} THEN xxhash64({cell.num(x).text} + 0D) END" for x in names],
+        }
+        return frame.selectExpr(*[f"array({', '.join(cells)}) AS {name}" for name, cells in made.items()])
+
+    n_rows = rows.count()
+    found = hashed(rows, columns).mapInArrow(lambda batches: _kind_rows(batches, len(columns)), "column int, filled long, other long").groupBy("column").agg(F.sum("filled").alias("filled"), F.sum("other").alias("other"))
+    kinds = {columns[r["column"]]: (r["filled"], r["other"] == 0) for r in found.collect()}  # a row for each column
+    names = [x for x in columns if kinds.get(x, (0,))[0] > filled]
     if len(names) < 2:
         return spark.createDataFrame([], "variable_1 string, variable_2 string, share double")
-    hashed = lambda x: F.when(x.isNotNull(), F.xxhash64(x))
-    cells = rows.select(F.array(*[hashed(v.c(x).cast("string")) for x in names]).alias("words"), F.array(*[hashed(v.num(x) + F.lit(0.0)) if kinds[x]["numeric"] else F.lit(None).cast("long") for x in names]).alias("numbers"))
-    counts = cells.mapInArrow(lambda batches: _pair_rows(batches, lambda b: _equal_counts(b, numeric)), "a int, b int, n0 long").groupBy("a", "b").agg(F.sum("n0").alias("n"))
-    name = lambda x: F.get(F.array(*map(F.lit, names)), F.col(x))
-    return counts.select(name("a").alias("variable_1"), name("b").alias("variable_2"), (F.col("n") / F.lit(kinds["_rows"])).alias("share")).where(F.col("share") > share)
+    numeric = np.array([kinds[x][1] for x in names], bool)
+    partners = [np.arange(i + 1, len(names)) for i in range(len(names))]
+
+    def counted(cells: DataFrame, of: list[np.ndarray]) -> DataFrame:
+        counts = cells.mapInArrow(lambda batches: _pair_rows(batches, lambda b: _equal_counts(b, numeric, of)), "a int, b int, n0 long")
+        return counts.groupBy("a", "b").agg(F.sum("n0").alias("n"))
+
+    if n_rows > 2 * SIGNATURE_ROWS:
+        sample = written(hashed(rows.sample(SIGNATURE_ROWS / n_rows, seed=15), names), "signatures")
+        taken = sample.count()
+        least = share - math.sqrt(math.log(1 / risk) / (2 * max(1, taken)))
+        alive = counted(sample, partners).where(F.col("n") >= F.lit(least * taken)).select("a", "b").toArrow()
+        a, b = (np.asarray(alive.column(x)) for x in ("a", "b"))
+        partners = [np.sort(b[a == i]).astype(np.int64) for i in range(len(names))]
+    counts = counted(hashed(rows, names), partners)
+    name = lambda x: F.element_at(F.lit(names), F.col(x) + 1)
+    return counts.select(name("a").alias("variable_1"), name("b").alias("variable_2"), (F.col("n") / F.lit(n_rows)).alias("share")).where(F.col("share") > share)
 
 
 def date_pairs(rows: DataFrame, columns: list[str]) -> DataFrame:
@@ -206,7 +269,8 @@ def date_pairs(rows: DataFrame, columns: list[str]) -> DataFrame:
     days = F.array(*[F.unix_date(v.as_date(F.col(x).cast("string"), cut=True)) for x in columns]).alias("days")
     counts = rows.select(days).mapInArrow(lambda batches: _pair_rows(batches, lambda b: _later_counts(b, len(columns))), "a int, b int, n0 long, n1 long")
     counts = counts.groupBy("a", "b").agg(F.sum("n0").alias("total"), F.sum("n1").alias("later"))
-    pairs = rows.sparkSession.createDataFrame([(i, j, a, b) for i, a in enumerate(columns) for j, b in enumerate(columns) if i != j], "a int, b int, first string, second string")
+    names = rows.sparkSession.createDataFrame(list(enumerate(columns)), "i int, name string").coalesce(1)
+    pairs = names.select(F.col("i").alias("a"), F.col("name").alias("first")).join(F.broadcast(names.select(F.col("i").alias("b"), F.col("name").alias("second"))), F.col("a") != F.col("b"))  # a row for each pair of columns
     found = pairs.join(counts, ["a", "b"], "left").select("first", "second", F.coalesce("total", F.lit(0)).alias("total"), F.coalesce("later", F.lit(0)).alias("later"))
     return found.withColumn("share", F.coalesce(F.try_divide("later", "total"), F.lit(0.0)))
 

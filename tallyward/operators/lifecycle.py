@@ -19,8 +19,11 @@ def step(old: DataFrame, new: DataFrame, run_date: Column, keys=KEYS, remove: Co
     with equal keys the one of the least seq stays, then of the least hash of its columns.  The age counts days since the last detection;
     old rows without a detection keep none.
     """
-    o, n = _unique(old, keys).alias("o"), _unique(new, keys).alias("n")
-    both = o.join(n, [F.col(f"o.{k}").eqNullSafe(F.col(f"n.{k}")) for k in keys], "full")
+    if "flag_key" in old.columns:
+        new = keyed(_unique(new, keys), keys)
+        both = old.alias("o").join(new.alias("n"), F.col("o.flag_key") == F.col("n.flag_key"), "full")
+    else:
+        both = _unique(old, keys).alias("o").join(_unique(new, keys).alias("n"), [F.col(f"o.{k}").eqNullSafe(F.col(f"n.{k}")) for k in keys], "full")
     was, now = F.col("o.dates_detected").isNotNull(), F.col("n.dates_detected").isNotNull()
     resolved = F.coalesce(F.col("o.currently_resolved"), F.lit(False))
     today = F.array(run_date.cast("date"))
@@ -35,6 +38,11 @@ def step(old: DataFrame, new: DataFrame, run_date: Column, keys=KEYS, remove: Co
     return out.withColumn("time_since_last_detection", F.datediff(run_date.cast("date"), F.element_at("dates_detected", -1)))
 
 
+def keyed(flags: DataFrame, keys=KEYS) -> DataFrame:
+    """Adds flag_key, a digest of a flag's keys in which nulls differ from texts."""
+    return flags.withColumn("flag_key", F.md5(F.to_json(F.struct(*keys), {"ignoreNullFields": "false"})))
+
+
 def _unique(flags: DataFrame, keys) -> DataFrame:
     rest = [x for x in flags.columns if x not in keys]
     order = F.struct(*([F.col("seq")] if "seq" in rest else []), F.xxhash64(*rest))
