@@ -266,11 +266,17 @@ def _many_equal_pairs(rows: DataFrame, columns: list[str], share: float, filled:
 
 def date_pairs(rows: DataFrame, columns: list[str]) -> DataFrame:
     """For every ordered pair of date variables, the rows that have both and the share in which the first is later; one scan, as `equal_pairs`."""
-    days = F.array(*[F.unix_date(v.as_date(F.col(x).cast("string"), cut=True)) for x in columns]).alias("days")
-    counts = rows.select(days).mapInArrow(lambda batches: _pair_rows(batches, lambda b: _later_counts(b, len(columns))), "a int, b int, n0 long, n1 long")
-    counts = counts.groupBy("a", "b").agg(F.sum("n0").alias("total"), F.sum("n1").alias("later"))
-    names = rows.sparkSession.createDataFrame(list(enumerate(columns)), "i int, name string").coalesce(1)
+    spark, day = rows.sparkSession, {x: cell.as_date(sql.col(x).cast("string"), True) for x in columns}
+    names = spark.createDataFrame(list(enumerate(columns)), "i int, name string").coalesce(1)
     pairs = names.select(F.col("i").alias("a"), F.col("name").alias("first")).join(F.broadcast(names.select(F.col("i").alias("b"), F.col("name").alias("second"))), F.col("a") != F.col("b"))  # a row for each pair of columns
+    if len(columns) <= FEW_COLUMNS:
+        days = rows.selectExpr(*[f"{d.text} AS d{i}" for i, d in enumerate(day.values())])
+        made = [f"named_struct('a', {i}, 'b', {j}, 'total', count_if(d{i} IS NOT NULL AND d{j} IS NOT NULL), 'later', count_if(d{i} > d{j}))" for i in range(len(columns)) for j in range(len(columns)) if i != j]
+        counts = days.select(F.expr(f"array({', '.join(made)})").alias("pairs")).selectExpr("inline(pairs)") if made else pairs.select("a", "b", F.lit(0).alias("total"), F.lit(0).alias("later"))
+    else:
+        days = rows.selectExpr(f"array({', '.join(f'unix_date({d.text})' for d in day.values())}) AS days")
+        counts = days.mapInArrow(lambda batches: _pair_rows(batches, lambda x: _later_counts(x, len(columns))), "a int, b int, n0 long, n1 long")
+        counts = counts.groupBy("a", "b").agg(F.sum("n0").alias("total"), F.sum("n1").alias("later"))
     found = pairs.join(counts, ["a", "b"], "left").select("first", "second", F.coalesce("total", F.lit(0)).alias("total"), F.coalesce("later", F.lit(0)).alias("later"))
     return found.withColumn("share", F.coalesce(F.try_divide("later", "total"), F.lit(0.0)))
 
@@ -323,38 +329,46 @@ def applicability_audit(long: DataFrame, keys: list[str], subject: str, most: in
 TILE, NEAREST = 1024, 5
 
 
+def _nearest(d: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """The NEAREST least distances of each row, a distance as often as its point weighs."""
+    k = min(NEAREST, d.shape[1])
+    at = np.argpartition(d, k - 1, axis=1)[:, :k]
+    at = np.take_along_axis(at, np.argsort(np.take_along_axis(d, at, axis=1), axis=1), axis=1)
+    reach = np.cumsum(np.minimum(weight[at], NEAREST), axis=1)
+    which = np.stack([(reach <= i).sum(axis=1) for i in range(NEAREST)], axis=1)
+    return np.where(which < k, np.take_along_axis(np.take_along_axis(d, at, axis=1), np.minimum(which, k - 1), axis=1), np.inf)
+
+
 def _distance_rows(batches):
     for batch in batches:
         for row in batch.to_pylist():
-            a, b = row["own"], row["other"]
-            p = np.array([(q["x"], q["y"]) for q in a]).reshape(-1, 2)
-            r = np.array([(q["x"], q["y"]) for q in b]).reshape(-1, 2)
-            d = np.sqrt(((p[:, None, :] - r[None, :, :]) ** 2).sum(axis=2))
-            near = np.sort(d, axis=1)[:, :NEAREST]
-            ids = [q["id"] for q in a]
-            yield pa.RecordBatch.from_arrays([pa.array([row["grp"]] * len(a)), pa.array(ids, pa.int64()), pa.array(d.sum(axis=1)), pa.array(near.tolist(), pa.list_(pa.float64()))], names=["grp", "id", "total", "near"])
+            p, r = (np.array([(q["x"], q["y"], q["weight"]) for q in row[side]]).reshape(-1, 3) for side in ("own", "other"))
+            d = np.sqrt(((p[:, None, :2] - r[None, :, :2]) ** 2).sum(axis=2))
+            near = [[x for x in found if x < np.inf] for found in _nearest(d, r[:, 2].astype(np.int64)).tolist()]
+            yield pa.RecordBatch.from_arrays([pa.array([row["grp"]] * len(p)), pa.array(p[:, 0]), pa.array(p[:, 1]), pa.array(d @ r[:, 2]), pa.array(near, pa.list_(pa.float64()))], names=["grp", "x", "y", "total", "near"])
 
 
 def pair_deviation(points: DataFrame, least: int = 50, trim: float = 2.5) -> DataFrame:
     """For each point (grp, id, x, y) the sum of its distances to all points of its group and to the nearest five (itself included), as
     deviations from the group's median in standard deviations.
 
-    Points beyond `trim` standard deviations of the median in x or y are left out first; groups of fewer than `least` points too.  A group is
-    dealt to tiles, and pairs of tiles to tasks by both; a pair gives each point one partial sum and its nearest, so that pairs of points are
-    never rows.
+    Points beyond `trim` standard deviations of the median in x or y are left out first; groups of fewer than `least` points too.  Equal points of a group
+    become one with a weight, so that work is counted in distinct points.  These are dealt to tiles, and pairs of tiles to tasks by both; a pair gives each
+    point one partial sum and its nearest, so that pairs of points are never rows.
     """
     w = ["grp"]
     stats = points.groupBy(*w).agg(*[F.stddev_samp(x).alias(f"std_{x}") for x in ("x", "y")])
     stats = _on(w, stats, exact_medians(points, w, {f"median_{x}": F.col(x) for x in ("x", "y")}))
     inside = [F.abs(F.col(x) - F.col(f"median_{x}")) <= trim * F.col(f"std_{x}") for x in ("x", "y")]
     held = points.join(stats, w).where(inside[0] & inside[1]).select("grp", "id", "x", "y")
-    sizes = held.groupBy("grp").agg(F.count("*").alias("n")).where(F.col("n") >= least)
-    tiles = held.join(sizes, "grp").withColumn("tiles", F.ceil(F.col("n") / TILE).cast("int")).withColumn("tile", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int"))
-    tiles = tiles.groupBy("grp", "tiles", "tile").agg(F.collect_list(F.struct("id", "x", "y")).alias("points"))
+    distinct = held.groupBy("grp", "x", "y").agg(F.count("*").alias("weight"))
+    sizes = distinct.groupBy("grp").agg(F.sum("weight").alias("n"), F.count("*").alias("points")).where(F.col("n") >= least)
+    tiles = distinct.join(sizes, "grp").withColumn("tiles", F.ceil(F.col("points") / TILE).cast("int")).withColumn("tile", F.pmod(F.xxhash64("x", "y"), F.col("tiles")).cast("int"))
+    tiles = tiles.groupBy("grp", "tiles", "tile").agg(F.collect_list(F.struct("x", "y", "weight")).alias("points"))
     own = tiles.select("grp", F.col("points").alias("own"), F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("tile"))
-    parts = own.join(tiles.select("grp", "tile", F.col("points").alias("other")), ["grp", "tile"]).select("grp", "own", "other").mapInArrow(_distance_rows, "grp string, id long, total double, near array<double>")
+    parts = own.join(tiles.select("grp", "tile", F.col("points").alias("other")), ["grp", "tile"]).select("grp", "own", "other").mapInArrow(_distance_rows, "grp string, x double, y double, total double, near array<double>")
     near = F.aggregate(F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, NEAREST), F.lit(0.0), lambda a, x: a + x)
-    sums = parts.groupBy("grp", "id").agg(F.sum("total").alias("global"), near.alias("local"))
+    sums = held.join(parts.groupBy("grp", "x", "y").agg(F.sum("total").alias("global"), near.alias("local")), ["grp", "x", "y"]).select("grp", "id", "global", "local")
     spread = sums.groupBy("grp").agg(*[F.stddev_samp(x).alias(f"std_{x}") for x in ("global", "local")])
     spread = _on(w, spread, exact_medians(sums, w, {f"median_{x}": F.col(x) for x in ("global", "local")}))
     deviation = lambda x: F.try_divide(F.abs(F.col(x) - F.col(f"median_{x}")), F.col(f"std_{x}"))
