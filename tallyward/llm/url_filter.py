@@ -2,14 +2,14 @@
 
 Labels are the listed rules' own verdicts: pages that one fits are the labelled transactions, their items the URL's tokens and the verdict.
 What the list itself tests (domains, and path segments of its rules) is no token, else the list would only be learned back.
-Token combinations that imply `block` with at least `CONFIDENCE` and `LIFT`, in at least `SUPPORT` of the transactions and `LEAST` of them,
-are kept; of those, combinations that hold a smaller kept one are pruned.  An inverted index files each rule under its rarest token; a page meets the
+Token combinations that imply `block` with at least `CONFIDENCE` and `LIFT`, in at least a share `SUPPORT` of the transactions, are kept (all
+three are shares, so the same mix of URLs gets the same verdicts at every size); of those, combinations that hold a smaller kept one are pruned.  An inverted index files each rule under its rarest token; a page meets the
 rules of its tokens there and is blocked if all of a rule's tokens are its own.  Everything else is allowed.
 
 Tokens: the host's labels before its last two, path segments with runs of digits as 0, and keys of the query.
 
 Defined cases: a null url, or one without ://, has an empty host and path, no tokens, and is allowed; without labelled pages there are no
-mined rules; repeated rows get the same verdict; ports and users in a url are part of its host.
+mined rules; repeated rows get the same verdict; ports and users in a url are part of its host; a url of any length is judged whole, and each of its tokens counts once.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from tallyward.llm.shared import kept
 
 #: Fixed values: (verdict, host, start of the path).
 RULES = (("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/"))
-SUPPORT, LEAST, CONFIDENCE, LIFT = 0.01, 20, 0.9, 1.1
+SUPPORT, CONFIDENCE, LIFT = 0.02, 0.9, 1.1
 _BLOCK, _ALLOW = "=block", "=allow"
 _PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)(?:\?([^#]*))?"
 
@@ -57,12 +57,11 @@ def mined(judged: DataFrame, rules=RULES, support: float = SUPPORT, confidence:
     """(tokens): minimal token combinations that imply a block; judged: rows of `listed`."""
     label = F.when(F.col("listed") == "block", _BLOCK).otherwise(_ALLOW)
     items = kept(judged.where("listed is not null").select(F.array_append(tokens(rules), label).alias("items")), "transactions")
-    n = items.count()
-    if not n:
+    if items.isEmpty():
         return items.sparkSession.createDataFrame([], "tokens array<string>")
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(items)
     found = model.associationRules.where(F.col("consequent")[0] == _BLOCK).where(~F.array_contains("antecedent", _ALLOW))
-    found = found.where((F.col("lift") >= LIFT) & (F.col("support") * n >= LEAST))
+    found = found.where(F.col("lift") >= LIFT)
     found = kept(found.select(F.array_sort("antecedent").alias("tokens")), "rules")
     # a rule is redundant if another one's tokens are a part of its own
     smaller = found.select(F.col("tokens").alias("part"), F.col("tokens")[0].alias("token"))

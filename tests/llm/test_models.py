@@ -138,7 +138,7 @@ def test_mined_rules_equal_brute_force(spark):
             n, b = subsets.get(key, (0, 0))
             subsets[key] = (n + 1, b + (r["listed"] == "block"))
     base = sum(r["listed"] == "block" for r in data) / len(data)
-    good = {k for k, (n, b) in subsets.items() if b >= max(url_filter.LEAST, url_filter.SUPPORT * len(data)) and b / n >= url_filter.CONFIDENCE and b / n / base >= url_filter.LIFT}
+    good = {k for k, (n, b) in subsets.items() if b >= url_filter.SUPPORT * len(data) and b / n >= url_filter.CONFIDENCE and b / n / base >= url_filter.LIFT}
     least = {k for k in good if not any(set(o) < set(k) for o in good)}
     assert least and {tuple(r["tokens"]) for r in url_filter.mined(judged).collect()} == least
     verdicts = {r["page_id"]: r["verdict"] for r in url_filter.filter_urls(pages).collect()}
