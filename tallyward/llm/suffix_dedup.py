@@ -88,6 +88,7 @@ class Chunk:
         self.of, self.data, self.first = of, data, first
         sizes = np.diff(first)
         self.begin, self.end = np.repeat(first[:-1], sizes), np.repeat(first[1:], sizes)
+        self._letters: np.ndarray | None = None
         self._sums: dict[int, np.ndarray] = {}
 
     def names(self, start: np.ndarray, end: np.ndarray, base: int = _BASES[0]) -> np.ndarray:
@@ -95,20 +96,24 @@ class Chunk:
         n = len(self.data)
         powers, inverses = _powers(1 << max(10, n.bit_length()), base)
         if base not in self._sums:
-            padded = np.concatenate([self.data, np.zeros(8, np.uint8)])
-            letters = mix(np.ndarray((n,), "<u8", padded.data, strides=(1,)).astype(np.uint64))
+            if self._letters is None:
+                padded = np.concatenate([self.data, np.zeros(8, np.uint8)])
+                self._letters = mix(np.ndarray((n,), "<u8", padded.data, strides=(1,)).astype(np.uint64))
             sums = np.zeros(n + 1, np.uint64)
-            np.cumsum(letters * powers[:n], out=sums[1:])
+            np.cumsum(self._letters * powers[:n], out=sums[1:])
             self._sums[base] = sums
         sums = self._sums[base]
         return mix((sums[end - 7] - sums[start]) * inverses[start] + (end - start).astype(np.uint64) * np.uint64(_BASES[1]))
 
     def samples(self) -> tuple[np.ndarray, np.ndarray]:
         """The samples with a whole stem, and their stems' names."""
-        cover = np.zeros(self.of.modulus, bool)
-        cover[list(COVERS[self.of.modulus])] = True
-        place = np.arange(len(self.data))
-        at = np.flatnonzero(cover[(place - self.begin) % self.of.modulus] & (place + self.of.stem <= self.end))
+        v, cover = self.of.modulus, np.array(COVERS[self.of.modulus])
+        begin, end = self.first[:-1], self.first[1:]
+        periods = (end - begin + v - 1) // v
+        before = np.cumsum(periods) - periods
+        start = np.repeat(begin - before * v, periods) + np.arange(int(periods.sum())) * v
+        at = (start[:, None] + cover).reshape(-1)
+        at = at[at + self.of.stem <= np.repeat(end, periods * len(cover))]
         return at, self.names(at, at + self.of.stem)
 
     def neighbourhoods(self, at: np.ndarray) -> np.ndarray:
@@ -128,10 +133,10 @@ def _covered(low: np.ndarray, high: np.ndarray, size: int) -> np.ndarray:
 
 
 class Distinct:
-    """The distinct rows of one or two columns, sorted; of: each row's place among them; later: rows that repeat an earlier one."""
+    """The distinct rows of one or two columns, sorted; of: each row's place among them; later: rows that repeat an earlier one (of two columns)."""
 
     def __init__(self, names: np.ndarray, beside: np.ndarray | None = None):
-        order = np.argsort(names, kind="stable") if beside is None else np.lexsort((beside, names))
+        order = np.argsort(names) if beside is None else np.lexsort((beside, names))
         a, b = names[order], None if beside is None else beside[order]
         new = np.ones(len(a), bool)
         new[1:] = (a[1:] != a[:-1]) if b is None else (a[1:] != a[:-1]) | (b[1:] != b[:-1])
