@@ -8,6 +8,7 @@ and ends with the right side's.  Then every pair of neighbouring tokens is one t
 
 Pieces of Latin characters (below U+0250) go to the faster of two encoders of the same vocabulary, other pieces to the tokenizers
 library; both give the same ids, as tests show character by character.  Null texts are empty; strings of special tokens in a text become those tokens.
+Repeated rows and rows of one doc_id, or of none, are encoded each for itself; an empty table gives an empty one.
 The vocabulary's path is a parameter.
 """
 

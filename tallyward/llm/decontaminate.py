@@ -11,7 +11,8 @@ Windows are made and made distinct in Spark and dealt by hash to blocks of about
 broadcast is bounded: a larger benchmark takes more passes, each of which adds its hits to those of the passes before.
 
 Defined cases: null texts have no words; items without words or with a null item_id have no windows; repeated rows are judged each for
-itself; repeated items count once.
+itself; repeated items count once; a text of any length is read
+whole, long ones each for itself.
 """
 
 from __future__ import annotations
@@ -143,9 +144,9 @@ def _hit_rows(batches, model):
                     spans[i] += [start - int(words.first[i]), start - int(words.first[i]) + w.words.shape[1]]
                     items[i].update(w.items[window])
             n_hit = [_covered(x) for x in spans]
-            out = [rows.column("row"), rows.column("text"), words.counts.astype(np.int64), pa.array(n_hit, pa.int64())]
+            out = [rows.column("others"), rows.column("text"), words.counts.astype(np.int64), pa.array(n_hit, pa.int64())]
             out += [pa.array(spans, pa.list_(pa.int32())), pa.array([sorted(x) for x in items], pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays(out, names=["row", "text", "n_words", "n_hit", "spans", "items"])
+            yield pa.RecordBatch.from_arrays(out, names=["others", "text", "n_words", "n_hit", "spans", "items"])
 
 
 def _covered(spans: list[int]) -> int:
@@ -156,11 +157,14 @@ def _covered(spans: list[int]) -> int:
     return total
 
 
-def mark_benchmark(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(row, n_words, n_hit, spans, items): row is the struct of the document's columns, spans the word ranges of occurrences, items sorted."""
+def mark_benchmark(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, columns: list[str] | None = None) -> DataFrame:
+    """(row, n_words, n_hit, spans, items): row is the struct of the document's columns (or some of them), spans the word ranges of occurrences, items sorted."""
     spark: SparkSession = docs.sparkSession
-    state = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), "text")
-    state = state.select("row", "text", F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_hit"), F.array().cast("array<int>").alias("spans"), F.array().cast("array<string>").alias("items"))
+    # the text passes through Python once, apart from the others of the row
+    columns = columns or docs.columns
+    others = [docs[f"`{c}`"] for c in columns if c != "text"] or [F.lit(0).alias("none")]
+    state = docs.select(F.struct(*others).alias("others"), "text")
+    state = state.select("others", "text", F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_hit"), F.array().cast("array<int>").alias("spans"), F.array().cast("array<string>").alias("items"))
     schema = state.schema
     texts, done = docs.select("text"), False
     for block in _blocks(benchmark, width):
@@ -181,4 +185,5 @@ def mark_benchmark(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) ->
         done = True
     if not done:  # no windows: words are still counted
         state = state.mapInArrow(partial(_hit_rows, model=spark.sparkContext.broadcast([])), schema)
-    return state.drop("text")
+    row = F.struct(*[F.col("text") if c == "text" else F.col("others").getField(c).alias(c) for c in columns])
+    return state.select(row.alias("row"), "n_words", "n_hit", "spans", "items")

@@ -17,7 +17,7 @@ Method.
 
 At a similarity of 0.8 a pair misses all 32 bands of 4 bins with probability 5e-8.  Verification is on 64-bit shingle hashes of whole
 texts.  Null texts are empty.  Rows that repeat a doc_id with the same text belong to one node; further rows with another text are
-resolved for their own text.  Rows with a null doc_id are no documents here: they get no component and link nothing.
+resolved for their own text.  Rows with a null doc_id keep their number of shingles, have a null component_id, and link nothing.
 """
 
 from __future__ import annotations
@@ -199,10 +199,11 @@ def _table(rows: list[tuple]) -> pa.Table:
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, parts: int = 100, of: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id, text_hash: xxhash64 of the text) of every row with a doc_id."""
-    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    features = kept(texts.withColumn("text_hash", F.xxhash64("text")).mapInArrow(partial(_feature_rows, k=k), "doc_id long, text_hash long, n_shingles long, one long, two long, bands array<long>"), "features")
-    classes = features.where("n_shingles > 0").groupBy("one", "two").agg(F.min("doc_id").alias("rep"), F.min("n_shingles").alias("size"), F.min_by("bands", "doc_id").alias("bands"))
+    """(doc_id, n_shingles, component_id, text_hash: xxhash64 of the text) of every row."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = rows.where("doc_id is not null")
+    features = kept(rows.withColumn("text_hash", F.xxhash64("text")).mapInArrow(partial(_feature_rows, k=k), "doc_id long, text_hash long, n_shingles long, one long, two long, bands array<long>"), "features")
+    classes = features.where("n_shingles > 0 and doc_id is not null").groupBy("one", "two").agg(F.min("doc_id").alias("rep"), F.min("n_shingles").alias("size"), F.min_by("bands", "doc_id").alias("bands"))
     classes = kept(classes, "classes")
 
     # (hub, rep): the classes of each bucket that more than one class is in
@@ -213,7 +214,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, parts: int = 100, of: int = 80)
     links = _verified(texts, pairs, k, parts, of)
     roots = components(links.select("a", "b"))
     resolved = kept(classes.select("one", "two", "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("one", "two", F.coalesce("root", "rep").alias("root")), "resolved")
-    return features.drop("bands").join(resolved, ["one", "two"], "left").select("doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"), "text_hash")
+    return features.drop("bands").join(resolved, ["one", "two"], "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id")).alias("component_id"), "text_hash")
 
 
 def _dealt(members: DataFrame, n_tiles) -> DataFrame:
