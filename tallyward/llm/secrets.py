@@ -8,8 +8,8 @@ Further spans, kind `random`: runs of `CANDIDATE` characters that overlap no bas
 strings is likelier than one of ordinary identifiers by `MARGIN` nats a character or more.  Both models are trained from labelled samples
 of the same documents.  Random: about `SAMPLE` strings that the base patterns name, and their digests in the alphabets that secrets are
 written in (base64, its URL form, upper-case hex), as the named ones alone may know one alphabet.  Ordinary: the tokens, shorter than a
-candidate, of about `SAMPLE_DOCS` documents without their base spans, and identifiers made of each two neighbouring words (snake, kebab and
-camel case, constants, paths, numbers, dates).  Samples are those below a bound on their hash (all, if there are fewer).  A character's
+candidate, of about `SAMPLE_DOCS` documents without their base spans, and identifiers made of about `PAIRS` pairs of neighbouring words (snake,
+kebab and camel case, constants, paths, numbers, dates).  Samples are those below a bound on their hash (all, if there are fewer).  A character's
 counts after another one are smoothed by `PRIOR` times its share of all characters.  The model is a table of a fixed size.
 
 Defined cases: null texts are empty and have no spans; repeated rows are judged each for itself; without words in the sample nothing is
@@ -34,7 +34,7 @@ KINDS = {
 #: As hex and access runs are maximal, the least length can be part of the pattern that is searched.
 _SEARCHED = {"assign": KINDS["assign"][0], "access": r"AKIA[A-Z0-9]{14,}", "hex": r"[0-9a-f]{16,}"}
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
-MARGIN, PRIOR, SAMPLE, SAMPLE_DOCS, BLOCK = 1.5, 10.0, 20_000, 2_000, 256
+MARGIN, PRIOR, SAMPLE, SAMPLE_DOCS, PAIRS, BLOCK = 1.5, 10.0, 20_000, 2_000, 50_000, 256
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-."
 _N = len(ALPHABET) + 1  # 0 is the start, and whatever isn't in the alphabet
 _SPANS = "array<struct<start:int,kind:int,end:int,value:string>>"
@@ -77,11 +77,13 @@ def _codes(word: Column) -> Column:
     return F.transform(F.split(word, ""), lambda c: F.instr(F.lit(ALPHABET), c))
 
 
-def _counts(words: DataFrame) -> dict[int, int]:
+def _counts(words: DataFrame, n: str = "1") -> dict[int, int]:
     """How often each character's code follows each other's (0 before the first), as one number: no more rows than the table has cells."""
-    distinct = words.where("word != ''").groupBy("word").agg(F.count("*").alias("n")).select(_codes(F.col("word")).alias("codes"), "n")
-    follow = F.zip_with(F.concat(F.array(F.lit(0)), "codes"), "codes", lambda a, b: a * _N + b)
-    cells = distinct.select(F.explode(follow).alias("cell"), "n").where("cell is not null").groupBy("cell").agg(F.sum("n").alias("n"))
+    distinct = words.where("word != ''").groupBy("word").agg(F.sum(F.expr(n)).alias("n"))
+    letters = distinct.select(F.split("word", "").alias("b"), "n")
+    pairs = letters.select(F.explode(F.arrays_zip(F.concat(F.array(F.lit("")), F.slice("b", 1, F.size("b") - 1)).alias("a"), "b")).alias("x"), "n")
+    code = lambda c: F.when(c != "", F.instr(F.lit(ALPHABET), c)).otherwise(0)
+    cells = pairs.groupBy((code(F.col("x.a")) * _N + code(F.col("x.b"))).alias("cell")).agg(F.sum("n").alias("n"))
     return {r["cell"]: r["n"] for r in cells.collect()}
 
 
@@ -104,15 +106,23 @@ def random_strings(values: DataFrame) -> DataFrame:
 
 
 def identifiers(texts: DataFrame) -> DataFrame:
-    """The tokens of some texts, and identifiers made of neighbouring words; texts: (text), without base spans and candidates."""
-    tokens = texts.select(F.regexp_extract_all("text", F.lit(r"[A-Za-z0-9+/_=-]+"), F.lit(0)).alias("words"))
-    made = tokens.select(F.filter("words", lambda w: w.rlike("^[A-Za-z]+$")).alias("words")).where(F.size("words") > 1)
-    pairs = made.select(F.explode(F.zip_with(F.slice("words", 1, F.size("words") - 1), F.slice("words", 2, F.size("words")), lambda a, b: F.struct(a.alias("a"), b.alias("b")))).alias("x")).groupBy("x.a", "x.b").count()
+    """(word, n): the tokens of some texts, and identifiers made of neighbouring words; texts: (text), without base spans and candidates.
+
+    Of the distinct pairs of neighbours about `PAIRS` are made identifiers, each of which counts for as many pairs as it stands for.
+    """
+    words = F.regexp_extract_all("text", F.lit(r"[A-Za-z0-9+/_=-]+"), F.lit(0))
+    tokens = texts.select(words.alias("words")).select("words", F.filter("words", lambda w: w.rlike("^[A-Za-z]+$")).alias("plain"))
+    alone = F.arrays_zip(F.col("words").alias("a"), F.array().cast("array<string>").alias("b"))
+    neighbours = F.arrays_zip(F.slice("plain", 1, F.greatest(F.size("plain") - 1, F.lit(0))).alias("a"), F.slice("plain", 2, F.size("plain")).alias("b"))
+    counted = kept(tokens.select(F.explode(F.concat(alone, neighbours)).alias("x")).groupBy("x.a", "x.b").agg(F.count("*").alias("n")), "tokens")
+    pairs = counted.where("b is not null")
+    found = pairs.count()
     a, b, n = F.lower("a"), F.lower("b"), F.crc32(F.concat("a", F.lit(" "), "b"))
     day = F.date_format(F.date_add(F.lit("1990-01-01").cast("date"), (n % 18000).cast("int")), "yyyy-MM-dd")
     number = (n % 1000).cast("string")
     styles = [F.concat_ws("_", a, b), F.concat_ws("-", a, b), F.concat_ws("/", a, b, F.initcap("a")), F.concat(F.initcap("a"), F.initcap("b")), F.concat(a, F.initcap("b")), F.concat_ws("_", F.upper("a"), F.upper("b")), F.concat_ws("-", day, a), F.concat(a, number, F.lit("_v"), number.substr(1, 1))]
-    return tokens.select(F.explode("words").alias("word")).unionByName(pairs.select(F.explode(F.array(*styles)).alias("word")))
+    made = pairs.where(sampled(F.xxhash64("a", "b"), PAIRS, found)).select(F.explode(F.array(*styles)).alias("word"), F.lit(max(1, round(found / PAIRS))).cast("long").alias("n"))
+    return counted.where("b is null").select(F.col("a").alias("word"), "n").unionByName(made)
 
 
 def train(docs: DataFrame, found: DataFrame) -> list[float]:
@@ -123,7 +133,7 @@ def train(docs: DataFrame, found: DataFrame) -> list[float]:
     for pattern in (*_SEARCHED.values(), CANDIDATE):
         text = F.regexp_replace(text, pattern, " ")
     texts = docs.select("doc_id", "text").where(sampled(F.xxhash64("doc_id", "text"), SAMPLE_DOCS, n_docs)).select(text.alias("text"))
-    ordinary = _counts(identifiers(texts))
+    ordinary = _counts(identifiers(texts), "n")
     return _log_ratios(_counts(random_strings(values)), ordinary) if ordinary else [-1.0] * _N * _N
 
 
