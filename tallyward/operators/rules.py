@@ -177,9 +177,9 @@ def pattern(name: str, variable: str, wanted: str, message: str, **more) -> Rule
     return Rule(name, (variable,), ~cell.is_blank(variable) & ~col(variable).rlike(wanted), text(f"{message} (", col(variable), ")"), **more)
 
 
-def tolerance(name: str, total: str, part: str, share: float, **more) -> Rule:
-    """A sum isn't within a share of a total."""
-    a, b = cell.value(part), cell.value(total)
+def tolerance(name: str, total: str, part: str, share: float, read=cell.value, **more) -> Rule:
+    """A sum isn't within a share of a total; read: how a number is read (`cell.num` where no code stands for a missing one, as in sums)."""
+    a, b = read(part), read(total)
     return Rule(name, (total, part), (a < b - share * b) | (a > b + share * b), text(f"{part} (", col(part), f") is not within {share:.0%} of {total} (", col(total), ")"), **more)
 
 

@@ -138,9 +138,10 @@ def q_implication(spark, sf_dir):
 @query("""WITH s AS (SELECT l_orderkey, round(sum(l_extendedprice), 2) AS parts FROM lineitem GROUP BY 1)
  SELECT o_orderkey, o_totalprice AS total, parts FROM orders JOIN s ON l_orderkey = o_orderkey WHERE parts < o_totalprice - 0.1::DOUBLE * o_totalprice OR parts > o_totalprice + 0.1::DOUBLE * o_totalprice""")
 def q_tolerance(spark, sf_dir):
-    sums = t(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.round(F.sum("l_extendedprice"), 2).alias("parts"))
+    cents = F.round(F.sum("l_extendedprice") * 100) / 100  # of the double, as SQL does; F.round with places rounds its shortest text
+    sums = t(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(cents.alias("parts"))
     rows = t(spark, sf_dir, "orders").select("o_orderkey", F.col("o_totalprice").alias("total")).join(sums, "o_orderkey")
-    return rules.evaluate(rows, [rules.tolerance("sum", "total", "parts", 0.1)], ["o_orderkey", "total", "parts"]).select("o_orderkey", "total", "parts")
+    return rules.evaluate(rows, [rules.tolerance("sum", "total", "parts", 0.1, read=cell.num)], ["o_orderkey", "total", "parts"]).select("o_orderkey", "total", "parts")
 
 
 @query("""SELECT l_orderkey, l_linenumber, 'extreme l_discount' AS rule FROM lineitem WHERE l_discount > least(l_tax, l_quantity / 500) UNION ALL SELECT l_orderkey, l_linenumber, 'extreme l_tax' FROM lineitem WHERE l_tax < greatest(l_discount, l_quantity / 500)""")
