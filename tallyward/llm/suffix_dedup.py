@@ -42,7 +42,7 @@ WIDTH = 100
 # Perfect difference sets (every distance modulo v occurs once).
 COVERS = {7: (0, 1, 3), 13: (0, 1, 3, 9), 31: (0, 1, 3, 8, 12, 18), 57: (0, 1, 3, 13, 32, 36, 43, 52), 73: (0, 1, 3, 7, 15, 31, 36, 54, 63)}
 #: Bytes of a chunk and of a part (some chunks), and names that a bucket sorts, about.
-CHUNK_BYTES, PART_BYTES, BUCKET_NAMES = 1 << 21, 1 << 24, 1 << 21
+CHUNK_BYTES, PART_BYTES, BUCKET_NAMES = 1 << 20, 1 << 23, 1 << 21
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _SENT = "bucket int, part int, chunk long, names binary, beside binary"
 _BITS = "part int, chunk long, bucket int, bits binary"
@@ -70,7 +70,7 @@ def plan(width: int, total: int) -> Plan:
     return Plan(width, modulus, min(64, total.bit_length() + 12), max(3, math.ceil(math.log2(max(1, sampled / BUCKET_NAMES)))))
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=2)
 def _powers(size: int, base: int) -> tuple[np.ndarray, np.ndarray]:
     """base**i and base**-i modulo 2**64."""
     out = []

@@ -1,6 +1,7 @@
 """Removal of repeated byte strings against brute force."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -107,3 +108,19 @@ def test_parts_are_not_moved_again(spark):
     rows = spark.range(300).select(F.col("id").alias("doc_id"), F.concat(F.repeat(F.lit("abcdefghij"), 20), F.col("id").cast("string")).alias("text"))
     plan = sd.remove_repeated_bytes(rows)._jdf.queryExecution().executedPlan().toString()
     assert "data" not in " ".join(line for line in plan.splitlines() if "Exchange hashpartitioning" in line)
+
+
+def test_a_chunk_is_worked_on_within_a_share_of_an_executor():
+    rng = np.random.default_rng(5)
+    data = rng.integers(97, 123, sd.CHUNK_BYTES, np.uint8)
+    data[len(data) // 2 :] = data[: len(data) - len(data) // 2]
+    row, of = {"sizes": [len(data) // 8] * 8, "data": data.tobytes()}, sd.plan(sd.WIDTH, 1 << 30)
+    every = {k: b"\xff" * 4096 for k in range(1 << of.split)}
+    sd._powers.cache_clear()
+    tracemalloc.start()
+    for step in range(4):
+        sd.Judged(row, of, [every] * step)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # two tasks of an executor run at once beside its heap
+    assert peak < 200 << 20, peak
