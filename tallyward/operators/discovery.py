@@ -326,26 +326,73 @@ def applicability_audit(long: DataFrame, keys: list[str], subject: str, most: in
 
 # pairwise deviation: distances of points, by tiles
 
-TILE, NEAREST = 1024, 5
+#: Points of a tile, and distances that are held at once.
+TILE, NEAREST, BLOCK = 2048, 5, 1 << 17
+
+
+def _nearer(best: np.ndarray, row: np.ndarray, d: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """The NEAREST least distances of each row, sorted, of those known and of distances found, each as often as its point weighs."""
+    times = np.minimum(weight, NEAREST)
+    rows = np.concatenate([np.repeat(np.arange(len(best)), NEAREST), np.repeat(row, times)])
+    all_d = np.concatenate([best.reshape(-1), np.repeat(d, times)])
+    order = np.lexsort((all_d, rows))
+    return all_d[order][np.searchsorted(rows[order], np.arange(len(best)))[:, None] + np.arange(NEAREST)]
+
+
+def _places(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of the few true cells; rows have whole groups of eight cells, which are looked at as one number first."""
+    some = np.flatnonzero(hit.view(np.uint64))
+    which, cell = np.nonzero(hit.reshape(-1, 8)[some])
+    return np.divmod(some[which] * 8 + cell, hit.shape[1])
+
+
+class _Sums:
+    """What the points of a tile know of the points that have come by so far: the sum of distances and the nearest."""
+
+    def __init__(self, x: np.ndarray, y: np.ndarray):
+        self.x, self.y = x, y
+        self.total, self.near = np.zeros(len(x)), np.full((len(x), NEAREST), np.inf)
+
+    def add(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> None:
+        weights, step = weight.astype(np.float64), max(1, BLOCK // len(x))
+        held = np.empty((2, min(step, len(self.x)), len(x)))  # made once: fresh pages for each block would cost more than its distances
+        hit = np.zeros((held.shape[1], -(-len(x) // 8) * 8), bool)
+        for at in range(0, len(self.x), step):
+            own = slice(at, at + step)
+            d, across = held[:, : len(self.x[own])]
+            np.subtract(self.x[own, None], x, out=d)
+            np.subtract(self.y[own, None], y, out=across)
+            np.multiply(d, d, out=d)
+            np.multiply(across, across, out=across)
+            np.sqrt(np.add(d, across, out=d), out=d)
+            self.total[own] += d @ weights
+            bound = self.near[own, -1]
+            if np.isinf(bound).any() and len(x) > NEAREST:  # nothing beyond the fifth point here can be among the nearest five
+                bound = np.minimum(bound, np.nextafter(np.partition(d, NEAREST - 1, axis=1)[:, NEAREST - 1], np.inf))
+            np.less(d, bound[:, None], out=hit[: len(d), : len(x)])
+            row, other = _places(hit[: len(d)])
+            if len(row):
+                self.near[own] = _nearer(self.near[own], row, d[row, other], weight[other])
 
 
-def _nearest(d: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """The NEAREST least distances of each row, a distance as often as its point weighs."""
-    k = min(NEAREST, d.shape[1])
-    at = np.argpartition(d, k - 1, axis=1)[:, :k]
-    at = np.take_along_axis(at, np.argsort(np.take_along_axis(d, at, axis=1), axis=1), axis=1)
-    reach = np.cumsum(np.minimum(weight[at], NEAREST), axis=1)
-    which = np.stack([(reach <= i).sum(axis=1) for i in range(NEAREST)], axis=1)
-    return np.where(which < k, np.take_along_axis(np.take_along_axis(d, at, axis=1), np.minimum(which, k - 1), axis=1), np.inf)
+def _distance_rows(batches):
+    """For each tile, which comes before the tiles that it is to meet: a row for each of its points."""
+    grp = sums = None
 
+    def found():
+        near = [[x for x in row if x < np.inf] for row in sums.near.tolist()]
+        return pa.RecordBatch.from_arrays([pa.array([grp] * len(sums.x)), pa.array(sums.x), pa.array(sums.y), pa.array(sums.total), pa.array(near, pa.list_(pa.float64()))], names=["grp", "x", "y", "total", "near"])
 
-def _distance_rows(batches):
     for batch in batches:
-        for row in batch.to_pylist():
-            p, r = (np.array([(q["x"], q["y"], q["weight"]) for q in row[side]]).reshape(-1, 3) for side in ("own", "other"))
-            d = np.sqrt(((p[:, None, :2] - r[None, :, :2]) ** 2).sum(axis=2))
-            near = [[x for x in found if x < np.inf] for found in _nearest(d, r[:, 2].astype(np.int64)).tolist()]
-            yield pa.RecordBatch.from_arrays([pa.array([row["grp"]] * len(p)), pa.array(p[:, 0]), pa.array(p[:, 1]), pa.array(d @ r[:, 2]), pa.array(near, pa.list_(pa.float64()))], names=["grp", "x", "y", "total", "near"])
+        for i in range(batch.num_rows):
+            x, y, weight = (batch.column(c)[i].values.to_numpy(zero_copy_only=False) for c in ("x", "y", "weight"))
+            if batch.column("own")[i].as_py():
+                if sums is not None:
+                    yield found()
+                grp, sums = batch.column("grp")[i].as_py(), _Sums(x, y)
+            sums.add(x, y, weight)
+    if sums is not None:
+        yield found()
 
 
 def pair_deviation(points: DataFrame, least: int = 50, trim: float = 2.5) -> DataFrame:
@@ -353,8 +400,8 @@ def pair_deviation(points: DataFrame, least: int = 50, trim: float = 2.5) -> Dat
     deviations from the group's median in standard deviations.
 
     Points beyond `trim` standard deviations of the median in x or y are left out first; groups of fewer than `least` points too.  Equal points of a group
-    become one with a weight, so that work is counted in distinct points.  These are dealt to tiles, and pairs of tiles to tasks by both; a pair gives each
-    point one partial sum and its nearest, so that pairs of points are never rows.
+    become one with a weight, so that work is counted in distinct points.  These are dealt to tiles; a task gets a tile, then every tile of the group one after
+    another, and gives each point of the first one row, so that neither pairs of points nor pairs of tiles are rows and a task holds two tiles.
     """
     w = ["grp"]
     stats = points.groupBy(*w).agg(*[F.stddev_samp(x).alias(f"std_{x}") for x in ("x", "y")])
@@ -363,12 +410,15 @@ def pair_deviation(points: DataFrame, least: int = 50, trim: float = 2.5) -> Dat
     held = points.join(stats, w).where(inside[0] & inside[1]).select("grp", "id", "x", "y")
     distinct = held.groupBy("grp", "x", "y").agg(F.count("*").alias("weight"))
     sizes = distinct.groupBy("grp").agg(F.sum("weight").alias("n"), F.count("*").alias("points")).where(F.col("n") >= least)
-    tiles = distinct.join(sizes, "grp").withColumn("tiles", F.ceil(F.col("points") / TILE).cast("int")).withColumn("tile", F.pmod(F.xxhash64("x", "y"), F.col("tiles")).cast("int"))
-    tiles = tiles.groupBy("grp", "tiles", "tile").agg(F.collect_list(F.struct("x", "y", "weight")).alias("points"))
-    own = tiles.select("grp", F.col("points").alias("own"), F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("tile"))
-    parts = own.join(tiles.select("grp", "tile", F.col("points").alias("other")), ["grp", "tile"]).select("grp", "own", "other").mapInArrow(_distance_rows, "grp string, x double, y double, total double, near array<double>")
-    near = F.aggregate(F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, NEAREST), F.lit(0.0), lambda a, x: a + x)
-    sums = held.join(parts.groupBy("grp", "x", "y").agg(F.sum("total").alias("global"), near.alias("local")), ["grp", "x", "y"]).select("grp", "id", "global", "local")
+    tiles = distinct.join(sizes, "grp").withColumn("tiles", F.ceil(F.col("points") / TILE).cast("int")).withColumn("_of", F.pmod(F.xxhash64("x", "y"), F.col("tiles")).cast("int"))
+    tiles = tiles.groupBy("grp", "tiles", "_of").agg(F.collect_list(F.struct("x", "y", "weight")).alias("p")).select("grp", "tiles", "_of", *[F.col(f"p.{c}").alias(c) for c in ("x", "y", "weight")])
+    # a tile first meets itself; a number of partitions is given, as small tables of long work would be put together
+    met = tiles.withColumn("tile", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).withColumn("own", F.col("tile") == F.col("_of"))
+    met = met.repartition(4 * points.sparkSession.sparkContext.defaultParallelism, "grp", "tile").sortWithinPartitions("grp", "tile", F.desc("own")).select("grp", "own", "x", "y", "weight")
+    parts = met.mapInArrow(_distance_rows, "grp string, x double, y double, total double, near array<double>")
+    near = F.aggregate("near", F.lit(0.0), lambda a, x: a + x)
+    sums = held.join(parts.select("grp", "x", "y", F.col("total").alias("global"), near.alias("local")), ["grp", "x", "y"]).select("grp", "id", "global", "local")
+    sums = written(sums, "distances")  # medians read them several times
     spread = sums.groupBy("grp").agg(*[F.stddev_samp(x).alias(f"std_{x}") for x in ("global", "local")])
     spread = _on(w, spread, exact_medians(sums, w, {f"median_{x}": F.col(x) for x in ("global", "local")}))
     deviation = lambda x: F.try_divide(F.abs(F.col(x) - F.col(f"median_{x}")), F.col(f"std_{x}"))

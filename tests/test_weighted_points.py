@@ -27,3 +27,20 @@ def test_a_million_points_on_a_lattice(spark):
     began = time.time()
     assert discovery.pair_deviation(rows).agg(F.count("*"), F.max("global")).first()[0] > 900_000
     assert time.time() - began < 240
+
+
+def test_each_distinct_point_is_one_row_once(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(discovery, "TILE", 16)
+    made, seen = discovery._distance_rows, str(tmp_path / "rows")
+
+    def counted(batches):
+        for out in made(batches):
+            with open(seen, "a") as f:
+                f.write(f"{out.num_rows}\n")
+            yield out
+
+    monkeypatch.setattr(discovery, "_distance_rows", counted)
+    points = [("a", i, float(i % 20), float(i % 17)) for i in range(500)]
+    got = discovery.pair_deviation(spark.createDataFrame(points, "grp string, id long, x double, y double"), trim=1e9)
+    assert got.count() == 500
+    assert sum(map(int, open(seen))) == 340
