@@ -34,7 +34,9 @@ def one_of(i: int, *texts: str) -> str:
 
 
 def rows_of(spark, sf_dir, cells: dict[str, str]) -> DataFrame:
-    return t(spark, sf_dir, "part").select(F.col("p_partkey").cast("long").alias("k")).select("k", *[F.expr(x).alias(name) for name, x in cells.items()])
+    """Parts' keys, few bytes in few row groups of a file, dealt to all cores, as each makes a wide row."""
+    keys = t(spark, sf_dir, "part").select(F.col("p_partkey").cast("long").alias("k")).repartition(2 * spark.sparkContext.defaultParallelism, "k")
+    return keys.select("k", *[F.expr(x).alias(name) for name, x in cells.items()])
 
 
 def with_cells(cells: dict[str, str]) -> str:
