@@ -44,9 +44,11 @@ def keyed(flags: DataFrame, keys=KEYS) -> DataFrame:
 
 
 def _unique(flags: DataFrame, keys) -> DataFrame:
+    """Flags are dealt before they are put in order, so that they are sorted once; those of a form of a visit stay together, as trackers take them."""
     rest = [x for x in flags.columns if x not in keys]
     order = F.struct(*([F.col("seq")] if "seq" in rest else []), F.xxhash64(*rest))
-    return flags.groupBy(*keys).agg(F.min_by(F.struct(*rest), order).alias("_row")).select(*keys, "_row.*") if rest else flags.distinct()
+    dealt = flags.repartition(*[k for k in keys if k in KEYS[:3]] or keys)
+    return dealt.groupBy(*keys).agg(F.min_by(F.struct(*rest), order).alias("_row")).select(*keys, "_row.*") if rest else flags.distinct()
 
 
 def history(runs: DataFrame, present: DataFrame, key: str, run: str) -> DataFrame:

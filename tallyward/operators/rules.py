@@ -96,10 +96,14 @@ def numbered(texts: list[str]) -> tuple[list[str], list[str]]:
     return out, [f"{made} AS `_n_{x}`" for x, made in found.items()]
 
 
-def compiled(ready: list[Rule], gate, applies, excluded: Excluded) -> list[str]:
-    """The expressions of a set of rules, an array of what fired for each chunk."""
-    found = [f"CASE WHEN {_fires(r, gate, applies, excluded).text} THEN {_found(i, r)} END" for i, r in enumerate(ready)]
-    return [f"CAST(filter(array({', '.join(found[at : at + CHUNK])}), x -> x IS NOT NULL) AS {FOUND})" for at in range(0, len(found), CHUNK)]
+def compiled(ready: list[Rule], gate, applies, excluded: Excluded) -> list[tuple[str, list[str]]]:
+    """The expressions of a set of rules, for each chunk an array of what fired and, for the projection below it, each rule's test (_f_ and its number).
+
+    The array goes through a lambda, so all in it is interpreted; tests are columns of their own, as they are compiled there.
+    """
+    tests = [f"{_fires(r, gate, applies, excluded).text} AS `_f_{i}`" for i, r in enumerate(ready)]
+    found = [f"CASE WHEN `_f_{i}` THEN {_found(i, r)} END" for i, r in enumerate(ready)]
+    return [(f"CAST(filter(array({', '.join(found[at : at + CHUNK])}), x -> x IS NOT NULL) AS {FOUND})", tests[at : at + CHUNK]) for at in range(0, len(found), CHUNK)]
 
 
 def evaluate(rows: DataFrame, rules: Iterable[Rule], keep: list[str], gate: Callable[[str], Sql] | None = None, applies: Callable[[str], Sql] | None = None, excluded: Excluded = frozenset()) -> DataFrame:
@@ -109,9 +113,9 @@ def evaluate(rows: DataFrame, rules: Iterable[Rule], keep: list[str], gate: Call
     """
     ready = usable(rules, rows.columns, excluded if isinstance(excluded, frozenset) else frozenset())
     chunks = []
-    for made in compiled(ready, gate, applies, excluded):
-        (made,), numbers = numbered([made])
-        chunks.append(rows.selectExpr("*", *numbers).select(*keep, F.expr(f"inline({made})")))
+    for made, tests in compiled(ready, gate, applies, excluded):
+        (made, *tests), numbers = numbered([made, *tests])
+        chunks.append(rows.selectExpr("*", *numbers).selectExpr("*", *tests).select(*keep, F.expr(f"inline({made})")))
     if not chunks:
         chunks = [rows.where("false").select(*keep, F.expr(f"inline(CAST(array() AS {FOUND}))"))]
     listed = [(i, r.name, list(r.forms), list(r.variables), list(r.reports), r.withdrawn, r.excluded) for i, r in enumerate(ready)]
@@ -208,30 +212,35 @@ def eligible_cells(
     return found.select(*keys, "variable", "value")
 
 
+@dataclass(frozen=True)
 class Marked:
     """What a cell's mark may depend on: its text and whether it is judged."""
 
-    value, judged = Sql("x.value"), Sql("x.judged")
+    value: Sql
+    judged: Sql
 
 
-def marked_cells(rows: DataFrame, keys: list[str], forms: dict[str, str], judged: Callable[[str], Sql], gate=None, excluded: Excluded = frozenset(), wanted: Callable[[type[Marked]], Sql] | None = None, checked: frozenset[str] = frozenset()) -> DataFrame:
+def marked_cells(rows: DataFrame, keys: list[str], forms: dict[str, str], judged: Callable[[str], Sql], gate=None, excluded: Excluded = frozenset(), wanted: Callable[[Marked], Sql] | None = None, checked: frozenset[str] = frozenset()) -> DataFrame:
     """(keys, variable, form, value, judged) of the cells whose form passes the gate and that aren't excluded; wanted: which of them, and all cells of `checked` variables.
 
-    One expression: an array for each form, whose cells are looked at only where the form passes.
+    One expression: an array of the cells that the tests take; which are judged and taken are two arrays below it, as they are compiled there and what a
+    lambda filters is interpreted.
     """
-    of: dict[str, list[str]] = {}
+    judging, taking, made = [], [], []
     known, barred = set(rows.columns), excluded if isinstance(excluded, frozenset) else frozenset()
+    texts = {name for name, kind in rows.dtypes if kind == "string"}
     for x, form in forms.items():
         if x in known and x not in barred:
-            made = f"named_struct('variable', {sql.text_of(x)}, 'form', {sql.text_of(form)}, 'value', CAST({col(x).text} AS string), 'judged', coalesce({judged(x).text}, false), 'checked', {sql.text_of(x in checked)})"
-            tests = elsewhere((x,), excluded)
-            of.setdefault(form, []).append(f"CASE WHEN {all_of(tests).text} THEN {made} END" if tests else made)
-    if not of:
+            cell_is = Marked(col(x) if x in texts else col(x).cast("string"), sql.coalesce(judged(x), False))
+            tests = [cell_is.value.isNotNull(), *([gate(form)] if gate else []), *elsewhere((x,), excluded), *([wanted(cell_is)] if wanted and x not in checked else [])]
+            at = len(made)
+            judging.append(cell_is.judged.text)
+            taking.append(all_of(tests).text)
+            made.append(f"CASE WHEN get(_taken, {at}) THEN named_struct('variable', {sql.text_of(x)}, 'form', {sql.text_of(form)}, 'value', {cell_is.value.text}, 'judged', get(_judged, {at})) END")
+    if not made:
         return rows.where("false").select(*keys, F.lit("").alias("variable"), F.lit("").alias("form"), F.lit("").alias("value"), F.lit(False).alias("judged"))
-    test = "x.value IS NOT NULL" + (f" AND (x.checked OR {wanted(Marked).text})" if wanted else "")
-    arrays = [f"CASE WHEN {gate(form).text if gate else 'true'} THEN filter(array({', '.join(made)}), x -> {test}) END" for form, made in of.items()]
-    (made,), numbers = numbered([f"inline(flatten(filter(array({', '.join(arrays)}), x -> x IS NOT NULL)))"])
-    return rows.selectExpr("*", *numbers).select(*keys, F.expr(made)).drop("checked")
+    tests, numbers = numbered([f"array({', '.join(judging)}) AS _judged", f"array({', '.join(taking)}) AS _taken"])
+    return rows.selectExpr("*", *numbers).selectExpr("*", *tests).select(*keys, F.expr(f"inline(filter(array({', '.join(made)}), x -> x IS NOT NULL))"))
 
 
 def blank_checks(long: DataFrame, table: DataFrame) -> DataFrame:

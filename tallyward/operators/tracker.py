@@ -28,7 +28,10 @@ def merged(flags: DataFrame, keys=GROUP, seq: str = "seq") -> DataFrame:
     if "priority_item" in flags.columns:
         out.append(F.bool_or("priority_item").alias("priority_item"))
     rest = [x for x in ("network", "site", "comments", "site_comments") if x in flags.columns]
-    return flags.groupBy(*keys).agg(*out, *[F.min_by(x, seq).alias(x) for x in rest])
+    if not rest:
+        return flags.groupBy(*keys).agg(*out)
+    found = flags.groupBy(*keys).agg(*out, F.min_by(F.struct(*rest), seq).alias("_first"))
+    return found.select("*", *[F.col(f"_first.{x}").alias(x) for x in rest]).drop("_first")
 
 
 def bucket() -> Column:
