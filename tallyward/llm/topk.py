@@ -1,11 +1,13 @@
 """Exact top-k search by integer inner product.
 
-Each component x becomes floor(1024 * x).  Queries and candidates are packed into tiles of a bounded size; a product of a query tile
-with a candidate tile scores all pairs of both, and only each query's best k of the tile leave it.  Lists are then merged in a tree:
-rounds of bounded fan-in keep the best k of each query until one list is left.  Query tiles reach candidate tiles by an equi-join on
-a slot: candidate tiles are dealt over the slots, query tiles are copied to each, so no task holds all queries or all candidates.
-
-Scores are exact: products whose sums stay below 2**53 are computed in doubles, others in 64-bit integers (which wrap beyond a long).
+Each component x becomes floor(1024 * x).  Queries and candidates are packed into tiles of a bounded size.  Candidate tiles are dealt over
+slots and query tiles over shares; a slot meets a share in one cogroup of bounded size, so no task holds all queries or all candidates, and
+nothing is broadcast.  A product of a query tile with a candidate tile scores all pairs of both; a query tile meets the slot's tiles one
+after another and keeps each query's best k, so that only scores that reach a list are looked at.  Lists of the slots are then merged in a
+tree: rounds of bounded fan-in keep the best k of each query until one list is left.
+
+Scores are exact: by the norms of the two tiles every partial sum stays below 2**24 (then products are computed in floats) or 2**53 (in
+doubles); others are computed in 64-bit integers (which wrap beyond a long).
 Ties go to the smaller vec_id.  Vectors that are null, or hold null or components that aren't finite, take no part; neither do rows with a
 null vec_id.  A vector scores only against vectors of its own length; among empty vectors every score is 0.  Rows that repeat a vec_id are one candidate with the best of their
 scores, and never a candidate of their own id's queries; a query id that repeats gets one list, the best scores of its rows.
@@ -20,11 +22,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 QUERY_TILE, CANDIDATE_TILE, FAN_IN = 512, 2048, 16
 #: Components of a tile at most, so that long vectors make shorter tiles.
 TILE_COMPONENTS = 1 << 20
+#: Components of a slot's candidates, and of a share's queries, on average at most.
+GROUP_COMPONENTS = 1 << 23
 _TILES = "size int, ids binary, vectors binary"
+_LEAST = np.iinfo(np.int64).min
 
 
 def _tile_rows(batches, most: int):
@@ -57,69 +63,129 @@ def _tile_rows(batches, most: int):
 
 
 def _tile(n: int, ids: np.ndarray, vectors: np.ndarray) -> pa.RecordBatch:
+    """A tile in the order of ids; components take two or four bytes where all fit."""
     order = np.argsort(ids, kind="stable")
-    return pa.RecordBatch.from_arrays([pa.array([n], pa.int32()), pa.array([ids[order].tobytes()]), pa.array([vectors[order].tobytes()])], names=["size", "ids", "vectors"])
-
-
-def _best(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query, vec_id, score) of each query's best k of a tile; ids are sorted."""
-    n = queries.shape[1]
-    bound = float(np.abs(queries).max(initial=0)) * float(np.abs(vectors).max(initial=0)) * max(1, n)
-    score = (queries.astype(np.float64) @ vectors.T.astype(np.float64)).astype(np.int64) if bound < 2.0**53 else queries @ vectors.T
-    own = query_ids[:, None] == ids[None, :]
-    unique = len(ids) < 2 or (ids[1:] != ids[:-1]).all()
-    if unique and len(ids) > 4 * k and bound < 2.0**50:
-        # score and place in one number: a selection then breaks ties by vec_id
-        key = np.where(own, np.iinfo(np.int64).min, score * 2048 + (2047 - np.arange(len(ids)))) if len(ids) <= 2048 else None
-        if key is not None:
-            top = np.argpartition(key, len(ids) - k, axis=1)[:, -k:]
-            top.sort(axis=1)
-            row = np.repeat(np.arange(len(query_ids)), k)
-            col = top.reshape(-1)
-            ok = ~own[row, col]
-            return query_ids[row[ok]], ids[col[ok]], score[row[ok], col[ok]]
-    out = []
-    for i in range(len(query_ids)):
-        order = np.lexsort((ids, -score[i].astype(object) if bound >= 2.0**62 else -score[i]))
-        order = order[~own[i][order]]
-        _, at = np.unique(ids[order], return_index=True)
-        order = order[np.sort(at)][:k]
-        out.append((np.full(len(order), query_ids[i]), ids[order], score[i][order]))
-    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+    most = max(-int(vectors.min(initial=0)), int(vectors.max(initial=0)))
+    kind = np.int16 if most < 1 << 15 else np.int32 if most < 1 << 31 else np.int64
+    return pa.RecordBatch.from_arrays([pa.array([n], pa.int32()), pa.array([ids[order].tobytes()]), pa.array([vectors[order].astype(kind).tobytes()])], names=["size", "ids", "vectors"])
 
 
-def _product_rows(batches, k: int):
-    """Scores of tile pairs; lists of one candidate tile per query."""
-    for batch in batches:
-        for row in batch.to_pylist():
-            n = row["size"]
-            query_ids, ids = np.frombuffer(row["query_ids"], np.int64), np.frombuffer(row["ids"], np.int64)
-            queries, vectors = (np.frombuffer(row[x], np.int64).reshape(len(of), n) for x, of in (("queries", query_ids), ("vectors", ids)))
-            q, v, s = _best(query_ids, queries, ids, vectors, k)
-            yield pa.RecordBatch.from_arrays([q, v, s, np.full(len(q), row["tile"], np.int64)], names=["query_id", "vec_id", "score", "tile"])
+def _unpacked(tiles: pa.Table, n: int) -> list[tuple[np.ndarray, np.ndarray, float]]:
+    """Ids, vectors and the largest norm of each tile."""
+    out = []
+    for packed, values in zip(tiles.column("ids"), tiles.column("vectors"), strict=True):
+        ids = np.frombuffer(packed.as_buffer(), np.int64)
+        width = values.as_buffer().size // (len(ids) * n) if n else 8
+        vectors = np.frombuffer(values.as_buffer(), f"i{width}").reshape(len(ids), n)
+        out.append((ids, vectors, math.sqrt(np.square(vectors, dtype=np.float64).sum(axis=1).max(initial=0))))
+    return out
+
+
+def _scores(queries: np.ndarray, vectors: np.ndarray, bound: float) -> np.ndarray:
+    """All products, exact; bound: no part of a sum is larger."""
+    kind = np.float32 if bound < 2.0**24 else np.float64 if bound < 2.0**53 else np.int64
+    return queries.astype(kind) @ vectors.astype(kind).T
+
+
+def _first(score: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row and place of each row's best k, except its own: score and place in one number, so that a selection breaks ties by place."""
+    wide = score.shape[1]
+    key = score.astype(np.int64) * wide + (wide - 1 - np.arange(wide))
+    key[own] = _LEAST
+    top = np.argpartition(key, wide - k, axis=1)[:, wide - k :]
+    return np.repeat(np.arange(len(key)), k), top.reshape(-1)
+
+
+def _cut(row: np.ndarray, near: np.ndarray, score: np.ndarray, k: int, repeats: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each row's best k in order; repeats: an id may come more than once and counts with its best score."""
+    if repeats:
+        order = np.lexsort((~score, near, row))
+        new = np.ones(len(order), bool)
+        new[1:] = (np.diff(row[order]) != 0) | (np.diff(near[order]) != 0)
+        row, near, score = (x[order[new]] for x in (row, near, score))
+    order = np.lexsort((near, ~score, row))
+    sorted_rows = row[order]
+    order = order[np.arange(len(order)) - np.searchsorted(sorted_rows, sorted_rows) < k]
+    return row[order], near[order], score[order]
+
+
+def _best(query_ids: np.ndarray, queries: np.ndarray, norm: float, tiles: list, k: int, repeats: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, vec_id, score) of each query's best k of all tiles.  Only scores that reach a query's list so far leave a product."""
+    row = near = found = np.zeros(0, np.int64)
+    floor, last = np.full(len(query_ids), _LEAST), np.full(len(query_ids), np.iinfo(np.int64).max)
+    for ids, vectors, reach in tiles:
+        bound = norm * reach * (1 + 1e-9)
+        score = _scores(queries, vectors, bound)
+        begin = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+        if len(begin) < len(ids):
+            score, ids = np.maximum.reduceat(score, begin, axis=1), ids[begin]
+        reached = score >= floor.astype(score.dtype)[:, None]
+        if np.count_nonzero(reached) > 4 * k * len(query_ids) and len(ids) > k and bound * len(ids) < 2.0**62:
+            at, place = _first(score, query_ids[:, None] == ids[None, :], k)
+        else:
+            at, place = np.nonzero(reached)
+        more, value = ids[place], score[at, place].astype(np.int64)
+        better = (more != query_ids[at]) & ((value > floor[at]) | (value == floor[at]) & (more < last[at]))
+        if better.any():
+            row, near, found = _cut(*(np.append(x, y[better]) for x, y in ((row, at), (near, more), (found, value))), k, repeats)
+            full = np.flatnonzero(np.bincount(row, minlength=len(query_ids)) == k)
+            end = np.searchsorted(row, full, "right") - 1
+            floor[full], last[full] = found[end], near[end]
+    return query_ids[row], near, found
+
+
+def _group_rows(key, asked: pa.Table, tiles: pa.Table, k: int) -> pa.Table:
+    """Lists of a share's queries over a slot's candidates."""
+    slot, _, n = (x.as_py() for x in key)
+    candidates = _unpacked(tiles, n)
+    ids = np.concatenate([np.zeros(0, np.int64), *(x[0] for x in candidates)])
+    repeats = len(np.unique(ids)) < len(ids)
+    lists = [_best(*queries, candidates, k, repeats) for queries in _unpacked(asked, n)]
+    columns = [np.concatenate([np.zeros(0, np.int64), *x]) for x in (zip(*lists, strict=True) if lists else ([], [], []))]
+    return pa.table([*columns, np.full(len(columns[0]), slot, np.int64)], names=["query_id", "vec_id", "score", "branch"])
 
 
 def _merged(lists: DataFrame, k: int, *keys: str) -> DataFrame:
     """Each query's best k; a vec_id counts once, with its best score."""
-    once = lists.groupBy(*keys, "vec_id").agg(F.max("score").alias("score"))
+    once = lists.repartition(*keys).groupBy(*keys, "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("score"), "vec_id"))
     return once.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
+def _extent(df: DataFrame) -> tuple[int, int]:
+    """Rows and components."""
+    rows, components = df.agg(F.count("*"), F.sum(F.size("embedding"))).first()
+    return rows, max(0, components or 0)
+
+
+def _grid(queries: tuple[int, int], candidates: tuple[int, int], tasks: int) -> tuple[int, int]:
+    """Slots of candidates and shares of queries: groups enough for all tasks with few copies of tiles, none much larger than GROUP_COMPONENTS."""
+    shares = max(1, round(math.sqrt(tasks * queries[1] / max(1, candidates[1]))))
+    slots = math.ceil(tasks / shares)
+    most = [1 + rows // tile + components // TILE_COMPONENTS for (rows, components), tile in ((candidates, CANDIDATE_TILE), (queries, QUERY_TILE))]
+    wanted = [max(n, math.ceil(components / GROUP_COMPONENTS)) for n, (_, components) in ((slots, candidates), (shares, queries))]
+    return min(wanted[0], most[0]), min(wanted[1], most[1])
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, slots: int | None = None) -> DataFrame:
     """(query_id, rank, vec_id, score); vectors and queries: (vec_id long, embedding array)."""
-    spark = vectors.sparkSession
-    slots = slots or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    pick = lambda df: df.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
-    candidates = pick(vectors).mapInArrow(partial(_tile_rows, most=CANDIDATE_TILE), _TILES)
-    candidates = candidates.withColumn("tile", F.xxhash64("ids")).withColumn("slot", F.pmod("tile", F.lit(slots)).cast("int"))
-    asked = pick(queries).repartition(max(1, queries.count() // QUERY_TILE)).mapInArrow(partial(_tile_rows, most=QUERY_TILE), _TILES)
-    asked = asked.select("size", F.col("ids").alias("query_ids"), F.col("vectors").alias("queries"), F.explode(F.sequence(F.lit(0), F.lit(slots - 1))).alias("slot"))
-    lists = candidates.join(asked, ["slot", "size"]).select("size", "query_ids", "queries", "ids", "vectors", "tile")
-    lists = lists.mapInArrow(partial(_product_rows, k=k), "query_id long, vec_id long, score long, tile long")
+
+    def pick(df):
+        floats = isinstance(df.schema["embedding"].dataType, T.ArrayType) and isinstance(df.schema["embedding"].dataType.elementType, T.FloatType)
+        return df.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding") if floats else F.col("embedding").cast("array<double>").alias("embedding"))
+
+    vectors, queries = pick(vectors), pick(queries)
+    asked_extent = _extent(queries)
+    dealt, shares = _grid(asked_extent, _extent(vectors), 3 * vectors.sparkSession.sparkContext.defaultParallelism)
+    slots = slots or dealt
+    dealt_to = lambda n: F.pmod(F.xxhash64("ids"), F.lit(n)).cast("int")
+    copied_to = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    candidates = vectors.mapInArrow(partial(_tile_rows, most=CANDIDATE_TILE), _TILES).select("*", dealt_to(slots).alias("slot"), copied_to(shares).alias("share"))
+    asked = queries.repartition(max(1, asked_extent[0] // QUERY_TILE)).mapInArrow(partial(_tile_rows, most=QUERY_TILE), _TILES)
+    asked = asked.select("*", dealt_to(shares).alias("share"), copied_to(slots).alias("slot"))
+    by = ("slot", "share", "size")
+    lists = asked.groupBy(*by).cogroup(candidates.groupBy(*by)).applyInArrow(partial(_group_rows, k=k), "query_id long, vec_id long, score long, branch long")
     # a tree of merges: each round brings FAN_IN branches of a query's lists to one
-    depth = math.ceil(math.log(max(2, vectors.count() // CANDIDATE_TILE), FAN_IN))
-    lists = lists.withColumnRenamed("tile", "branch")
-    for level in range(depth - 1, 0, -1):
+    for level in range(math.ceil(math.log(max(2, slots), FAN_IN)) - 1, 0, -1):
         lists = _merged(lists.withColumn("branch", F.pmod("branch", F.lit(FAN_IN**level))), k, "query_id", "branch").drop("rank")
     return _merged(lists, k, "query_id").select("query_id", "rank", "vec_id", "score")
