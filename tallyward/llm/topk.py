@@ -81,9 +81,11 @@ def _unpacked(tiles: pa.Table, n: int) -> list[tuple[np.ndarray, np.ndarray, flo
     return out
 
 
-def _scores(queries: np.ndarray, vectors: np.ndarray, bound: float) -> np.ndarray:
-    """All products, exact; bound: no part of a sum is larger."""
-    kind = np.float32 if bound < 2.0**24 else np.float64 if bound < 2.0**53 else np.int64
+def _scores(queries: np.ndarray, vectors: np.ndarray, bound: float, room: np.ndarray) -> np.ndarray:
+    """All products, exact; bound: no part of a sum is larger; room: where floats are put, as fresh memory costs more than the products."""
+    if bound < 2.0**24:
+        return np.matmul(queries.astype(np.float32), vectors.astype(np.float32).T, out=room[: len(queries) * len(vectors)].reshape(len(queries), len(vectors)))
+    kind = np.float64 if bound < 2.0**53 else np.int64
     return queries.astype(kind) @ vectors.astype(kind).T
 
 
@@ -113,17 +115,21 @@ def _best(query_ids: np.ndarray, queries: np.ndarray, norm: float, tiles: list,
     """(query, vec_id, score) of each query's best k of all tiles.  Only scores that reach a query's list so far leave a product."""
     row = near = found = np.zeros(0, np.int64)
     floor, last = np.full(len(query_ids), _LEAST), np.full(len(query_ids), np.iinfo(np.int64).max)
+    room = np.empty(len(query_ids) * max((len(x[0]) for x in tiles), default=0), np.float32)
     for ids, vectors, reach in tiles:
         bound = norm * reach * (1 + 1e-9)
-        score = _scores(queries, vectors, bound)
+        score = _scores(queries, vectors, bound, room)
         begin = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
         if len(begin) < len(ids):
             score, ids = np.maximum.reduceat(score, begin, axis=1), ids[begin]
-        reached = score >= floor.astype(score.dtype)[:, None]
+        least = floor.astype(score.dtype)
+        open_rows = np.flatnonzero(score.max(axis=1) >= least)
+        reached = score[open_rows] >= least[open_rows, None]
         if np.count_nonzero(reached) > 4 * k * len(query_ids) and len(ids) > k and bound * len(ids) < 2.0**62:
             at, place = _first(score, query_ids[:, None] == ids[None, :], k)
         else:
             at, place = np.nonzero(reached)
+            at = open_rows[at]
         more, value = ids[place], score[at, place].astype(np.int64)
         better = (more != query_ids[at]) & ((value > floor[at]) | (value == floor[at]) & (more < last[at]))
         if better.any():
